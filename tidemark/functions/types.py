@@ -23,6 +23,11 @@ DATATYPES: dict[str, T.DataType] = {
     "DATE": T.DateType(),
 }
 
+_PLAIN = {
+    t.simpleString(): t
+    for t in (T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType(), T.TimestampNTZType(), T.DateType())
+}
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _NESTED = (T.StructType, T.MapType, T.ArrayType)
@@ -36,6 +41,12 @@ def spark_type(datatype: str) -> T.DataType:
     return DATATYPES[name]
 
 
+def struct_of(columns: str) -> T.StructType:
+    """``"a bigint, b string"`` -> a schema; unlike Spark's parser it needs no session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _PLAIN[kind]) for name, kind in pairs])
+
+
 def safe_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast that turns a value it cannot convert into NULL and keeps the row.
 

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.sizes import BROADCAST_BYTES, broadcast_if_small
-from tidemark.functions.types import spark_type
+from tidemark.functions.types import spark_type, struct_of
 
 _CHANGED = "created_by string, created_date timestamp_ntz, modified_by string, modified_date timestamp_ntz"
 
 # The columns of the six metadata tables.
-CONNECTION_INFO = T.StructType.fromDDL(
+CONNECTION_INFO = struct_of(
     "connection_id bigint, connection_name string, connection_url string, user_name string, "
     f"password_encrypted string, security_token string, {_CHANGED}"
 )
-INGESTION_CONFIG = T.StructType.fromDDL(
+INGESTION_CONFIG = struct_of(
     "ingestion_config_id bigint, ingestion_type string, source_schema_table_name string, "
     "primary_key_column string, incremental_date_column string, load_type string, "
     "extra_parameters string, partitioned_by string, api_source_name string, source_system string, "
@@ -26,23 +26,23 @@ INGESTION_CONFIG = T.StructType.fromDDL(
     "escape_characters string, accepted_encoding string, is_parquet boolean, to_parquet boolean, "
     f"bucket string, bucket_destination string, archive_destination string, {_CHANGED}"
 )
-COLUMN_DETAILS = T.StructType.fromDDL(
+COLUMN_DETAILS = struct_of(
     "column_name string, datatype string, ordinal_position bigint, mapping_column string, "
     f"project_id string, database_schema string, table_name string, {_CHANGED}"
 )
-ACTION_HISTORY = T.StructType.fromDDL(
+ACTION_HISTORY = struct_of(
     "action_id bigint, connection_name string, database_schema string, table_name string, "
     "executed_by string, execution_start_datetime timestamp_ntz, "
     "execution_end_datetime timestamp_ntz, execution_status bigint"
 )
-AUDIT_DETAILS = T.StructType.fromDDL(
+AUDIT_DETAILS = struct_of(
     "audit_id bigint, action_id bigint, connection_name string, database_schema string, "
     "table_name string, execution_start_datetime timestamp_ntz, "
     "execution_end_datetime timestamp_ntz, execution_duration bigint, record_cnt_before bigint, "
     "record_cnt_after bigint, delta double, delta_avg double, delta_variance double, "
     "delta_std_deviation double"
 )
-SPARK_CONFIG = T.StructType.fromDDL(
+SPARK_CONFIG = struct_of(
     "spark_id bigint, application_name string, executor_instances string, executor_memory string, "
     "executor_cores string, driver_memory string, driver_cores string, "
     "auto_broadcast_join_threshold string, shuffle_partitions string, broadcast_timeout string, "
@@ -117,13 +117,6 @@ def runtime_profile(spark_config: DataFrame, application_name: str) -> DataFrame
     )
 
 
-def _listed(text: Column) -> Column:
-    return F.array_join(
-        F.transform(F.sort_array(F.collect_list(F.when(text.isNotNull(), F.struct("ordinal_position", text.alias("text"))))), lambda e: e["text"]),
-        ", ",
-    )
-
-
 def column_specs(details: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
     """The four column lists of every table, in ordinal order.
 
@@ -131,7 +124,6 @@ def column_specs(details: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFram
     is what bounds the one string per table. A column without a mapping appears in
     the source list only.
     """
-    source, target = F.lower("column_name"), F.lower("mapping_column")
     position = F.col("ordinal_position")
     checked = details.withColumn(
         "ordinal_position",
@@ -139,13 +131,32 @@ def column_specs(details: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFram
             F.raise_error(F.lit(f"ordinal_position outside 1..{max_columns}")).cast("bigint")
         ),
     )
-    return checked.groupBy(*TABLE_KEY).agg(
-        _listed(F.concat(target, F.lit(" "), "datatype")).alias("create_columns"),
-        _listed(
-            F.concat(F.lit("SAFE_CAST("), source, F.lit(" AS "), "datatype", F.lit(") AS "), target)
+    columns = checked.groupBy(*TABLE_KEY).agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    "ordinal_position",
+                    "datatype",
+                    F.lower("column_name").alias("source"),
+                    F.lower("mapping_column").alias("target"),
+                )
+            )
+        ).alias("c")
+    )
+
+    def listed(text: Callable[[Column], Column]) -> Column:
+        return F.array_join(F.transform("c", text), ", ")  # a NULL text is left out
+
+    return columns.select(
+        *TABLE_KEY,
+        listed(lambda e: F.concat(e["target"], F.lit(" "), e["datatype"])).alias("create_columns"),
+        listed(
+            lambda e: F.concat(
+                F.lit("SAFE_CAST("), e["source"], F.lit(" AS "), e["datatype"], F.lit(") AS "), e["target"]
+            )
         ).alias("cast_columns"),
-        _listed(source).alias("source_columns"),
-        _listed(target).alias("target_columns"),
+        listed(lambda e: e["source"]).alias("source_columns"),
+        listed(lambda e: e["target"]).alias("target_columns"),
     )
 
 
