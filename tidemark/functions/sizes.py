@@ -19,10 +19,14 @@ def _value_bytes(df: DataFrame, field: T.StructField) -> Column:
     return F.lit(16)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Upper bound of what a row of ``df`` takes in memory."""
+    return sum((_value_bytes(df, f).cast("bigint") for f in df.schema.fields), F.lit(_ROW_OVERHEAD))
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Upper bound of the in-memory size, from one aggregate over the rows."""
-    row = sum((_value_bytes(df, f).cast("bigint") for f in df.schema.fields), F.lit(_ROW_OVERHEAD))
-    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("n")).first()["n"]
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("n")).first()["n"]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:

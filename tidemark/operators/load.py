@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import ts_lit
-from tidemark.functions.sizes import BROADCAST_BYTES, measured_bytes
+from tidemark.functions.sizes import BROADCAST_BYTES, row_bytes
 from tidemark.operators.staging import AUDIT_COLUMNS, stamp
 
 
@@ -112,20 +112,27 @@ def merge_upsert(
     has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
     keyed = source.filter(has_key)
-    repeated = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
+    # One pass over the source: how large it is, and whether a key occurs twice.
+    per_key = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(row_bytes(source)).alias("_bytes")
+    )
+    profile = per_key.agg(F.max(F.when(has_key, F.col("_n"))).alias("n"), F.sum("_bytes").alias("bytes")).first()
+    repeated = (profile["n"] or 0) > 1
+    small = (profile["bytes"] or 0) <= broadcast_bytes
     if on_duplicate == "latest":
         if not latest_by:
             raise ValueError("on_duplicate='latest' needs latest_by")
-        if not repeated.isEmpty():
+        if repeated:
             source = latest_per_key(keyed, keys, latest_by).unionByName(source.filter(~has_key))
             keyed = source.filter(has_key)
     elif on_duplicate == "error":
-        if not repeated.isEmpty() and not repeated.join(target, keys, "left_semi").isEmpty():
-            raise DuplicateSourceKey(f"several source rows match one target row on {keys}")
+        if repeated:
+            twice = per_key.filter(has_key & (F.col("_n") > 1)).select(*keys)
+            if not twice.join(target, keys, "left_semi").isEmpty():
+                raise DuplicateSourceKey(f"several source rows match one target row on {keys}")
     else:
         raise ValueError(f"unknown duplicate policy {on_duplicate!r}")
 
-    small = measured_bytes(source) <= broadcast_bytes
     hint = F.broadcast if small else (lambda df: df)
     update = hint(keyed.select(*[F.col(c).alias(f"_s_{c}") for c in mapped], F.lit(True).alias("_hit")))
     on = reduce(Column.__and__, [F.col(k) == F.col(f"_s_{k}") for k in keys])

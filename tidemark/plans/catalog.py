@@ -562,7 +562,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def lr_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted prices of the test side."""
     return _scored(spark, sf_dir)[0].select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "price_usd", F.round("prediction", 2).alias("prediction")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "price_usd", F.round("prediction", 1).alias("prediction")
     )
 
 

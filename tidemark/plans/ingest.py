@@ -99,11 +99,11 @@ class Warehouse:
         return f"{self.root}/archive/{config.path}"
 
     def _history(self, name: str, schema: T.StructType) -> DataFrame:
-        found = files.read_if_present(self.spark, f"{self.root}/history/{name}")
+        found = files.read_if_present(self.spark, f"{self.root}/history/{name}", schema)
         return self.spark.createDataFrame([], schema) if found is None else found
 
     def _append(self, name: str, schema: T.StructType, row: tuple | DataFrame) -> None:
-        df = row if isinstance(row, DataFrame) else self.spark.createDataFrame([row], schema)
+        df = row if isinstance(row, DataFrame) else files.one_row(self.spark, schema, row)
         files.write_table(df.coalesce(1), f"{self.root}/history/{name}", schema, "append")
 
     def actions(self) -> DataFrame:
@@ -143,7 +143,7 @@ class Warehouse:
             audit_id, action_id, config.connection_name, config.database_schema, config.table_name,
             started, ended, None, before, after, delta, None, None, None,
         )
-        own = self.spark.createDataFrame([row], M.AUDIT_DETAILS)
+        own = files.one_row(self.spark, M.AUDIT_DETAILS, row)
         mine = M.lookup(history, database_schema=config.database_schema, table_name=config.table_name)
         newest = mine.orderBy(F.desc("audit_id")).limit(A.LAST_RUNS - 1).unionByName(own)
         stats = A.latest_stats(newest)
@@ -233,7 +233,7 @@ def ingest(
         landing = warehouse.landing(config)
         files.archive_landing(spark, landing, warehouse.archive(config), f"{as_of:%Y%m%d%H%M%S}-{action_id}")
         files.write_parquet(pulled, landing, config.accepted_encoding, mode="overwrite")
-        staged = stage(spark.read.parquet(landing), specs, as_of)
+        staged = stage(spark.read.schema(pulled.schema).parquet(landing), specs, as_of)
 
         before = table.row_count()
         mark = config.incremental_date_column.lower() if config.incremental_date_column else None

@@ -71,7 +71,7 @@ _EXTRACTION = {
                CASE WHEN action = 'merge' THEN watermark ELSE {_AS_OF} - INTERVAL 3 DAY END AS window_start,
                {_AS_OF} AS window_end
         FROM plan""",
-    "extract_watermark": "SELECT event_type, epoch_ms(max(ts)) AS watermark_ms FROM events GROUP BY event_type",
+    "extract_watermark": "SELECT event_type, epoch_us(max(ts)) // 1000 AS watermark_ms FROM events GROUP BY event_type",
     "extract_incremental": f"""
         SELECT * FROM events
         WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 DAY AND ts < {_AS_OF}""",
@@ -346,13 +346,13 @@ _FITTED = _least_squares(_PRICED, _FEATURES)
 _RMSE = "sqrt(avg(y * y) FILTER (WHERE NOT is_train))"
 
 _REGRESSION = {
-    "feat_calendar": f"SELECT event_id, epoch_ms(ts) AS epoch_ms, value, {_calendar('ts')} FROM events",
+    "feat_calendar": f"SELECT event_id, epoch_us(ts) // 1000 AS epoch_ms, value, {_calendar('ts')} FROM events",
     "lr_split": f"""
         SELECT l_returnflag, is_train, count(*) AS n
         FROM (SELECT l_returnflag, {_is_train(_KEY)} AS is_train FROM lineitem) GROUP BY l_returnflag, is_train""",
     "lr_coefficients": _FITTED + _coefficients(_FEATURES),
     "lr_predictions": f"""{_FITTED}
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, actual AS price_usd, round(actual - y, 2) AS prediction
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, actual AS price_usd, round(actual - y, 1) AS prediction
         FROM l6 WHERE NOT is_train""",
     "lr_rmse": f"{_FITTED} SELECT round({_RMSE}, 4) AS rmse FROM l6",
     "lr_metric_append": f"""{_FITTED}

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.scalar import ts_lit
+
 # Text that a delimited file means as "no value".
 NULL_MARKERS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -157,6 +160,15 @@ def write_parquet(df: DataFrame, path: str, codec: str | None = None, mode: str
     writer.parquet(path)
 
 
+def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> DataFrame:
+    """A single row of constants."""
+    columns = [
+        (ts_lit(v) if isinstance(v, datetime) else F.lit(v)).cast(f.dataType).alias(f.name)
+        for f, v in zip(schema.fields, values, strict=True)
+    ]
+    return spark.range(1, numPartitions=1).select(*columns)
+
+
 def write_table(df: DataFrame, path: str, schema: T.StructType, if_exists: str = "fail") -> None:
     """Write under a declared schema; ``if_exists`` is append, replace or fail."""
     modes = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
@@ -166,10 +178,11 @@ def write_table(df: DataFrame, path: str, schema: T.StructType, if_exists: str =
     write_parquet(cast, path, mode=modes[if_exists])
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The Parquet files at ``path``, or None when there are none."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
+        return reader.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

@@ -15,12 +15,19 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 _ENTRY = "path string, part string, row_count bigint, watermark string, schema string, tag string"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_PARSE = {
+    T.LongType: int,
+    T.DoubleType: float,
+    T.TimestampNTZType: datetime.fromisoformat,
+    T.DateType: date.fromisoformat,
+}
 _PART_TYPES = (T.DateType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -48,6 +55,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, partitioned_by: str | None = None, codec: str | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.partitioned_by, self.codec = partitioned_by, codec
+        self._known: Version | None = None
 
     # -- versions ---------------------------------------------------------------
 
@@ -64,12 +72,20 @@ class SnapshotTable:
         return listed.agg(F.max("v").alias("v")).first()["v"]
 
     def exists(self) -> bool:
-        return self.latest() is not None
+        return self.version() is not None
+
+    def refresh(self) -> None:
+        """Forget the version seen so far, so that the next use looks again."""
+        self._known = None
 
     def version(self, number: int | None = None) -> Version | None:
-        number = self.latest() if number is None else number
+        """A version's list. Without a number it is the one current at the first use of
+        this object, or the one it published since."""
         if number is None:
-            return None
+            if self._known is None:
+                latest = self.latest()
+                self._known = None if latest is None else self.version(latest)
+            return self._known
         # One entry per partition of the table.
         rows = self.spark.read.schema(_ENTRY).json(f"{self.root}/versions/v={number}").collect()
         return Version(number, rows)
@@ -83,10 +99,8 @@ class SnapshotTable:
         """Highest watermark of the published version, from its list."""
         version = self.version()
         marks = [] if version is None else [e["watermark"] for e in version.entries if e["watermark"]]
-        if not marks:
-            return None
-        row = self.spark.createDataFrame([(m,) for m in marks], "m string")
-        return row.agg(F.max(F.col("m").cast(as_type)).alias("m")).first()["m"]
+        parse = _PARSE.get(type(as_type), str)
+        return max(map(parse, marks), default=None)
 
     # -- reading ----------------------------------------------------------------
 
@@ -159,9 +173,10 @@ class SnapshotTable:
         ] + [(*w, schema_json, tag) for w in written]
         if not entries:
             entries = [(None, None, 0, None, schema_json, tag)]
-        self.spark.createDataFrame(entries, _ENTRY).coalesce(1).write.mode("errorifexists").json(
-            f"{self.root}/versions/v={number}"
-        )
+        listed = self.spark.createDataFrame(entries, _ENTRY).coalesce(1)
+        listed.write.mode("errorifexists").json(f"{self.root}/versions/v={number}")
+        names = [c.split()[0] for c in _ENTRY.split(", ")]
+        self._known = Version(number, [Row(**dict(zip(names, e))) for e in entries])
         return number
 
     def _written(self, path: str, load: str, schema: T.StructType, watermark: str | None) -> list[tuple]:
