@@ -58,6 +58,13 @@ def duration_minutes(start: Column, end: Column) -> Column:
     return F.bround(micros / F.lit(6e7), 0).cast("bigint")
 
 
-def hash_percent(key: Column) -> Column:
-    """0..99 from the text of a key; the same on every run and partitioning."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % 100
+def hash_share(key: Column, percent: float) -> Column:
+    """True for ``percent`` of all keys, chosen by a hash of the key's text.
+
+    The same on every run and partitioning. Hex digests sort like the numbers they
+    spell, so one comparison of text decides.
+    """
+    limit = round(percent / 100 * 2**32)
+    if limit >= 2**32:
+        return F.lit(True)
+    return F.md5(key.cast("string")) < F.lit(f"{limit:08x}")

@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import (
+    GeneralizedLinearRegression,
+    GeneralizedLinearRegressionModel,
+    LinearRegression,
+    LinearRegressionModel,
+)
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.scalar import CALENDAR_PARTS, calendar, epoch_to_timestamp, hash_percent, ts_lit
+from tidemark.functions.scalar import CALENDAR_PARTS, calendar, epoch_to_timestamp, hash_share, ts_lit
+
+
+Model = LinearRegressionModel | GeneralizedLinearRegressionModel
 
 
 def calendar_features(df: DataFrame, epoch: str, per_second: int = 1000) -> DataFrame:
@@ -31,23 +40,30 @@ def assemble(df: DataFrame, features: Sequence[str], invalid: str = "error") ->
 def split(df: DataFrame, key: Column, train_percent: int = 80) -> DataFrame:
     """Append ``is_train``. The side depends on the key alone, not on the partitioning,
     so a retried task puts every row where it was."""
-    return df.withColumn("is_train", hash_percent(key) < train_percent)
+    return df.withColumn("is_train", hash_share(key, train_percent))
 
 
-def fit(train: DataFrame, label: str, features: Sequence[str] | None = None) -> LinearRegressionModel:
-    """Ordinary least squares without regularisation.
+def fit(train: DataFrame, label: str, features: Sequence[str]) -> Model:
+    """Ordinary least squares without regularisation, in one pass over the rows.
 
-    The default solver sums up the normal equations in one distributed pass; only
-    that small matrix reaches the driver.
+    The normal equations are summed up on the executors; only that small matrix
+    reaches the driver. The generalised model with identity link solves the same
+    problem as ``LinearRegression`` without the latter's second pass for a summary.
     """
-    data = train if features is None else assemble(train, features)
-    return LinearRegression(featuresCol="features", labelCol=label, tol=1e-12).fit(
-        data.select("features", F.col(label).cast("double").alias(label))
-    )
-
-
-def predict(model: LinearRegressionModel, df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    return model.transform(df if features is None else assemble(df, features))
+    data = assemble(train, features).select("features", F.col(label).cast("double").alias(label))
+    common = {"featuresCol": "features", "labelCol": label}
+    model = GeneralizedLinearRegression(family="gaussian", link="identity", **common).fit(data)
+    if any(c == 0.0 for c in model.coefficients):
+        # A constant feature makes the equations singular, and the solver goes on
+        # iteratively. Here the tolerance of that can be set.
+        return LinearRegression(tol=1e-12, **common).fit(data)
+    return model
+
+
+def predict(model: Model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Append ``prediction``, a plain expression over the feature columns."""
+    terms = (F.col(f) * F.lit(float(c)) for f, c in zip(features, model.coefficients, strict=True))
+    return df.withColumn("prediction", reduce(Column.__add__, terms) + F.lit(float(model.intercept)))
 
 
 def rmse(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -173,10 +173,13 @@ class SnapshotTable:
         ] + [(*w, schema_json, tag) for w in written]
         if not entries:
             entries = [(None, None, 0, None, schema_json, tag)]
-        listed = self.spark.createDataFrame(entries, _ENTRY).coalesce(1)
-        listed.write.mode("errorifexists").json(f"{self.root}/versions/v={number}")
         names = [c.split()[0] for c in _ENTRY.split(", ")]
-        self._known = Version(number, [Row(**dict(zip(names, e))) for e in entries])
+        rows = [dict(zip(names, e)) for e in entries]
+        listed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{_ENTRY}>>")
+        self.spark.range(1, numPartitions=1).select(F.inline(listed)).write.mode("errorifexists").json(
+            f"{self.root}/versions/v={number}"
+        )
+        self._known = Version(number, [Row(**r) for r in rows])
         return number
 
     def _written(self, path: str, load: str, schema: T.StructType, watermark: str | None) -> list[tuple]:
