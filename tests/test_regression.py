@@ -2,6 +2,7 @@ from datetime import datetime
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import regression as R
@@ -52,3 +53,6 @@ def test_null_feature_is_an_error(hourly):
     broken = R.calendar_features(hourly, "time").withColumn("supply", F.when(F.col("id") != 5, F.col("supply")))
     with pytest.raises(Exception):
         R.fit(broken, "price", ["hour", "supply"])
+    model = R.fit(R.calendar_features(hourly, "time"), "price", ["hour", "supply"])
+    with pytest.raises(PySparkException, match="NULL or NaN"):
+        R.predict(model, broken, ["hour", "supply"]).collect()

@@ -61,9 +61,15 @@ def fit(train: DataFrame, label: str, features: Sequence[str]) -> Model:
 
 
 def predict(model: Model, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Append ``prediction``, a plain expression over the feature columns."""
+    """Append ``prediction``, a plain expression over the feature columns.
+
+    As in training, a NULL or NaN feature is an error.
+    """
     terms = (F.col(f) * F.lit(float(c)) for f, c in zip(features, model.coefficients, strict=True))
-    return df.withColumn("prediction", reduce(Column.__add__, terms) + F.lit(float(model.intercept)))
+    value = reduce(Column.__add__, terms) + F.lit(float(model.intercept))
+    missing = value.isNull() | F.isnan(value)
+    failed = F.raise_error(F.lit("NULL or NaN among the features")).cast("double")
+    return df.withColumn("prediction", F.when(missing, failed).otherwise(value))
 
 
 def rmse(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

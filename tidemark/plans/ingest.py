@@ -86,6 +86,7 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
         self.clock = clock or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
         self.user = user or os.environ.get("USER", "unknown")
+        self._last_ids: dict[str, int] = {}
 
     def table(self, config: TableConfig) -> SnapshotTable:
         return SnapshotTable(
@@ -102,9 +103,16 @@ class Warehouse:
         found = files.read_if_present(self.spark, f"{self.root}/history/{name}", schema)
         return self.spark.createDataFrame([], schema) if found is None else found
 
-    def _append(self, name: str, schema: T.StructType, row: tuple | DataFrame) -> None:
+    def _append(self, name: str, schema: T.StructType, row: tuple | DataFrame, partition_by: Sequence[str] = ()) -> None:
         df = row if isinstance(row, DataFrame) else files.one_row(self.spark, schema, row)
-        files.write_table(df.coalesce(1), f"{self.root}/history/{name}", schema, "append")
+        files.write_table(df.coalesce(1), f"{self.root}/history/{name}", schema, "append", partition_by)
+
+    def _next_id(self, history: DataFrame, column: str) -> int:
+        """The next id; the history is asked once, then this writer counts on."""
+        if column not in self._last_ids:
+            self._last_ids[column] = X.watermark(history, column) or 0
+        self._last_ids[column] += 1
+        return self._last_ids[column]
 
     def actions(self) -> DataFrame:
         """The action history with the current status of every action."""
@@ -114,17 +122,17 @@ class Warehouse:
 
     def audit(self) -> DataFrame:
         """The audit rows, one per finished run."""
-        return self._history("audit", M.AUDIT_DETAILS)
+        return self._history("audit", M.AUDIT_DETAILS).select(*M.AUDIT_DETAILS.fieldNames())
 
     def open_action(self, config: TableConfig) -> tuple[int, datetime]:
         started = self.clock()
-        last = X.watermark(self._history("actions", M.ACTION_HISTORY), "action_id") or 0
+        action_id = self._next_id(self._history("actions", M.ACTION_HISTORY), "action_id")
         self._append(
             "actions",
             M.ACTION_HISTORY,
-            (last + 1, config.connection_name, config.database_schema, config.table_name, self.user, started, None, A.IN_PROGRESS),
+            (action_id, config.connection_name, config.database_schema, config.table_name, self.user, started, None, A.IN_PROGRESS),
         )
-        return last + 1, started
+        return action_id, started
 
     def close_action(self, action_id: int, status: int) -> datetime:
         ended = self.clock()
@@ -135,9 +143,12 @@ class Warehouse:
         self, config: TableConfig, action_id: int, started: datetime, ended: datetime,
         before: int | None, after: int | None,
     ) -> None:
-        """Append the audit row of a run with the statistics that include it."""
+        """Append the audit row of a run with the statistics that include it.
+
+        The rows lie in one folder per table, so only this table's are read.
+        """
         history = self.audit()
-        audit_id = (X.watermark(history, "audit_id") or 0) + 1
+        audit_id = self._next_id(history, "audit_id")
         delta = None if before is None or after is None else float(after - before)
         row = (
             audit_id, action_id, config.connection_name, config.database_schema, config.table_name,
@@ -154,7 +165,7 @@ class Warehouse:
             .withColumn("execution_duration", minutes)
             .join(stats.drop("audit_id", "runs"), ["database_schema", "table_name"])
         )
-        self._append("audit", M.AUDIT_DETAILS, full)
+        self._append("audit", M.AUDIT_DETAILS, full, ("database_schema", "table_name"))
 
 
 def resolve_window(

@@ -152,9 +152,15 @@ def read_metadata_jdbc(spark: SparkSession, url: str, table: str, schema: T.Stru
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
-def write_parquet(df: DataFrame, path: str, codec: str | None = None, mode: str = "errorifexists") -> None:
+def write_parquet(
+    df: DataFrame,
+    path: str,
+    codec: str | None = None,
+    mode: str = "errorifexists",
+    partition_by: Sequence[str] = (),
+) -> None:
     """Parquet with the codec of ``accepted_encoding`` (gzip, snappy, zstd, none)."""
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
     if codec:
         writer = writer.option("compression", codec.lower())
     writer.parquet(path)
@@ -169,13 +175,19 @@ def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> Data
     return spark.range(1, numPartitions=1).select(*columns)
 
 
-def write_table(df: DataFrame, path: str, schema: T.StructType, if_exists: str = "fail") -> None:
+def write_table(
+    df: DataFrame,
+    path: str,
+    schema: T.StructType,
+    if_exists: str = "fail",
+    partition_by: Sequence[str] = (),
+) -> None:
     """Write under a declared schema; ``if_exists`` is append, replace or fail."""
     modes = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
     if if_exists not in modes:
         raise ValueError(f"if_exists must be one of {sorted(modes)}")
     cast = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    write_parquet(cast, path, mode=modes[if_exists])
+    write_parquet(cast, path, mode=modes[if_exists], partition_by=partition_by)
 
 
 def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
