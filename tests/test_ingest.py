@@ -62,9 +62,8 @@ def test_first_pull_looks_back_three_days_then_follows_the_watermark(spark, ware
 
 
 def test_dataframe_source_is_filtered_to_the_window(spark, warehouse):
-    # Text times do not compare as numbers; here the source has the declared type.
-    typed = series(spark, DAY - timedelta(days=10), 400, 1).select(F.col("time").cast("bigint"), "priceUsd")
-    assert plan.ingest(warehouse, config(), SPECS, typed, DAY).record_cnt_after == 72
+    text = series(spark, DAY - timedelta(days=10), 400, 1)
+    assert plan.ingest(warehouse, config(), SPECS, text, DAY).record_cnt_after == 72
 
 
 def test_override_beats_the_configuration(spark, warehouse):
@@ -118,3 +117,41 @@ def test_one_bad_table_does_not_stop_the_others(spark, warehouse):
 def test_config_from_a_lookup_row(spark):
     row = spark.createDataFrame([("API", "HIST", "BTC", "FULL", "x")], "connection_name string, database_schema string, table_name string, load_type string, bucket string").first()
     assert plan.TableConfig.from_row(row).path == "hist/btc"
+
+
+def metadata(spark, uri, ingestion_type, **more):
+    from tidemark.sources.files import one_row
+
+    key = dict(project_id="P", database_schema="HIST", table_name="BTC")
+    connection = dict(connection_name="API", connection_url=str(uri))
+    row = dict(
+        key, connection_name="API", ingestion_type=ingestion_type, source_schema_table_name="in", primary_key_column="TIME",
+        incremental_date_column="TIME", load_type="INCR", **more,
+    )
+    return (
+        one_row(spark, M.CONNECTION_INFO, [connection.get(c) for c in M.CONNECTION_INFO.fieldNames()]),
+        one_row(spark, M.INGESTION_CONFIG, [row.get(c) for c in M.INGESTION_CONFIG.fieldNames()]),
+        M.specs_of(spark, [("TIME", "INT64", "TIME"), ("PRICEUSD", "FLOAT64", "PRICE_USD")], **key),
+    )
+
+
+def test_landed_responses_are_loaded_by_name(spark, warehouse, tmp_path):
+    (tmp_path / "in").mkdir()
+    for page, (first, price) in enumerate([(0, 1), (60, 2)]):
+        records = [f'{{"priceUsd": "{price}", "time": {ms(DAY - timedelta(hours=100 - first - h))}}}' for h in range(60)]
+        (tmp_path / "in" / f"{page}.json").write_text('{"data": [%s]}' % ",".join(records))
+    tables = metadata(spark, tmp_path, "REQUEST")
+    result = plan.ingest_named(warehouse, tables, "API", "BTC", section="REQUEST", as_of=DAY)
+    # 120 hours were landed, the last 72 before the run are in its window.
+    assert (result.action, result.record_cnt_after) == ("create", 72)
+    assert warehouse.table(config()).read().columns[:2] == ["time", "price_usd"]
+    full = plan.ingest_named(warehouse, tables, "API", "BTC", as_of=DAY, load_type_override="FULL")
+    assert full.action == "full_refresh"
+
+
+def test_lookup_problems(spark, tmp_path):
+    tables = metadata(spark, tmp_path, "S3", partitioned_by="day")
+    assert plan.find_table(*tables, "API", "BTC", "S3")[0].partitioned_by == "day"
+    for arguments in (("API", "NONE"), ("OTHER", "BTC"), ("API", "BTC", "REQUEST")):
+        with pytest.raises(ValueError):
+            plan.find_table(*tables, *arguments)

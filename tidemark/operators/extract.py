@@ -40,14 +40,15 @@ def window_plan(plan: DataFrame, as_of: datetime, look_back_days: int = LOOK_BAC
     return plan.withColumns({"window_start": start, "window_end": now})
 
 
-def incremental(df: DataFrame, column: str, start: Any, end: Any = None) -> DataFrame:
-    """Rows with ``start <= column < end``; both bounds reach the Parquet scan."""
+def incremental(df: DataFrame, column: Column | str, start: Any, end: Any = None) -> DataFrame:
+    """Rows with ``start <= column < end``; bounds on a plain column reach the Parquet scan."""
+    value = F.col(column) if isinstance(column, str) else column
 
     def bound(value: Any) -> Column:
         return ts_lit(value) if isinstance(value, datetime) else F.lit(value)
 
-    df = df.filter(F.col(column) >= bound(start))
-    return df if end is None else df.filter(F.col(column) < bound(end))
+    df = df.filter(value >= bound(start))
+    return df if end is None else df.filter(value < bound(end))
 
 
 def resample(

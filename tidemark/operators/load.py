@@ -116,15 +116,21 @@ def merge_upsert(
     per_key = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(row_bytes(source)).alias("_bytes")
     )
-    profile = per_key.agg(F.max(F.when(has_key, F.col("_n"))).alias("n"), F.sum("_bytes").alias("bytes")).first()
-    repeated = (profile["n"] or 0) > 1
-    small = (profile["bytes"] or 0) <= broadcast_bytes
+    profile = per_key.agg(
+        F.coalesce(F.max(F.when(has_key, F.col("_n"))), F.lit(0)).alias("most"),
+        F.coalesce(F.sum(F.when(~has_key, F.col("_n"))), F.lit(0)).alias("keyless"),
+        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
+    ).first()
+    repeated, small = profile["most"] > 1, profile["bytes"] <= broadcast_bytes
+    keyless = source.filter(~has_key) if profile["keyless"] else None
+    if keyless is None:
+        source = keyed
     if on_duplicate == "latest":
         if not latest_by:
             raise ValueError("on_duplicate='latest' needs latest_by")
         if repeated:
-            source = latest_per_key(keyed, keys, latest_by).unionByName(source.filter(~has_key))
-            keyed = source.filter(has_key)
+            keyed = latest_per_key(keyed, keys, latest_by)
+            source = keyed if keyless is None else keyed.unionByName(keyless)
     elif on_duplicate == "error":
         if repeated:
             twice = per_key.filter(has_key & (F.col("_n") > 1)).select(*keys)
@@ -146,9 +152,9 @@ def merge_upsert(
         rest = None
     else:
         updated = target.filter(has_key).join(update, on, "left")
-        inserted = keyed.join(known.filter(has_key).distinct(), keys, "left_anti").select(
-            *mapped
-        ).unionByName(source.filter(~has_key))
+        inserted = keyed.join(known.filter(has_key).distinct(), keys, "left_anti").select(*mapped)
+        if keyless is not None:
+            inserted = inserted.unionByName(keyless)
         rest = target.filter(~has_key)
 
     hit = F.col("_hit").isNotNull()

@@ -50,8 +50,8 @@ SPARK_CONFIG = struct_of(
 )
 
 # What a load needs to know, in the order the lookup returns it.
-_FROM_CONNECTION = ("connection_url", "user_name", "password_encrypted", "security_token")
-_FROM_CONFIG = (
+FROM_CONNECTION = ("connection_url", "user_name", "password_encrypted", "security_token")
+FROM_CONFIG = (
     "ingestion_type", "source_schema_table_name", "primary_key_column", "incremental_date_column",
     "load_type", "extra_parameters", "project_id", "database_schema", "table_name", "file_format",
     "header", "delimiter", "quote_characters", "escape_characters", "accepted_encoding",
@@ -78,8 +78,8 @@ class ColumnSpec:
 def connection_details(
     connections: DataFrame,
     configs: DataFrame,
-    from_connection: Sequence[str] = _FROM_CONNECTION,
-    from_config: Sequence[str] = _FROM_CONFIG,
+    from_connection: Sequence[str] = FROM_CONNECTION,
+    from_config: Sequence[str] = FROM_CONFIG,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Connections joined to the tables they feed, without repeats.

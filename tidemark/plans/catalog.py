@@ -663,6 +663,28 @@ def ingest_audit_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def ingest_named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited files loaded by table name, everything else from metadata tables."""
+    orders, root = table(spark, sf_dir, "orders"), scratch(spark, "ingest_named")
+    orders.select([F.col(c).cast("string") for c in orders.columns]).write.csv(f"{root}/files/orders", sep="\t", header=True)
+    key = dict(project_id="P", database_schema="SALES", table_name="ORDERS")
+    connection = dict(connection_name="FILES", connection_url=f"{root}/files")
+    config = dict(
+        key, connection_name="FILES", ingestion_type="S3", source_schema_table_name="orders", primary_key_column="O_ORDERKEY",
+        load_type="INCR", file_format="TSV", delimiter="\t", quote_characters='"', accepted_encoding="gzip",
+    )
+    metadata = (
+        files.one_row(spark, meta.CONNECTION_INFO, [connection.get(c) for c in meta.CONNECTION_INFO.fieldNames()]),
+        files.one_row(spark, meta.INGESTION_CONFIG, [config.get(c) for c in meta.INGESTION_CONFIG.fieldNames()]),
+        meta.specs_of(spark, [(s.source.upper(), s.datatype, s.target.upper()) for s in specs_from(orders)], **key),
+    )
+    warehouse = plan.Warehouse(spark, root, clock=lambda: AS_OF, user="tester")
+    for _ in range(2):  # created, then merged with itself
+        plan.ingest_named(warehouse, metadata, "FILES", "ORDERS", section="S3", as_of=AS_OF)
+    return warehouse.table(plan.TableConfig("FILES", "SALES", "ORDERS", "INCR")).read()
+
+
 @query
 def ingest_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three tables loaded, then the regression over one of them."""

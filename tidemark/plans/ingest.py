@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from tidemark.functions.types import struct_of
 from tidemark.operators import audit as A, extract as X, load as L, metadata as M, regression as R
-from tidemark.operators.staging import stage
+from tidemark.operators.staging import projection, stage
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
 
@@ -170,8 +170,8 @@ class Warehouse:
 
 def resolve_window(
     table: SnapshotTable, config: TableConfig, specs: Sequence[M.ColumnSpec], action: str, as_of: datetime
-) -> tuple[str, Any, Any] | None:
-    """Source column, start and end of the pull; None when the source is not windowed."""
+) -> tuple[M.ColumnSpec, Any, Any] | None:
+    """Column, start and end of the pull; None when the source is not windowed."""
     if config.ingestion_type != REQUEST or not config.incremental_date_column:
         return None
     target = config.incremental_date_column.lower()
@@ -186,7 +186,7 @@ def resolve_window(
     start = table.watermark(spec.type) if action == "merge" else None
     if start is None:
         start = point(as_of - timedelta(days=X.LOOK_BACK_DAYS))
-    return spec.source, start, point(as_of)
+    return spec, start, point(as_of)
 
 
 def load_reference(
@@ -238,8 +238,10 @@ def ingest(
         if window is None:
             pulled = source(None, None) if callable(source) else source
         else:
-            column, start, end = window
-            pulled = source(start, end) if callable(source) else X.incremental(source, column, start, end)
+            spec, start, end = window
+            pulled = source(start, end) if callable(source) else source
+            if not callable(source):
+                pulled = X.incremental(pulled, projection(pulled, [spec])[0], start, end)
 
         landing = warehouse.landing(config)
         files.archive_landing(spark, landing, warehouse.archive(config), f"{as_of:%Y%m%d%H%M%S}-{action_id}")
@@ -260,6 +262,60 @@ def ingest(
     return IngestResult(action_id, action, version, before, after)
 
 
+def find_table(
+    connections: DataFrame,
+    configs: DataFrame,
+    details: DataFrame,
+    connection_name: str,
+    table_name: str,
+    section: str | None = None,
+) -> tuple[TableConfig, list[M.ColumnSpec], str]:
+    """Configuration, column specs and source URI of one table from the metadata tables.
+
+    ``section`` is the kind of source the caller means to load; another kind in the
+    configuration is an error.
+    """
+    found = M.connection_details(
+        M.lookup(connections, connection_name=connection_name),
+        M.lookup(configs, connection_name=connection_name, table_name=table_name),
+        from_config=(*M.FROM_CONFIG, "partitioned_by"),
+    ).take(2)
+    if len(found) != 1:
+        problem = "no" if not found else "more than one"
+        raise ValueError(f"{problem} configuration for {connection_name}.{table_name}")
+    row = found[0]
+    if section is not None and row["ingestion_type"] != section:
+        raise ValueError(f"{table_name} is configured as {row['ingestion_type']}, not {section}")
+    specs = M.compile_columns(details, **{k: row[k] for k in M.TABLE_KEY})
+    return TableConfig.from_row(row), specs, f"{row['connection_url'].rstrip('/')}/{row['source_schema_table_name']}"
+
+
+def ingest_named(
+    warehouse: Warehouse,
+    metadata: tuple[DataFrame, DataFrame, DataFrame],
+    connection_name: str,
+    table_name: str,
+    source: Source | None = None,
+    section: str | None = None,
+    as_of: datetime | None = None,
+    load_type_override: str | None = None,
+    **merge_options: Any,
+) -> IngestResult:
+    """Load a table by its name: everything else comes from the metadata tables
+    (connections, configurations, column details).
+
+    Without ``source`` the files at the configured URI are read: landed API responses
+    for a REQUEST, files of the configured format otherwise.
+    """
+    config, specs, uri = find_table(*metadata, connection_name, table_name, section)
+    if source is None:
+        if config.ingestion_type == REQUEST:
+            source = files.read_json_response(warehouse.spark, uri, list(dict.fromkeys(s.source for s in specs)))
+        else:
+            source = config.file_source(warehouse.spark, uri)
+    return ingest(warehouse, config, specs, source, as_of, load_type_override, **merge_options)
+
+
 def ingest_many(
     warehouse: Warehouse,
     jobs: Sequence[tuple[TableConfig, Sequence[M.ColumnSpec], Source]],

@@ -394,6 +394,7 @@ _END_TO_END = {
         UNION ALL
         SELECT 2, 2, 'tester', 1, TIMESTAMP '2024-02-01 01:00:00', TIMESTAMP '2024-02-01 01:01:30', 2, a, b, d2,
                (d1 + d2) / 2, (d1 - d2) * (d1 - d2) / 4, (d1 - d2) * (d1 - d2) / 2 FROM d""",
+    "ingest_named_files": f"SELECT *, {_stamped(_AS_OF)} FROM orders",
     "ingest_multi_table": _least_squares(
         f"""SELECT y, {_calendar("moment")}, o_custkey, is_train FROM (
                 SELECT o_totalprice AS y, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS moment, o_custkey,
