@@ -163,15 +163,17 @@ def latest_stats(
     """
     newest = Window.partitionBy(*tables).orderBy(F.desc(order))
     kept = (
-        audit.select(*tables, order, F.coalesce("delta", F.lit(0.0)).alias("_delta"))
+        audit.select(*tables, order, "delta")
         .withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") <= last)
     )
-    stats = _statistics(
-        F.count("_delta"), F.avg("_delta"), F.var_pop("_delta"), F.var_samp("_delta")
-    )
     return kept.groupBy(*tables).agg(
-        F.max(order).alias(order),
-        F.count("_delta").alias("runs"),
-        *[c.alias(n) for n, c in stats.items()],
+        F.max(order).alias(order), F.count(F.lit(1)).alias("runs"), *delta_columns()
     )
+
+
+def delta_columns() -> list[Column]:
+    """The statistics over a group of runs, as aggregates of ``delta`` (NULL counts as 0)."""
+    delta = F.coalesce("delta", F.lit(0.0))
+    stats = _statistics(F.count(delta), F.avg(delta), F.var_pop(delta), F.var_samp(delta))
+    return [c.alias(n) for n, c in stats.items()]

@@ -156,15 +156,12 @@ class Warehouse:
         )
         own = files.one_row(self.spark, M.AUDIT_DETAILS, row)
         mine = M.lookup(history, database_schema=config.database_schema, table_name=config.table_name)
-        newest = mine.orderBy(F.desc("audit_id")).limit(A.LAST_RUNS - 1).unionByName(own)
-        stats = A.latest_stats(newest)
+        newest = mine.orderBy(F.desc("audit_id")).limit(A.LAST_RUNS - 1).select("delta").unionByName(own.select("delta"))
         minutes = A.duration_minutes(F.col("execution_start_datetime"), F.col("execution_end_datetime"))
-        kept = [c for c in M.AUDIT_DETAILS.fieldNames() if c not in ("delta_avg", "delta_variance", "delta_std_deviation")]
-        full = (
-            own.select(*kept)
-            .withColumn("execution_duration", minutes)
-            .join(stats.drop("audit_id", "runs"), ["database_schema", "table_name"])
-        )
+        full = newest.agg(*A.delta_columns()).select(
+            *files.constants(M.AUDIT_DETAILS, row, leave_out=("delta_avg", "delta_variance", "delta_std_deviation")),
+            "delta_avg", "delta_variance", "delta_std_deviation",
+        ).withColumn("execution_duration", minutes)
         self._append("audit", M.AUDIT_DETAILS, full, ("database_schema", "table_name"))
 
 

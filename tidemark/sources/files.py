@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.scalar import ts_lit
 
@@ -101,7 +101,7 @@ def read_json_response(
     )
 
 
-def _present(data):
+def _present(data: Column) -> Column:
     return F.when(data.isNotNull(), data).otherwise(
         F.raise_error(F.lit("response has no data array")).cast("void")
     )
@@ -166,13 +166,18 @@ def write_parquet(
     writer.parquet(path)
 
 
-def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> DataFrame:
-    """A single row of constants."""
-    columns = [
+def constants(schema: T.StructType, values: Sequence, leave_out: Sequence[str] = ()) -> list[Column]:
+    """Literal columns of a schema."""
+    return [
         (ts_lit(v) if isinstance(v, datetime) else F.lit(v)).cast(f.dataType).alias(f.name)
         for f, v in zip(schema.fields, values, strict=True)
+        if f.name not in leave_out
     ]
-    return spark.range(1, numPartitions=1).select(*columns)
+
+
+def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> DataFrame:
+    """A single row of constants."""
+    return spark.range(1, numPartitions=1).select(*constants(schema, values))
 
 
 def write_table(
