@@ -11,6 +11,12 @@ import duckdb
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def _value(v):
     if v is None or v != v:
         return "NULL"
@@ -31,20 +37,30 @@ def rows_of(names, rows):
 
 
 def oracle_rows(sql: str, sf_dir: str):
+    con = connection(sf_dir)
+    result = con.execute(sql)
+    return [d[0] for d in result.description], result.fetchall()
+
+
+def oracle_types(sql: str, sf_dir: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in connection(sf_dir).execute("DESCRIBE " + sql).fetchall()}
+
+
+def connection(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
         path = os.path.join(sf_dir, f"{t}.parquet")
         if glob.glob(path):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
-    result = con.execute(sql)
-    return [d[0] for d in result.description], result.fetchall()
+    return con
 
 
 def differences(df, sql: str, sf_dir: str) -> str | None:
     """None when both agree, otherwise the first difference."""
+    types = {c: SQL_TYPES.get(t, t) for c, t in df.dtypes}
+    if types != oracle_types(sql, sf_dir):
+        return f"columns differ: {types} vs {oracle_types(sql, sf_dir)}"
     names, rows = oracle_rows(sql, sf_dir)
-    if sorted(names) != sorted(df.columns):
-        return f"columns differ: {sorted(df.columns)} vs {sorted(names)}"
     ours, theirs = rows_of(df.columns, df.collect()), rows_of(names, rows)
     if len(ours) != len(theirs):
         return f"{len(ours)} rows vs {len(theirs)}"

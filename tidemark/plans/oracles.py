@@ -387,9 +387,9 @@ _END_TO_END = {
     "ingest_audit_trail": f"""
         WITH c AS (SELECT count(*) FILTER (WHERE {_FIRST}) AS a, count(*) FILTER (WHERE ts < {_AS_OF}) AS b FROM events),
         d AS (SELECT *, CAST(a AS DOUBLE) AS d1, CAST(b - a AS DOUBLE) AS d2 FROM c)
-        SELECT 1 AS action_id, 1 AS audit_id, 'tester' AS executed_by, 1 AS execution_status,
+        SELECT 1::BIGINT AS action_id, 1::BIGINT AS audit_id, 'tester' AS executed_by, 1::BIGINT AS execution_status,
                TIMESTAMP '2024-01-20 01:00:00' AS execution_start_datetime, TIMESTAMP '2024-01-20 01:02:30' AS execution_end_datetime,
-               2 AS execution_duration, 0 AS record_cnt_before, a AS record_cnt_after, d1 AS delta,
+               2::BIGINT AS execution_duration, 0::BIGINT AS record_cnt_before, a AS record_cnt_after, d1 AS delta,
                d1 AS delta_avg, 0.0::DOUBLE AS delta_variance, 0.0::DOUBLE AS delta_std_deviation FROM d
         UNION ALL
         SELECT 2, 2, 'tester', 1, TIMESTAMP '2024-02-01 01:00:00', TIMESTAMP '2024-02-01 01:01:30', 2, a, b, d2,
@@ -403,7 +403,7 @@ _END_TO_END = {
     )
     + "".join(
         f"""
-        SELECT '{t}' AS table_name, 0 AS record_cnt_before, count(*) AS record_cnt_after, CAST(count(*) AS DOUBLE) AS delta,
+        SELECT '{t}' AS table_name, 0::BIGINT AS record_cnt_before, count(*) AS record_cnt_after, CAST(count(*) AS DOUBLE) AS delta,
                CAST(NULL AS DOUBLE) AS rmse FROM {t} UNION ALL"""
         for t in ("customer", "orders", "part")
     )
