@@ -21,7 +21,7 @@ def data_files(root, pattern="**"):
 
 def test_nothing_published(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
-    assert not table.exists() and table.row_count() == 0 and table.watermark(T.LongType()) is None
+    assert not table.exists() and table.row_count() == 0 and table.watermark("id") is None
     with pytest.raises(FileNotFoundError):
         table.read()
 
@@ -32,7 +32,7 @@ def test_versions_stay_readable(spark, tmp_path):
     assert table.publish(spark.range(5), watermark="id") == 2
     assert (table.read().count(), table.read(1).count(), table.row_count()) == (5, 3, 5)
     fresh = SnapshotTable(spark, str(tmp_path / "t"))
-    assert fresh.watermark(T.LongType()) == 4 and fresh.read().schema == spark.range(1).schema.__class__(
+    assert fresh.watermark("id") == 4 and fresh.read().schema == spark.range(1).schema.__class__(
         [T.StructField("id", T.LongType(), True)]
     )
 
@@ -67,21 +67,72 @@ def test_merge_rewrites_touched_partitions_only(spark, tmp_path):
     assert added and all("d=2024-01-02" in f or "d=__HIVE_DEFAULT_PARTITION__" in f for f in added)
     got = sorted((r["id"], r["v"], r["d"], r["dw_create_datetime"]) for r in table.read().collect())
     assert got == sorted([(1, 0, one, OLD), (2, 5, two, OLD), (3, 0, None, OLD), (4, 5, two, NOW), (5, 5, None, NOW)])
-    assert table.row_count() == 5 and table.watermark(T.LongType()) == 5
-    assert sorted(r["id"] for r in table.read(parts=["2024-01-02"]).collect()) == [2, 4]
+    assert table.row_count() == 5 and table.watermark("id") == 5
+    second = [e["path"] for e in table.version().entries if e["part"] == "2024-01-02"]
+    assert sorted(r["id"] for r in table.read(folders=second).collect()) == [2, 4]
     assert table.read(1).count() == 3
 
 
+def test_a_growing_series_rewrites_its_last_load_only(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+
+    def rows(first, last, value):
+        return spark.range(first, last).select("id", F.lit(value).cast("bigint").alias("v"))
+
+    load_reference(table, rows(0, 100, 0), "create", OLD, watermark="id")
+    first = data_files(table.root)
+    # Each pull starts at the last key of the one before.
+    load_reference(table, rows(99, 110, 1), "merge", NOW, "id", watermark="id")
+    load_reference(table, rows(109, 120, 2), "merge", NOW, "id", watermark="id")
+    load_reference(table, rows(119, 130, 3), "merge", NOW, "id", watermark="id")
+    sizes = sorted(e["row_count"] for e in table.version().entries)
+    assert sizes == [10, 10, 10, 100] and table.row_count() == 130
+    assert table.watermark("id") == 129
+    # The first load was written once more, for the one key it shares with the second.
+    reread = SnapshotTable(spark, table.root)
+    assert {r["v"]: r["count"] for r in reread.read().groupBy("v").count().collect()} == {0: 99, 1: 10, 2: 10, 3: 11}
+    assert first and reread.read(1).filter("v = 0").count() == 100
+    # Folders that end before the source begins are not even looked at.
+    version = table.version()
+    assert len(table._within_reach(version, rows(119, 130, 4), ["id"])) == 2
+    assert len(table._within_reach(version, rows(119, 130, 4), ["v"])) == 4
+    # Nothing shared: nothing rewritten. All shared: all rewritten.
+    assert table.touched_by(rows(500, 510, 4), ["id"]) == []
+    assert len(table.touched_by(rows(0, 130, 4), ["id"])) == 4
+    assert len(table.touched_by(rows(125, 510, 4), ["id"], broadcast_bytes=0)) == 1
+    assert table.compact(50, watermark="id") == 5
+    assert sorted(e["row_count"] for e in table.version().entries) == [30, 100]
+    assert table.read().count() == 130 and table.watermark("id") == 129
+    assert table.compact(50) is None
+
+
+def test_rows_without_a_key_stay_where_they_are(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    day = date(2024, 1, 1)
+    load_reference(table, days(spark, (1, 0, day), (None, 0, day)), "create", OLD)
+    load_reference(table, days(spark, (None, 1, day), (2, 1, day)), "merge", NOW, "id")
+    load_reference(table, days(spark, (2, 2, day), (None, 2, day)), "merge", NOW, "id")
+    got = sorted(((r["id"] or 0), r["v"]) for r in table.read().collect())
+    assert got == [(0, 0), (0, 1), (0, 2), (1, 0), (2, 2)]
+
+
 def test_partition_type_is_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="date or a whole number"):
         SnapshotTable(spark, str(tmp_path / "t"), "s").publish(spark.sql("SELECT 'a/b' AS s, 1 AS v"))
 
 
+def test_watermark_of_a_column_that_was_not_noted(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    df = spark.range(5).select("id", (F.col("id") * 2).alias("v"))
+    table.publish(df, watermark="id")
+    assert table.watermark("v") == 8 and table.watermark("id") == 4
+
+
 def test_timestamp_watermark_keeps_its_micros(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     at = datetime(2024, 1, 1, 2, 3, 4, 567891)
     table.publish(spark.createDataFrame([(at,)], "t timestamp_ntz"), watermark="t")
-    assert SnapshotTable(spark, table.root).watermark(T.TimestampNTZType()) == at
+    assert SnapshotTable(spark, table.root).watermark("t") == at
 
 
 def test_a_large_partition_is_written_as_several_files(spark, tmp_path):

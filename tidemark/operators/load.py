@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,6 +85,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
 
 
 def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: str | Sequence[str], load_ts: datetime, **options: Any
+) -> DataFrame:
+    """All rows of the target after :func:`merge_parts`."""
+    kept, inserted = merge_parts(target, source, keys, load_ts, **options)
+    return kept.unionByName(inserted)
+
+
+def merge_parts(
     target: DataFrame,
     source: DataFrame,
     keys: str | Sequence[str],
@@ -92,10 +101,10 @@ def merge_upsert(
     latest_by: Sequence[str] = (),
     touch_load_ts: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """The target after ``MERGE``: matched rows take the source's mapped columns and
-    keep their audit columns, unmatched source rows are inserted with fresh ones,
-    all other target rows stay.
+) -> tuple[DataFrame, DataFrame]:
+    """``MERGE`` as ``(rows of the target, inserted rows)``: matched target rows take the
+    source's mapped columns and keep their audit columns, unmatched source rows are
+    inserted with fresh ones, all other target rows stay.
 
     A NULL key matches nothing. Several source rows for one *matched* key are an
     error, or with ``on_duplicate="latest"`` are reduced to the newest by
@@ -161,7 +170,7 @@ def merge_upsert(
     columns = {c: F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)) for c in mapped}
     if touch_load_ts:
         columns["dw_load_datetime"] = F.when(hit, ts_lit(load_ts)).otherwise(F.col("dw_load_datetime"))
-    updated = updated.select(*[columns.get(c, F.col(c)).alias(c) for c in target.columns])
-
-    merged = updated.unionByName(stamp(inserted.select(*mapped), load_ts))
-    return merged if rest is None else merged.unionByName(rest)
+    kept = updated.select(*[columns.get(c, F.col(c)).alias(c) for c in target.columns])
+    if rest is not None:
+        kept = kept.unionByName(rest)
+    return kept, stamp(inserted.select(*mapped), load_ts)

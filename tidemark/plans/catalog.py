@@ -26,6 +26,7 @@ EARLIER = datetime(2024, 1, 20)
 AS_OF = datetime(2024, 2, 1)
 ORDERS_KNOWN_UNTIL = datetime(2000, 1, 1)
 ORDERS_CHANGED_SINCE = datetime(1999, 7, 1)
+EVENTS_CHANGED_SINCE = datetime(2024, 1, 17)
 KEY_16 = "sixteen byte key"
 KEY_32 = "a key that is thirty-two bytes.."
 
@@ -384,6 +385,18 @@ def load_merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+@query
+def load_merge_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert into an unpartitioned published table: only loads that hold a key are rewritten."""
+    events = table(spark, sf_dir, "events")
+    target = SnapshotTable(spark, scratch(spark, "load_merge_series"))
+    known = staging.stage(events.filter(F.col("ts") < scalar.ts_lit(EARLIER)), _EVENT_SPECS, EARLIER)
+    changed = extract.incremental(events, "ts", EVENTS_CHANGED_SINCE).withColumn("value", F.col("value") + 1)
+    plan.load_reference(target, known, "create", EARLIER, watermark="event_id")
+    plan.load_reference(target, staging.stage(changed, _EVENT_SPECS, AS_OF), "merge", AS_OF, "event_id", watermark="event_id")
+    return target.read()
+
+
 # -- audit ----------------------------------------------------------------------
 
 
@@ -725,6 +738,6 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     run(events.filter(F.col("ts") < scalar.ts_lit(EARLIER)), EARLIER)
-    changed = extract.incremental(events, "ts", datetime(2024, 1, 17))
+    changed = extract.incremental(events, "ts", EVENTS_CHANGED_SINCE)
     run(changed.withColumn("value", F.col("value") + 1), AS_OF)
     return target.read()

@@ -180,7 +180,7 @@ def resolve_window(
     def point(moment: datetime) -> Any:
         return int(moment.replace(tzinfo=timezone.utc).timestamp() * 1000) if as_epoch else moment
 
-    start = table.watermark(spec.type) if action == "merge" else None
+    start = table.watermark(target) if action == "merge" else None
     if start is None:
         start = point(as_of - timedelta(days=X.LOOK_BACK_DAYS))
     return spec, start, point(as_of)
@@ -198,15 +198,21 @@ def load_reference(
 ) -> int:
     """Publish the next version of a reference table.
 
-    The merge of a partitioned table reads and rewrites the partitions of the batch
-    only. For that the key must determine the partition, as a time-keyed series or an
-    immutable event date does.
+    A merge reads and writes the folders it touches only. The rows it inserts go to a
+    folder of their own, so a series that grows at its end rewrites its last load and
+    nothing before. In a partitioned table the key must determine the partition, as a
+    time key or an immutable event date does.
     """
     if action in ("create", "full_refresh"):
         return table.publish(L.full_refresh(staged, load_ts), watermark=watermark, tag=tag)
-    parts = table.parts_of(staged) if table.partitioned_by else None
-    merged = L.merge_upsert(table.read(parts=parts), staged, keys, load_ts, **merge_options)
-    return table.publish(merged, replace=parts, watermark=watermark, tag=tag)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    touched = table.touched_by(staged, keys)
+    kept, inserted = L.merge_parts(table.read(folders=touched), staged, keys, load_ts, **merge_options)
+    if table.partitioned_by:
+        frames = [kept.unionByName(inserted)]
+    else:
+        frames = [kept, inserted] if touched else [inserted]
+    return table.publish(*frames, replace=touched, watermark=watermark, tag=tag)
 
 
 def ingest(

@@ -382,6 +382,10 @@ def _events(value: str, where: str) -> str:
 _FIRST = f"ts < {_EARLIER}"
 _PULLED = f"ts >= (SELECT max(ts) FROM events WHERE {_FIRST}) AND ts < {_AS_OF}"
 
+_CHANGED_EVENTS = _merge(
+    _events("value", _FIRST), _events("value + 1", "ts >= TIMESTAMP '2024-01-17'"), "event_id", _EVENT_COLUMNS
+)
+
 _END_TO_END = {
     "ingest_incremental": _merge(_events("value", _FIRST), _events("value + 1", _PULLED), "event_id", _EVENT_COLUMNS),
     "ingest_audit_trail": f"""
@@ -408,9 +412,8 @@ _END_TO_END = {
         for t in ("customer", "orders", "part")
     )
     + f" SELECT 'regression', NULL, NULL, NULL, round({_RMSE}, 3) FROM l6",
-    "stream_available_now": _merge(
-        _events("value", _FIRST), _events("value + 1", "ts >= TIMESTAMP '2024-01-17'"), "event_id", _EVENT_COLUMNS
-    ),
+    "load_merge_series": _CHANGED_EVENTS,
+    "stream_available_now": _CHANGED_EVENTS,
 }
 
 

@@ -1,10 +1,10 @@
 """Published tables: Parquet folders plus one small list per version.
 
 A version is published by writing its list, after its data. Readers see the previous
-version or the new one, never a half. A version of a partitioned table writes only the
-partitions that changed and lists the others where they already are, so an upsert
-costs what it touches. The list also carries row counts and the highest watermark,
-which makes both a metadata read.
+version or the new one, never a half. A folder is a partition of one load, or for an
+unpartitioned table the whole load. A version writes the folders that changed and lists
+the others where they already are, so an upsert costs what it touches. The list also
+carries row counts and the highest watermark, which makes both a metadata read.
 
 One writer per table. A writer that dies leaves files that no list names.
 """
@@ -13,14 +13,20 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-_ENTRY = "path string, part string, row_count bigint, watermark string, schema string, tag string"
+from tidemark.functions.sizes import BROADCAST_BYTES, broadcast_if_small
+
+_LOAD = "tidemark_load"
+_ENTRY = (
+    "path string, part string, row_count bigint, watermark_column string, watermark string, "
+    "schema string, tag string"
+)
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _PARSE = {
     T.LongType: int,
@@ -40,6 +46,10 @@ class Version:
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.entries[0]["schema"]))
 
+    @property
+    def folders(self) -> list[str]:
+        return [e["path"] for e in self.entries if e["path"]]
+
     @property
     def row_count(self) -> int:
         return sum(e["row_count"] for e in self.entries)
@@ -95,84 +105,96 @@ class SnapshotTable:
         version = self.version()
         return 0 if version is None else version.row_count
 
-    def watermark(self, as_type: T.DataType):
-        """Highest watermark of the published version, from its list."""
+    def watermark(self, column: str):
+        """Highest value of a column: from the list where it was noted for every folder,
+        else from the rows."""
         version = self.version()
-        marks = [] if version is None else [e["watermark"] for e in version.entries if e["watermark"]]
-        parse = _PARSE.get(type(as_type), str)
-        return max(map(parse, marks), default=None)
+        if version is None:
+            return None
+        parse = _PARSE.get(type(version.schema[column].dataType))
+        if parse is None or any(e["watermark_column"] != column for e in version.entries if e["path"]):
+            return self.read().agg(F.max(column)).first()[0]
+        return max((parse(e["watermark"]) for e in version.entries if e["watermark"] is not None), default=None)
 
     # -- reading ----------------------------------------------------------------
 
-    def read(self, number: int | None = None, parts: Iterable[str | None] | None = None) -> DataFrame:
-        """A version's rows; ``parts`` keeps only those partitions' files."""
+    def read(self, number: int | None = None, folders: Iterable[str] | None = None) -> DataFrame:
+        """A version's rows, or those of some of its folders."""
         version = self.version(number)
         if version is None:
             raise FileNotFoundError(f"nothing published at {self.root}")
-        wanted = None if parts is None else set(parts)
-        paths = [
-            f"{self.root}/data/{e['path']}"
-            for e in version.entries
-            if e["path"] and (wanted is None or e["part"] in wanted)
-        ]
-        schema = version.schema
+        return self._open(version, folders).select(*version.schema.fieldNames())
+
+    def _open(self, version: Version, folders: Iterable[str] | None = None) -> DataFrame:
+        """The rows with the name of their load."""
+        paths = version.folders if folders is None else sorted(set(folders))
+        schema = T.StructType([*version.schema.fields, T.StructField(_LOAD, T.StringType())])
         if not paths:
             return self.spark.createDataFrame([], schema)
         return (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/data")
-            .parquet(*paths)
-            .select(*schema.fieldNames())
+            .parquet(*[f"{self.root}/data/{p}" for p in paths])
         )
 
-    # -- writing ----------------------------------------------------------------
+    def touched_by(self, source: DataFrame, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> list[str]:
+        """The current folders that a merge of ``source`` has to write anew.
 
-    def parts_of(self, df: DataFrame) -> list[str | None]:
-        """The partition values a batch touches (as many as there are partitions)."""
-        value = F.col(self.partitioned_by).cast("string").alias("part")
-        return [r["part"] for r in df.select(value).distinct().collect()]
+        In a partitioned table, whose key determines the partition, these are the
+        partitions of the source. In another one they are the folders that hold one of
+        its keys; finding them reads the key columns only.
+        """
+        version = self.version()
+        part = self.partitioned_by
+        if part is not None:
+            value = F.col(part).cast("string").alias("part")
+            parts = {r["part"] for r in source.select(value).distinct().collect()}
+            return [e["path"] for e in version.entries if e["path"] and e["part"] in parts]
+        wanted, _ = broadcast_if_small(source.select(*keys).distinct(), broadcast_bytes)
+        held = self._open(version, self._within_reach(version, source, keys)).select(*keys, _LOAD)
+        found = held.join(wanted, list(keys), "left_semi").select(_LOAD).distinct().collect()
+        return [f"{_LOAD}={r[_LOAD]}" for r in found]
+
+    def _within_reach(self, version: Version, source: DataFrame, keys: Sequence[str]) -> list[str]:
+        """Folders that may hold a key of the source. When the key is the watermark
+        column, those that end before the source begins are out of reach."""
+        key = keys[0]
+        parse = _PARSE.get(type(version.schema[key].dataType)) if len(keys) == 1 else None
+        noted = [e for e in version.entries if e["watermark_column"] == key and e["watermark"] is not None]
+        if parse is None or not noted:
+            return version.folders
+        low = source.agg(F.min(key)).first()[0]
+        passed = {e["path"] for e in noted if low is None or parse(e["watermark"]) < low}
+        return [p for p in version.folders if p not in passed]
+
+    # -- writing ----------------------------------------------------------------
 
     def publish(
         self,
-        df: DataFrame,
-        replace: Iterable[str | None] | None = None,
+        *frames: DataFrame,
+        replace: Iterable[str] | None = None,
         watermark: str | None = None,
         tag: str | None = None,
     ) -> int:
-        """Write ``df`` and publish it as the next version; returns its number.
+        """Write the frames and publish them as the next version; returns its number.
 
-        ``replace`` lists the partitions that ``df`` holds anew; all others are taken
-        over from the current version. None replaces the whole table.
+        ``replace`` names the folders whose rows the frames hold anew; the others are
+        taken over from the current version. None replaces the whole table.
         """
         current = self.version()
         number = 1 if current is None else current.number + 1
-        load = f"load={number}-{uuid.uuid4().hex[:12]}"
-        path = f"{self.root}/data/{load}"
-        part = self.partitioned_by
-        if part is not None and not isinstance(df.schema[part].dataType, _PART_TYPES):
-            raise ValueError(f"partition column {part!r} must be a date or a whole number")
-
-        out = df
-        if part is not None:
-            # Adaptive execution cuts a large partition into several files and
-            # packs small ones, without one task per partition.
-            out = df.hint("rebalance", part)
-        writer = out.write.mode("errorifexists")
-        if self.codec:
-            writer = writer.option("compression", self.codec.lower())
-        (writer if part is None else writer.partitionBy(part)).parquet(path)
-
-        schema_json = df.schema.json()
-        written = self._written(path, load, df.schema, watermark)
+        schema_json = frames[0].schema.json()
+        written = [row for df in frames for row in self._write(df, number, watermark)]
         kept = []
         if replace is not None and current is not None:
-            replaced = set(replace)
-            kept = [e for e in current.entries if e["path"] and e["part"] not in replaced]
+            gone = set(replace)
+            kept = [e for e in current.entries if e["path"] and e["path"] not in gone]
         entries = [
-            (e["path"], e["part"], e["row_count"], e["watermark"], schema_json, tag) for e in kept
+            (*[e[n] for n in ("path", "part", "row_count", "watermark_column", "watermark")], schema_json, tag)
+            for e in kept
         ] + [(*w, schema_json, tag) for w in written]
         if not entries:
-            entries = [(None, None, 0, None, schema_json, tag)]
+            entries = [(None, None, 0, None, None, schema_json, tag)]
         names = [c.split()[0] for c in _ENTRY.split(", ")]
         rows = [dict(zip(names, e)) for e in entries]
         listed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{_ENTRY}>>")
@@ -182,6 +204,30 @@ class SnapshotTable:
         self._known = Version(number, [Row(**r) for r in rows])
         return number
 
+    def compact(self, below_rows: int, watermark: str | None = None) -> int | None:
+        """Rewrite the folders of an unpartitioned table with fewer rows into one."""
+        if self.partitioned_by is not None:
+            raise ValueError("the partitions of a table are rewritten by the merges that touch them")
+        small = [e["path"] for e in self.version().entries if e["path"] and e["row_count"] < below_rows]
+        if len(small) < 2:
+            return None
+        return self.publish(self.read(folders=small), replace=small, watermark=watermark)
+
+    def _write(self, df: DataFrame, number: int, watermark: str | None) -> list[tuple]:
+        """Write one frame into a fresh load folder and describe what is there."""
+        load = f"{_LOAD}={number}-{uuid.uuid4().hex[:12]}"
+        path, part = f"{self.root}/data/{load}", self.partitioned_by
+        if part is not None and not isinstance(df.schema[part].dataType, _PART_TYPES):
+            raise ValueError(f"partition column {part!r} must be a date or a whole number")
+        # Adaptive execution cuts a large partition into several files and packs small
+        # ones, without one task per partition.
+        out = df if part is None else df.hint("rebalance", part)
+        writer = out.write.mode("errorifexists")
+        if self.codec:
+            writer = writer.option("compression", self.codec.lower())
+        (writer if part is None else writer.partitionBy(part)).parquet(path)
+        return self._written(path, load, df.schema, watermark)
+
     def _written(self, path: str, load: str, schema: T.StructType, watermark: str | None) -> list[tuple]:
         """Path, partition, rows and watermark of what a write left behind.
 
@@ -192,9 +238,9 @@ class SnapshotTable:
         df = self.spark.read.schema(schema).parquet(path)
         if part is None:
             rows, high = df.agg(F.count(F.lit(1)), mark).first()
-            return [(load, None, rows, high)]
+            return [(load, None, rows, watermark, high)] if rows else []
         found = df.groupBy(F.col(part).cast("string")).agg(F.count(F.lit(1)), mark).collect()
         return [
-            (f"{load}/{part}={_NULL_PARTITION if value is None else value}", value, rows, high)
+            (f"{load}/{part}={_NULL_PARTITION if value is None else value}", value, rows, watermark, high)
             for value, rows, high in found
         ]
