@@ -31,6 +31,14 @@ def test_fit_equals_numpy(hourly):
     np.testing.assert_allclose([model.intercept, *model.coefficients], numpy_fit(data, features, "price"), rtol=1e-6)
 
 
+def test_nearly_dependent_features(hourly):
+    # A supply that grows with time is almost a sum of year, month and day.
+    features = R.feature_columns("supply")
+    data = R.calendar_features(hourly.withColumn("supply", F.col("id") * 0.5), "time")
+    model = R.fit(data, "price", features)
+    np.testing.assert_allclose([model.intercept, *model.coefficients], numpy_fit(data, features, "price"), rtol=1e-6)
+
+
 def test_constant_feature(hourly):
     data = R.calendar_features(hourly, "time").withColumn("year", F.lit(2020))
     features = ["hour", "year", "supply"]

@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
+from math import isfinite
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    GeneralizedLinearRegression,
-    GeneralizedLinearRegressionModel,
-    LinearRegression,
-    LinearRegressionModel,
-)
+from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import CALENDAR_PARTS, calendar, epoch_to_timestamp, hash_share, ts_lit
 
 
-Model = LinearRegressionModel | GeneralizedLinearRegressionModel
+SHIFT_ROWS = 1000
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """``label = intercept + sum(coefficient * feature)``, in the order of the features."""
+
+    coefficients: list[float]
+    intercept: float
 
 
 def calendar_features(df: DataFrame, epoch: str, per_second: int = 1000) -> DataFrame:
@@ -43,30 +48,42 @@ def split(df: DataFrame, key: Column, train_percent: int = 80) -> DataFrame:
     return df.withColumn("is_train", hash_share(key, train_percent))
 
 
-def fit(train: DataFrame, label: str, features: Sequence[str]) -> Model:
+def fit(train: DataFrame, label: str, features: Sequence[str]) -> LinearModel:
     """Ordinary least squares without regularisation, in one pass over the rows.
 
     The normal equations are summed up on the executors; only that small matrix
     reaches the driver. The generalised model with identity link solves the same
     problem as ``LinearRegression`` without the latter's second pass for a summary.
+
+    The sums are of squares, which loses digits when values lie far from zero, as
+    years do. So all columns are first moved by about their mean, taken from a few
+    rows; the exact choice does not matter, and the intercept is moved back.
     """
-    data = assemble(train, features).select("features", F.col(label).cast("double").alias(label))
+    columns = [*features, label]
+    values = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    means = values.limit(SHIFT_ROWS).agg(*[F.avg(c).alias(c) for c in columns]).first()
+    shift = {c: means[c] if means[c] is not None and isfinite(means[c]) else 0.0 for c in columns}
+    moved = assemble(values.select(*[(F.col(c) - F.lit(shift[c])).alias(c) for c in columns]), features)
+
     common = {"featuresCol": "features", "labelCol": label}
+    data = moved.select("features", label)
     model = GeneralizedLinearRegression(family="gaussian", link="identity", **common).fit(data)
     if any(c == 0.0 for c in model.coefficients):
         # A constant feature makes the equations singular, and the solver goes on
         # iteratively. Here the tolerance of that can be set.
-        return LinearRegression(tol=1e-12, **common).fit(data)
-    return model
+        model = LinearRegression(tol=1e-12, **common).fit(data)
+    coefficients = [float(c) for c in model.coefficients]
+    back = sum(c * shift[f] for c, f in zip(coefficients, features, strict=True))
+    return LinearModel(coefficients, float(model.intercept) + shift[label] - back)
 
 
-def predict(model: Model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+def predict(model: LinearModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Append ``prediction``, a plain expression over the feature columns.
 
     As in training, a NULL or NaN feature is an error.
     """
-    terms = (F.col(f) * F.lit(float(c)) for f, c in zip(features, model.coefficients, strict=True))
-    value = reduce(Column.__add__, terms) + F.lit(float(model.intercept))
+    terms = (F.col(f) * F.lit(c) for f, c in zip(features, model.coefficients, strict=True))
+    value = reduce(Column.__add__, terms) + F.lit(model.intercept)
     missing = value.isNull() | F.isnan(value)
     failed = F.raise_error(F.lit("NULL or NaN among the features")).cast("double")
     return df.withColumn("prediction", F.when(missing, failed).otherwise(value))

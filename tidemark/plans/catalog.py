@@ -559,7 +559,7 @@ def lr_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = reg.feature_columns("circulating_supply")
     data = reg.split(reg.calendar_features(_priced(spark, sf_dir), "time"), _item_key())
     model = reg.fit(data.filter("is_train"), "price_usd", features)
-    rows = [("intercept", float(model.intercept)), *zip(features, map(float, model.coefficients))]
+    rows = [("intercept", model.intercept), *zip(features, model.coefficients)]
     return spark.createDataFrame(rows, "feature string, coefficient double").withColumn(
         "coefficient", F.round("coefficient", 3)
     )
