@@ -74,6 +74,13 @@ def test_update_keeps_or_touches_the_load_time(spark):
     assert (touched["dw_create_datetime"], touched["dw_load_datetime"]) == (OLD, NOW)
 
 
+@pytest.mark.parametrize("change", [lambda df: df.withColumn("x", F.lit(1)), lambda df: df.drop("w"), lambda df: df.withColumn("v", F.lit("1"))])
+def test_another_shape_is_an_error(spark, change):
+    t = stamp(frame(spark, [(1, 0, "a")]), OLD)
+    with pytest.raises(ValueError, match="differ in [xwv];"):
+        L.merge_upsert(t, change(frame(spark, [(1, 1, "b")])), "k", NOW)
+
+
 def test_composite_key(spark):
     t = stamp(frame(spark, [(1, 1, "a"), (1, 2, "b")]), OLD)
     out = L.merge_upsert(t, frame(spark, [(1, 2, "c"), (1, 3, "d")]), ["k", "v"], NOW)

@@ -67,9 +67,9 @@ def test_ambiguous_source(spark):
 
 def test_lookups(spark):
     config = spark.createDataFrame(
-        [("BitcoinRegression", "4"), ("Other", "2")], "application_name string, executor_instances string"
+        [("PriceRegression", "4"), ("Other", "2")], "application_name string, executor_instances string"
     )
-    assert M.lookup_ci(config, "application_name", "bitcoinREGRESSION").count() == 1
+    assert M.lookup_ci(config, "application_name", "priceREGRESSION").count() == 1
     assert M.lookup(config, application_name="Other", executor_instances="4").count() == 0
 
 

@@ -106,6 +106,26 @@ def test_a_growing_series_rewrites_its_last_load_only(spark, tmp_path):
     assert table.compact(50) is None
 
 
+@pytest.mark.parametrize("watermark", [None, "id"])
+def test_many_merges_equal_one_table_in_memory(spark, tmp_path, watermark):
+    """Random batches, late keys and missing keys among them."""
+    import random
+
+    rng, table, want = random.Random(11), SnapshotTable(spark, str(tmp_path / "t")), []
+    day = date(2024, 1, 1)
+    for step in range(6):
+        keys = rng.sample(range(step * 10 - 15 if step else 0, step * 10 + 15), 8)
+        batch = [(k, step, day) for k in keys] + [(None, step, day)] * rng.randrange(3)
+        load_reference(table, days(spark, *batch), "merge" if step else "create", NOW, "id", watermark=watermark)
+        fresh = {k: v for k, v, _ in batch if k is not None}
+        held = {k for k, _ in want}
+        want = [(k, fresh.get(k, v) if k is not None else v) for k, v in want]
+        want += [(k, v) for k, v, _ in batch if k is None or k not in held]
+        got = [(r["id"], r["v"]) for r in SnapshotTable(spark, table.root).read().collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert table.row_count() == len(want)
+
+
 def test_rows_without_a_key_stay_where_they_are(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     day = date(2024, 1, 1)

@@ -84,6 +84,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str])
     )
 
 
+def _check_columns(target: DataFrame, source: DataFrame) -> None:
+    """A source of another shape must not be cut or widened to fit in silence."""
+    have, come = (
+        {c: t for c, t in df.dtypes if c not in AUDIT_COLUMNS} for df in (target, source)
+    )
+    if have != come:
+        differ = sorted(c for c in have.keys() | come.keys() if have.get(c) != come.get(c))
+        raise ValueError(f"source and target differ in {', '.join(differ)}; a full refresh changes columns")
+
+
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: str | Sequence[str], load_ts: datetime, **options: Any
 ) -> DataFrame:
@@ -117,6 +127,7 @@ def merge_parts(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     mapped = [c for c in target.columns if c not in AUDIT_COLUMNS]
+    _check_columns(target, source)
     source = source.select(*mapped)
     has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
