@@ -111,6 +111,21 @@ SELECT doc_id, sha256(coalesce(array_to_string(lines, ' '), '')) AS canonical_sh
 FROM docs LEFT JOIN hits USING (u) LEFT JOIN known ON known.digest = sha256(coalesce(array_to_string(lines, ' '), ''))"""
 
 
+def op4() -> str:
+    return f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", _LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM docs),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(doc_id, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, pairs.b FROM reach JOIN pairs ON reach.r = pairs.a)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(r) AS component_id FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id, s"""
+
+
 def op7() -> str:
     return f"""
 WITH sized AS (
@@ -191,6 +206,7 @@ ORACLES = {
     "op1_preference_format": op1(),
     "op2_risk_controlled_rules": op2(),
     "op3_licence_digests": op3(),
+    "op4_ngram_jaccard": op4(),
     "op7_mix_sources": op7(),
     "op8_url_rules": op8(),
     "op9_exact_dedup": op9(),

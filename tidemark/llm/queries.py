@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, licences, line_chunks, mixing, preference, risk_rules, urls
+from tidemark.llm import ctw, exact_dedup, jaccard, licences, line_chunks, mixing, packing, preference, risk_rules, urls
 from tidemark.llm import text as T
 from tidemark.session import prepare
 
@@ -41,6 +41,18 @@ def op3_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"), spark)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(_table(spark, sf_dir, "documents"), spark)
+
+
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(_table(spark, sf_dir, "documents"), spark)
+
+
+def op6_pack_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), spark)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = T.written(mixing.sized(_table(spark, sf_dir, "documents")), spark, "mix-sizes")
     return mixing.taken(rows, mixing.plan(rows))
@@ -67,7 +79,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_preference_format, op2_risk_controlled_rules, op3_licence_digests, op7_mix_sources, op8_url_rules,
+        op1_preference_format, op2_risk_controlled_rules, op3_licence_digests, op4_ngram_jaccard, op5_context_tree, op6_pack_least_squares, op7_mix_sources, op8_url_rules,
         op9_exact_dedup, op10_line_chunks,
     )
 }
