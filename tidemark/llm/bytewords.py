@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import SparkSession
 
+from tidemark.llm.text import ship
+
 BLOCK = 1 << 20
 _RNG = np.random.default_rng(1729)
 _BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -22,7 +24,8 @@ LOWER[65:91] += 32
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows per Arrow batch: texts are large."""
+    """Rows per Arrow batch: texts are large. Workers get the package where they lack it."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 

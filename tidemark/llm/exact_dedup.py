@@ -119,7 +119,8 @@ def resolve(index: DataFrame, same: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text", capacity: int = BUCKET_RECORDS) -> DataFrame:
     index, owned = build_index(docs, spark, capacity, doc_id=doc_id, text=text)
-    found = resolve(index, compared(docs, owned, text, doc_id))
+    same = T.written(compared(docs, owned, text, doc_id), spark, "dedup-compared")
+    found = resolve(index, same)
     # Rows equal in text and id: the id alone cannot tell them apart, so one of them is kept.
     return _one_of_ties(found)
 

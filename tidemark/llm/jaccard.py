@@ -3,15 +3,22 @@
 A document is its set of distinct 5-word shingles (hashed); two link when the Jaccard
 similarity is 0.8 or more. Documents with equal sets are one node from the start.
 
-Candidates. Two linked sets share an element among their first n - ceil(0.8 n) + 1 in any
-global order of the n-grams, so only these prefixes are matched. Every prefix n-gram pairs
-its documents with one hub of theirs, never with each other, and links found this way merge
-documents into components. What then remains are n-grams whose documents lie in several
-components: where the pairs across components are few, they are all compared. Where they are
-many (a passage that many documents share), the documents go to a second join among
-themselves: the rarest n-grams first, by exact frequency, so that the passage moves out of
-their prefixes. A linked pair that no earlier step has compared shares only such n-grams,
-so both its documents are in that join, which compares every pair left.
+Candidates. Two linked sets share an element among their first n - ceil(0.8 n) + 1 in the
+global order of the n-grams, so only these prefixes are matched. First every document is
+paired with the hubs of its n-grams (the smallest document of each), where it shares a good
+part of its prefix with one; links found this way merge families of near copies. What
+remains are n-grams whose documents lie in several components:
+
+* Few pairs across components: all of them are counted. A pair goes on when the n-grams it
+  shares, with all crowded ones of a document granted, can make up for those it must share.
+* Crowded n-grams, as of a passage that many documents share. A linked pair that shares
+  nothing else in its prefixes must fill the shorter prefix with them: of the document whose
+  prefix ends first at most n - overlap elements are not shared, and the other has few
+  elements below that end. The smallest number of elements that any document of a size has
+  below each of GRID points of the order rules most documents out at once; only the rest
+  meet the documents of their crowded n-grams, under the same two bounds.
+
+Both bounds are exact, so no link is lost and no n-gram or candidate is dropped.
 
 Verification. The global order is cut into FRAGMENTS ranges. Each document's n-grams lie in
 one row per fragment, the overlap of a pair is counted in each fragment apart and summed per
@@ -38,8 +45,10 @@ from tidemark.llm import text as T
 
 WORDS, PERCENT = 5, 80
 FRAGMENTS = 8
-#: Pairs across components per document of an n-gram, up to which they are compared at once.
-FEW_PAIRS = 16
+#: Pairs across components per document of an n-gram, beyond which it is crowded.
+FEW_PAIRS = 32
+#: Points of the order, every 1/128 of its range from the start: prefixes end about 0.2.
+GRID = 64
 _MULTIPLIERS = B.mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -80,15 +89,19 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ranks`` counts the prefix elements below each point of the grid."""
+    grid = np.array([(i << 57) - (1 << 63) for i in range(GRID)], dtype=np.int64)
     for batch in batches:
-        sizes, digests, prefixes = [], [], []
+        sizes, digests, prefixes, ranks = [], [], [], []
         for s in shingle_sets(batch.column(1).to_pylist()):
+            first = s[: prefix_length(len(s))] if len(s) else s
             sizes.append(len(s))
             digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            prefixes.append(s[: prefix_length(len(s))] if len(s) else s)
+            prefixes.append(first)
+            ranks.append(np.searchsorted(first, grid))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(prefixes)],
-            names=["doc_id", "n", "digest", "prefix"],
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(prefixes), _lists(ranks)],
+            names=["doc_id", "n", "digest", "prefix", "ranks"],
         )
 
 
@@ -107,13 +120,17 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Sizes and places of a shared n-gram allow a link. The bound holds at the first n-gram
-    that a pair shares, where every linked pair passes."""
-    col = lambda side, name: F.col(f"{side}_{name}")
-    both = col(a, "n") + col(b, "n")
-    most = F.least(col(a, "n") - col(a, "pos"), col(b, "n") - col(b, "pos"))
-    return most * (100 + PERCENT) >= both * PERCENT
+def _prefix(n: Column) -> Column:
+    return n - F.ceil(n * PERCENT / F.lit(100)).cast("bigint") + 1
+
+
+def _spare(n: Column, other: Column) -> Column:
+    """How many elements of a set of n a linked set of the other size may lack."""
+    return n - F.ceil((n + other) * PERCENT / F.lit(100 + PERCENT)).cast("bigint")
+
+
+def _sizes_fit(n: Column, other: Column) -> Column:
+    return (n * 100 >= other * PERCENT) & (other * 100 >= n * PERCENT)
 
 
 def _side(rows: DataFrame, side: str) -> DataFrame:
@@ -121,17 +138,70 @@ def _side(rows: DataFrame, side: str) -> DataFrame:
 
 
 def star_pairs(postings: DataFrame) -> DataFrame:
-    """``(a, b, a_n, b_n)``: every document with the hub of each of its n-grams."""
-    hub = postings.groupBy("t").agg(F.min(F.struct("doc", "n", "pos")).alias("h"))
-    hub = hub.select("t", F.col("h.doc").alias("a_doc"), F.col("h.n").alias("a_n"), F.col("h.pos").alias("a_pos"))
-    near = _side(postings, "b").join(hub, "t").filter((F.col("a_doc") != F.col("b_doc")) & _may_link("a", "b"))
-    return near.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n").distinct()
-
-
-def cross_pairs(labelled: DataFrame) -> DataFrame:
-    """All pairs of an n-gram's documents from different components."""
-    near = _side(labelled, "a").join(_side(labelled, "b"), "t")
-    near = near.filter((F.col("a_doc") < F.col("b_doc")) & (F.col("a_label") != F.col("b_label")) & _may_link("a", "b"))
+    """``(a, b, a_n, b_n)``: documents with the hubs that they share a third of their prefix with."""
+    hub = postings.groupBy("t").agg(F.min(F.struct("doc", "n")).alias("h"))
+    hub = hub.select("t", F.col("h.doc").alias("a"), F.col("h.n").alias("a_n"))
+    near = postings.select("t", F.col("doc").alias("b"), F.col("n").alias("b_n")).join(hub, "t")
+    near = near.filter((F.col("a") != F.col("b")) & _sizes_fit(F.col("a_n"), F.col("b_n")))
+    shared = near.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("k"))
+    return shared.filter(F.col("k") * 3 >= _prefix(F.col("b_n"))).drop("k")
+
+
+def light_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
+    """``(a, b, a_n, b_n)``: pairs across components that share n-grams which are not crowded,
+    as far as their number allows a link. ``crowding`` has the crowded n-grams per document."""
+    near = _side(rows, "a").join(_side(rows, "b"), "t")
+    near = near.filter(
+        (F.col("a_doc") < F.col("b_doc")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n"))
+    )
+    shared = near.groupBy(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n").agg(F.count(F.lit(1)).alias("k"))
+    for side in ("a", "b"):
+        more = crowding.select(F.col("doc").alias(side), F.col("h").alias(f"{side}_h"))
+        shared = shared.join(more, side, "left")
+    # The document whose prefix ends first shares all of it but what it may lack.
+    enough = [
+        F.col("k") + F.coalesce(f"{x}_h", F.lit(0)) >= _prefix(F.col(f"{x}_n")) - _spare(F.col(f"{x}_n"), F.col(f"{y}_n"))
+        for x, y in (("a", "b"), ("b", "a"))
+    ]
+    return shared.filter(enough[0] | enough[1]).select("a", "b", "a_n", "b_n")
+
+
+def crowded_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
+    """``(a, b, a_n, b_n)``: pairs across components that may link by crowded n-grams alone.
+
+    ``rows`` are the postings of crowded n-grams; ``crowding`` has ``(doc, n, h, ranks, q)``:
+    crowded n-grams of a document, elements below the grid points, last grid point before the
+    end of its prefix.
+    """
+    bucket = F.floor(F.ln(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
+    sized = crowding.withColumn("bucket", bucket)
+    fewest = (
+        sized.select("bucket", "q", F.posexplode("ranks").alias("at", "r"))
+        .filter("at <= q")
+        .groupBy(F.col("bucket").alias("_bucket"), F.col("at").alias("_at"))
+        .agg(F.min("r").alias("fewest"))
+    )
+    # What a partner may have below the end of x's prefix: h and what it may lack.
+    most = F.col("h") + F.least(F.col("n") * 0.25, F.col("h") * 1.25) + 1
+    reach = F.array(*[F.col("bucket") + d for d in (-2, -1, 0, 1, 2)])
+    able = (
+        sized.select("doc", "q", most.alias("most"), F.explode(reach).alias("_b"))
+        .join(F.broadcast(fewest), (F.col("_b") == F.col("_bucket")) & (F.col("q") == F.col("_at")))
+        .filter("fewest <= most")
+        .select("doc")
+        .distinct()
+    )
+    x = rows.join(crowding.join(able, "doc", "left_semi").select("doc", "h", "q"), "doc")
+    y = rows.join(crowding.select("doc", "ranks"), "doc")
+    near = _side(x, "a").join(_side(y, "b"), "t")
+    below = F.element_at("b_ranks", F.col("a_q") + 1)
+    near = near.filter(
+        (F.col("a_doc") != F.col("b_doc"))
+        & (F.col("a_label") != F.col("b_label"))
+        & _sizes_fit(F.col("a_n"), F.col("b_n"))
+        & (F.col("a_h") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n")))
+        & (below <= F.col("a_h") + _spare(F.col("b_n"), F.col("a_n")))
+    )
     return near.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n").distinct()
 
 
@@ -172,10 +242,6 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
             return edges.select(F.col("hi").alias("doc"), F.col("lo").alias("label"))
 
 
-def _labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    return postings.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-
-
 def unresolved(labelled: DataFrame) -> DataFrame:
     """``(t, few)`` of n-grams whose documents lie in several components."""
     per_label = labelled.groupBy("t", "label").agg(F.count(F.lit(1)).cast("double").alias("m"))
@@ -186,62 +252,52 @@ def unresolved(labelled: DataFrame) -> DataFrame:
     return per_gram.filter("k > 1").select("t", (pairs <= FEW_PAIRS * F.col("m")).alias("few"))
 
 
-def rare_first(fragments: DataFrame, docs: DataFrame) -> DataFrame:
-    """Postings of the prefixes of ``docs`` in the order of exact frequency among them."""
-    grams = fragments.join(docs.select("doc", "n"), "doc").select("doc", "n", F.explode("grams").alias("t"))
-    often = grams.groupBy("t").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    counted = grams.join(often, "t", "left").select("doc", "n", F.struct(F.coalesce("df", F.lit(1)).alias("df"), "t").alias("g"))
-    # One document's n-grams: no longer than its text.
-    ordered = counted.groupBy("doc", "n").agg(F.sort_array(F.collect_list("g")).alias("g"))
-    length = F.expr(f"CAST(n - (n * {PERCENT} + 99) DIV 100 + 1 AS int)")
-    first = ordered.select("doc", "n", F.posexplode(F.slice("g", F.lit(1), length)).alias("pos", "g"))
-    return first.filter("g.df > 1").select(F.col("g.t").alias("t"), "doc", "n", "pos")
-
-
 def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per document."""
     B.small_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sets = T.written(docs.mapInArrow(_sets, "doc_id bigint, n bigint, digest binary, prefix array<bigint>"), spark, "shingle-sets")
+    types = "doc_id bigint, n bigint, digest binary, prefix array<bigint>, ranks array<bigint>"
+    sets = T.written(docs.mapInArrow(_sets, types), spark, "shingle-sets")
     classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
     classes = T.written(classes.filter("members > 1 OR rep IS NULL"), spark, "shingle-classes")
     copies = sets.select("doc_id", "digest").join(classes, "digest").filter("doc_id != rep").select("doc_id", "rep").distinct()
 
-    everything = sets.filter("doc_id IS NOT NULL").select("doc_id", "n", F.posexplode("prefix").alias("pos", "t"))
+    def verified(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        wanted, _ = broadcast_if_small(ids)
+        cut = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_fragments, "doc bigint, fragment int, grams array<bigint>")
+        cut = T.written(cut.dropDuplicates(["doc", "fragment"]) if repeated_ids else cut, spark, "shingle-fragments")
+        return T.written(linked(pairs, cut), spark, "links")
+
+    repeated_ids = not sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
+    everything = sets.filter("doc_id IS NOT NULL").select("doc_id", "n", F.explode("prefix").alias("t"))
     shared = everything.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t")
     found = everything.join(shared, "t")
-    found = found.join(copies, "doc_id", "left").select("t", F.coalesce("rep", "doc_id").alias("doc"), "n", "pos")
+    found = found.join(copies, "doc_id", "left").select("t", F.coalesce("rep", "doc_id").alias("doc"), "n")
     postings = T.written(found.distinct(), spark, "shingle-postings")
 
-    wanted, _ = broadcast_if_small(postings.select(F.col("doc").alias("doc_id")).distinct())
-    fragments = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_fragments, "doc bigint, fragment int, grams array<bigint>")
-    fragments = T.written(fragments, spark, "shingle-fragments")
-
     stars = T.written(star_pairs(postings), spark, "star-pairs")
-    links = T.written(linked(stars, fragments), spark, "links")
+    links = verified(stars)
     labels = components(links, spark)
-    labelled = T.written(_labelled(postings, labels), spark, "labelled")
+    labelled = postings.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    labelled = T.written(labelled.select("t", "doc", "n", "label"), spark, "labelled")
     open_grams = T.written(unresolved(labelled), spark, "open-grams")
-    across = cross_pairs(labelled.join(open_grams.filter("few").select("t"), "t", "left_semi"))
-    across = T.written(across.join(stars, ["a", "b"], "left_anti"), spark, "cross-pairs")
-    links = T.written(links.unionByName(linked(across, fragments)), spark, "links")
-    labels = components(links, spark)
-
-    crowded = labelled.join(open_grams.filter("NOT few").select("t"), "t", "left_semi").select("doc", "n").distinct()
-    crowded = T.written(crowded, spark, "crowded")
-    if not crowded.isEmpty():
-        again = T.written(rare_first(fragments, crowded), spark, "rare-postings")
-        again = _labelled(again, labels)
-        mixed = unresolved(again).select("t")
-        again = T.written(again.join(mixed, "t", "left_semi"), spark, "rare-labelled")
-        stars = T.written(star_pairs(again.drop("label")), spark, "star-pairs")
-        links = T.written(links.unionByName(linked(stars, fragments)), spark, "links")
-        labels = components(links, spark)
-        left = _labelled(again.drop("label"), labels)
-        left = left.join(unresolved(left).select("t"), "t", "left_semi")
-        across = T.written(cross_pairs(left).join(stars, ["a", "b"], "left_anti"), spark, "cross-pairs")
-        links = T.written(links.unionByName(linked(across, fragments)), spark, "links")
-        labels = components(links, spark)
+    packed = T.written(labelled.join(open_grams.filter("NOT few").select("t"), "t", "left_semi"), spark, "crowded")
+    crowding = packed.groupBy("doc", "n").agg(F.count(F.lit(1)).alias("h"))
+    # The grid point at or before the prefix's last element.
+    last = F.shiftright(F.element_at("prefix", -1), 57).cast("int") + 64
+    places = sets.filter("n > 0").select(F.col("doc_id").alias("doc"), "ranks", F.least(last, F.lit(GRID - 1)).alias("q"))
+    crowding = crowding.join(places, "doc")
+    crowding = T.written(crowding.dropDuplicates(["doc"]) if repeated_ids else crowding, spark, "crowding")
+    light = light_pairs(labelled.join(open_grams.filter("few").select("t"), "t", "left_semi"), crowding)
+    pairs = light.unionByName(crowded_pairs(packed, crowding))
+    pairs = pairs.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+        F.when(F.col("a") < F.col("b"), F.col("a_n")).otherwise(F.col("b_n")).alias("a_n"),
+        F.when(F.col("a") < F.col("b"), F.col("b_n")).otherwise(F.col("a_n")).alias("b_n"),
+    )
+    pairs = T.written(pairs.distinct().join(stars, ["a", "b"], "left_anti"), spark, "cross-pairs")
+    labels = components(links.unionByName(verified(pairs)), spark)
 
     of_class = sets.select("doc_id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left")
     node = F.coalesce("rep", "doc_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -41,6 +44,20 @@ def count_chars(text: Column, chars: str) -> Column:
     return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("bigint")
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where they would not find it by themselves."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if root not in map(os.path.abspath, known) and context.applicationId not in _SHIPPED:
+        package = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tidemark"), "zip", root, "tidemark")
+        context.addPyFile(package)
+        _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def written(df: DataFrame, spark: SparkSession, label: str) -> DataFrame:
     """The rows as a table in the shared folder, which cuts the lineage."""
     from tidemark.session import scratch
