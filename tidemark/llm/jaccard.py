@@ -16,7 +16,8 @@ remains are n-grams whose documents lie in several components:
   prefix ends first at most n - overlap elements are not shared, and the other has few
   elements below that end. The smallest number of elements that any document of a size has
   below each of GRID points of the order rules most documents out at once; only the rest
-  meet the documents of their crowded n-grams, under the same two bounds.
+  are queries, in blocks, against the documents of their crowded n-grams. Shared n-grams
+  are counted, and the same two bounds hold for the counts.
 
 Both bounds are exact, so no link is lost and no n-gram or candidate is dropped.
 
@@ -34,12 +35,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.sizes import broadcast_if_small
+from tidemark.functions.sizes import broadcast_if_small, measured_bytes
 from tidemark.llm import bytewords as B
 from tidemark.llm import text as T
 
@@ -49,6 +51,8 @@ FRAGMENTS = 8
 FEW_PAIRS = 32
 #: Points of the order, every 1/128 of its range from the start: prefixes end about 0.2.
 GRID = 64
+#: Queries on crowded n-grams are broadcast in blocks of this size.
+BLOCK_BYTES = 64 * 1024 * 1024
 _MULTIPLIERS = B.mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -166,7 +170,7 @@ def light_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
     return shared.filter(enough[0] | enough[1]).select("a", "b", "a_n", "b_n")
 
 
-def crowded_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
+def crowded_pairs(rows: DataFrame, crowding: DataFrame, spark: SparkSession) -> DataFrame:
     """``(a, b, a_n, b_n)``: pairs across components that may link by crowded n-grams alone.
 
     ``rows`` are the postings of crowded n-grams; ``crowding`` has ``(doc, n, h, ranks, q)``:
@@ -192,26 +196,42 @@ def crowded_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
         .distinct()
     )
     x = rows.join(crowding.join(able, "doc", "left_semi").select("doc", "h", "q"), "doc")
-    y = rows.join(crowding.select("doc", "ranks"), "doc")
-    near = _side(x, "a").join(_side(y, "b"), "t")
-    below = F.element_at("b_ranks", F.col("a_q") + 1)
-    near = near.filter(
-        (F.col("a_doc") != F.col("b_doc"))
-        & (F.col("a_label") != F.col("b_label"))
-        & _sizes_fit(F.col("a_n"), F.col("b_n"))
-        & (F.col("a_h") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n")))
-        & (below <= F.col("a_h") + _spare(F.col("b_n"), F.col("a_n")))
-    )
-    return near.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n").distinct()
+    x = T.written(_side(x, "a"), spark, "crowded-queries")
+    # All n-grams of y lie in one task, so a pair is counted where it is found.
+    y = _side(rows, "b").repartition("b_doc")
+    blocks = 1 + measured_bytes(x) // BLOCK_BYTES
+    found = []
+    for i in range(blocks):
+        part = x.filter(F.pmod(F.xxhash64("a_doc"), F.lit(blocks)) == i) if blocks > 1 else x
+        near = y.join(F.broadcast(part), "t").filter(
+            (F.col("a_doc") != F.col("b_doc"))
+            & (F.col("a_label") != F.col("b_label"))
+            & _sizes_fit(F.col("a_n"), F.col("b_n"))
+            & (F.col("a_h") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n")))
+        )
+        shared = near.groupBy("b_doc", "b_n", "a_doc", "a_n", "a_q").agg(F.count(F.lit(1)).alias("k"))
+        enough = F.col("k") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n"))
+        found.append(T.written(shared.filter(enough), spark, "crowded-pairs"))
+    counted = reduce(DataFrame.unionByName, found)
+    ranked = counted.join(crowding.select(F.col("doc").alias("b_doc"), "ranks"), "b_doc")
+    below = F.element_at("ranks", F.col("a_q") + 1)
+    few = ranked.filter(below - F.col("k") <= _spare(F.col("b_n"), F.col("a_n")))
+    return few.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n")
 
 
 def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
-    """``(a, b)`` of the pairs that reach the similarity: partial overlaps summed per pair."""
-    left = fragments.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("_a"))
+    """``(a, b)`` of the pairs that reach the similarity: partial overlaps summed per pair.
+
+    Pairs meet the fragments of b where these lie; those of a are broadcast if they measure
+    at most BLOCK_BYTES, and else shuffled to them.
+    """
+    left = fragments.join(pairs.select("a").distinct(), F.col("doc") == F.col("a"), "left_semi")
+    left = left.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("_a"))
+    size = left.agg(F.sum(F.size("_a") * 8 + 64)).first()[0] or 0
     right = fragments.select(F.col("doc").alias("b"), "fragment", F.col("grams").alias("_b"))
-    parts = pairs.join(left, "a").join(right, ["b", "fragment"])
+    parts = pairs.join(right, "b").join(F.broadcast(left) if size <= BLOCK_BYTES else left, ["a", "fragment"])
     overlap = F.sum(F.size(F.array_intersect("_a", "_b"))).alias("o")
-    summed = parts.groupBy("a", "b", "a_n", "b_n").agg(overlap)
+    summed = parts.groupBy("b", "a", "a_n", "b_n").agg(overlap)
     return summed.filter(F.col("o") * (100 + PERCENT) >= (F.col("a_n") + F.col("b_n")) * PERCENT).select("a", "b")
 
 
@@ -262,12 +282,12 @@ def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", te
     classes = T.written(classes.filter("members > 1 OR rep IS NULL"), spark, "shingle-classes")
     copies = sets.select("doc_id", "digest").join(classes, "digest").filter("doc_id != rep").select("doc_id", "rep").distinct()
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    def verified(*several: DataFrame) -> DataFrame:
+        ids = reduce(DataFrame.unionByName, several).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         wanted, _ = broadcast_if_small(ids)
         cut = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_fragments, "doc bigint, fragment int, grams array<bigint>")
         cut = T.written(cut.dropDuplicates(["doc", "fragment"]) if repeated_ids else cut, spark, "shingle-fragments")
-        return T.written(linked(pairs, cut), spark, "links")
+        return T.written(reduce(DataFrame.unionByName, [linked(p, cut) for p in several]), spark, "links")
 
     repeated_ids = not sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
     everything = sets.filter("doc_id IS NOT NULL").select("doc_id", "n", F.explode("prefix").alias("t"))
@@ -290,14 +310,13 @@ def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", te
     crowding = crowding.join(places, "doc")
     crowding = T.written(crowding.dropDuplicates(["doc"]) if repeated_ids else crowding, spark, "crowding")
     light = light_pairs(labelled.join(open_grams.filter("few").select("t"), "t", "left_semi"), crowding)
-    pairs = light.unionByName(crowded_pairs(packed, crowding))
-    pairs = pairs.select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(F.col("a") < F.col("b"), F.col("a_n")).otherwise(F.col("b_n")).alias("a_n"),
-        F.when(F.col("a") < F.col("b"), F.col("b_n")).otherwise(F.col("a_n")).alias("b_n"),
-    )
-    pairs = T.written(pairs.distinct().join(stars, ["a", "b"], "left_anti"), spark, "cross-pairs")
-    labels = components(links.unionByName(verified(pairs)), spark)
+    # Light pairs as (smaller, larger); crowded ones begin with the query, of which there are few.
+    light = T.written(light.join(stars, ["a", "b"], "left_anti"), spark, "light-pairs")
+    heavy = crowded_pairs(packed, crowding, spark)
+    known = light.unionByName(stars).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    heavy = heavy.withColumns({"_a": F.least("a", "b"), "_b": F.greatest("a", "b")}).join(known, ["_a", "_b"], "left_anti")
+    heavy = T.written(heavy.dropDuplicates(["_a", "_b"]).drop("_a", "_b"), spark, "crowded-pairs")
+    labels = components(links.unionByName(verified(light, heavy)), spark)
 
     of_class = sets.select("doc_id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left")
     node = F.coalesce("rep", "doc_id")
