@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.sizes import broadcast_if_small
 from tidemark.llm import exact_dedup, jaccard, mixing, packing, risk_rules
 from tidemark.llm import text as T
 from tidemark.session import prepare
@@ -18,7 +19,8 @@ from tidemark.session import prepare
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    marked = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids, _ = broadcast_if_small(labels.select("doc_id").distinct())
+    marked = docs.join(ids, "doc_id", "left_semi")
     limits = T.written(risk_rules.thresholds(risk_rules.measured(marked), labels), spark, "quality-limits")
     return risk_rules.keep_good(docs, limits)
 

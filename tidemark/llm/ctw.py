@@ -266,7 +266,7 @@ def _scores(shared, keep_grams: bool) -> Callable[[Iterator[pa.RecordBatch]], It
             out["base"].append(np.bincount(at[hit], weights=terms[i[hit]] if len(words) else None, minlength=n).astype(float))
             rare += np.split(h[~hit], np.searchsorted(at[~hit], np.arange(1, n)))
         for first, last, gram, text, offsets in grams_of(texts):
-            ends = np.append(offsets[1:], len(gram) + DEPTH) - DEPTH
+            ends = np.append(offsets[1:], len(gram)) - DEPTH
             out["n_bytes"].append(ends - offsets)
             if keep_grams:
                 out["score"].append(np.zeros(last - first))
