@@ -155,3 +155,14 @@ def test_lookup_problems(spark, tmp_path):
     for arguments in (("API", "NONE"), ("OTHER", "BTC"), ("API", "BTC", "REQUEST")):
         with pytest.raises(ValueError):
             plan.find_table(*tables, *arguments)
+
+
+def test_rows_whose_watermark_cannot_be_read_are_loaded(spark, warehouse):
+    rows = spark.createDataFrame([(str(ms(DAY) - 1000), "1"), ("not a time", "2"), (None, "3")], "time string, priceUsd string")
+    assert plan.ingest(warehouse, config(), SPECS, rows, DAY).record_cnt_after == 3
+
+
+def test_partition_column_in_upper_case(spark, warehouse):
+    rows = series(spark, DAY - timedelta(hours=3), 2, 1)
+    specs = [*SPECS, M.ColumnSpec("TIME", "INT64", "day")]
+    assert plan.ingest(warehouse, config(partitioned_by="DAY"), specs, rows, DAY).record_cnt_after == 2

@@ -40,15 +40,22 @@ def window_plan(plan: DataFrame, as_of: datetime, look_back_days: int = LOOK_BAC
     return plan.withColumns({"window_start": start, "window_end": now})
 
 
-def incremental(df: DataFrame, column: Column | str, start: Any, end: Any = None) -> DataFrame:
-    """Rows with ``start <= column < end``; bounds on a plain column reach the Parquet scan."""
+def incremental(
+    df: DataFrame, column: Column | str, start: Any, end: Any = None, keep_null: bool = False
+) -> DataFrame:
+    """Rows with ``start <= column < end``; bounds on a plain column reach the Parquet scan.
+
+    ``keep_null`` keeps rows whose value is missing or cannot be read.
+    """
     value = F.col(column) if isinstance(column, str) else column
 
     def bound(value: Any) -> Column:
         return ts_lit(value) if isinstance(value, datetime) else F.lit(value)
 
-    df = df.filter(value >= bound(start))
-    return df if end is None else df.filter(value < bound(end))
+    inside = value >= bound(start)
+    if end is not None:
+        inside &= value < bound(end)
+    return df.filter(value.isNull() | inside if keep_null else inside)
 
 
 def resample(

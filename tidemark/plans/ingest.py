@@ -90,7 +90,10 @@ class Warehouse:
 
     def table(self, config: TableConfig) -> SnapshotTable:
         return SnapshotTable(
-            self.spark, f"{self.root}/ref/{config.path}", config.partitioned_by, config.accepted_encoding
+            self.spark,
+            f"{self.root}/ref/{config.path}",
+            config.partitioned_by.lower() if config.partitioned_by else None,
+            config.accepted_encoding,
         )
 
     def landing(self, config: TableConfig) -> str:
@@ -244,7 +247,7 @@ def ingest(
             spec, start, end = window
             pulled = source(start, end) if callable(source) else source
             if not callable(source):
-                pulled = X.incremental(pulled, projection(pulled, [spec])[0], start, end)
+                pulled = X.incremental(pulled, projection(pulled, [spec])[0], start, end, keep_null=True)
 
         landing = warehouse.landing(config)
         files.archive_landing(spark, landing, warehouse.archive(config), f"{as_of:%Y%m%d%H%M%S}-{action_id}")
