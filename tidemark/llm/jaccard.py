@@ -3,6 +3,12 @@
 A document is its set of distinct 5-word shingles (hashed); two link when the Jaccard
 similarity is 0.8 or more. Documents with equal sets are one node from the start.
 
+Documents that can link at all. A document of n elements may lack at most n - ceil(0.8 n) of
+them in a partner, so one with more elements that occur nowhere else has none. This is tested
+twice: on the elements in the first HEAD_SHARE of the order, for all documents, and later on
+all elements of the documents that are still open, where an element counts only if another
+component has it. The second count, summed over the fragments, also bounds a partner's size.
+
 Candidates. Two linked sets share an element among their first n - ceil(0.8 n) + 1 in the
 global order of the n-grams, so only these prefixes are matched. First every document is
 paired with the hubs of its n-grams (the smallest document of each), where it shares a good
@@ -19,7 +25,7 @@ remains are n-grams whose documents lie in several components:
   are queries, in blocks, against the documents of their crowded n-grams. Shared n-grams
   are counted, and the same two bounds hold for the counts.
 
-Both bounds are exact, so no link is lost and no n-gram or candidate is dropped.
+All bounds are exact, so no link is lost and no n-gram or candidate is dropped.
 
 Verification. The global order is cut into FRAGMENTS ranges. Each document's n-grams lie in
 one row per fragment, the overlap of a pair is counted in each fragment apart and summed per
@@ -47,6 +53,11 @@ from tidemark.llm import text as T
 
 WORDS, PERCENT = 5, 80
 FRAGMENTS = 8
+#: All elements in this first share of the order are matched, beyond the prefix too.
+HEAD_SHARE = 0.3
+HEAD_END = int(HEAD_SHARE * (1 << 64)) - (1 << 63)
+#: Sizes are rounded to powers of this where only the reach of partners is asked for.
+SIZE_STEP = 1.02
 #: Pairs across components per document of an n-gram, beyond which it is crowded.
 FEW_PAIRS = 32
 #: Points of the order, every 1/128 of its range from the start: prefixes end about 0.2.
@@ -93,19 +104,24 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``ranks`` counts the prefix elements below each point of the grid."""
+    """``head`` has the prefix and all elements below HEAD_END, ``below`` counts the latter;
+    ``ranks`` counts the prefix elements below each point of the grid."""
     grid = np.array([(i << 57) - (1 << 63) for i in range(GRID)], dtype=np.int64)
     for batch in batches:
-        sizes, digests, prefixes, ranks = [], [], [], []
+        sizes, digests, heads, below, ranks = [], [], [], [], []
         for s in shingle_sets(batch.column(1).to_pylist()):
             first = s[: prefix_length(len(s))] if len(s) else s
             sizes.append(len(s))
             digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            prefixes.append(first)
+            below.append(int(np.searchsorted(s, HEAD_END)))
+            heads.append(s[: max(len(first), below[-1])])
             ranks.append(np.searchsorted(first, grid))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _lists(prefixes), _lists(ranks)],
-            names=["doc_id", "n", "digest", "prefix", "ranks"],
+            [
+                batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(below, pa.int64()),
+                _lists(heads), _lists(ranks),
+            ],
+            names=["doc_id", "n", "digest", "below", "head", "ranks"],
         )
 
 
@@ -137,6 +153,11 @@ def _sizes_fit(n: Column, other: Column) -> Column:
     return (n * 100 >= other * PERCENT) & (other * 100 >= n * PERCENT)
 
 
+def _caps_fit() -> Column:
+    """Neither document is larger than the other can link with."""
+    return (F.col("a_n") <= F.col("b_cap")) & (F.col("b_n") <= F.col("a_cap"))
+
+
 def _side(rows: DataFrame, side: str) -> DataFrame:
     return rows.select(*[F.col(c).alias(f"{side}_{c}" if c != "t" else "t") for c in rows.columns])
 
@@ -156,7 +177,7 @@ def light_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
     as far as their number allows a link. ``crowding`` has the crowded n-grams per document."""
     near = _side(rows, "a").join(_side(rows, "b"), "t")
     near = near.filter(
-        (F.col("a_doc") < F.col("b_doc")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n"))
+        (F.col("a_doc") < F.col("b_doc")) & (F.col("a_label") != F.col("b_label")) & _sizes_fit(F.col("a_n"), F.col("b_n")) & _caps_fit()
     )
     shared = near.groupBy(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n").agg(F.count(F.lit(1)).alias("k"))
     for side in ("a", "b"):
@@ -207,6 +228,7 @@ def crowded_pairs(rows: DataFrame, crowding: DataFrame, spark: SparkSession) ->
             (F.col("a_doc") != F.col("b_doc"))
             & (F.col("a_label") != F.col("b_label"))
             & _sizes_fit(F.col("a_n"), F.col("b_n"))
+            & _caps_fit()
             & (F.col("a_h") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n")))
         )
         shared = near.groupBy("b_doc", "b_n", "a_doc", "a_n", "a_q").agg(F.count(F.lit(1)).alias("k"))
@@ -262,6 +284,41 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
             return edges.select(F.col("hi").alias("doc"), F.col("lo").alias("label"))
 
 
+def able_by_head(found: DataFrame, places: DataFrame) -> DataFrame:
+    """``places`` of the documents that may link, by their elements below HEAD_END.
+
+    ``found`` has ``(t, doc)`` of the elements that several sets have in their heads.
+    """
+    shared = found.filter(F.col("t") < HEAD_END).groupBy(F.col("doc").alias("_doc")).agg(F.count(F.lit(1)).alias("s"))
+    joined = places.join(shared, F.col("doc") == F.col("_doc"), "left")
+    return joined.filter(F.col("below") - F.coalesce("s", F.lit(0)) < _prefix(F.col("n"))).drop("_doc", "s")
+
+
+def able_by_set(cut: DataFrame, open_docs: DataFrame, spark: SparkSession) -> DataFrame:
+    """``(doc, cap)``: documents that may link with another component, and the largest
+    partner that they may have.
+
+    ``cut`` has the fragments of all ``open_docs`` ``(doc, n, label)``. Elements that other
+    components have are counted per fragment and summed per document.
+    """
+    labels, _ = broadcast_if_small(open_docs.select("doc", "label"))
+    rows = cut.join(labels, "doc").select("doc", "label", F.explode("grams").alias("t"))
+    spread = rows.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("t")
+    shared = rows.select("t", "doc").join(spread, "t").groupBy("doc").agg(F.count(F.lit(1)).alias("m"))
+    cap = F.floor(F.col("m") * (100 + PERCENT) / F.lit(PERCENT)).cast("bigint") - F.col("n")
+    reach = open_docs.join(shared, "doc").select("doc", "n", F.least(cap, F.floor(F.col("n") * 100 / F.lit(PERCENT))).alias("cap"))
+    reach = T.written(reach.filter(F.col("cap") * 100 >= F.col("n") * PERCENT), spark, "reach")
+
+    def bucket(n: Column) -> Column:
+        return F.floor(F.ln(n.cast("double")) / float(np.log(SIZE_STEP))).cast("int")
+
+    widest = reach.groupBy(bucket(F.col("n")).alias("_b")).agg(F.max("cap").alias("widest"))
+    partners = F.explode(F.sequence(bucket(F.ceil(F.col("n") * PERCENT / F.lit(100))), bucket(F.col("cap"))))
+    # One row per size step: a few thousand for any input.
+    met = reach.select("doc", "n", partners.alias("_b")).join(F.broadcast(widest), "_b").filter("widest >= n")
+    return reach.join(met.select("doc").distinct(), "doc", "left_semi").select("doc", "cap")
+
+
 def unresolved(labelled: DataFrame) -> DataFrame:
     """``(t, few)`` of n-grams whose documents lie in several components."""
     per_label = labelled.groupBy("t", "label").agg(F.count(F.lit(1)).cast("double").alias("m"))
@@ -276,38 +333,49 @@ def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", te
     """``(doc_id, n_shingles, component_id)``, one row per document."""
     B.small_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    types = "doc_id bigint, n bigint, digest binary, prefix array<bigint>, ranks array<bigint>"
+    types = "doc_id bigint, n bigint, digest binary, below bigint, head array<bigint>, ranks array<bigint>"
     sets = T.written(docs.mapInArrow(_sets, types), spark, "shingle-sets")
     classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
     classes = T.written(classes.filter("members > 1 OR rep IS NULL"), spark, "shingle-classes")
-    copies = sets.select("doc_id", "digest").join(classes, "digest").filter("doc_id != rep").select("doc_id", "rep").distinct()
+    copies = sets.select("doc_id", "digest").join(classes, "digest").filter("doc_id != rep").select("doc_id").distinct()
+    repeated_ids = not sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
 
-    def verified(*several: DataFrame) -> DataFrame:
-        ids = reduce(DataFrame.unionByName, several).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    def fragments(ids: DataFrame) -> DataFrame:
         wanted, _ = broadcast_if_small(ids)
         cut = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_fragments, "doc bigint, fragment int, grams array<bigint>")
-        cut = T.written(cut.dropDuplicates(["doc", "fragment"]) if repeated_ids else cut, spark, "shingle-fragments")
+        return T.written(cut.dropDuplicates(["doc", "fragment"]) if repeated_ids else cut, spark, "shingle-fragments")
+
+    def verified(cut: DataFrame, *several: DataFrame) -> DataFrame:
         return T.written(reduce(DataFrame.unionByName, [linked(p, cut) for p in several]), spark, "links")
 
-    repeated_ids = not sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
-    everything = sets.filter("doc_id IS NOT NULL").select("doc_id", "n", F.explode("prefix").alias("t"))
+    gone, _ = broadcast_if_small(T.written(copies, spark, "shingle-copies"))
+    own = sets.filter("n > 0 AND doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").withColumnRenamed("doc_id", "doc")
+    own = own.dropDuplicates(["doc"]) if repeated_ids else own
+    everything = own.select("doc", F.explode("head").alias("t"))
     shared = everything.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t")
-    found = everything.join(shared, "t")
-    found = found.join(copies, "doc_id", "left").select("t", F.coalesce("rep", "doc_id").alias("doc"), "n")
-    postings = T.written(found.distinct(), spark, "shingle-postings")
+    found = T.written(everything.join(shared, "t"), spark, "shingle-shared")
+    last = F.element_at("head", _prefix(F.col("n")).cast("int")).alias("last")
+    able = T.written(able_by_head(found, own.select("doc", "n", "below", last)), spark, "able")
+    places, _ = broadcast_if_small(able.select("doc", "n", "last"))
+    postings = T.written(found.join(places, "doc").filter("t <= last").select("t", "doc", "n"), spark, "shingle-postings")
 
     stars = T.written(star_pairs(postings), spark, "star-pairs")
-    links = verified(stars)
+    links = verified(fragments(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), stars)
     labels = components(links, spark)
     labelled = postings.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     labelled = T.written(labelled.select("t", "doc", "n", "label"), spark, "labelled")
+    open_docs = labelled.join(unresolved(labelled).select("t"), "t", "left_semi").select("doc", "n", "label").distinct()
+    open_docs = T.written(open_docs, spark, "open-documents")
+    cut = fragments(open_docs.select(F.col("doc").alias("doc_id")))
+    caps, _ = broadcast_if_small(T.written(able_by_set(cut, open_docs, spark), spark, "caps"))
+    labelled = T.written(labelled.join(caps, "doc"), spark, "labelled")
     open_grams = T.written(unresolved(labelled), spark, "open-grams")
     packed = T.written(labelled.join(open_grams.filter("NOT few").select("t"), "t", "left_semi"), spark, "crowded")
     crowding = packed.groupBy("doc", "n").agg(F.count(F.lit(1)).alias("h"))
     # The grid point at or before the prefix's last element.
-    last = F.shiftright(F.element_at("prefix", -1), 57).cast("int") + 64
-    places = sets.filter("n > 0").select(F.col("doc_id").alias("doc"), "ranks", F.least(last, F.lit(GRID - 1)).alias("q"))
-    crowding = crowding.join(places, "doc")
+    point = F.shiftright(F.element_at("head", _prefix(F.col("n")).cast("int")), 57).cast("int") + 64
+    grid = sets.filter("n > 0").select(F.col("doc_id").alias("doc"), "ranks", F.least(point, F.lit(GRID - 1)).alias("q"))
+    crowding = crowding.join(grid, "doc")
     crowding = T.written(crowding.dropDuplicates(["doc"]) if repeated_ids else crowding, spark, "crowding")
     light = light_pairs(labelled.join(open_grams.filter("few").select("t"), "t", "left_semi"), crowding)
     # Light pairs as (smaller, larger); crowded ones begin with the query, of which there are few.
@@ -316,7 +384,7 @@ def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", te
     known = light.unionByName(stars).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     heavy = heavy.withColumns({"_a": F.least("a", "b"), "_b": F.greatest("a", "b")}).join(known, ["_a", "_b"], "left_anti")
     heavy = T.written(heavy.dropDuplicates(["_a", "_b"]).drop("_a", "_b"), spark, "crowded-pairs")
-    labels = components(links.unionByName(verified(light, heavy)), spark)
+    labels = components(links.unionByName(verified(cut, light, heavy)), spark)
 
     of_class = sets.select("doc_id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left")
     node = F.coalesce("rep", "doc_id")
