@@ -15,9 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.scalar import CALENDAR_PARTS, calendar, epoch_to_timestamp, hash_share, ts_lit
 
 
-SHIFT_ROWS = 1000
-
-
 @dataclass(frozen=True)
 class LinearModel:
     """``label = intercept + sum(coefficient * feature)``, in the order of the features."""
@@ -49,26 +46,30 @@ def split(df: DataFrame, key: Column, train_percent: int = 80) -> DataFrame:
 
 
 def fit(train: DataFrame, label: str, features: Sequence[str]) -> LinearModel:
-    """Ordinary least squares without regularisation, in one pass over the rows.
+    """Ordinary least squares without regularisation, in two passes over the rows.
 
     The normal equations are summed up on the executors; only that small matrix
     reaches the driver. The generalised model with identity link solves the same
     problem as ``LinearRegression`` without the latter's second pass for a summary.
 
     The sums are of squares, which loses digits when values lie far from zero, as
-    years do. So all columns are first moved by about their mean, taken from a few
-    rows; the exact choice does not matter, and the intercept is moved back.
+    years do. So all columns are first moved by their mean over all rows, and the
+    intercept is moved back.
     """
     columns = [*features, label]
     values = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    means = values.limit(SHIFT_ROWS).agg(*[F.avg(c).alias(c) for c in columns]).first()
-    shift = {c: means[c] if means[c] is not None and isfinite(means[c]) else 0.0 for c in columns}
+    seen = values.agg(
+        *[F.avg(c).alias(f"mean {c}") for c in columns],
+        *[(F.min(c) == F.max(c)).alias(f"constant {c}") for c in features],
+    ).first()
+    means = {c: seen[f"mean {c}"] for c in columns}
+    shift = {c: m if m is not None and isfinite(m) else 0.0 for c, m in means.items()}
     moved = assemble(values.select(*[(F.col(c) - F.lit(shift[c])).alias(c) for c in columns]), features)
 
     common = {"featuresCol": "features", "labelCol": label}
     data = moved.select("features", label)
     model = GeneralizedLinearRegression(family="gaussian", link="identity", **common).fit(data)
-    if any(c == 0.0 for c in model.coefficients):
+    if any(seen[f"constant {f}"] for f in features):
         # A constant feature makes the equations singular, and the solver goes on
         # iteratively. Here the tolerance of that can be set.
         model = LinearRegression(tol=1e-12, **common).fit(data)
