@@ -22,8 +22,8 @@ remains are n-grams whose documents lie in several components:
   prefix ends first at most n - overlap elements are not shared, and the other has few
   elements below that end. The smallest number of elements that any document of a size has
   below each of GRID points of the order rules most documents out at once; only the rest
-  are queries, in blocks, against the documents of their crowded n-grams. Shared n-grams
-  are counted, and the same two bounds hold for the counts.
+  are queries, in blocks of inverted lists, against the documents of their crowded n-grams.
+  Shared n-grams are counted in memory, and the same two bounds hold for the counts.
 
 All bounds are exact, so no link is lost and no n-gram or candidate is dropped.
 
@@ -40,11 +40,13 @@ candidate for near links. Other columns stay as they are.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.sizes import broadcast_if_small, measured_bytes
@@ -62,7 +64,7 @@ SIZE_STEP = 1.02
 FEW_PAIRS = 32
 #: Points of the order, every 1/128 of its range from the start: prefixes end about 0.2.
 GRID = 64
-#: Queries on crowded n-grams are broadcast in blocks of this size.
+#: Queries on crowded n-grams are broadcast in blocks of this size at most.
 BLOCK_BYTES = 64 * 1024 * 1024
 _MULTIPLIERS = B.mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -191,12 +193,41 @@ def light_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
     return shared.filter(enough[0] | enough[1]).select("a", "b", "a_n", "b_n")
 
 
-def crowded_pairs(rows: DataFrame, crowding: DataFrame, spark: SparkSession) -> DataFrame:
+def _matches(postings: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts, for every document of a batch, the n-grams it shares with each query."""
+
+    def prefix(n: np.ndarray) -> np.ndarray:
+        return n + -PERCENT * n // 100 + 1
+
+    def spare(n: np.ndarray, other: np.ndarray) -> np.ndarray:
+        return n + -PERCENT * (n + other) // (100 + PERCENT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, query, doc, label, n, cap, q = postings.value
+        for batch in batches:
+            found = [np.zeros((0, 4), dtype=np.int64)]
+            for y, y_label, y_n, y_cap, own, ranks in zip(*[c.to_pylist() for c in batch.columns]):
+                own = np.sort(np.array(own, dtype=np.int64))
+                first, last = np.searchsorted(grams, own), np.searchsorted(grams, own, side="right")
+                x, k = np.unique(np.concatenate([query[i:j] for i, j in zip(first, last)]), return_counts=True)
+                x_n = n[x]
+                fits = (doc[x] != y) & (label[x] != y_label) & (x_n * 100 >= y_n * PERCENT) & (y_n * 100 >= x_n * PERCENT)
+                fits &= (x_n <= y_cap) & (y_n <= cap[x]) & (k >= prefix(x_n) - spare(x_n, y_n))
+                fits &= np.array(ranks, dtype=np.int64)[q[x]] - k <= spare(y_n, x_n)
+                x = x[fits]
+                found.append(np.column_stack([doc[x], np.full(len(x), y), n[x], np.full(len(x), y_n)]))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found).T], names=["a", "b", "a_n", "b_n"])
+
+    return run
+
+
+def crowded_pairs(crowding: DataFrame, spark: SparkSession) -> DataFrame:
     """``(a, b, a_n, b_n)``: pairs across components that may link by crowded n-grams alone.
 
-    ``rows`` are the postings of crowded n-grams; ``crowding`` has ``(doc, n, h, ranks, q)``:
-    crowded n-grams of a document, elements below the grid points, last grid point before the
-    end of its prefix.
+    ``crowding`` has ``(doc, label, n, cap, h, grams, ranks, q)``: the crowded n-grams of a
+    document and their number, elements below the grid points, last grid point before the
+    end of its prefix. Queries meet the documents as inverted lists, in blocks of at most
+    BLOCK_BYTES; a pair is counted in memory and leaves the task only if it may link.
     """
     bucket = F.floor(F.ln(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
     sized = crowding.withColumn("bucket", bucket)
@@ -216,29 +247,22 @@ def crowded_pairs(rows: DataFrame, crowding: DataFrame, spark: SparkSession) ->
         .select("doc")
         .distinct()
     )
-    x = rows.join(crowding.join(able, "doc", "left_semi").select("doc", "h", "q"), "doc")
-    x = T.written(_side(x, "a"), spark, "crowded-queries")
-    # All n-grams of y lie in one task, so a pair is counted where it is found.
-    y = _side(rows, "b").repartition("b_doc")
-    blocks = 1 + measured_bytes(x) // BLOCK_BYTES
+    queries = crowding.join(able, "doc", "left_semi").select("doc", "label", "n", "cap", "q", "grams")
+    queries = T.written(queries, spark, "crowded-queries")
+    documents = crowding.select("doc", "label", "n", "cap", "grams", "ranks")
+    blocks = 1 + (queries.agg(F.sum(F.size("grams") * 16 + 64)).first()[0] or 0) // BLOCK_BYTES
     found = []
     for i in range(blocks):
-        part = x.filter(F.pmod(F.xxhash64("a_doc"), F.lit(blocks)) == i) if blocks > 1 else x
-        near = y.join(F.broadcast(part), "t").filter(
-            (F.col("a_doc") != F.col("b_doc"))
-            & (F.col("a_label") != F.col("b_label"))
-            & _sizes_fit(F.col("a_n"), F.col("b_n"))
-            & _caps_fit()
-            & (F.col("a_h") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n")))
-        )
-        shared = near.groupBy("b_doc", "b_n", "a_doc", "a_n", "a_q").agg(F.count(F.lit(1)).alias("k"))
-        enough = F.col("k") >= _prefix(F.col("a_n")) - _spare(F.col("a_n"), F.col("b_n"))
-        found.append(T.written(shared.filter(enough), spark, "crowded-pairs"))
-    counted = reduce(DataFrame.unionByName, found)
-    ranked = counted.join(crowding.select(F.col("doc").alias("b_doc"), "ranks"), "b_doc")
-    below = F.element_at("ranks", F.col("a_q") + 1)
-    few = ranked.filter(below - F.col("k") <= _spare(F.col("b_n"), F.col("a_n")))
-    return few.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "a_n", "b_n")
+        part = queries.filter(F.pmod(F.xxhash64("doc"), F.lit(blocks)) == i).toArrow()
+        grams = part["grams"].combine_chunks()
+        values, of = (x.to_numpy(zero_copy_only=False) for x in (grams.flatten(), pc.list_parent_indices(grams)))
+        order = np.argsort(values, kind="stable")
+        lists = (values[order], of[order], *[part[c].to_numpy() for c in ("doc", "label", "n", "cap", "q")])
+        postings = spark.sparkContext.broadcast(lists)
+        pairs = documents.mapInArrow(_matches(postings), "a bigint, b bigint, a_n bigint, b_n bigint")
+        found.append(T.written(pairs, spark, "crowded-pairs"))
+        postings.unpersist()
+    return reduce(DataFrame.unionByName, found)
 
 
 def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -371,7 +395,8 @@ def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", te
     labelled = T.written(labelled.join(caps, "doc"), spark, "labelled")
     open_grams = T.written(unresolved(labelled), spark, "open-grams")
     packed = T.written(labelled.join(open_grams.filter("NOT few").select("t"), "t", "left_semi"), spark, "crowded")
-    crowding = packed.groupBy("doc", "n").agg(F.count(F.lit(1)).alias("h"))
+    own_grams = (F.count(F.lit(1)).alias("h"), F.collect_list("t").alias("grams"))  # at most a prefix
+    crowding = packed.groupBy("doc", "label", "n", "cap").agg(*own_grams)
     # The grid point at or before the prefix's last element.
     point = F.shiftright(F.element_at("head", _prefix(F.col("n")).cast("int")), 57).cast("int") + 64
     grid = sets.filter("n > 0").select(F.col("doc_id").alias("doc"), "ranks", F.least(point, F.lit(GRID - 1)).alias("q"))
@@ -380,7 +405,7 @@ def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", te
     light = light_pairs(labelled.join(open_grams.filter("few").select("t"), "t", "left_semi"), crowding)
     # Light pairs as (smaller, larger); crowded ones begin with the query, of which there are few.
     light = T.written(light.join(stars, ["a", "b"], "left_anti"), spark, "light-pairs")
-    heavy = crowded_pairs(packed, crowding, spark)
+    heavy = crowded_pairs(crowding, spark)
     known = light.unionByName(stars).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     heavy = heavy.withColumns({"_a": F.least("a", "b"), "_b": F.greatest("a", "b")}).join(known, ["_a", "_b"], "left_anti")
     heavy = T.written(heavy.dropDuplicates(["_a", "_b"]).drop("_a", "_b"), spark, "crowded-pairs")
