@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -23,6 +23,9 @@ def cast_all(spark, values, source, target):
         (["TRUE", "false", "yes", "1", None], T.StringType(), "BOOL", [True, False, None, None, None]),
         ([1.5, 2.5, -0.5, 1e30, float("nan"), None], T.DoubleType(), "INT64", [2, 3, -1, None, None, None]),
         (["2024-01-31 10:00:00", "2024-02-31", None], T.StringType(), "DATETIME", [datetime(2024, 1, 31, 10), None, None]),
+        (["1d", "1.5f", "2D ", "inf", "-2.5"], T.StringType(), "FLOAT64", [None, None, None, float("inf"), -2.5]),
+        (["2024", "2024-01", "2024-01-31T10:00:00+05:00", "2024-01-31T10:00:00Z", "2024-1-3"], T.StringType(), "DATETIME", [None, None, None, None, datetime(2024, 1, 3)]),
+        (["2024", "2024-01-31"], T.StringType(), "DATE", [None, date(2024, 1, 31)]),
         ([1, 0, None], T.LongType(), "BOOL", [True, False, None]),
         ([5, None], T.LongType(), "VARCHAR(50)", ["5", None]),
     ],

@@ -106,7 +106,8 @@ def test_hot_key_in_the_source_is_reduced_before_it_moves(spark):
     [
         (False, "INCR", "k", None, "create"), (False, "FULL", None, None, "create"), (True, "FULL", None, None, "full_refresh"),
         (True, "INCR", "k", None, "merge"), (True, "INCR", "k", "FULL", "full_refresh"), (True, "FULL", "k", "INCR", "merge"),
-        (True, "INCR", None, None, "reject"), (True, "SNAP", "k", None, "reject"),
+        (True, "INCR", None, None, "reject"), (True, "SNAP", "k", None, "reject"), (True, "INCR", "", None, "reject"),
+        (False, "INCR", None, None, "reject"), (False, "SNAP", "k", None, "reject"), (False, "FULL", None, "INCR", "reject"),
     ],
 )
 def test_route_and_plan_agree(spark, exists, load_type, key, override, action):

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tidemark.operators import metadata as M
 from tidemark.operators.staging import AUDIT_COLUMNS, projection, stage
@@ -25,9 +25,11 @@ def test_unmapped_column_is_only_a_source(spark):
     assert (row["source_columns"], row["target_columns"], row["create_columns"]) == ("a, b", "a", "a STRING")
 
 
-def test_positions_bound_the_lists(spark):
-    with pytest.raises(PySparkException, match="ordinal_position"):
-        M.column_specs(M.specs_of(spark, HISTORY, **TABLE), max_columns=3).collect()
+def test_any_position_is_allowed(spark):
+    details = M.specs_of(spark, [("A", "STRING", "A"), ("B", "INT64", "B"), ("C", "BOOL", "C")], **TABLE)
+    odd = details.withColumn("ordinal_position", F.element_at(F.array(*map(F.lit, (1 << 40, 0, -5))), F.col("ordinal_position").cast("int")))
+    assert M.column_specs(odd).first()["target_columns"] == "c, b, a"
+    assert [s.target for s in M.compile_columns(odd, **TABLE)] == ["c", "b", "a"]
 
 
 def test_compile_columns(spark):

@@ -27,19 +27,18 @@ def load_plan(
 
     ``configs`` holds ``load_type``, ``primary_key_column`` and optionally
     ``load_type_override``; ``state`` holds ``table_exists`` and whatever else is
-    known about the existing tables (watermark, record count).
+    known about the existing tables (watermark, record count). An incremental load
+    without a key and an unknown load type are rejected, also for a new table.
     """
     plan = configs.join(state, list(keys), "left")
     chosen = F.upper("load_type")
     if "load_type_override" in configs.columns:
         chosen = F.coalesce(F.upper("load_type_override"), chosen)
     exists = F.coalesce(F.col("table_exists"), F.lit(0)) > 0
-    action = (
-        F.when(~exists, "create")
-        .when(chosen == "FULL", "full_refresh")
-        .when((chosen == "INCR") & F.col("primary_key_column").isNotNull(), "merge")
-        .otherwise("reject")
-    )
+    full = F.when(exists, "full_refresh").otherwise("create")
+    merge = F.when(exists, "merge").otherwise("create")
+    has_key = F.coalesce(F.col("primary_key_column"), F.lit("")) != ""
+    action = F.when(chosen == "FULL", full).when((chosen == "INCR") & has_key, merge).otherwise("reject")
     return plan.withColumns(
         {
             "table_exists": exists.cast("int"),
@@ -52,15 +51,13 @@ def load_plan(
 def route(exists: bool, load_type: str, primary_key: str | None, override: str | None = None) -> str:
     """The same decision for a single table."""
     chosen = (override or load_type).upper()
+    if chosen not in ("FULL", "INCR"):
+        raise ValueError(f"unknown load type {chosen!r}")
+    if chosen == "INCR" and not primary_key:
+        raise ValueError("an incremental load needs a primary key column")
     if not exists:
         return "create"
-    if chosen == "FULL":
-        return "full_refresh"
-    if chosen == "INCR":
-        if not primary_key:
-            raise ValueError("an incremental load needs a primary key column")
-        return "merge"
-    raise ValueError(f"unknown load type {chosen!r}")
+    return "full_refresh" if chosen == "FULL" else "merge"
 
 
 def full_refresh(staged: DataFrame, load_ts: datetime) -> DataFrame:

@@ -58,7 +58,6 @@ FROM_CONFIG = (
     "is_parquet", "to_parquet", "bucket", "bucket_destination", "archive_destination",
 )
 
-MAX_COLUMNS = 10_000
 TABLE_KEY = ("project_id", "database_schema", "table_name")
 
 
@@ -117,21 +116,14 @@ def runtime_profile(spark_config: DataFrame, application_name: str) -> DataFrame
     )
 
 
-def column_specs(details: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+def column_specs(details: DataFrame) -> DataFrame:
     """The four column lists of every table, in ordinal order.
 
-    Positions must lie in 1..``max_columns``; a row outside fails the query, which
-    is what bounds the one string per table. A column without a mapping appears in
-    the source list only.
+    Any position is allowed, equal ones stand in the order of datatype and names. A
+    column without a mapping appears in the source list only. A table's lists are one
+    row, as long as its columns in the metadata.
     """
-    position = F.col("ordinal_position")
-    checked = details.withColumn(
-        "ordinal_position",
-        F.when(position.between(1, max_columns), position).otherwise(
-            F.raise_error(F.lit(f"ordinal_position outside 1..{max_columns}")).cast("bigint")
-        ),
-    )
-    columns = checked.groupBy(*TABLE_KEY).agg(
+    columns = details.groupBy(*TABLE_KEY).agg(
         F.sort_array(
             F.collect_list(
                 F.struct(
@@ -161,18 +153,15 @@ def column_specs(details: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFram
 
 
 def compile_columns(details: DataFrame, **table: str) -> list[ColumnSpec]:
-    """The specs of one table for execution; at most ``MAX_COLUMNS`` rows are read."""
+    """The specs of one table for execution: one metadata row per column comes to the driver."""
     rows = (
         lookup(details, **table)
         .select("column_name", "datatype", "ordinal_position", "mapping_column")
         .orderBy("ordinal_position")
-        .limit(MAX_COLUMNS + 1)
         .collect()
     )
     if not rows:
         raise ValueError(f"no column metadata for {table}")
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns for {table}")
     specs = [
         ColumnSpec(r["column_name"].lower(), r["datatype"], r["mapping_column"].lower())
         for r in rows

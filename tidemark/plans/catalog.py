@@ -162,11 +162,11 @@ def _fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") >= 0, F.lit("ID")).alias("primary_key_column"),
         F.when(F.col("c_acctbal") > 9000, F.lit("FULL")).alias("load_type_override"),
     )
-    published = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
-    state = published.groupBy(F.col("o_custkey").alias("table_id")).agg(
-        F.lit(1).alias("table_exists"),
-        F.max("o_orderdate").alias("watermark"),
-        F.count(F.lit(1)).alias("record_count"),
+    finished = F.col("o_orderstatus") == "F"
+    state = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("table_id")).agg(
+        F.max(finished.cast("int")).alias("table_exists"),
+        F.max(F.when(finished, F.col("o_orderdate"))).alias("watermark"),
+        F.count_if(finished).alias("record_count"),
     )
     return load.load_plan(configs, state, ["table_id"])
 
@@ -322,7 +322,7 @@ def stage_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _orders_before_and_changed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Known orders as the target; later and recently changed ones as the source."""
     orders = table(spark, sf_dir, "orders")
-    known = extract.incremental(orders, "o_orderdate", datetime(1900, 1, 1), ORDERS_KNOWN_UNTIL)
+    known = orders.filter(F.col("o_orderdate").isNull() | (F.col("o_orderdate") < scalar.ts_lit(ORDERS_KNOWN_UNTIL)))
     changed = extract.incremental(orders, "o_orderdate", ORDERS_CHANGED_SINCE)
     return staging.stamp(known, EARLIER), changed.withColumn("o_totalprice", F.col("o_totalprice") + 1)
 
@@ -364,9 +364,8 @@ def load_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source with many rows per key: the newest one counts."""
     items = table(spark, sf_dir, "lineitem")
     newest = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
-    known = load.latest_per_key(
-        extract.incremental(items, "l_shipdate", datetime(1900, 1, 1), ORDERS_KNOWN_UNTIL), ["l_orderkey"], newest
-    )
+    earlier = F.col("l_shipdate").isNull() | (F.col("l_shipdate") < scalar.ts_lit(ORDERS_KNOWN_UNTIL))
+    known = load.latest_per_key(items.filter(earlier), ["l_orderkey"], newest)
     later = extract.incremental(items, "l_shipdate", ORDERS_KNOWN_UNTIL)
     return load.merge_upsert(
         staging.stamp(known, EARLIER), later, "l_orderkey", AS_OF, on_duplicate="latest", latest_by=newest

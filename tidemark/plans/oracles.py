@@ -48,19 +48,20 @@ _SOURCES = {
 
 _FLEET = """
     WITH state AS (
-        SELECT o_custkey AS table_id, max(o_orderdate) AS watermark FROM orders
-        WHERE o_orderstatus = 'F' GROUP BY o_custkey
+        SELECT o_custkey AS table_id, max(o_orderdate) FILTER (WHERE o_orderstatus = 'F') AS watermark,
+               max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS table_exists
+        FROM orders GROUP BY o_custkey
     ), fleet AS (
         SELECT c_custkey AS table_id, c_mktsegment AS database_schema, watermark,
-               CASE WHEN state.table_id IS NULL THEN 0 ELSE 1 END AS table_exists,
+               coalesce(state.table_exists, 0) AS table_exists,
                CASE WHEN c_acctbal > 9000 THEN 'FULL' WHEN c_nationkey % 2 = 0 THEN 'FULL' ELSE 'INCR' END
                    AS effective_load_type,
                c_acctbal >= 0 AS has_key
         FROM customer LEFT JOIN state ON c_custkey = state.table_id
     ), plan AS (
-        SELECT *, CASE WHEN table_exists = 0 THEN 'create'
-                       WHEN effective_load_type = 'FULL' THEN 'full_refresh'
-                       WHEN has_key THEN 'merge' ELSE 'reject' END AS action
+        SELECT *, CASE WHEN effective_load_type = 'INCR' AND NOT has_key THEN 'reject'
+                       WHEN table_exists = 0 THEN 'create'
+                       WHEN effective_load_type = 'FULL' THEN 'full_refresh' ELSE 'merge' END AS action
         FROM fleet
     )"""
 
@@ -163,7 +164,7 @@ _ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdat
 
 def _orders(key: str = "o_orderkey", more: str = "") -> tuple[str, str]:
     rest = "o_custkey, o_orderstatus, {price} AS o_totalprice, o_orderdate, o_orderpriority" + more
-    known = f"SELECT {key} AS o_orderkey, {rest.format(price='o_totalprice')} FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'"
+    known = f"SELECT {key} AS o_orderkey, {rest.format(price='o_totalprice')} FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' OR o_orderdate IS NULL"
     changed = f"SELECT {key} AS o_orderkey, {rest.format(price='o_totalprice + 1')} FROM orders WHERE o_orderdate >= TIMESTAMP '1999-07-01'"
     return known, changed
 
@@ -192,7 +193,7 @@ _LOADS = {
     "load_merge_shuffle": _merge(*_orders(), "o_orderkey", _ORDER_COLUMNS, touch=True),
     "load_merge_null_keys": _merge(*_orders(_NULLED), "o_orderkey", _ORDER_COLUMNS),
     "load_merge_latest": _merge(
-        _newest_items("l_shipdate < TIMESTAMP '2000-01-01'"),
+        _newest_items("(l_shipdate < TIMESTAMP '2000-01-01' OR l_shipdate IS NULL)"),
         _newest_items("l_shipdate >= TIMESTAMP '2000-01-01'"),
         "l_orderkey",
         _ITEM_COLUMNS,
