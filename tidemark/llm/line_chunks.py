@@ -2,13 +2,18 @@
 
 A rolling hash over the hashes of the last WINDOW lines ends a chunk where it is 0 modulo
 AVERAGE, so the same passage is cut alike wherever it stands and cuts fall in step again
-WINDOW lines after a difference. Chunks of two or more lines that hold a word are counted
-over all documents by SHA-256 alone; the texts of repeated digests are then grouped by their
-bytes. Of equal chunks the first (lowest document id, then place) stays, all later ones go.
-
-Nulls: a null text is an empty one. Rows with one document id count as one document: a chunk
+WINDOW lines after a difference. A short passage seldom holds a whole chunk, so every pair of
+neighbouring lines that hold a word is a piece too, with the lines without a word between
+them: a passage of two lines or more is covered by its pairs. Pieces are chunks of two or more
+lines that hold a word, and pairs. They are counted over all documents by SHA-256 alone; the
+texts of repeated digests are then grouped by their bytes. Of equal pieces the first (lowest
+document id, then place) is no repeat, the lines of all later ones go; a later one that
+overlaps the first loses only what lies past it. The first place of a line is never in a
+later piece, so no line is lost from the corpus.
+
+Nulls: a null text is an empty one. Rows with one document id count as one document: a piece
 at the same place of both is one occurrence. A digest that stood for two different texts
-would be left alone. Rows with a null id keep their chunks and count as one document. Other columns stay as they are.
+would be left alone. Rows with a null id keep their lines and count as one document. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ def line_hash(line: Column) -> Column:
 
 
 def chunks(text: Column) -> Column:
-    """``array<struct<n, body>>``: the chunks of a text in order, with their line counts."""
+    """``array<struct<start, n>>``: the chunks of a text in order, by first line and number of lines."""
 
     def of_hashes(lines: Column, hashes: Column) -> Column:
         def rolling(i: Column) -> Column:
@@ -44,10 +49,7 @@ def chunks(text: Column) -> Column:
                 e,
                 lambda end, j: T.let(
                     F.when(j == 0, F.lit(0)).otherwise(F.get(e, j - 1) + 1),
-                    lambda start: F.struct(
-                        (end - start + 1).alias("n"),
-                        F.array_join(F.slice(lines, start + 1, end - start + 1), "\n").alias("body"),
-                    ),
+                    lambda start: F.struct(start.alias("start"), (end - start + 1).alias("n")),
                 ),
             ),
         )
@@ -55,49 +57,82 @@ def chunks(text: Column) -> Column:
     return T.let(F.split(text, "\n"), lambda lines: T.let(F.transform(lines, line_hash), lambda h: of_hashes(lines, h)))
 
 
+def pieces(text: Column) -> Column:
+    """``array<struct<start, stop, body>>``: chunks and pairs of lines of a text, by line numbers from 0."""
+
+    def of_lines(lines: Column) -> Column:
+        span = lambda start, stop: F.struct(start.alias("start"), stop.alias("stop"))
+        worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(T.WORD_RUN))
+        pairs = T.let(
+            worded, lambda w: F.transform(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda i, j: span(i, F.get(w, j + 1)))
+        )
+        long = F.transform(F.filter(chunks(text), lambda c: c["n"] >= 2), lambda c: span(c["start"], c["start"] + c["n"] - 1))
+        return F.transform(
+            F.array_union(long, pairs),
+            lambda x: F.struct(
+                x["start"].alias("start"), x["stop"].alias("stop"),
+                F.array_join(F.slice(lines, x["start"] + 1, x["stop"] - x["start"] + 1), "\n").alias("body"),
+            ),
+        )
+
+    return T.let(F.split(text, "\n"), of_lines)
+
+
 def spread(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, pos, n, body)``, one row per chunk."""
-    return docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(chunks(T.whole(text))).alias("pos", "c")).select(
-        "doc_id", "pos", F.col("c.n").alias("n"), F.col("c.body").alias("body")
-    )
+    """``(doc_id, version, start, stop, body)``, one row per piece; ``version`` tells texts of one id apart."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(T.whole(text)).alias("version"), F.explode(pieces(T.whole(text))).alias("p"))
+    return rows.select("doc_id", "version", "p.start", "p.stop", "p.body")
 
 
 def repeated(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, removed)``: positions of the chunks that go, for documents that lose any."""
-    pieces = spread(docs, doc_id, text).filter((F.col("n") >= 2) & F.col("body").rlike(T.WORD_RUN) & F.col("doc_id").isNotNull())
-    slim = T.written(pieces.select("doc_id", "pos", F.sha2("body", 256).alias("digest")), spark, "chunk-digests")
+    """``(doc_id, version, removed)``: numbers of the lines that go, for documents that lose any."""
+    digest = F.unhex(F.sha2("body", 256))
+    parts = spread(docs, doc_id, text).filter(F.col("body").rlike(T.WORD_RUN) & F.col("doc_id").isNotNull()).withColumn("digest", digest)
+    slim = T.written(parts.drop("body"), spark, "chunk-digests")
+    place = F.struct("doc_id", "start")
     seen = slim.groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"), F.max(F.struct("doc_id", "pos")).alias("last")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start", "stop", "version")).alias("first"), F.max(place).alias("last")
     )
-    twice = T.written(seen.filter("n > 1 AND first != last").select("digest", "first"), spark, "chunk-repeats")
+    again = F.struct("first.doc_id", "first.start") != F.col("last")
+    twice = T.written(seen.filter((F.col("n") > 1) & again).select("digest", "first"), spark, "chunk-repeats")
     # Byte comparison: how many texts stand behind each repeated digest.
     wanted, _ = broadcast_if_small(twice.select("digest"))
-    bodies = pieces.withColumn("digest", F.sha2("body", 256)).join(wanted, "digest", "left_semi")
-    texts = bodies.groupBy("digest", "body").agg(F.count(F.lit(1)).alias("copies"))
+    texts = parts.join(wanted, "digest", "left_semi").groupBy("digest", "body").agg(F.count(F.lit(1)).alias("copies"))
     equal = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1")
     known, _ = broadcast_if_small(twice.join(equal.select("digest"), "digest", "left_semi"))
-    later = slim.join(known, "digest").filter(F.struct("doc_id", "pos") != F.col("first"))
-    return later.groupBy("doc_id").agg(F.collect_set("pos").alias("removed"))
+    later = slim.join(known, "digest").filter(place != F.struct("first.doc_id", "first.start"))
+    overlaps = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.version") == F.col("version")) & (F.col("first.stop") >= F.col("start"))
+    begin = F.when(overlaps, F.col("first.stop") + 1).otherwise(F.col("start"))
+    lines = later.select("doc_id", "version", F.explode(F.sequence(begin, F.col("stop"))).alias("line"))
+    return lines.groupBy("doc_id", "version").agg(F.collect_set("line").alias("removed"))
 
 
 def cleaned(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``(n_chunks, removed_chunks, removed_lines, clean)`` in a struct ``_clean``."""
-    gone = gone.toDF("_gone_id", "_gone")
-    joined = docs.join(gone, F.col(doc_id) == F.col("_gone_id"), "left")
-    none = F.array().cast("array<int>")
-
-    def summary(c: Column) -> Column:
-        removed = F.coalesce("_gone", none)
-        stays = F.filter(c, lambda x, i: ~F.array_contains(removed, i))
-        lines = F.aggregate(c, F.lit(0), lambda acc, x: acc + x["n"]) - F.aggregate(stays, F.lit(0), lambda acc, x: acc + x["n"])
-        return F.struct(
-            F.size(c).cast("bigint").alias("n_chunks"),
-            F.size(removed).cast("bigint").alias("removed_chunks"),
-            lines.cast("bigint").alias("removed_lines"),
-            F.array_join(F.transform(stays, lambda x: x["body"]), "\n").alias("clean"),
-        )
-
-    return joined.withColumn("_clean", T.let(chunks(T.whole(text)), summary)).drop("_gone_id", "_gone")
+    """``docs`` with ``(n_chunks, removed_chunks, removed_lines, clean)`` in a struct ``_clean``;
+    a chunk counts as removed when all its lines are."""
+    gone = gone.toDF("_gone_id", "_gone_version", "_gone")
+    mine = (F.col(doc_id) == F.col("_gone_id")) & (F.xxhash64(T.whole(text)) == F.col("_gone_version"))
+    joined = docs.join(gone, mine, "left")
+    removed = F.coalesce("_gone", F.array().cast("array<int>"))
+
+    def summary(lines: Column, n: Column) -> Column:
+        chunk_of = F.flatten(F.transform(n, lambda size, j: F.array_repeat(j, size)))
+        stays = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+
+        def of_rest(rest: Column) -> Column:
+            left = T.let(chunk_of, lambda c: F.size(F.array_distinct(F.transform(rest, lambda i: F.get(c, i)))))
+            return F.struct(
+                F.size(n).cast("bigint").alias("n_chunks"),
+                (F.size(n) - left).cast("bigint").alias("removed_chunks"),
+                (F.size(lines) - F.size(rest)).cast("bigint").alias("removed_lines"),
+                F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n").alias("clean"),
+            )
+
+        return T.let(stays, of_rest)
+
+    sizes = F.transform(chunks(T.whole(text)), lambda c: c["n"])
+    clean = T.let(F.split(T.whole(text), "\n"), lambda lines: T.let(sizes, lambda n: summary(lines, n)))
+    return joined.withColumn("_clean", clean).drop("_gone_id", "_gone_version", "_gone")
 
 
 def line_dedup(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
