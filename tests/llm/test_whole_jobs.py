@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
 
 import __spark_entry__ as entry_point
 from compare import oracle_rows
-from tidemark.llm import line_chunks
+from tidemark.llm import ctw, line_chunks
 from tidemark.llm.oracles import ORACLES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]")
@@ -63,3 +68,57 @@ def test_line_chunks_by_brute_force(spark, sf_dir):
     names, rows = oracle_rows(ORACLES["op10_line_chunks"], sf_dir)
     doc, n = names.index("doc_id"), names.index("removed_lines")
     assert all(r[n] <= lines[r[doc]] for r in rows)
+
+
+def brute_ctw(train, text, depth):
+    """log10 probability of a text after training, by dictionaries of contexts and nodes."""
+    counts, contexts = defaultdict(lambda: [0, 0]), defaultdict(set)
+
+    def steps(raw):
+        padded = bytes(depth) + raw
+        for i in range(depth, len(padded)):
+            node = 1
+            for j in range(7, -1, -1):
+                bit = padded[i] >> j & 1
+                yield [(padded[i - d : i], node) for d in range(depth + 1)], bit
+                node = 2 * node + bit
+
+    for raw in train:
+        for path, bit in steps(raw):
+            for shorter, key in zip([None, *path], path):
+                counts[key][bit] += 1
+                contexts[shorter].add(key)
+    log_kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+    weighted, weight = {}, {}
+    for key in sorted(counts, key=lambda k: -len(k[0])):
+        own = log_kt(*counts[key])
+        both = own + math.log(2) if len(key[0]) == depth else np.logaddexp(own, sum(weighted[c] for c in contexts[key]))
+        weighted[key], weight[key] = both - math.log(2), 1 if len(key[0]) == depth else math.exp(own - both)
+    total = 0.0
+    for path, bit in steps(text):
+        p = 0.5
+        for key in reversed(path):
+            if key in counts:
+                p = weight[key] * (counts[key][1] + 0.5) / (sum(counts[key]) + 1) + (1 - weight[key]) * p
+        total += math.log10(p if bit else 1 - p)
+    return total
+
+
+@pytest.mark.parametrize("depth, limits", [(6, {}), (6, {"table_bytes": 0, "group_grams": 1}), (7, {"group_grams": 20})])
+def test_long_contexts_by_brute_force(spark, depth, limits):
+    rows = [(i, t) for i, t in enumerate(["A cathedral stood", "the cathedral stands", None, "Hé hé thé thé", "unseen zebra", "cathedrals"] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    low = lambda t: (t or "").lower().encode()
+    train = [low(t) for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    want = {t: brute_ctw(train, low(t), depth) for _, t in rows}
+    got = ctw.score(docs, spark, depth=depth, **limits).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert math.isclose(r.score, want[dict(rows)[r.doc_id]], rel_tol=1e-5, abs_tol=1e-9)
+
+
+def test_query_gathers_long_contexts(spark, sf_dir):
+    """The registered query codes held-out text shorter than contexts of three bytes can."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    bits = lambda df: -sum(r.score for r in df.filter("held_out").collect())
+    assert bits(entry_point.queries()["op5_context_tree"](spark, sf_dir)) < bits(ctw.score(docs, spark))

@@ -1,7 +1,7 @@
 """Context-tree weighting over bytes, trained on a corpus and then frozen.
 
 Every byte is coded as eight binary decisions, each at a node of a binary tree over the byte
-values. Each node has context trees of its own: the contexts are the 0 to DEPTH bytes
+values. Each node has context trees of its own: the contexts are the 0 to ``depth`` bytes
 before, and a context keeps Krichevsky-Trofimov counts of zeros and ones. The weighted
 probability of a context is half its own estimate plus half the product over its one byte
 longer contexts. After training, a decision's probability mixes the estimates of all depths
@@ -10,9 +10,12 @@ score is the log10 probability of its bytes (A-Z lower-cased), its code length p
 follows from it.
 
 Spark counts the corpus: tasks count byte n-grams and words, the counts are summed by key.
-The tree is summed from the leaves: all leaves below a two-byte context are at most 65,536
-counts, so one group is bounded whatever the corpus. The result, one row of 256
-probabilities per context seen, is broadcast when it measures at most TABLE_BYTES; otherwise
+n-grams of held-out texts stand in the tree with count 0, where every estimate is one half.
+The tree is summed from the leaves. Contexts longer than a cut are summed in runs of rows that
+share their last bytes; the cut is the shortest at which no such group has more than
+GROUP_GRAMS n-grams, or one byte less than the depth, where a group has 65,536 at most. From
+the cut up, block probabilities are summed level by level by the shorter context. The result,
+one log10 probability per n-gram, is broadcast when it measures at most TABLE_BYTES; otherwise
 the documents' n-grams are joined with it. Word counts are used in the same way: the most
 frequent WORDS_KEPT words at most are broadcast, all other words of the documents are joined.
 
@@ -27,16 +30,16 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bytewords as B
 from tidemark.llm import text as T
 
-#: Bytes of context. The tables below are laid out for three.
-DEPTH = 3
-PAD = b"\0" * DEPTH
+#: Bytes of context of the registered query; an n-gram of up to seven and the next byte is 64 bits.
+DEPTH = 6
+#: n-grams that one task holds at once, and those that share the last bytes of their context at most.
+CHUNK, GROUP_GRAMS = 1 << 17, 1 << 19
 TABLE_BYTES = 256 * 1024 * 1024
 WORDS_KEPT = 1 << 20
 _WORD, _GRAM, _END = 0, 1, 2
@@ -47,20 +50,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def grams_of(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(first, last, grams, is text, offsets)``: the DEPTH bytes before and each byte, packed."""
-    for first, last, buf, offsets in B.blocks(texts, PAD):
-        b = B.LOWER[buf].astype(np.uint32)
-        gram = b[DEPTH:].copy()
-        for back in range(1, DEPTH + 1):
-            gram |= b[DEPTH - back : len(b) - back] << np.uint32(8 * back)
+def grams_of(texts: list[str | None], depth: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(first, last, grams, is text, offsets)``: the ``depth`` bytes before and each byte, packed."""
+    for first, last, buf, offsets in B.blocks(texts, b"\0" * depth):
+        b = B.LOWER[buf].astype(np.uint64)
+        gram = b[depth:].copy()
+        for back in range(1, depth + 1):
+            gram |= b[depth - back : len(b) - back] << np.uint64(8 * back)
         text = np.ones(len(gram), dtype=bool)
-        for k in range(DEPTH):
-            text[offsets[1:] - 2 * DEPTH + k] = False
-        yield first, last, gram, text, offsets[:-1] - DEPTH
+        for k in range(depth):
+            text[offsets[1:] - 2 * depth + k] = False
+        yield first, last, gram, text, offsets[:-1] - depth
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {_WORD: [], _GRAM: []}
     documents = 0
 
@@ -80,49 +83,42 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.clear()
 
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        documents += len(texts)
-        for _, _, _, h in B.hashed_words(texts):
+        both = {False: [], True: []}
+        for text, held_out in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            both[held_out].append(text)
+        documents += len(both[False])
+        for _, _, _, h in B.hashed_words(both[False]):
             keys, n = np.unique(h.view(np.int64), return_counts=True)
             yield from put(_WORD, keys, n)
-        for _, _, gram, text, _ in grams_of(texts):
-            keys, n = np.unique(gram[text], return_counts=True)
-            yield from put(_GRAM, keys, n)
+        for held_out, texts in both.items():
+            for _, _, gram, text, _ in grams_of(texts, depth):
+                keys, n = np.unique(gram[text].view(np.int64), return_counts=True)
+                yield from put(_GRAM, keys, n * 0 if held_out else n)
     for kind, parts in held.items():
         yield from (rows(kind, k, c) for k, c in parts)
     if documents:
         yield rows(_END, np.zeros(1, dtype=np.int64), np.array([documents]))
 
 
-def corpus_counts(training: DataFrame, spark: SparkSession, text: str = "text") -> DataFrame:
-    """``(kind, key, n)`` over all training texts, as a table."""
-    counted = training.select(F.col(text).alias("text")).mapInArrow(_counts, "kind int, key bigint, n bigint")
+def corpus_counts(docs: DataFrame, spark: SparkSession, depth: int) -> DataFrame:
+    """``(kind, key, n)`` over all training texts, with n-grams of the others at 0, as a table."""
+    counted = docs.select("text", "held_out").mapInArrow(lambda batches: _counts(batches, depth), "kind int, key bigint, n bigint")
     return T.written(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), spark, "lm-counts")
 
 
-def log_gamma(x: np.ndarray) -> np.ndarray:
-    """ln gamma(x) for x > 0, by Stirling's series at x + 8."""
+def log_gamma(x, log=np.log):
+    """ln gamma(x) for x > 0, by Stirling's series at x + 8; of arrays, or of columns with their log."""
     z = x + 8
-    out = (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
-    product = np.ones_like(z)
-    for i in range(8):
-        product *= x + i
-    return out - np.log(product)
-
-
-def tree_counts(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the 255 decisions (1..255; 0 is unused) of rows of 256 byte counts."""
-    tree = np.zeros((len(byte_counts), 512))
-    tree[:, 256:] = byte_counts
-    for level in (128, 64, 32, 16, 8, 4, 2, 1):
-        tree[:, level : 2 * level] = tree[:, 2 * level : 4 * level : 2] + tree[:, 2 * level + 1 : 4 * level : 2]
-    return tree[:, 0:512:2], tree[:, 1:512:2]
-
-
-def estimates(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(ln of the block probability, probability of a one)`` of every decision."""
-    zeros, ones = tree_counts(byte_counts)
-    block = log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1)
+    product = x
+    for i in range(1, 8):
+        product = product * (x + i)
+    half = 0.5 * float(np.log(2 * np.pi))
+    return (z - 0.5) * log(z) - z + half + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z) - log(product)
+
+
+def estimates(zeros, ones, log=np.log):
+    """``(ln of the block probability, probability of a one)`` of decisions."""
+    block = log_gamma(zeros + 0.5, log) + log_gamma(ones + 0.5, log) - float(np.log(np.pi)) - log_gamma(zeros + ones + 1, log)
     return block, (ones + 0.5) / (zeros + ones + 1)
 
 
@@ -133,122 +129,162 @@ def weigh(own: np.ndarray, longer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both - np.log(2), np.exp(own - both)
 
 
-def byte_log10(ones: np.ndarray) -> np.ndarray:
-    """log10 probability of the 256 bytes from those of a one at the decisions."""
-    out = np.zeros((len(ones), 512))
-    zero, one = np.log10(1 - ones), np.log10(ones)
-    for level in (1, 2, 4, 8, 16, 32, 64, 128):
-        nodes = slice(level, 2 * level)
-        out[:, 2 * level : 4 * level : 2] = out[:, nodes] + zero[:, nodes]
-        out[:, 2 * level + 1 : 4 * level : 2] = out[:, nodes] + one[:, nodes]
-    return out[:, 256:].astype(np.float32)
+@dataclass
+class Level:
+    """The decisions of all contexts of one length: ``key`` is context, then node."""
+
+    key: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    weighted: np.ndarray  # ln
+    p: np.ndarray  # of a one, by the own counts
+    weight: np.ndarray  # of the own estimate
+
+
+def _subtrees(grams: np.ndarray, n: np.ndarray, depth: int, cut: int) -> tuple[list[Level], list[np.ndarray], np.ndarray]:
+    """Levels from ``depth`` down to ``cut`` bytes, the rows of the shorter level (of the first
+    level: per decision and n-gram) in each, and the bits decided."""
+    steps, byte = np.arange(8, dtype=np.uint64)[:, None], grams & np.uint64(255)
+    bit = (byte >> (np.uint64(7) - steps)) & np.uint64(1)
+    node = (byte | np.uint64(256)) >> (np.uint64(8) - steps)
+    key, at = np.unique(((grams & ~np.uint64(255)) | node).ravel(), return_inverse=True)
+    ones, all_ = np.bincount(at, (n * bit).ravel()), np.bincount(at, np.tile(n, 8))
+    zeros = all_ - ones
+    own, p = estimates(zeros, ones)
+    levels, rows = [Level(key, zeros, ones, own, p, np.ones(len(key)))], [at]
+    for d in range(depth - 1, cut - 1, -1):
+        last = levels[-1]
+        key, at = np.unique(last.key & np.uint64((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        zeros, ones = np.bincount(at, last.zeros), np.bincount(at, last.ones)
+        own, p = estimates(zeros, ones)
+        weighted, weight = weigh(own, np.bincount(at, last.weighted))
+        levels.append(Level(key, zeros, ones, weighted, p, weight))
+        rows.append(at)
+    return levels, rows, bit
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of batches in order of the first one, CHUNK rows or so with whole groups."""
+    parts: list[list[np.ndarray]] = []
+    held = 0
+    for batch in batches:
+        if batch.num_rows:
+            parts.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            held += batch.num_rows
+            if held >= CHUNK and parts[0][0][0] != parts[-1][0][-1]:
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                end = np.searchsorted(columns[0], columns[0][-1])
+                yield [c[:end] for c in columns]
+                parts, held = [[c[end:] for c in columns]], held - end
+    if parts:
+        yield [np.concatenate(c) for c in zip(*parts)]
 
 
-def _deepest(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The oldest context bytes below one two-byte context, and their rows of byte counts."""
-    oldest, row = np.unique(keys >> 24, return_inverse=True)
-    counts = np.zeros((len(oldest), 256))
-    np.add.at(counts, (row, keys & 255), n)
-    return oldest, counts
+def _batch(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
-def _up_two(pdf: pd.DataFrame) -> pd.DataFrame:
-    _, counts = _deepest(pdf["key"].to_numpy(), pdf["n"].to_numpy())
-    own, _ = estimates(counts.sum(axis=0, keepdims=True))
-    weighted, _ = weigh(own, estimates(counts)[0].sum(axis=0, keepdims=True))
-    latest = int(pdf["two"].iloc[0]) & 255
-    return pd.DataFrame({"one": [latest], "counts": [counts.sum(axis=0)], "weighted": [weighted[0]]})
+def _up(depth: int, cut: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, key, n in _whole_groups(batches):
+            top = _subtrees(key.view(np.uint64), n.astype(float), depth, cut)[0][-1]
+            context, node = (top.key >> np.uint64(8)).astype(np.int64), (top.key & np.uint64(255)).astype(np.int32)
+            yield _batch(context=context, node=node, zeros=top.zeros, ones=top.ones, weighted=top.weighted)
 
+    return run
 
-def _up_one(pdf: pd.DataFrame) -> pd.DataFrame:
-    counts, longer = np.sum(np.stack(pdf["counts"]), axis=0), np.sum(np.stack(pdf["weighted"]), axis=0)
-    return pd.DataFrame({"one": [int(pdf["one"].iloc[0])], "counts": [counts], "longer": [longer]})
 
+def _down(depth: int, cut: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for top, key, n, said, left in _whole_groups(batches):
+            above = n < 0
+            grams = key[~above].view(np.uint64)
+            levels, rows, bit = _subtrees(grams, n[~above].astype(float), depth, cut)
+            order = np.argsort(top[above] << 8 | key[above])
+            a, b = said[above][order], left[above][order]
+            for i in range(len(levels) - 1, -1, -1):
+                a, b = a + b * levels[i].weight * levels[i].p, b * (1 - levels[i].weight)
+                a, b = a[rows[i]], b[rows[i]]
+            one = a.reshape(8, -1)
+            yield _batch(key=grams.view(np.int64), log10=np.log10(np.where(bit == 1, one, 1 - one)).sum(axis=0))
 
-@dataclass
-class Top:
-    """Estimates and weights of the contexts of no byte and of one byte: 257 rows."""
-
-    ones: np.ndarray  # (257, 256): row 256 is the context of no byte
-    weight: np.ndarray
-    seen: np.ndarray
-
-    def down(self, latest: int, below: np.ndarray) -> np.ndarray:
-        """The mixture of depths 1 and 0 with what the longer contexts say."""
-        if self.seen[latest]:
-            below = self.weight[latest] * self.ones[latest] + (1 - self.weight[latest]) * below
-        return self.weight[256] * self.ones[256] + (1 - self.weight[256]) * below
-
-
-def _top(rows: list) -> Top:
-    ones, weight, seen = np.full((257, 256), 0.5), np.full((257, 256), 0.5), np.zeros(257, dtype=bool)
-    total, product = np.zeros(256), np.zeros(256)
-    for r in rows:
-        counts, at = np.array(r["counts"]), r["one"]
-        own, p = estimates(counts[None, :])
-        weighted, w = weigh(own[0], np.array(r["longer"]))
-        ones[at], weight[at], seen[at] = p[0], w, True
-        total, product = total + counts, product + weighted
-    own, p = estimates(total[None, :])
-    ones[256], weight[256] = p[0], weigh(own[0], product)[1]
-    return Top(ones, weight, seen)
-
-
-def _down(top: Top) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def of_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        oldest, counts = _deepest(pdf["key"].to_numpy(), pdf["n"].to_numpy())
-        two = int(pdf["two"].iloc[0])
-        own, two_ones = estimates(counts.sum(axis=0, keepdims=True))
-        block, deep_ones = estimates(counts)
-        _, weight = weigh(own, block.sum(axis=0, keepdims=True))
-        below = np.concatenate([deep_ones, np.full((1, 256), 0.5)])  # the last: a context not seen
-        rows = byte_log10(top.down(two & 255, weight * two_ones + (1 - weight) * below))
-        return pd.DataFrame({"two": two, "oldest": np.append(oldest, -1).astype(np.int32), "log10": list(rows)})
-
-    return of_group
-
-
-def train(counts: DataFrame, spark: SparkSession) -> tuple[DataFrame, np.ndarray]:
-    """``(two, oldest, log10)`` of every context seen, ``oldest`` -1 for those not seen below a
-    two-byte context, and the 257 rows for contexts of which the last byte or none is known."""
-    grams = counts.filter(F.col("kind") == _GRAM).select("key", "n", F.expr("int((key >> 8) & 65535)").alias("two"))
-    up = grams.groupBy("two").applyInPandas(_up_two, "one int, counts array<double>, weighted array<double>")
-    top = _top(up.groupBy("one").applyInPandas(_up_one, "one int, counts array<double>, longer array<double>").collect())
-    table = grams.groupBy("two").applyInPandas(_down(top), "two int, oldest int, log10 array<float>")
-    short = np.concatenate([byte_log10(top.down(c, np.full((1, 256), 0.5))) for c in range(256)])
-    return T.written(table, spark, "lm-table"), short
+    return run
+
+
+def _last_bytes(key: Column, n: int) -> Column:
+    return key.bitwiseAND(F.lit((1 << 8 * n) - 1).cast("bigint"))
+
+
+def _cut(grams: DataFrame, depth: int, most: int) -> int:
+    """Bytes of context that a group shares, so that it has at most ``most`` n-grams if possible."""
+    for cut in range(min(2, depth - 1), depth - 1):
+        if (grams.groupBy(_last_bytes(F.shiftright("key", 8), cut)).count().agg(F.max("count")).first()[0] or 0) <= most:
+            return cut
+    return depth - 1
+
+
+def train(counts: DataFrame, spark: SparkSession, depth: int, group_grams: int = GROUP_GRAMS) -> DataFrame:
+    """``(key, log10)`` of every n-gram in ``counts``."""
+    grams = counts.filter(F.col("kind") == _GRAM).select("key", "n")
+    cut = _cut(grams, depth, group_grams)
+    grams = grams.select(_last_bytes(F.shiftright("key", 8), cut).alias("top"), "key", "n")
+    runs = grams.repartition("top").sortWithinPartitions("top")
+    levels = {cut: T.written(runs.mapInArrow(_up(depth, cut), "context bigint, node int, zeros double, ones double, weighted double"), spark, "lm-tree")}
+    for d in range(cut - 1, -1, -1):
+        sums = levels[d + 1].groupBy(_last_bytes(F.col("context"), d).alias("context"), "node").agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("longer")
+        )
+        own, p = estimates(F.col("zeros"), F.col("ones"), F.ln)
+        both = F.greatest("own", "longer") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("longer"))))
+        level = sums.withColumns({"own": own, "p": p}).withColumn("both", both)
+        level = level.withColumns({"weighted": F.col("both") - float(np.log(2)), "weight": F.exp(F.col("own") - F.col("both"))})
+        levels[d] = T.written(level.drop("own", "longer", "both"), spark, "lm-tree")
+    # What the shorter contexts say of a decision, and the share they leave to the longer ones.
+    above = None
+    for d in range(cut):
+        said, left = F.col("weight") * F.col("p"), 1 - F.col("weight")
+        if above is None:
+            level = levels[d].select("context", "node", said.alias("said"), left.alias("left"))
+        else:
+            level = _below(levels[d], above, d).select(
+                "context", "node", (F.col("said") + F.col("left") * said).alias("said"), (F.col("left") * left).alias("left")
+            )
+        above = T.written(level, spark, "lm-mix")
+    if above is None:
+        above = levels[cut].select("context", "node", F.lit(0.0).alias("said"), F.lit(1.0).alias("left"))
+    else:
+        above = _below(levels[cut], above, cut).select("context", "node", "said", "left")
+    rows = grams.select("top", "key", "n", F.lit(0.0).alias("said"), F.lit(0.0).alias("left")).unionByName(
+        above.select(F.col("context").alias("top"), F.col("node").cast("bigint").alias("key"), F.lit(-1).cast("bigint").alias("n"), "said", "left")
+    )
+    runs = rows.repartition("top").sortWithinPartitions("top")
+    return T.written(runs.mapInArrow(_down(depth, cut), "key bigint, log10 double"), spark, "lm-table")
+
+
+def _below(level: DataFrame, above: DataFrame, d: int) -> DataFrame:
+    """The contexts of ``d`` bytes with what is said above them."""
+    rows = level.withColumn("shorter", _last_bytes(F.col("context"), d - 1))
+    return rows.join(above.select(F.col("context").alias("shorter"), "node", "said", "left"), ["shorter", "node"])
 
 
 class Lookup:
-    """The table as arrays: row of probabilities for any three bytes of context."""
-
-    def __init__(self, table: pa.Table, short: np.ndarray):
-        two, oldest = table.column("two").to_numpy(), table.column("oldest").to_numpy()
-        rows = table.column("log10").combine_chunks()
-        values = rows.flatten().to_numpy() if len(rows) else np.zeros(0, np.float32)
-        self.values = np.concatenate([short.ravel(), values.astype(np.float32)])
-        number = len(short) + np.arange(len(two))
-        # A block of 256 rows per two-byte context; the first 256 blocks are for contexts of
-        # which only the latest byte counts.
-        seen = np.unique(two)
-        self.block = (np.arange(65536) & 255).astype(np.int32)
-        self.block[seen] = 256 + np.arange(len(seen), dtype=np.int32)
-        grid = np.repeat(np.arange(256 + len(seen), dtype=np.int32)[:, None] & 255, 256, axis=1)
-        unseen = oldest < 0
-        grid[self.block[two[unseen]]] = number[unseen][:, None]
-        grid[self.block[two[~unseen]], oldest[~unseen]] = number[~unseen]
-        self.grid = grid.ravel()
+    """The table as arrays: log10 probabilities of n-grams."""
+
+    def __init__(self, table: pa.Table):
+        keys = table.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], table.column("log10").to_numpy()[order].astype(np.float32)
 
     def __call__(self, grams: np.ndarray) -> np.ndarray:
-        at = self.block[(grams >> np.uint32(8)) & np.uint32(65535)] * 256 + (grams >> np.uint32(24)).astype(np.int32)
-        return self.values[self.grid[at].astype(np.int64) * 256 + (grams & np.uint32(255))]
+        keys, at = np.unique(grams, return_inverse=True)
+        return self.values[np.searchsorted(self.keys, keys)][at]
 
 
 def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, offsets)
 
 
-def _scores(shared, keep_grams: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scores(shared, depth: int, keep_grams: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``(uid, doc_id, held_out, n_words, known, base, rare, n_bytes, score)``, and with
     ``keep_grams`` the text's distinct n-grams and counts instead of a score."""
 
@@ -265,17 +301,19 @@ def _scores(shared, keep_grams: bool) -> Callable[[Iterator[pa.RecordBatch]], It
             out["known"].append(np.bincount(at[hit], minlength=n))
             out["base"].append(np.bincount(at[hit], weights=terms[i[hit]] if len(words) else None, minlength=n).astype(float))
             rare += np.split(h[~hit], np.searchsorted(at[~hit], np.arange(1, n)))
-        for first, last, gram, text, offsets in grams_of(texts):
-            ends = np.append(offsets[1:], len(gram)) - DEPTH
+        for first, last, gram, text, offsets in grams_of(texts, depth):
+            ends = np.append(offsets[1:], len(gram)) - depth
             out["n_bytes"].append(ends - offsets)
             if keep_grams:
                 out["score"].append(np.zeros(last - first))
                 for a, b in zip(offsets, ends):
                     keys, n = np.unique(gram[a:b], return_counts=True)
-                    grams.append(keys.astype(np.int64))
+                    grams.append(keys.view(np.int64))
                     counts.append(n)
             else:
-                out["score"].append(_per_text(np.where(text, lookup(gram).astype(np.float64), 0.0), offsets))
+                values = np.zeros(len(gram))
+                values[text] = lookup(gram[text])
+                out["score"].append(_per_text(values, offsets))
         columns = {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
         arrays = [batch.column(0), batch.column(1), batch.column(2)]
         arrays += [pa.array(columns[k].astype(np.int64)) for k in ("n_words", "known", "n_bytes")]
@@ -315,15 +353,18 @@ def _frequent(words: DataFrame, most: int) -> tuple[int, DataFrame]:
 
 def score(
     docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text",
-    words_kept: int = WORDS_KEPT, table_bytes: int = TABLE_BYTES,
+    words_kept: int = WORDS_KEPT, table_bytes: int = TABLE_BYTES, depth: int = 3, group_grams: int = GROUP_GRAMS,
 ) -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)``."""
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)``
+    with contexts of up to ``depth`` bytes, 2 to 7."""
+    if not 2 <= depth <= 7:
+        raise ValueError(f"depth must be 2 to 7, not {depth}")
     B.small_batches(spark)
     docs = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(doc_id).cast("bigint").alias("doc_id"),
         held_out(doc_id).alias("held_out"), F.col(text).alias("text"),
     )
-    counts = corpus_counts(docs.filter("NOT held_out"), spark)
+    counts = corpus_counts(docs, spark, depth)
     totals = {r["kind"]: (r["n"], r["keys"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys")).collect()}
     trained_docs = totals.get(_END, (0, 0))[0]
     train_tokens = totals.get(_WORD, (0, 0))[0] + trained_docs
@@ -337,12 +378,12 @@ def score(
     keys = kept.column("key").to_numpy()[order]
     terms = np.log10((kept.column("n").to_numpy()[order] + 0.1) / norm)
 
-    table, short = train(counts, spark)
-    small = table.count() * (256 * 4 + 64) <= table_bytes
-    lookup = Lookup(table.toArrow(), short) if small else None
+    table = train(counts, spark, depth, group_grams)
+    small = table.count() * 16 <= table_bytes
+    lookup = Lookup(table.toArrow()) if small else None
     shared = spark.sparkContext.broadcast((lookup, keys, terms))
     types = _SCORED_TYPES + ("" if small else ", grams array<bigint>, counts array<bigint>")
-    scored = T.written(docs.mapInArrow(_scores(shared, not small), types), spark, "lm-scores")
+    scored = T.written(docs.mapInArrow(_scores(shared, depth, not small), types), spark, "lm-scores")
 
     # Words that were not broadcast: joined with their counts.
     rare = scored.select("uid", F.explode("rare").alias("key")).groupBy("uid", "key").agg(F.count(F.lit(1)).alias("tf"))
@@ -354,7 +395,7 @@ def score(
     )
     out = scored.join(per_doc, "uid", "left")
     if not small:
-        out = out.drop("score").join(_joined_scores(scored, table, short, spark), "uid", "left")
+        out = out.drop("score").join(_joined_scores(scored, table), "uid", "left")
     bits = -F.coalesce("score", F.lit(0.0)) * float(np.log2(10))
     end = float(np.log10((trained_docs + 0.1) / norm))
     return out.select(
@@ -369,23 +410,7 @@ def score(
     )
 
 
-def _joined_scores(scored: DataFrame, table: DataFrame, short: np.ndarray, spark: SparkSession) -> DataFrame:
+def _joined_scores(scored: DataFrame, table: DataFrame) -> DataFrame:
     """``(uid, score)`` by joining n-grams with the table: for tables beyond the broadcast."""
-    pairs = F.explode(F.arrays_zip("grams", "counts"))
-    grams = scored.select("uid", pairs.alias("g")).select(
-        "uid", F.col("g.counts").alias("n"), F.expr("int((g.grams >> 8) & 65535)").alias("two"),
-        F.expr("int(g.grams >> 24)").alias("oldest"), F.expr("int(g.grams & 255)").alias("byte"),
-    )
-    rows = table.select("two", "oldest", F.posexplode("log10").alias("byte", "p"))
-    latest = spark.createDataFrame(
-        pd.DataFrame({"one": np.repeat(np.arange(256), 256), "byte": np.tile(np.arange(256), 256), "p1": short.ravel().astype(float)}),
-        "one int, byte int, p1 double",
-    )
-    unseen = rows.filter("oldest < 0").select("two", "byte", F.col("p").alias("p2"))
-    found = (
-        grams.join(rows, ["two", "oldest", "byte"], "left")
-        .join(unseen, ["two", "byte"], "left")
-        .withColumn("one", F.col("two").bitwiseAND(255))
-        .join(latest, ["one", "byte"], "left")
-    )
-    return found.groupBy("uid").agg(F.sum(F.col("n") * F.coalesce(F.col("p").cast("double"), F.col("p2").cast("double"), "p1")).alias("score"))
+    grams = scored.select("uid", F.explode(F.arrays_zip("grams", "counts")).alias("g")).select("uid", F.col("g.grams").alias("key"), F.col("g.counts").alias("n"))
+    return grams.join(table, "key").groupBy("uid").agg(F.sum(F.col("n") * F.col("log10")).alias("score"))

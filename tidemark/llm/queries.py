@@ -46,7 +46,7 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.score(_table(spark, sf_dir, "documents"), spark)
+    return ctw.score(_table(spark, sf_dir, "documents"), spark, depth=ctw.DEPTH)
 
 
 def op6_pack_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
