@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import licences, line_chunks, mixing, preference, risk_rules
+from tidemark.llm import dual_tree, licences, line_chunks, mixing, preference, risk_rules
 from tidemark.llm.queries import URL_RULES
 
 
@@ -202,6 +202,89 @@ clean AS (
 SELECT doc_id, n_chunks, removed_chunks, removed_lines, len(t)::BIGINT AS clean_chars, sha256(t) AS clean_sha256 FROM clean"""
 
 
+def op11() -> str:
+    terms = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_q(dual_tree.TERM)})"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, {terms} AS ts FROM documents),
+corpus AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d WHERE len(ts) > 0),
+items AS (SELECT row_number() OVER () AS i, item_id, list_distinct({terms}) AS ts FROM benchmark),
+asked AS (SELECT i, unnest(ts) AS t FROM items),
+tf AS (
+  SELECT u, doc_id, n, t, count(*) AS tf FROM (SELECT u, doc_id, len(ts) AS n, unnest(ts) AS t FROM d)
+  WHERE t IN (SELECT t FROM asked) GROUP BY u, doc_id, n, t),
+weight AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, corpus GROUP BY t),
+coordinate AS (
+  SELECT u, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms)))) AS c
+  FROM tf JOIN weight USING (t), corpus),
+scores AS (SELECT i, u, doc_id, sum(c)::BIGINT AS score FROM asked JOIN coordinate USING (t) GROUP BY i, u, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS r FROM scores WHERE score > 0)
+SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked JOIN items USING (i) WHERE r <= {dual_tree.TOP}"""
+
+
+def op12() -> str:
+    add = lambda x, cost, edit, line="NULL": (
+        f"{{'c': {x}.c + {cost}, 'a': {x}.a || '{edit}', 'o': CASE WHEN {line} IS NULL THEN {x}.o ELSE {x}.o || CASE WHEN {x}.o = '' THEN '' ELSE chr(10) END || {line} END}}"
+    )
+    least = lambda *of: f"list_sort([{', '.join(of)}])[1]"
+    # A state is what the row initials spell so far: e nothing, s a system turn, u and a the last turn.
+    inserted = [add(x, 5, "I", "'user:'") for x in ("e", "s", "a")]
+    edits = {
+        "K": lambda x, initial: add(x, f"CASE WHEN fault NOT IN (1, 2) AND initial = '{initial}' THEN late ELSE 1000000000 END", "K", "role || ':' || txt"),
+        "R": lambda x, role: add(x, "CASE WHEN fault NOT IN (1, 2) THEN 1 + late ELSE 1000000000 END", "R", f"'{role}:' || txt"),
+    }
+    gone = lambda x: add(x, 2, "D")
+    dead = "{'c': 1000000000::BIGINT, 'a': '', 'o': ''}"
+    return f"""
+WITH RECURSIVE
+bits AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS draw
+  FROM conversations, bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS txt,
+    unnest(CASE WHEN draw = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM drawn WHERE draw <> 0),
+marked AS (
+  SELECT *, sha256(txt) AS digest, rtrim(txt, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+    row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY turn NULLS FIRST) AS nth
+  FROM damaged),
+rows AS (
+  SELECT conv_id, turn, role, txt, left(role, 1) AS initial,
+    CASE WHEN bare = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest, nth) AS i
+  FROM marked),
+parse(conv_id, i, e, s, u, a) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0::BIGINT, 'a': '', 'o': ''}}, {dead}, {dead}, {dead} FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {gone("e")}, {least(gone("s"), edits["K"]("e", "s"))},
+    {least(gone("u"), *(edits["K"](x, "u") for x in "esa"), *(edits["R"](x, "user") for x in "esa"))},
+    {least(gone("a"), edits["K"]("u", "a"), edits["R"]("u", "assistant"))}
+  FROM (
+    SELECT conv_id, i, e, s, u, {least("a", add("u", 5, "I", "'assistant:'"))} AS a, role, txt, initial, fault, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS late
+    FROM (
+      SELECT p.conv_id, r.i, e, s, {least("u", *inserted)} AS u, a, role, txt, initial, fault
+      FROM parse p JOIN rows r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1))),
+ended AS (
+  SELECT conv_id, {least("e", "a", add("u", 5, "I", "'assistant:'"))} AS best
+  FROM (SELECT conv_id, i, e, a, {least("u", *inserted)} AS u, max(i) OVER (PARTITION BY conv_id) AS n FROM parse) WHERE i = n),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM rows) GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(best.o) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 ORACLES = {
     "op1_preference_format": op1(),
     "op2_risk_controlled_rules": op2(),
@@ -211,4 +294,6 @@ ORACLES = {
     "op8_url_rules": op8(),
     "op9_exact_dedup": op9(),
     "op10_line_chunks": op10(),
+    "op11_dual_tree_search": op11(),
+    "op12_turn_repair": op12(),
 }

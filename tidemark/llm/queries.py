@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import ctw, exact_dedup, jaccard, licences, line_chunks, mixing, packing, preference, risk_rules, urls
+from tidemark.llm import (
+    ctw, dual_tree, exact_dedup, jaccard, licences, line_chunks, mixing, packing, preference, risk_rules, token_counts, turn_repair, urls,
+)
 from tidemark.llm import text as T
 from tidemark.session import prepare
 
@@ -76,10 +78,22 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), spark)
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_digest(turn_repair.damaged(_table(spark, sf_dir, "conversations")), spark)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), packing.tokenizer_path())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_preference_format, op2_risk_controlled_rules, op3_licence_digests, op4_ngram_jaccard, op5_context_tree, op6_pack_least_squares, op7_mix_sources, op8_url_rules,
-        op9_exact_dedup, op10_line_chunks,
+        op9_exact_dedup, op10_line_chunks, op11_dual_tree_search, op12_turn_repair, op13_token_counts,
     )
 }
