@@ -49,6 +49,57 @@ def test_quoted_line_break_is_noticed(spark, tmp_path):
     assert rows(files.read_delimited(spark, broken)) == [("1", "two\nlines"), ("2", "x")]
 
 
+@pytest.mark.parametrize("body, want", [
+    ('1,"a\\"\nb\\""\n2,x\n', [("1", 'a"\nb"'), ("2", "x")]),
+    ('1,"a\\"b"\n2,"c,\\"d"\n', [("1", 'a"b'), ("2", 'c,"d')]),
+    ('1,"""quoted"""\n2,"x\n\ny"\n', [("1", '"quoted"'), ("2", "x\n\ny")]),
+])
+def test_escaped_quotes_and_line_breaks(spark, tmp_path, body, want):
+    escape = "\\" if "\\" in body else None
+    path = put(tmp_path, "a.csv", "id,t\n" + body)
+    assert rows(files.read_delimited(spark, path, escape=escape)) == sorted(want, key=str)
+    assert rows(files.rejected_records(spark, path, escape=escape)) == []
+
+
+SURPLUS = 'id,t\n1,a,EXTRA\n2,"x,y"\n3\n4,"p,q","r\n5,6"\n7,b,\n8,5" pipe,6" pipe\n9,,,z\n'
+
+
+@pytest.mark.parametrize("multiline", [None, True])
+def test_surplus_values_are_rejected_or_fail(spark, tmp_path, multiline):
+    path = put(tmp_path, "a.csv", SURPLUS)
+    with pytest.raises(PySparkException, match="more than 2 values in a record: "):
+        files.read_delimited(spark, path, multiline=multiline).collect()
+    good = files.read_delimited(spark, path, multiline=multiline, on_surplus="reject")
+    assert rows(good) == [("2", "x,y"), ("3", None)] and good.count() == 2 and rows(good.select("t")) == [("x,y",), (None,)]
+    bad = files.rejected_records(spark, path, multiline=multiline)
+    assert sorted(r["record"].strip() for r in bad.collect()) == ['1,a,EXTRA', '4,"p,q","r\n5,6"', "7,b,", '8,5" pipe,6" pipe', "9,,,z"]
+    assert bad.count() == 5 and bad.filter("file LIKE '%a.csv'").count() == 5
+    with pytest.raises(ValueError, match="on_surplus"):
+        files.read_delimited(spark, path, on_surplus="drop")
+
+
+def test_one_file_with_line_breaks_leaves_the_others_split(spark, tmp_path):
+    for i in range(5):
+        put(tmp_path, f"{i}.csv", f'id,t\n{i},"one"\n' + ('9,"two\nlines"\n' if i == 3 else ""))
+    assert [f.rsplit("/", 1)[1] for f in files._quoted_breaks(spark, str(tmp_path), '"', "UTF-8")] == ["3.csv"]
+    df = files.read_delimited(spark, str(tmp_path))
+    assert rows(df) == [(str(i), "one") for i in range(4)] + [("4", "one"), ("9", "two\nlines")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+
+
+def test_files_with_another_header_are_noticed(spark, tmp_path):
+    put(tmp_path, "a.csv", "id,t\n1,x\n")
+    put(tmp_path, "b.csv", "t,id\nx,1\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        files.read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_empty_files(spark, tmp_path):
+    assert rows(files.read_delimited(spark, put(tmp_path, "a.csv", "id,t\n"))) == []
+    assert rows(files.read_delimited(spark, put(tmp_path, "b.csv", ""), header="none", columns=["a"])) == []
+
+
 def test_config_options_reach_the_reader(spark, tmp_path):
     config = TableConfig("c", "s", "t", "FULL", file_format="CSV", delimiter="|", quote_characters="'")
     assert rows(config.file_source(spark, put(tmp_path, "a.csv", "a|b\n'x|y'|2\n"))) == [("x|y", "2")]

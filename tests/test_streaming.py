@@ -1,8 +1,10 @@
+import shutil
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tidemark.operators.metadata import ColumnSpec
+from tidemark.operators.staging import stamp
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming.incremental import stream_merge
 
@@ -41,3 +43,27 @@ def test_a_replayed_batch_is_skipped(spark, tmp_path):
     table.publish(spark.createDataFrame([(0, 0)], "id bigint, v bigint"), tag=f"{checkpoint}#0")
     stream_merge(spark, landing, spark.read.parquet(landing).schema, table, SPECS, "id", datetime(2024, 1, 1), checkpoint)
     assert table.latest() == 1
+
+
+def test_a_replay_after_a_compaction_leaves_rows_without_a_key_once(spark, tmp_path):
+    landing, checkpoint, root = str(tmp_path / "landing"), str(tmp_path / "checkpoint"), str(tmp_path / "ref")
+    batch = spark.createDataFrame([(1, 1), (None, 2), (None, 3)], "id bigint, v bigint").coalesce(1)
+    batch.write.parquet(landing)
+
+    def run(checkpoint):
+        table = SnapshotTable(spark, root)
+        stream_merge(spark, landing, batch.schema, table, SPECS, "id", datetime(2024, 1, 1), checkpoint)
+        return table
+
+    run(checkpoint)
+    table = SnapshotTable(spark, root)
+    table.publish(spark.createDataFrame([(9, 9)], "id bigint, v bigint").transform(lambda d: stamp(d, datetime(2024, 1, 1))), replace=[])
+    assert table.compact(1000) == 3 and table.version().ledger == {checkpoint: 0}
+    # The crash: the batch is published, but the checkpoint does not know it.
+    shutil.rmtree(f"{checkpoint}/commits")
+    again = run(checkpoint)
+    assert again.latest() == 3
+    assert sorted((r["id"] or 0, r["v"]) for r in again.read().collect()) == [(0, 2), (0, 3), (1, 1), (9, 9)]
+    # Another stream into the same table has batches of its own.
+    other = run(str(tmp_path / "other"))
+    assert other.read().count() == 6 and set(other.version().ledger) == {checkpoint, str(tmp_path / "other")}

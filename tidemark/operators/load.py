@@ -108,6 +108,7 @@ def merge_parts(
     latest_by: Sequence[str] = (),
     touch_load_ts: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    matched: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``MERGE`` as ``(rows of the target, inserted rows)``: matched target rows take the
     source's mapped columns and keep their audit columns, unmatched source rows are
@@ -121,6 +122,9 @@ def merge_parts(
     never moves. A larger one is joined by shuffle; the target is then the left
     side of a left join, which adaptive execution can split at a hot key, and rows
     with a NULL key go round the join.
+
+    ``matched`` holds, once each, the source's keys that the whole target has. With it
+    ``target`` may be the part of the whole that holds them, and is not searched for keys.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     mapped = [c for c in target.columns if c not in AUDIT_COLUMNS]
@@ -151,7 +155,7 @@ def merge_parts(
     elif on_duplicate == "error":
         if repeated:
             twice = per_key.filter(has_key & (F.col("_n") > 1)).select(*keys)
-            if not twice.join(target, keys, "left_semi").isEmpty():
+            if not twice.join(target if matched is None else matched, keys, "left_semi").isEmpty():
                 raise DuplicateSourceKey(f"several source rows match one target row on {keys}")
     else:
         raise ValueError(f"unknown duplicate policy {on_duplicate!r}")
@@ -164,12 +168,14 @@ def merge_parts(
     if small:
         updated = target.join(update, on, "left")
         # Target keys that the source holds: never more than the source has.
-        matched = known.join(hint(keyed.select(*keys)), keys, "left_semi").distinct()
+        if matched is None:
+            matched = known.join(hint(keyed.select(*keys)), keys, "left_semi").distinct()
         inserted = source.join(hint(matched), keys, "left_anti")
         rest = None
     else:
         updated = target.filter(has_key).join(update, on, "left")
-        inserted = keyed.join(known.filter(has_key).distinct(), keys, "left_anti").select(*mapped)
+        held = known.filter(has_key).distinct() if matched is None else matched
+        inserted = keyed.join(held, keys, "left_anti").select(*mapped)
         if keyless is not None:
             inserted = inserted.unionByName(keyless)
         rest = target.filter(~has_key)

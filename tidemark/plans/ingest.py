@@ -201,18 +201,20 @@ def load_reference(
 ) -> int:
     """Publish the next version of a reference table.
 
-    A merge reads and writes the folders it touches only. The rows it inserts go to a
-    folder of their own, so a series that grows at its end rewrites its last load and
-    nothing before. In a partitioned table the key must determine the partition, as a
-    time key or an immutable event date does.
+    A merge finds its keys wherever they lie, also in another partition than the source
+    names, and writes the files that hold them anew; all others stay in place. A row whose
+    partition value changes moves. The rows it inserts go to a folder of their own, so a
+    series that grows at its end rewrites no more than the end of its last load.
     """
     if action in ("create", "full_refresh"):
         return table.publish(L.full_refresh(staged, load_ts), watermark=watermark, tag=tag)
     keys = [keys] if isinstance(keys, str) else list(keys)
-    touched = table.touched_by(staged, keys)
-    kept, inserted = L.merge_parts(table.read(folders=touched), staged, keys, load_ts, **merge_options)
+    touched, matched = table.holding(staged, keys)
+    kept, inserted = L.merge_parts(
+        table.read(folders=touched), staged, keys, load_ts, matched=matched, **merge_options
+    )
     if table.partitioned_by:
-        frames = [kept.unionByName(inserted)]
+        frames = [kept.unionByName(inserted) if touched else inserted]
     else:
         frames = [kept, inserted] if touched else [inserted]
     return table.publish(*frames, replace=touched, watermark=watermark, tag=tag)

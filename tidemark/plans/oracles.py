@@ -17,7 +17,17 @@ def _stamped(ts: str) -> str:
 
 _MARKERS = ", ".join(f"'{m}'" for m in NULL_MARKERS)
 
+_TOLD = """
+    CASE WHEN doc_id % 3 = 0 THEN 'said "' || coalesce(source, '') || '"' || chr(10) || ', "' || coalesce(lang, '') || '"'
+         ELSE coalesce(lang, '') END"""
+
 _SOURCES = {
+    "src_delimited_escaped": f"""
+        SELECT doc_id, nullif({_TOLD}, '') AS told, CASE WHEN doc_id % 7 <> 0 THEN CAST(n_chars AS BIGINT) END AS n_chars
+        FROM documents WHERE doc_id % 5 <> 0""",
+    "src_delimited_rejects": f"""
+        SELECT doc_id || '|"' || replace({_TOLD}, '"', chr(92) || '"') || '"|' || n_chars || '|surplus' AS record
+        FROM documents WHERE doc_id % 5 = 0""",
     "src_delimited": "SELECT * FROM orders",
     "src_delimited_quoted": f"""
         SELECT doc_id,
@@ -199,6 +209,9 @@ _LOADS = {
         _ITEM_COLUMNS,
     ),
     "load_merge_partitioned": _merge(*_orders(more=_YEAR), "o_orderkey", _ORDER_COLUMNS + ", o_year"),
+    "load_merge_moved_key": _merge(
+        _orders(more=_YEAR)[0], _orders(more=f"{_YEAR[:-10]} + 1 AS o_year")[1], "o_orderkey", _ORDER_COLUMNS + ", o_year"
+    ),
 }
 
 # -- audit ----------------------------------------------------------------------

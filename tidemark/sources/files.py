@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from tidemark.functions.scalar import ts_lit
 
@@ -20,6 +22,9 @@ SEPARATORS = {"CSV": ",", "TSV": "\t", "DAT": ","}
 DELIMITED = tuple(SEPARATORS)
 
 
+_RAW, _FILE = "_tidemark_record", "_tidemark_file"
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -31,45 +36,140 @@ def read_delimited(
     multiline: bool | None = None,
     columns: Sequence[str] | None = None,
     null_markers: Sequence[str] = NULL_MARKERS,
+    on_surplus: str = "fail",
 ) -> DataFrame:
     """A delimited file as text columns; typing is the staging step's work.
 
     ``header`` None or "infer" takes names from the first line, "none" has no names
-    (then give ``columns``). A file whose quoted values contain line breaks cannot be
-    cut into pieces; ``multiline=None`` looks for such values and splits the file
-    when there are none.
+    (then give ``columns``). Files of one load must have the same header.
+
+    A file whose quoted values contain line breaks cannot be cut into pieces;
+    ``multiline=None`` looks for such values and reads those files alone as a whole.
+
+    A record with fewer values than columns has NULL for the rest. One with more fails the
+    query, or with ``on_surplus="reject"`` is left out; :func:`rejected_records` has it then.
     """
+    if on_surplus not in ("fail", "reject"):
+        raise ValueError("on_surplus must be 'fail' or 'reject'")
+    df, names = _parsed(spark, path, header, sep, quote, escape, encoding, multiline, columns)
+    surplus = _surplus(len(names), sep, quote, escape)
+    if on_surplus == "reject":
+        df = df.filter(~surplus & _reads(names[0]))
+        failed = None
+    else:
+        failed = F.raise_error(F.concat(F.lit(f"more than {len(names)} values in a record: "), F.col(_RAW)))
+    out = []
+    for name in names:
+        value = F.col(f"`{name}`")
+        if null_markers:
+            value = F.when(~value.isin(list(null_markers)), value)
+        if failed is not None:
+            value = F.when(surplus, failed.cast("string")).otherwise(value)
+        out.append(value.alias(name))
+    return df.select(*out)
+
+
+def rejected_records(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    header: str | None = None,
+    sep: str = ",",
+    quote: str | None = '"',
+    escape: str | None = None,
+    encoding: str = "UTF-8",
+    multiline: bool | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """``file, record``: the records that ``read_delimited(on_surplus="reject")`` leaves out, as
+    they stand in the file."""
+    df, names = _parsed(spark, path, header, sep, quote, escape, encoding, multiline, columns)
+    left_out = df.filter(_surplus(len(names), sep, quote, escape) & _reads(names[0]))
+    return left_out.select(F.col(_FILE).alias("file"), F.col(_RAW).alias("record"))
+
+
+def _parsed(
+    spark: SparkSession, path: str | Sequence[str], header: str | None, sep: str, quote: str | None,
+    escape: str | None, encoding: str, multiline: bool | None, columns: Sequence[str] | None,
+) -> tuple[DataFrame, list[str]]:
+    """The parsed columns with the raw text of every record of another length, and their names."""
     with_header = (header or "infer").lower() not in ("none", "false")
+    files = spark.read.text(path).inputFiles()
     if multiline is None:
-        multiline = bool(quote) and _quoted_breaks(spark, path, quote, encoding)
-    reader = (
-        spark.read.option("header", with_header)
-        .option("sep", sep)
-        .option("quote", quote or "")
-        .option("escape", escape or quote or "\\")
-        .option("encoding", encoding)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("inferSchema", False)
-    )
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(path)
-    markers = list(null_markers)
-    return df.select(
-        *[
-            F.when(~F.col(f"`{c}`").isin(markers), F.col(f"`{c}`")).alias(c) if markers else F.col(f"`{c}`")
-            for c in df.columns
-        ]
-    )
-
-
-def _quoted_breaks(spark: SparkSession, path: str | Sequence[str], quote: str, encoding: str) -> bool:
-    """Whether some line holds an odd number of quotes, so that a value goes on."""
+        whole = set(_quoted_breaks(spark, path, quote, encoding, escape)) if quote else set()
+    else:
+        whole = set(files) if multiline else set()
+
+    def reader(as_a_whole: bool) -> DataFrameReader:
+        return (
+            spark.read.option("header", with_header)
+            .option("sep", sep)
+            .option("quote", quote or "")
+            .option("escape", escape or quote or "\\")
+            .option("encoding", encoding)
+            .option("multiLine", as_a_whole)
+            .option("mode", "PERMISSIVE")
+            .option("inferSchema", False)
+        )
+
+    names = list(columns) if columns is not None else reader(bool(whole)).csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in (*names, _RAW)]
+    parts = []
+    for as_a_whole, some in ((False, [f for f in files if f not in whole]), (True, sorted(whole))):
+        if some:
+            part = (
+                reader(as_a_whole)
+                .schema(T.StructType(fields))
+                .option("columnNameOfCorruptRecord", _RAW)
+                # The number of values of a record is only known when all of it is parsed.
+                .option("columnPruning", False)
+                .option("enforceSchema", len(files) == 1 or columns is not None)
+                .csv(some if parts or len(some) < len(files) else path)
+            )
+            parts.append(part.select(*[f"`{f.name}`" for f in fields], F.col("_metadata.file_path").alias(_FILE)))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField(_FILE, T.StringType())])), names
+    return reduce(DataFrame.unionByName, parts), names
+
+
+def _reads(name: str) -> Column:
+    """True for every row; the reader refuses queries of the raw record alone, so this reads a column."""
+    return F.length(F.concat_ws("", F.col(f"`{name}`"))) >= 0
+
+
+def _surplus(width: int, sep: str, quote: str | None, escape: str | None) -> Column:
+    """Whether a record holds more than ``width`` values. Records of the right width have no raw text."""
+    raw = F.col(_RAW)
+    if quote:
+        q, e, s = (re.escape(c) for c in (quote, escape or quote, sep))
+        inside = f"(?:[^{q}]|{q}{q})*" if e == q else f"(?:[^{q}{e}]|{e}.|{q}{q})*"
+        raw = F.regexp_replace(raw, f"(?s)(^|{s}){q}{inside}{q}", "$1")
+    separators = (F.length(raw) - F.length(F.replace(raw, F.lit(sep)))) / F.lit(len(sep))
+    return F.coalesce(separators >= width, F.lit(False))
+
+
+def _quoted_breaks(
+    spark: SparkSession, path: str | Sequence[str], quote: str, encoding: str, escape: str | None = None
+) -> list[str]:
+    """The files in which some line leaves a quote open, so that a value goes on.
+
+    A quote that is escaped does not count; a doubled one leaves the parity as it is. Only
+    the names of such files reach the driver.
+    """
+    lines = spark.read.text(path)
     if encoding.upper() not in ("UTF-8", "UTF8", "US-ASCII"):
-        return True
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote)))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+        return lines.inputFiles()
+    text = F.col("value")
+    if escape and escape != quote:
+        text = F.regexp_replace(text, f"{re.escape(escape)}.", "")
+    quotes = F.length(text) - F.length(F.replace(text, F.lit(quote)))
+    found = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("f")).distinct().collect()
+    open_ended = {_plain(r["f"]) for r in found}
+    return [f for f in lines.inputFiles() if _plain(f) in open_ended] if open_ended else []
+
+
+def _plain(uri: str) -> str:
+    """``file:///a`` and ``file:/a`` name one file."""
+    return re.sub(r"^([\w+.-]+):/+", r"\1:/", uri)
 
 
 def read_json_response(
