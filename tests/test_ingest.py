@@ -166,3 +166,202 @@ def test_partition_column_in_upper_case(spark, warehouse):
     rows = series(spark, DAY - timedelta(hours=3), 2, 1)
     specs = [*SPECS, M.ColumnSpec("TIME", "INT64", "day")]
     assert plan.ingest(warehouse, config(partitioned_by="DAY"), specs, rows, DAY).record_cnt_after == 2
+
+
+# -- text watermarks, intervals, destinations ----------------------------------------------
+
+ISO = [M.ColumnSpec("ID", "INT64", "id"), M.ColumnSpec("CHANGED", "STRING", "changed"), M.ColumnSpec("V", "INT64", "v")]
+
+
+def test_text_watermark_is_read_as_a_time(spark, warehouse):
+    windows = []
+    text = dict(primary_key_column="ID", incremental_date_column="CHANGED")
+    rows = spark.createDataFrame(
+        [(1, "2024-01-09T10:00:00Z", 1), (2, "2024-01-10T00:00:00Z", 1), (3, "soon", 1), (4, None, 1), (5, "2024-01-01T00:00:00Z", 1)],
+        "id bigint, changed string, v bigint",
+    )
+
+    def source(start, end):
+        windows.append((start, end))
+        return rows
+
+    plan.ingest(warehouse, config(**text), ISO, source, DAY)
+    assert windows == [(ms(DAY - timedelta(days=3)), ms(DAY))]
+    plan.ingest(warehouse, config(**text), ISO, source, DAY + timedelta(days=1))
+    # The greatest text is "soon"; the greatest time counts.
+    assert windows[1] == (ms(DAY), ms(DAY + timedelta(days=1)))
+    newer = rows.unionByName(spark.createDataFrame([(6, "2024-01-10T05:00:00Z", 2), (7, "2024-01-12T00:00:00Z", 2)], rows.schema))
+    result = plan.ingest(warehouse, config(**text), ISO, newer, DAY + timedelta(days=1))
+    # 6 lies in the window, 7 after it; what cannot be read comes again.
+    assert (result.record_cnt_before, result.record_cnt_after) == (5, 6)
+    assert warehouse.table(config()).read().filter("id = 6").count() == 1
+
+
+OBSERVED = [M.ColumnSpec("COIN", "STRING", "coin"), M.ColumnSpec("ID", "INT64", "id"), M.ColumnSpec("AT", "DATETIME", "at"), M.ColumnSpec("PRICE", "FLOAT64", "price")]
+SERIES = plan.Series(("coin",), "at", "price", "id")
+
+
+def observations(spark, seed, n=300):
+    import random
+
+    rng = random.Random(seed)
+    rows = [(rng.choice("abc"), seed * 1000 + i, DAY + timedelta(minutes=rng.randrange(600)), float(rng.randrange(50))) for i in range(n)]
+    return spark.createDataFrame(rows, "coin string, id bigint, at timestamp_ntz, price double")
+
+
+def buckets(df):
+    return sorted((r["coin"], r["bucket"], r["price"], r["observations"]) for r in df.collect())
+
+
+def test_series_of_late_batches_equals_a_resample_from_scratch(spark, warehouse):
+    files = config(ingestion_type="S3", extra_parameters="m30")
+    parts = [observations(spark, i) for i in range(3)]
+    for part in parts:
+        plan.ingest(warehouse, files, OBSERVED, part, DAY, series=SERIES)
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    from tidemark.operators import extract as X
+
+    assert buckets(warehouse.table(files).read()) == buckets(X.resample(whole, ["coin"], "at", "price", "id", "30 minutes"))
+    assert {r["execution_status"] for r in warehouse.actions().collect()} == {1}
+
+
+def test_series_with_a_window_counts_its_open_bucket_anew(spark, warehouse):
+    from tidemark.operators import extract as X
+
+    pulled = config(extra_parameters="h1", incremental_date_column="AT")
+    rows = observations(spark, 4)
+    for hour in (3, 5, 5, 11):
+        plan.ingest(warehouse, pulled, OBSERVED, rows, DAY + timedelta(hours=hour, minutes=20), series=SERIES)
+    assert buckets(warehouse.table(pulled).read()) == buckets(X.resample(rows, ["coin"], "at", "price", "id"))
+
+
+def test_interval_codes_and_keys(spark, warehouse):
+    from tidemark.operators import extract as X
+
+    assert [X.interval_width(c) for c in ("m15", "h1", " D1 ")] == ["15 minutes", "1 hours", "1 days"]
+    for code in (None, "", "w1", "h0", "h"):
+        with pytest.raises(ValueError, match="interval"):
+            X.interval_width(code)
+    nameless = spark.createDataFrame([(None, 1, DAY, 1.0)], "coin string, id bigint, at timestamp_ntz, price double")
+    with pytest.raises(Exception, match="NULL in the series key coin"):
+        plan.ingest(warehouse, config(ingestion_type="S3", extra_parameters="h1"), OBSERVED, nameless, DAY, series=SERIES)
+
+
+def test_a_source_is_asked_for_the_interval(spark, warehouse):
+    asked = []
+
+    def source(start, end, interval):
+        asked.append(interval)
+        return series(spark, DAY - timedelta(hours=5), 3, 1)
+
+    plan.ingest(warehouse, config(extra_parameters="h1"), SPECS, source, DAY)
+    assert asked == ["h1"]
+
+
+def test_destinations_of_the_configuration(spark, warehouse, tmp_path):
+    placed = config(ingestion_type="S3", bucket=f"{tmp_path}/bucket", bucket_destination="in/coins/", archive_destination="old/coins")
+    rows = series(spark, DAY, 3, 1)
+    plan.ingest(warehouse, placed, SPECS, rows, DAY)
+    plan.ingest(warehouse, placed, SPECS, rows.limit(2), DAY)
+    assert spark.read.parquet(f"{tmp_path}/bucket/in/coins/btc").count() == 2
+    kept = spark.read.parquet(f"{tmp_path}/bucket/old/coins/btc")
+    assert kept.count() == 3 and "archived_at" in kept.columns
+    # A file that stays what it is has no landing of its own.
+    as_is = config(ingestion_type="S3", table_name="ASIS", to_parquet=False)
+    plan.ingest(warehouse, as_is, SPECS, rows, DAY)
+    assert files_below(warehouse.landing(as_is)) == [] and warehouse.table(as_is).row_count() == 3
+
+
+def files_below(path):
+    import glob
+
+    return glob.glob(f"{path}/**/*", recursive=True)
+
+
+def test_the_archive_is_moved_not_written_again(spark, warehouse):
+    files = config(ingestion_type="S3")
+    rows = series(spark, DAY, 3, 1)
+    plan.ingest(warehouse, files, SPECS, rows, DAY)
+    names = {f.rsplit("/", 1)[1] for f in files_below(warehouse.landing(files)) if f.endswith(".parquet")}
+    plan.ingest(warehouse, files, SPECS, rows, DAY)
+    assert names and names == {f.rsplit("/", 1)[1] for f in files_below(warehouse.archive(files)) if f.endswith(".parquet")}
+
+
+# -- dependent runs ---------------------------------------------------------------------------
+
+
+def load(spark, name, after=(), **changes):
+    specs = changes.pop("specs", SPECS)
+    return plan.Load(config(ingestion_type="S3", table_name=name, **changes), specs, series(spark, DAY, 3, 1), after)
+
+
+def test_a_failed_table_skips_only_what_depends_on_it(spark, warehouse):
+    bad = [*SPECS, M.ColumnSpec("NOT_THERE", "STRING", "x")]
+    steps = [
+        load(spark, "C", ("hist/b",)), load(spark, "A"), load(spark, "B", specs=bad), load(spark, "D", ("hist/a",)),
+        plan.Step("count", lambda: warehouse.table(config(table_name="D")).read().count(), ("hist/d",)),
+        plan.Step("never", lambda: 1 / 0, ("hist/c", "count")),
+    ]
+    assert [[s.name for s in w] for w in plan.waves(steps)] == [["hist/a", "hist/b"], ["hist/c", "hist/d"], ["count"], ["never"]]
+    results = plan.run_dependent(warehouse, steps, DAY)
+    assert results["hist/a"].record_cnt_after == results["hist/d"].record_cnt_after == results["count"] == 3
+    assert isinstance(results["hist/b"], ValueError)
+    assert isinstance(results["hist/c"], plan.Skipped) and isinstance(results["never"], plan.Skipped)
+    status = {r["table_name"]: r["execution_status"] for r in warehouse.actions().collect()}
+    assert status == {"A": 1, "B": -1, "D": 1}
+    assert sorted(r["table_name"] for r in warehouse.audit().collect()) == ["A", "D"]
+    # One append of the history per wave: the loads of the first one share their files.
+    started = files_below(f"{warehouse.root}/history/actions")
+    assert len([f for f in started if f.endswith(".parquet")]) == 2
+
+
+def test_steps_of_a_wave_run_side_by_side_with_tags_and_pools(spark, warehouse):
+    import threading
+
+    meet, seen = threading.Barrier(2, timeout=30), []
+
+    def work(name):
+        meet.wait()
+        seen.append((name, spark.sparkContext.getLocalProperty("spark.scheduler.pool"), len(spark.sparkContext.getJobTags())))
+        return name
+
+    results = plan.run_dependent(warehouse, [plan.Step(n, lambda n=n: work(n)) for n in ("x", "y")], DAY)
+    assert results == {"x": "x", "y": "y"} and sorted(seen) == [("x", "x", 1), ("y", "y", 1)]
+
+
+def test_a_failure_can_cancel_the_other_jobs(spark, warehouse):
+    import time
+
+    def slow():
+        return spark.range(4, numPartitions=4).select(F.expr("java_method('java.lang.Thread', 'sleep', 30000L)")).collect()
+
+    def fails():
+        time.sleep(3)
+        raise RuntimeError("lost")
+
+    begin = time.time()
+    steps = [plan.Step("slow", slow), plan.Step("fails", fails), plan.Step("later", lambda: 1, ("fails",)), plan.Step("free", lambda: 2, ("slow",))]
+    results = plan.run_dependent(warehouse, steps, DAY, stop_on_failure=True)
+    assert time.time() - begin < 25
+    assert isinstance(results["fails"], RuntimeError) and isinstance(results["slow"], Exception)
+    assert isinstance(results["later"], plan.Skipped) and isinstance(results["free"], plan.Skipped)
+
+
+def test_orders_that_cannot_be(spark):
+    step = lambda n, *after: plan.Step(n, lambda: n, after)
+    with pytest.raises(ValueError, match="wait for each other: a, b"):
+        plan.waves([step("a", "b"), step("b", "a"), step("c")])
+    with pytest.raises(ValueError, match="unknown"):
+        plan.waves([step("a", "z")])
+    with pytest.raises(ValueError, match="one name"):
+        plan.waves([step("a"), step("a")])
+
+
+def test_statistics_of_loads_side_by_side(spark, warehouse):
+    rows = series(spark, DAY, 10, 1)
+    for n in (4, 6, 9):
+        jobs = [(config(ingestion_type="S3", table_name=t), SPECS, rows.limit(n + k)) for k, t in enumerate(("X", "Y"))]
+        plan.ingest_many(warehouse, jobs, DAY)
+    audit = warehouse.audit().filter("table_name = 'X'").orderBy("audit_id").collect()
+    assert [r["delta"] for r in audit] == [4.0, 2.0, 3.0] and [r["delta_avg"] for r in audit] == [4.0, 3.0, 3.0]
+    assert sorted(r["audit_id"] for r in warehouse.audit().collect()) == [1, 2, 3, 4, 5, 6]

@@ -768,6 +768,66 @@ def ingest_multi_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def ingest_dependent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and a regression in waves: one table fails, and only what depends on it is skipped."""
+    warehouse = plan.Warehouse(spark, scratch(spark, "ingest_dependent"), clock=lambda: AS_OF, user="tester")
+    after = {"orders": ["customer"], "lineitem": ["part"], "supplier": ["orders"], "nation": ["lineitem", "customer"]}
+    steps: list[plan.Load | plan.Step] = []
+    for name in ("nation", "supplier", "lineitem", "orders", "part", "customer"):
+        df = table(spark, sf_dir, name)
+        specs = specs_from(df) + ([ColumnSpec("no_such_column", "STRING", "x")] if name == "part" else [])
+        config = plan.TableConfig("FILES", "SALES", name, "FULL", ingestion_type="S3")
+        steps.append(plan.Load(config, specs, df, tuple(f"sales/{a}" for a in after.get(name, ()))))
+
+    def regression() -> float:
+        orders = warehouse.table(next(s.config for s in steps if s.name == "sales/orders")).read().withColumn(
+            "time", scalar.millis(F.col("o_orderdate")) + (F.col("o_orderkey") % 24) * 3_600_000
+        )
+        return plan.fit_and_score(orders, "time", "o_totalprice", ["o_custkey"], F.col("o_orderkey"), AS_OF)[1].first()["rmse"]
+
+    results = plan.run_dependent(warehouse, [plan.Step("regression", regression, ("sales/orders",)), *steps], AS_OF)
+    outcome = [
+        (name.rsplit("/", 1)[-1], "skipped" if isinstance(r, plan.Skipped) else "failed" if isinstance(r, Exception) else "done", r if isinstance(r, float) else None)
+        for name, r in results.items()
+    ]
+    told = spark.createDataFrame(outcome, "table_name string, outcome string, rmse double")
+    history = warehouse.actions().select("table_name", "execution_status").join(warehouse.audit().select("table_name", "record_cnt_after"), "table_name", "left")
+    return told.join(history, "table_name", "left").withColumn("rmse", F.round("rmse", 3))
+
+
+@query
+def ingest_text_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load and a pull behind a watermark that is ISO text; other text comes every time."""
+    events = table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("week "), F.date_format("ts", "D"))).otherwise(F.date_format("ts", scalar.ISO_SECONDS))
+    told = events.select("event_id", text.alias("changed"), "value")
+    specs = [ColumnSpec("event_id", "INT64", "event_id"), ColumnSpec("changed", "STRING", "changed"), ColumnSpec("value", "FLOAT64", "value")]
+    warehouse = plan.Warehouse(spark, scratch(spark, "ingest_text"), clock=lambda: AS_OF, user="tester")
+    common = dict(connection_name="API", database_schema="WEB", table_name="EVENTS", load_type="INCR", primary_key_column="EVENT_ID", incremental_date_column="CHANGED")
+    first = told.filter(events["ts"] < scalar.ts_lit(EARLIER))
+    plan.ingest(warehouse, plan.TableConfig(ingestion_type="S3", **common), specs, first, EARLIER)
+    config = plan.TableConfig(ingestion_type=plan.REQUEST, **common)
+    plan.ingest(warehouse, config, specs, told.withColumn("value", F.col("value") + 1), AS_OF)
+    return warehouse.table(config).read()
+
+
+@query
+def ingest_hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly buckets from a first load, a late one into the same buckets, and a pull."""
+    events = table(spark, sf_dir, "events")
+    warehouse = plan.Warehouse(spark, scratch(spark, "ingest_series"), clock=lambda: AS_OF, user="tester")
+    series = plan.Series(("event_type",), "event_time", "value", "event_id")
+    common = dict(connection_name="API", database_schema="WEB", table_name="HOURS", load_type="INCR", primary_key_column="BUCKET", incremental_date_column="EVENT_TIME", extra_parameters="h1")
+    before, third = F.col("ts") < scalar.ts_lit(EARLIER), F.col("event_id") % 3 == 0
+    landed = plan.TableConfig(ingestion_type="S3", **common)
+    plan.ingest(warehouse, landed, _EVENT_SPECS, events.filter(before & ~third), EARLIER, series=series)
+    plan.ingest(warehouse, landed, _EVENT_SPECS, events.filter(before & third), EARLIER, series=series)
+    pulled = plan.TableConfig(ingestion_type=plan.REQUEST, **common)
+    plan.ingest(warehouse, pulled, _EVENT_SPECS, events, AS_OF, series=series)
+    return warehouse.table(pulled).read().drop(*staging.AUDIT_COLUMNS)
+
+
 @query
 def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files merged as a stream, then changed ones merged by a second run."""

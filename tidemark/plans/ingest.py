@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, fields
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor, as_completed
+from dataclasses import dataclass, field, fields
 from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
+from tidemark.functions.scalar import epoch_ms
+from tidemark.functions.sizes import broadcast_if_small
 from tidemark.functions.types import struct_of
 from tidemark.operators import audit as A, extract as X, load as L, metadata as M, regression as R
 from tidemark.operators.staging import projection, stage
@@ -20,7 +24,9 @@ REQUEST = "REQUEST"
 CHANGES = struct_of(
     "action_id bigint, seq bigint, execution_end_datetime timestamp_ntz, execution_status bigint"
 )
-Source = DataFrame | Callable[[Any, Any], DataFrame]
+Source = DataFrame | Callable[..., DataFrame]
+#: Tables of a wave that are loaded at the same time.
+PARALLEL = 8
 
 
 @dataclass(frozen=True)
@@ -42,6 +48,11 @@ class TableConfig:
     quote_characters: str | None = None
     escape_characters: str | None = None
     accepted_encoding: str | None = None
+    extra_parameters: str | None = None
+    to_parquet: bool | None = None
+    bucket: str | None = None
+    bucket_destination: str | None = None
+    archive_destination: str | None = None
 
     @classmethod
     def from_row(cls, row: Row) -> TableConfig:
@@ -53,6 +64,13 @@ class TableConfig:
     def path(self) -> str:
         return f"{self.database_schema.lower()}/{self.table_name.lower()}"
 
+    def place(self, root: str, destination: str | None, otherwise: str) -> str:
+        """Where the configured destination lies: in the bucket, or below ``root`` without one."""
+        if not destination:
+            return f"{root}/{otherwise}/{self.path}"
+        parts = [(self.bucket or root).rstrip("/"), destination.strip("/"), self.table_name.lower()]
+        return "/".join(p for p in parts if p)
+
     def file_source(self, spark: SparkSession, uri: str, columns: Sequence[str] | None = None) -> DataFrame:
         """The configured file as a DataFrame."""
         options: dict[str, Any] = {}
@@ -67,6 +85,20 @@ class TableConfig:
         return files.read_landing(spark, uri, self.file_format or "PARQUET", columns, **options)
 
 
+@dataclass(frozen=True)
+class Series:
+    """How raw observations become the buckets of a table: its last value per ``keys`` and interval.
+
+    The names are target columns. ``tie_break`` decides between observations of one time. The
+    interval comes from the configuration (``extra_parameters``).
+    """
+
+    keys: tuple[str, ...]
+    time: str
+    value: str
+    tie_break: str
+
+
 @dataclass(frozen=True)
 class IngestResult:
     action_id: int
@@ -97,25 +129,26 @@ class Warehouse:
         )
 
     def landing(self, config: TableConfig) -> str:
-        return f"{self.root}/landing/{config.path}"
+        return config.place(self.root, config.bucket_destination, "landing")
 
     def archive(self, config: TableConfig) -> str:
-        return f"{self.root}/archive/{config.path}"
+        return config.place(self.root, config.archive_destination, "archive")
 
     def _history(self, name: str, schema: T.StructType) -> DataFrame:
         found = files.read_if_present(self.spark, f"{self.root}/history/{name}", schema)
         return self.spark.createDataFrame([], schema) if found is None else found
 
-    def _append(self, name: str, schema: T.StructType, row: tuple | DataFrame, partition_by: Sequence[str] = ()) -> None:
-        df = row if isinstance(row, DataFrame) else files.one_row(self.spark, schema, row)
+    def _append(self, name: str, schema: T.StructType, rows: list[tuple] | DataFrame, partition_by: Sequence[str] = ()) -> None:
+        df = rows if isinstance(rows, DataFrame) else files.few_rows(self.spark, schema, rows)
         files.write_table(df.coalesce(1), f"{self.root}/history/{name}", schema, "append", partition_by)
 
-    def _next_id(self, history: DataFrame, column: str) -> int:
-        """The next id; the history is asked once, then this writer counts on."""
+    def _next_ids(self, history: DataFrame, column: str, n: int) -> list[int]:
+        """The next ids; the history is asked once, then this writer counts on."""
         if column not in self._last_ids:
             self._last_ids[column] = X.watermark(history, column) or 0
-        self._last_ids[column] += 1
-        return self._last_ids[column]
+        first = self._last_ids[column] + 1
+        self._last_ids[column] += n
+        return list(range(first, first + n))
 
     def actions(self) -> DataFrame:
         """The action history with the current status of every action."""
@@ -127,51 +160,100 @@ class Warehouse:
         """The audit rows, one per finished run."""
         return self._history("audit", M.AUDIT_DETAILS).select(*M.AUDIT_DETAILS.fieldNames())
 
-    def open_action(self, config: TableConfig) -> tuple[int, datetime]:
-        started = self.clock()
-        action_id = self._next_id(self._history("actions", M.ACTION_HISTORY), "action_id")
+    def open_actions(self, configs: Sequence[TableConfig]) -> list[Run]:
+        """Note the start of several loads, in one append."""
+        ids = self._next_ids(self._history("actions", M.ACTION_HISTORY), "action_id", len(configs))
+        runs = [Run(config, action_id, self.clock()) for config, action_id in zip(configs, ids)]
         self._append(
             "actions",
             M.ACTION_HISTORY,
-            (action_id, config.connection_name, config.database_schema, config.table_name, self.user, started, None, A.IN_PROGRESS),
+            [
+                (r.action_id, r.config.connection_name, r.config.database_schema, r.config.table_name, self.user, r.started, None, A.IN_PROGRESS)
+                for r in runs
+            ],
         )
-        return action_id, started
+        return runs
 
-    def close_action(self, action_id: int, status: int) -> datetime:
-        ended = self.clock()
-        self._append("changes", CHANGES, (action_id, 1, ended, status))
-        return ended
+    def close_actions(self, runs: Sequence[Run]) -> None:
+        """Note the ends of several loads, in one append each for their status and audit rows."""
+        self._append("changes", CHANGES, [(r.action_id, 1, r.ended, r.status) for r in runs])
+        counted = [r for r in runs if r.before is not None]
+        if counted:
+            self._close_audits(counted)
 
-    def close_audit(
-        self, config: TableConfig, action_id: int, started: datetime, ended: datetime,
-        before: int | None, after: int | None,
-    ) -> None:
-        """Append the audit row of a run with the statistics that include it.
+    def _close_audits(self, runs: Sequence[Run]) -> None:
+        """Append audit rows with the statistics that include them.
 
-        The rows lie in one folder per table, so only this table's are read.
+        The rows lie in one folder per table, so only those of these tables are read, and of
+        them the newest of every table.
         """
         history = self.audit()
-        audit_id = self._next_id(history, "audit_id")
-        delta = None if before is None or after is None else float(after - before)
-        row = (
-            audit_id, action_id, config.connection_name, config.database_schema, config.table_name,
-            started, ended, None, before, after, delta, None, None, None,
+        ids = self._next_ids(history, "audit_id", len(runs))
+        rows = [
+            (
+                audit_id, r.action_id, r.config.connection_name, r.config.database_schema, r.config.table_name,
+                r.started, r.ended, None, r.before, r.after, r.delta, None, None, None,
+            )
+            for audit_id, r in zip(ids, runs)
+        ]
+        own = files.few_rows(self.spark, M.AUDIT_DETAILS, rows)
+        table = ["database_schema", "table_name"]
+        mine = history.filter(
+            F.col(table[0]).isin([r.config.database_schema for r in runs]) & F.col(table[1]).isin([r.config.table_name for r in runs])
         )
-        own = files.one_row(self.spark, M.AUDIT_DETAILS, row)
-        mine = M.lookup(history, database_schema=config.database_schema, table_name=config.table_name)
-        newest = mine.orderBy(F.desc("audit_id")).limit(A.LAST_RUNS - 1).select("delta").unionByName(own.select("delta"))
+        stats = A.latest_stats(mine.select(*table, "audit_id", "delta").unionByName(own.select(*table, "audit_id", "delta")))
+        computed = ("delta_avg", "delta_variance", "delta_std_deviation")
         minutes = A.duration_minutes(F.col("execution_start_datetime"), F.col("execution_end_datetime"))
-        full = newest.agg(*A.delta_columns()).select(
-            *files.constants(M.AUDIT_DETAILS, row, leave_out=("delta_avg", "delta_variance", "delta_std_deviation")),
-            "delta_avg", "delta_variance", "delta_std_deviation",
-        ).withColumn("execution_duration", minutes)
-        self._append("audit", M.AUDIT_DETAILS, full, ("database_schema", "table_name"))
+        # As many rows as tables in this append.
+        full = own.drop(*computed).join(F.broadcast(stats.select(*table, *computed)), table).withColumn("execution_duration", minutes)
+        self._append("audit", M.AUDIT_DETAILS, full, table)
+
+
+@dataclass
+class Run:
+    """One load of one table, from its action row to its audit row."""
+
+    config: TableConfig
+    action_id: int
+    started: datetime
+    ended: datetime | None = None
+    status: int = A.IN_PROGRESS
+    before: int | None = None
+    after: int | None = None
+
+    @property
+    def delta(self) -> float | None:
+        return None if self.before is None or self.after is None else float(self.after - self.before)
+
+
+@dataclass(frozen=True)
+class Pull:
+    """The window of a pull: ``start <= value < end``, in the terms of the source."""
+
+    spec: M.ColumnSpec
+    start: Any
+    end: Any
+
+    def value(self, df: DataFrame) -> Column:
+        """What the bounds are compared with."""
+        staged = projection(df, [self.spec])[0]
+        return epoch_ms(staged) if isinstance(self.spec.type, T.StringType) else staged
 
 
 def resolve_window(
-    table: SnapshotTable, config: TableConfig, specs: Sequence[M.ColumnSpec], action: str, as_of: datetime
-) -> tuple[M.ColumnSpec, Any, Any] | None:
-    """Column, start and end of the pull; None when the source is not windowed."""
+    table: SnapshotTable,
+    config: TableConfig,
+    specs: Sequence[M.ColumnSpec],
+    action: str,
+    as_of: datetime,
+    series: Series | None = None,
+) -> Pull | None:
+    """Column, start and end of the pull; None when the source is not windowed.
+
+    Bounds are moments for a time column and epoch milliseconds for a number. The ISO text
+    of a text column is read as epoch milliseconds as well; other text is no watermark. A
+    series starts at the beginning of its newest bucket, which is then counted anew.
+    """
     if config.ingestion_type != REQUEST or not config.incremental_date_column:
         return None
     target = config.incremental_date_column.lower()
@@ -183,10 +265,16 @@ def resolve_window(
     def point(moment: datetime) -> Any:
         return int(moment.replace(tzinfo=timezone.utc).timestamp() * 1000) if as_epoch else moment
 
-    start = table.watermark(target) if action == "merge" else None
+    start = None
+    if action == "merge" and series is not None:
+        start = table.watermark("bucket")
+    elif action == "merge" and isinstance(spec.type, T.StringType):
+        start = table.read().agg(F.max(epoch_ms(F.col(target)))).first()[0]
+    elif action == "merge":
+        start = table.watermark(target)
     if start is None:
         start = point(as_of - timedelta(days=X.LOOK_BACK_DAYS))
-    return spec, start, point(as_of)
+    return Pull(spec, start, point(as_of))
 
 
 def load_reference(
@@ -197,6 +285,7 @@ def load_reference(
     keys: str | Sequence[str] | None = None,
     watermark: str | None = None,
     tag: str | None = None,
+    combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     **merge_options: Any,
 ) -> int:
     """Publish the next version of a reference table.
@@ -205,14 +294,19 @@ def load_reference(
     names, and writes the files that hold them anew; all others stay in place. A row whose
     partition value changes moves. The rows it inserts go to a folder of their own, so a
     series that grows at its end rewrites no more than the end of its last load.
+
+    ``combine`` makes the rows to merge from the published rows with the source's keys and the
+    source, for tables that hold states.
     """
     if action in ("create", "full_refresh"):
         return table.publish(L.full_refresh(staged, load_ts), watermark=watermark, tag=tag)
     keys = [keys] if isinstance(keys, str) else list(keys)
     touched, matched = table.holding(staged, keys)
-    kept, inserted = L.merge_parts(
-        table.read(folders=touched), staged, keys, load_ts, matched=matched, **merge_options
-    )
+    held = table.read(folders=touched)
+    if combine is not None:
+        known, _ = broadcast_if_small(matched)
+        staged = combine(held.join(known, keys, "left_semi"), staged)
+    kept, inserted = L.merge_parts(held, staged, keys, load_ts, matched=matched, **merge_options)
     if table.partitioned_by:
         frames = [kept.unionByName(inserted) if touched else inserted]
     else:
@@ -220,6 +314,54 @@ def load_reference(
     return table.publish(*frames, replace=touched, watermark=watermark, tag=tag)
 
 
+def _load(
+    warehouse: Warehouse,
+    run: Run,
+    specs: Sequence[M.ColumnSpec],
+    source: Source,
+    as_of: datetime,
+    load_type_override: str | None = None,
+    series: Series | None = None,
+    **merge_options: Any,
+) -> IngestResult:
+    """The work of one load between its two notes in the history."""
+    spark, config = warehouse.spark, run.config
+    table = warehouse.table(config)
+    specs = M.check_specs(specs)
+    key = config.primary_key_column.lower() if config.primary_key_column else None
+    action = L.route(table.exists(), config.load_type, key, load_type_override)
+    window = resolve_window(table, config, specs, action, as_of, series)
+    start, end = (None, None) if window is None else (window.start, window.end)
+    if callable(source):
+        # A source that is asked for an interval resamples by itself.
+        asked = {} if series is not None or not config.extra_parameters else {"interval": config.extra_parameters}
+        pulled = source(start, end, **asked)
+    elif window is None:
+        pulled = source
+    else:
+        pulled = X.incremental(source, window.value(source), start, end, keep_null=True)
+
+    if config.to_parquet is not False:
+        landing = warehouse.landing(config)
+        files.archive_landing(spark, landing, warehouse.archive(config), f"{as_of:%Y%m%d%H%M%S}-{run.action_id}")
+        files.write_parquet(pulled, landing, config.accepted_encoding, mode="overwrite")
+        pulled = spark.read.schema(pulled.schema).parquet(landing)
+    staged = stage(pulled, specs, as_of)
+
+    run.before = table.row_count()
+    mark = config.incremental_date_column.lower() if config.incremental_date_column else None
+    if series is not None:
+        width = X.interval_width(config.extra_parameters)
+        staged = X.observed(staged, series.keys, series.time, series.value, series.tie_break, width)
+        key, mark = [*series.keys, "bucket"], "bucket"
+        if window is None:
+            # Late observations join what is published; a window holds its buckets whole.
+            merge_options["combine"] = lambda held, new: X.joined_states(held, new, series.keys, series.value)
+    version = load_reference(table, staged, action, as_of, key, mark, **merge_options)
+    run.after = table.row_count()
+    return IngestResult(run.action_id, action, version, run.before, run.after)
+
+
 def ingest(
     warehouse: Warehouse,
     config: TableConfig,
@@ -227,47 +369,148 @@ def ingest(
     source: Source,
     as_of: datetime | None = None,
     load_type_override: str | None = None,
-    **merge_options: Any,
+    **options: Any,
 ) -> IngestResult:
     """One run for one table. A failure leaves status -1 and is raised again.
 
     ``source`` is a DataFrame, or a function of the window (start, end) that gives
-    one; a DataFrame is filtered to the window when the configuration has one.
+    one; a DataFrame is filtered to the window when the configuration has one. A function
+    also gets ``interval`` where the configuration has ``extra_parameters``. With ``series``
+    (:class:`Series`) the load resamples to that interval itself.
     """
-    spark, table = warehouse.spark, warehouse.table(config)
     as_of = as_of or warehouse.clock()
-    action_id, started = warehouse.open_action(config)
-    before: int | None = None
-    try:
-        specs = M.check_specs(specs)
-        key = config.primary_key_column.lower() if config.primary_key_column else None
-        action = L.route(table.exists(), config.load_type, key, load_type_override)
-        window = resolve_window(table, config, specs, action, as_of)
-        if window is None:
-            pulled = source(None, None) if callable(source) else source
-        else:
-            spec, start, end = window
-            pulled = source(start, end) if callable(source) else source
-            if not callable(source):
-                pulled = X.incremental(pulled, projection(pulled, [spec])[0], start, end, keep_null=True)
+    load = Load(config, specs, source, options={"load_type_override": load_type_override, **options})
+    result = _wave(warehouse, [load], as_of, 1, False)[load.name]
+    if isinstance(result, BaseException):
+        raise result
+    return result
+
+
+class Skipped(Exception):
+    """A step that did not run, as one it depends on failed."""
 
-        landing = warehouse.landing(config)
-        files.archive_landing(spark, landing, warehouse.archive(config), f"{as_of:%Y%m%d%H%M%S}-{action_id}")
-        files.write_parquet(pulled, landing, config.accepted_encoding, mode="overwrite")
-        staged = stage(spark.read.schema(pulled.schema).parquet(landing), specs, as_of)
-
-        before = table.row_count()
-        mark = config.incremental_date_column.lower() if config.incremental_date_column else None
-        version = load_reference(table, staged, action, as_of, key, mark, **merge_options)
-        after = table.row_count()
-    except Exception:
-        ended = warehouse.close_action(action_id, A.FAILED)
-        if before is not None:
-            warehouse.close_audit(config, action_id, started, ended, before, None)
-        raise
-    ended = warehouse.close_action(action_id, A.COMPLETE)
-    warehouse.close_audit(config, action_id, started, ended, before, after)
-    return IngestResult(action_id, action, version, before, after)
+
+@dataclass(frozen=True)
+class Load:
+    """A table to load; ``after`` names the steps that must have succeeded before."""
+
+    config: TableConfig
+    specs: Sequence[M.ColumnSpec]
+    source: Source
+    after: tuple[str, ...] = ()
+    options: Mapping[str, Any] = field(default_factory=dict)
+
+    @property
+    def name(self) -> str:
+        return self.config.path
+
+
+@dataclass(frozen=True)
+class Step:
+    """Any other work of a dependent run, such as a fit over a loaded table."""
+
+    name: str
+    run: Callable[[], Any]
+    after: tuple[str, ...] = ()
+
+
+def waves(steps: Sequence[Load | Step]) -> list[list[Load | Step]]:
+    """The steps in order of their dependencies; those of a wave need nothing of each other."""
+    names = [s.name for s in steps]
+    if len(set(names)) < len(names):
+        raise ValueError("two steps have one name")
+    unknown = {a for s in steps for a in s.after} - set(names)
+    if unknown:
+        raise ValueError(f"steps after unknown ones: {', '.join(sorted(unknown))}")
+    out: list[list[Load | Step]] = []
+    left, done = list(steps), set()
+    while left:
+        ready = [s for s in left if done.issuperset(s.after)]
+        if not ready:
+            raise ValueError(f"steps wait for each other: {', '.join(sorted(s.name for s in left))}")
+        out.append(ready)
+        done.update(s.name for s in ready)
+        left = [s for s in left if s.name not in done]
+    return out
+
+
+def run_dependent(
+    warehouse: Warehouse,
+    steps: Sequence[Load | Step],
+    as_of: datetime | None = None,
+    parallel: int = PARALLEL,
+    stop_on_failure: bool = False,
+) -> dict[str, Any]:
+    """Run loads and other steps, each after those it depends on.
+
+    The steps of a wave run at the same time, each in a scheduler pool of its own (shared out
+    evenly where the session's scheduler mode is FAIR). The history gets one append per wave
+    for starts and one for ends. A step that fails leaves its exception in the result, and only
+    what depends on it is skipped (:class:`Skipped`). ``stop_on_failure`` also cancels the jobs
+    of the other steps of its wave, by their job tags, and skips all later ones; so does an
+    interruption of the driver.
+    """
+    as_of = as_of or warehouse.clock()
+    results: dict[str, Any] = {}
+    for wave in waves(steps):
+        for step in wave:
+            lost = [a for a in step.after if isinstance(results[a], BaseException)]
+            if not lost and stop_on_failure:
+                lost = [n for n, r in results.items() if isinstance(r, BaseException)]
+            if lost:
+                results[step.name] = Skipped(f"{step.name}: {', '.join(lost)} failed or did not run")
+        results.update(_wave(warehouse, [s for s in wave if s.name not in results], as_of, parallel, stop_on_failure))
+    return results
+
+
+def _wave(
+    warehouse: Warehouse, steps: Sequence[Load | Step], as_of: datetime, parallel: int, stop_on_failure: bool
+) -> dict[str, Any]:
+    """Run steps that need nothing of each other; results and exceptions by name."""
+    context = warehouse.spark.sparkContext
+    loads = [s for s in steps if isinstance(s, Load)]
+    runs = dict(zip((s.name for s in loads), warehouse.open_actions([s.config for s in loads]) if loads else []))
+    tags = {s.name: f"tidemark-{uuid.uuid4().hex}" for s in steps}
+
+    def work(step: Load | Step) -> Any:
+        # Pools and tags belong to the thread that submits the jobs.
+        context.setLocalProperty("spark.scheduler.pool", step.name)
+        context.addJobTag(tags[step.name])
+        try:
+            if isinstance(step, Step):
+                return step.run()
+            return _load(warehouse, runs[step.name], step.specs, step.source, as_of, **step.options)
+        finally:
+            context.removeJobTag(tags[step.name])
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    results: dict[str, Any] = {}
+
+    def note(name: str, future: Future) -> None:
+        problem = future.exception()
+        results[name] = future.result() if problem is None else problem
+        if name in runs:
+            runs[name].ended = warehouse.clock()
+            runs[name].status = A.COMPLETE if problem is None else A.FAILED
+        if problem is not None and stop_on_failure:
+            for other, tag in tags.items():
+                if other not in results:
+                    context.cancelJobsWithTag(tag)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(steps)))) as pool:
+        futures = {pool.submit(work, s): s.name for s in steps}
+        try:
+            for future in as_completed(futures):
+                note(futures[future], future)
+        except BaseException:
+            for future in futures:
+                future.cancel()
+            for tag in tags.values():
+                context.cancelJobsWithTag(tag)
+            raise
+    if runs:
+        warehouse.close_actions(list(runs.values()))
+    return results
 
 
 def find_table(
@@ -328,16 +571,11 @@ def ingest_many(
     warehouse: Warehouse,
     jobs: Sequence[tuple[TableConfig, Sequence[M.ColumnSpec], Source]],
     as_of: datetime | None = None,
+    parallel: int = PARALLEL,
     **options: Any,
 ) -> dict[str, IngestResult | Exception]:
-    """Run several tables one after the other; a failed one does not stop the rest."""
-    results: dict[str, IngestResult | Exception] = {}
-    for config, specs, source in jobs:
-        try:
-            results[config.path] = ingest(warehouse, config, specs, source, as_of, **options)
-        except Exception as problem:  # recorded with status -1 by ingest
-            results[config.path] = problem
-    return results
+    """Load several tables side by side; a failed one does not stop the rest."""
+    return run_dependent(warehouse, [Load(*job, options=options) for job in jobs], as_of, parallel)
 
 
 def fit_and_score(

@@ -396,6 +396,9 @@ def _events(value: str, where: str) -> str:
 _FIRST = f"ts < {_EARLIER}"
 _PULLED = f"ts >= (SELECT max(ts) FROM events WHERE {_FIRST}) AND ts < {_AS_OF}"
 
+_TEXT_TIME = """
+    CASE WHEN event_id % 50 = 0 THEN 'week ' || dayofyear(ts) ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END"""
+
 _CHANGED_EVENTS = _merge(
     _events("value", _FIRST), _events("value + 1", "ts >= TIMESTAMP '2024-01-17'"), "event_id", _EVENT_COLUMNS
 )
@@ -426,6 +429,37 @@ _END_TO_END = {
         for t in ("customer", "orders", "part")
     )
     + f" SELECT 'regression', NULL, NULL, NULL, round({_RMSE}, 3) FROM l6",
+    "ingest_dependent": _least_squares(
+        f"""SELECT y, {_calendar("moment")}, o_custkey, is_train FROM (
+                SELECT o_totalprice AS y, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS moment, o_custkey,
+                       {_is_train("CAST(o_orderkey AS VARCHAR)")} AS is_train FROM orders)""",
+        ["hour", "dayofweek", "dayofmonth", "month", "year", "o_custkey"],
+    )
+    + "".join(
+        f"""
+        SELECT '{t}' AS table_name, 'done' AS outcome, CAST(NULL AS DOUBLE) AS rmse, 1::BIGINT AS execution_status,
+               count(*) AS record_cnt_after FROM {t} UNION ALL"""
+        for t in ("customer", "orders", "supplier")
+    )
+    + f"""
+        SELECT 'part', 'failed', NULL, -1, NULL UNION ALL SELECT 'lineitem', 'skipped', NULL, NULL, NULL
+        UNION ALL SELECT 'nation', 'skipped', NULL, NULL, NULL
+        UNION ALL SELECT 'regression', 'done', round({_RMSE}, 3), NULL, NULL FROM l6""",
+    "ingest_text_watermark": _merge(
+        f"SELECT event_id, {_TEXT_TIME} AS changed, value FROM events WHERE {_FIRST}",
+        f"""SELECT event_id, {_TEXT_TIME} AS changed, value + 1 AS value FROM events
+            WHERE event_id % 50 = 0 OR (ts < {_AS_OF}
+              AND date_trunc('second', ts) >= (SELECT max(date_trunc('second', ts)) FROM events WHERE {_FIRST} AND event_id % 50 <> 0))""",
+        "event_id",
+        "event_id, changed, value",
+    ),
+    "ingest_hourly_series": f"""
+        SELECT event_type, bucket, observed_at, observed_id, value, observations FROM (
+            SELECT event_type, date_trunc('hour', ts) AS bucket, ts AS observed_at, event_id AS observed_id, value,
+                   count(*) OVER (PARTITION BY event_type, date_trunc('hour', ts)) AS observations,
+                   row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn
+            FROM events WHERE ts < {_AS_OF})
+        WHERE rn = 1""",
     "load_merge_series": _CHANGED_EVENTS,
     "stream_available_now": _CHANGED_EVENTS,
 }

@@ -20,7 +20,8 @@ RUNTIME_CONF = {
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``__`` for dots."""
-    builder = SparkSession.builder.appName(app_name)
+    # Tables that are loaded at the same time share the executors evenly.
+    builder = SparkSession.builder.appName(app_name).config("spark.scheduler.mode", "FAIR")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -280,6 +280,12 @@ def one_row(spark: SparkSession, schema: T.StructType, values: Sequence) -> Data
     return spark.range(1, numPartitions=1).select(*constants(schema, values))
 
 
+def few_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[Sequence]) -> DataFrame:
+    """Rows of constants."""
+    structs = [F.struct(*constants(schema, values)) for values in rows]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -307,12 +313,24 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None
 
 
 def archive_landing(spark: SparkSession, landing: str, archive: str, stamp: str) -> bool:
-    """Keep the previous landing under ``archive/archived_at=<stamp>``.
+    """Move the previous landing to ``archive/archived_at=<stamp>``.
 
-    Returns False when there was none, which is no error.
+    The files stay as they are; only where landing and archive lie in different stores are
+    they copied, by Spark. Returns False when there was none, which is no error.
     """
+    target = f"{archive}/archived_at={stamp}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    source_fs, target_fs = path(landing).getFileSystem(conf), path(target).getFileSystem(conf)
+    if not source_fs.exists(path(landing)):
+        return False
+    if source_fs.getUri().equals(target_fs.getUri()):
+        target_fs.mkdirs(path(archive))
+        if not target_fs.rename(path(landing), path(target)):
+            raise OSError(f"could not move {landing} to {target}")
+        return True
     previous = read_if_present(spark, landing)
     if previous is None:
         return False
-    write_parquet(previous, f"{archive}/archived_at={stamp}")
+    write_parquet(previous, target)
     return True
