@@ -64,10 +64,10 @@ def test_same_table_name_in_two_schemas_stays_apart(spark):
     assert {r["database_schema"]: r["delta_avg"] for r in A.latest_stats(runs).collect()} == {"a": 1.0, "b": 9.0}
 
 
-@pytest.mark.parametrize("width", [1, 7, 100_000])
-def test_ids_are_dense_and_ordered(spark, width):
+@pytest.mark.parametrize("ranges", [1, 7, None, 3000])
+def test_ids_are_dense_and_ordered(spark, ranges):
     df = spark.range(100).select((F.col("id") * 13 % 1009).alias("key"))
-    rows = A.assign_ids(df, "key", base=50, width=width).orderBy("key").collect()
+    rows = A.assign_ids(df, "key", base=50, ranges=ranges).orderBy("key").collect()
     assert [r["id"] for r in rows] == list(range(51, 151))
 
 
@@ -81,3 +81,34 @@ def test_status_changes_apply_in_order(spark):
     rows = A.current_actions(actions, changes).orderBy("action_id").collect()
     assert [(r["execution_status"], r["execution_end_datetime"] is None) for r in rows] == [(1, False), (-1, False), (0, True)]
     assert A.current_actions(actions, changes).columns == actions.columns
+
+
+def test_ids_of_sparse_keys_and_without_rows(spark):
+    # Half of the keys are neighbours, the others lie far apart, below zero too.
+    df = spark.range(4000, numPartitions=7).select(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise((F.col("id") - 2000) * 10**14).alias("key"), F.lit("x").alias("v"))
+    got = A.assign_ids(df, "key").orderBy("key").collect()
+    assert [r["id"] for r in got] == list(range(1, 4001)) and got[0].asDict().keys() == {"key", "v", "id"}
+    assert A.assign_ids(df.limit(0), "key").count() == 0
+
+
+def test_no_window_over_all_rows(spark):
+    df = spark.range(1000, numPartitions=4).select(F.col("id").alias("key"))
+    plan = A.assign_ids(df, "key")._jdf.queryExecution().executedPlan().toString()
+    # The one window without a partitioning is over sums of blocks of ranges, after two aggregations.
+    before = plan[plan.index("Exchange SinglePartition"):]
+    assert plan.count("Exchange SinglePartition") == 1 and before.count("HashAggregate") >= 4
+    runs = spark.range(1000).selectExpr("'s' AS database_schema", "'t' AS table_name", "id * 1000003 AS audit_id", "cast(id AS double) AS delta")
+    assert "hashpartitioning(_b" in A.delta_stats(runs)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("width", [2, 9, 100_000])
+def test_rolling_statistics_of_one_table_with_sparse_ids(spark, width):
+    rng = random.Random(13)
+    ids = sorted(rng.sample(range(10**15), 600))
+    rows = [("s", "hot" if i % 20 else f"t{i % 3}", n, float(rng.randrange(30))) for i, n in enumerate(ids)]
+    history, want = defaultdict(list), {}
+    for _, table, n, delta in rows:
+        history[table].append(delta)
+        want[n] = statistics(history[table][-7:])
+    out = A.delta_stats(spark.createDataFrame(rows, RUNS), width=width).collect()
+    assert len(out) == 600 and all(close(r, want[r["audit_id"]]) for r in out)

@@ -182,3 +182,48 @@ def test_one_row(spark):
 
     row = files.one_row(spark, struct_of("a bigint, t timestamp_ntz, s string"), (1, datetime(2024, 1, 1, 2), None))
     assert tuple(row.first()) == (1, datetime(2024, 1, 1, 2), None)
+
+
+ODD = {
+    "data": [
+        {"id": 1, "a b": "x", "n": 1.5, "o": {"k": [1, 2]}, "m": 1, 'q"t': True, "z": None, "it's \"q": 5, "price": "1.5"},
+        {"id": 2, "n": 7, "m": "text", "arr": [1, {"b": 2}], "we,ird": 3, "co:lon": {"a,b": "c:d"}, "tick`s": 1, "big": 1e300},
+        {"id": 3, "m": {"deep": None}, "o": "flat", "a.b": "dot", "n": None},
+        {},
+    ]
+}
+
+
+def test_variant_response_has_the_union_of_names(spark, tmp_path):
+    import json
+
+    df = files.read_variant_response(spark, put(tmp_path, "r.json", json.dumps(ODD)))
+    got = sorted((r.asDict() for r in df.collect()), key=lambda r: r["id"] or 9)
+    names = sorted({k for r in ODD["data"] for k in r})
+    assert sorted(df.columns) == names
+    types = dict(df.dtypes)
+    assert (types["id"], types["n"], types['q"t'], types["big"], types["m"], types["price"]) == ("bigint", "double", "boolean", "double", "string", "string")
+    text = lambda v: json.dumps(v, separators=(",", ":")) if isinstance(v, (dict, list)) else v
+    for row, record in zip(got, ODD["data"]):
+        want = {n: text(record.get(n)) for n in names}
+        want["m"] = None if want["m"] is None else str(want["m"])
+        assert row == want
+
+
+def test_variant_responses_by_line_with_a_given_shape(spark, tmp_path):
+    path = put(tmp_path, "r.json", '{"data": [{"a": 1}, {"b": "x"}]}\n\n{"data": []}\n{"data": [{"a": "2"}]}\n')
+    assert rows(files.read_variant_response(spark, path, multiline=False)) == [("1", None), ("2", None), (None, "x")]
+    shape = struct_of("a bigint, c double")
+    assert rows(files.read_variant_response(spark, path, multiline=False, shape=shape)) == [(1, None), (2, None), (None, None)]
+
+
+@pytest.mark.parametrize("text, problem", [
+    ('{"error": 1}', "no data array"), ('{"data": [1, 2]}', "no objects"), ('{"data": [{"a": 1, "A": 2}]}', "only by case"), ('{"data": [', "(?i)malformed|json"),
+])
+def test_variant_responses_that_are_none(spark, tmp_path, text, problem):
+    with pytest.raises(Exception, match=problem):
+        files.read_variant_response(spark, put(tmp_path, "r.json", text)).collect()
+
+
+def test_variant_response_without_records(spark, tmp_path):
+    assert files.read_variant_response(spark, put(tmp_path, "r.json", '{"data": []}')).columns == []

@@ -64,3 +64,31 @@ def test_null_feature_is_an_error(hourly):
     model = R.fit(R.calendar_features(hourly, "time"), "price", ["hour", "supply"])
     with pytest.raises(PySparkException, match="NULL or NaN"):
         R.predict(model, broken, ["hour", "supply"]).collect()
+
+
+def test_fit_is_one_job_and_does_not_depend_on_the_order(spark, hourly):
+    features = R.feature_columns("supply")
+    data = R.calendar_features(hourly, "time")
+    context = spark.sparkContext
+    context.setJobGroup("one-fit", "a single pass")
+    first = R.fit(data, "price", features)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("one-fit")
+    # Adaptive execution runs the map side and the last step of the one aggregate apart.
+    assert len(jobs) <= 2
+    for n, order in ((1, "id"), (7, "price"), (13, "supply")):
+        again = R.fit(data.repartition(n).sortWithinPartitions(F.desc(order)), "price", features)
+        np.testing.assert_allclose([again.intercept, *again.coefficients], [first.intercept, *first.coefficients], rtol=1e-9)
+
+
+def test_values_far_from_zero_and_dependent_features(spark):
+    rows = spark.range(5000).select(
+        (F.lit(1.0e9) + F.col("id") % 17).alias("a"), (F.col("id") % 23).cast("double").alias("b"), F.lit(7.25e8).alias("c"),
+    ).withColumns({"d": F.col("a") - F.col("b") * 2, "y": F.col("a") * 3 - F.col("b") * 5 + 11})
+    model = R.fit(rows, "y", ["a", "b", "c", "d"])
+    worst = R.predict(model, rows, ["a", "b", "c", "d"]).agg(F.max(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    assert worst < 1e-4 and model.coefficients[2] == 0.0
+    plain = R.fit(rows, "y", ["a", "b"])
+    np.testing.assert_allclose(plain.coefficients, [3, -5], rtol=1e-9)
+    with pytest.raises(ValueError, match="no rows"):
+        R.fit(rows.limit(0), "y", ["a"])

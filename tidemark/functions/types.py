@@ -30,6 +30,8 @@ _PLAIN = {
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+#: A decimal number, with an exponent if any, or one of the words for infinity and no number.
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 #: A whole date, a time of day if any, and no zone.
 _MOMENT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ Tt]\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d+)?)?)?)?\s*$"
 _NESTED = (T.StructType, T.MapType, T.ArrayType)
@@ -54,8 +56,8 @@ def safe_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
 
     Follows the warehouse's ``SAFE_CAST`` where Spark's ``try_cast`` differs:
     fractions round half away from zero on their way to an integer, ``0x`` text is
-    an integer, only the words true and false are booleans, text with a type suffix
-    (``1d``) is no number, a time needs a whole date and has no zone, and a nested
+    an integer, only the words true and false are booleans, a fraction is a decimal number
+    (``1d`` and ``0x1p3`` are none), a time needs a whole date and has no zone, and a nested
     value becomes its JSON text.
     """
     if source == target:
@@ -74,7 +76,7 @@ def safe_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
         return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
     if isinstance(source, T.StringType):
         if isinstance(target, _FRACTIONAL):
-            return F.when(~col.rlike(r"[dDfF]\s*$") | col.rlike(r"(?i)inf\s*$"), col.try_cast(target))
+            return F.when(col.rlike(_NUMBER), col.try_cast(target))
         if isinstance(target, (T.DateType, T.TimestampNTZType)):
             return F.when(col.rlike(_MOMENT), col.try_cast(target))
     return col.try_cast(target)

@@ -7,42 +7,60 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.scalar import duration_minutes
+from tidemark.session import scratch
 
 # Status of a workflow action.
 IN_PROGRESS, COMPLETE, FAILED = 0, 1, -1
 LAST_RUNS = 7
-BUCKET = 100_000
+#: Consecutive ranks that one task of the rolling statistics takes.
+RANGE = 100_000
+#: Partitions whose counts are summed up together before the sums of such blocks are.
+BLOCK = 1024
 
 
-def _bucket(order: str, width: int) -> Column:
-    return F.floor(F.col(order) / F.lit(width)).cast("bigint")
+def ranked(df: DataFrame, order: Sequence[str], name: str, base: int = 0, ranges: int | None = None) -> DataFrame:
+    """The rows with dense ranks ``base + 1, base + 2, ...`` in the given order.
 
-
-def assign_ids(df: DataFrame, order: str, base: int = 0, name: str = "id", width: int = BUCKET) -> DataFrame:
-    """Dense ids ``base + 1, base + 2, ...`` in the order of a unique whole number.
-
-    Rows are numbered inside ranges of ``width`` order values; only the range counts
-    are summed up in one place, so the rows themselves stay spread out.
+    Rows are sorted into ranges that a sample cuts to equal sizes, whatever the values are, and
+    written with their place in their range. What is summed up is one count per range, in two
+    levels: within blocks of ranges, then over blocks. The written table makes ranges and
+    places the same for the counts and for the rows, also when a task runs again. ``ranges``
+    is their number, the session's shuffle partitions by default.
     """
-    rows = df.withColumn("_b", _bucket(order, width))
-    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    spark = df.sparkSession
+    path = scratch(spark, "ranked")
+    # The number of a sorted partition and the place in it.
+    cut = order if ranges is None else [ranges, *order]
+    placed = df.repartitionByRange(*cut).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path).withColumn("_r", F.shiftright("_m", 33))
+    counts = rows.groupBy("_r").agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.floor(F.col("_r") / BLOCK))
+    within = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy("_k").agg(F.sum("_n").alias("_n"))
+    over = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocks.select("_k", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_begin"))
     offsets = (
-        rows.groupBy("_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_b", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_offset"))
+        counts.withColumn("_inside", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+        .join(begins, "_k")
+        .select("_r", (F.col("_begin") + F.col("_inside")).alias("_offset"))
     )
-    local = F.row_number().over(Window.partitionBy("_b").orderBy(order))
+    place = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row per range: as many as the session has shuffle partitions.
     return (
-        rows.withColumn("_local", local)
-        .join(offsets, "_b")
-        .withColumn(name, (F.lit(base) + F.col("_offset") + F.col("_local")).cast("bigint"))
-        .drop("_b", "_local", "_offset")
+        rows.join(F.broadcast(offsets), "_r")
+        .withColumn(name, (F.lit(base + 1) + F.col("_offset") + place).cast("bigint"))
+        .drop("_m", "_r", "_offset")
     )
 
 
-def open_actions(runs: DataFrame, order: str, base: int = 0, width: int = BUCKET) -> DataFrame:
+def assign_ids(df: DataFrame, order: str, base: int = 0, name: str = "id", ranges: int | None = None) -> DataFrame:
+    """Dense ids ``base + 1, base + 2, ...`` in the order of a unique column."""
+    return ranked(df, [order], name, base, ranges)
+
+
+def open_actions(runs: DataFrame, order: str, base: int = 0) -> DataFrame:
     """New action rows, status 0, with ids given out by this one writer."""
-    return assign_ids(runs, order, base, "action_id", width).withColumns(
+    return assign_ids(runs, order, base, "action_id").withColumns(
         {
             "execution_end_datetime": F.lit(None).cast("timestamp_ntz"),
             "execution_status": F.lit(IN_PROGRESS).cast("bigint"),
@@ -108,33 +126,20 @@ def delta_stats(
     tables: Sequence[str] = ("database_schema", "table_name"),
     order: str = "audit_id",
     last: int = LAST_RUNS,
-    width: int = BUCKET,
+    width: int = RANGE,
 ) -> DataFrame:
     """Statistics of the last ``last`` deltas as of every run of every table.
 
-    A table may own any share of the runs, so its history is cut into ranges of
-    ``width`` ids. Each range also gets the ``last - 1`` runs that precede it, taken
-    from the ends of the ranges before it; the frames are therefore whole.
+    A table may own any share of the runs, so the runs are ranked by table and order, and a task
+    takes ``width`` consecutive ranks. Each range also gets the ``last - 1`` ranks before it
+    (its halo), so its frames are whole; a frame never leaves its table.
     """
-    tables, carry_n = list(tables), last - 1
-    runs = audit.select(
-        *tables, order, F.coalesce("delta", F.lit(0.0)).alias("_delta"), _bucket(order, width).alias("_b")
-    )
-    newest = Window.partitionBy(*tables, "_b").orderBy(F.desc(order))
-    ends = (
-        runs.withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") <= carry_n)
-        .groupBy(*tables, "_b")
-        .agg(F.sort_array(F.collect_list(F.struct(order, "_delta"))).alias("_end"))
-    )
-    # A range that exists holds at least one run, so ``carry_n`` of them suffice.
-    before = Window.partitionBy(*tables).orderBy("_b").rowsBetween(-carry_n, -1)
-    carried = (
-        ends.withColumn("_all", F.flatten(F.collect_list("_end").over(before)))
-        .withColumn("_run", F.explode(F.slice("_all", F.greatest(F.size("_all") - carry_n + 1, F.lit(1)), carry_n)))
-        .select(*tables, "_b", F.col(f"_run.{order}").alias(order), F.col("_run._delta").alias("_delta"), F.lit(False).alias("_own"))
-    )
-    frame = Window.partitionBy(*tables, "_b").orderBy(order).rowsBetween(-carry_n, 0)
+    tables, halo = list(tables), last - 1
+    runs = audit.select(*tables, order, F.coalesce("delta", F.lit(0.0)).alias("_delta"))
+    rows = ranked(runs, [*tables, order], "_rank")
+    first, reach = (F.floor((F.col("_rank") + n) / F.lit(width)).cast("bigint") for n in (0, halo))
+    spread = rows.withColumn("_own", first).withColumn("_b", F.explode(F.sequence(first, reach)))
+    frame = Window.partitionBy("_b", *tables).orderBy("_rank").rowsBetween(-halo, 0)
     stats = _statistics(
         F.count("_delta").over(frame),
         F.avg("_delta").over(frame),
@@ -142,11 +147,9 @@ def delta_stats(
         F.var_samp("_delta").over(frame),
     )
     return (
-        runs.withColumn("_own", F.lit(True))
-        .unionByName(carried)
-        .select(*tables, order, "_own", *[c.alias(n) for n, c in stats.items()])
-        .filter("_own")
-        .drop("_own")
+        spread.select(*tables, order, "_b", "_own", *[c.alias(n) for n, c in stats.items()])
+        .filter(F.col("_b") == F.col("_own"))
+        .drop("_b", "_own")
     )
 
 

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
-from math import isfinite
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import CALENDAR_PARTS, calendar, epoch_to_timestamp, hash_share, ts_lit
@@ -46,36 +45,40 @@ def split(df: DataFrame, key: Column, train_percent: int = 80) -> DataFrame:
 
 
 def fit(train: DataFrame, label: str, features: Sequence[str]) -> LinearModel:
-    """Ordinary least squares without regularisation, in two passes over the rows.
-
-    The normal equations are summed up on the executors; only that small matrix
-    reaches the driver. The generalised model with identity link solves the same
-    problem as ``LinearRegression`` without the latter's second pass for a summary.
-
-    The sums are of squares, which loses digits when values lie far from zero, as
-    years do. So all columns are first moved by their mean over all rows, and the
-    intercept is moved back.
+    """Ordinary least squares without regularisation, in one pass over the rows.
+
+    One aggregate gives the means and the cross moments about them. Its buffers hold centred
+    sums and are merged pair by pair, so values far from zero, as years are, lose no digits and
+    the order of rows and partitions does not matter. That small matrix is all that reaches the
+    driver, which scales it to correlations and solves it by its rank: a constant feature gets
+    0, and features that depend on each other share their effect. A NULL or NaN among features or
+    labels is an error.
     """
     columns = [*features, label]
-    values = train.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    seen = values.agg(
-        *[F.avg(c).alias(f"mean {c}") for c in columns],
-        *[(F.min(c) == F.max(c)).alias(f"constant {c}") for c in features],
+    values = train.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    bad = reduce(Column.__or__, [F.col(c).isNull() | F.isnan(c) for c in values.columns])
+    failed = F.raise_error(F.lit("NULL or NaN among the features or labels")).cast("double")
+    values = values.withColumn("c0", F.when(bad, failed).otherwise(F.col("c0")))
+    k = len(columns)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = values.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(f"c{i}").alias(f"m{i}") for i in range(k)],
+        *[F.covar_pop(f"c{i}", f"c{j}").alias(f"s{i}_{j}") for i, j in pairs],
     ).first()
-    means = {c: seen[f"mean {c}"] for c in columns}
-    shift = {c: m if m is not None and isfinite(m) else 0.0 for c, m in means.items()}
-    moved = assemble(values.select(*[(F.col(c) - F.lit(shift[c])).alias(c) for c in columns]), features)
-
-    common = {"featuresCol": "features", "labelCol": label}
-    data = moved.select("features", label)
-    model = GeneralizedLinearRegression(family="gaussian", link="identity", **common).fit(data)
-    if any(seen[f"constant {f}"] for f in features):
-        # A constant feature makes the equations singular, and the solver goes on
-        # iteratively. Here the tolerance of that can be set.
-        model = LinearRegression(tol=1e-12, **common).fit(data)
-    coefficients = [float(c) for c in model.coefficients]
-    back = sum(c * shift[f] for c, f in zip(coefficients, features, strict=True))
-    return LinearModel(coefficients, float(model.intercept) + shift[label] - back)
+    if not sums["n"]:
+        raise ValueError("no rows to fit")
+    moments = np.zeros((k, k))
+    for i, j in pairs:
+        moments[i, j] = moments[j, i] = sums[f"s{i}_{j}"]
+    means = np.array([sums[f"m{i}"] for i in range(k)])
+    spread = np.sqrt(np.diag(moments))
+    # A spread that rounding of the mean alone explains is that of a constant.
+    scale = np.where(spread > np.abs(means) * 1e-14, spread, np.inf)[:-1]
+    correlations = moments[:-1, :-1] / np.outer(scale, scale)
+    slopes, *_ = np.linalg.lstsq(correlations, moments[:-1, -1] / scale, rcond=1e-12)
+    coefficients = slopes / scale
+    return LinearModel([float(c) for c in coefficients], float(means[-1] - coefficients @ means[:-1]))
 
 
 def predict(model: LinearModel, df: DataFrame, features: Sequence[str]) -> DataFrame:

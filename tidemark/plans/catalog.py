@@ -138,6 +138,28 @@ def src_json_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def src_json_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses whose records differ in names and types, read without any column list."""
+    events, path = table(spark, sf_dir, "events"), scratch(spark, "src_json_variant")
+    kind = F.col("event_id") % 4
+    # A value that is NULL is not written, so the records have different names.
+    record = F.to_json(F.struct(
+        F.col("event_id").alias("eventId"), F.when(kind != 1, F.col("event_type")).alias("event type"),
+        F.when(kind == 2, F.col("value")).alias("value"), F.when(kind == 3, F.from_json("props", "k bigint")).alias("props"),
+        F.when(kind == 0, F.col("user_id")).alias("user"),
+    ))
+    # A name that holds numbers in one half of the records and text in the other.
+    mixed = F.when(kind < 2, F.concat(F.lit(',"mixed":'), F.col("event_id").cast("string"))).otherwise(F.concat(F.lit(',"mixed":"n'), F.col("event_id").cast("string"), F.lit('"')))
+    line = F.concat(F.regexp_replace(record, "}$", ""), mixed, F.lit("}"))
+    pages = events.groupBy(F.floor(F.col("event_id") / 500).alias("page")).agg(F.array_join(F.collect_list(line), ",").alias("data"))
+    pages.select(F.concat(F.lit('{"data":['), "data", F.lit("]}"))).write.text(path)
+    read = files.read_variant_response(spark, path, multiline=False)
+    return read.select(
+        F.col("eventId").alias("event_id"), F.col("event type").alias("event_type"), "value", "props", F.col("user").alias("user_id"), "mixed",
+    )
+
+
 @query
 def src_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON-lines file under a given schema."""
@@ -460,6 +482,18 @@ def audit_action_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.open_actions(runs, "o_orderkey", base=1000)
 
 
+def _sparse(key: str) -> Column:
+    """A unique whole number whose values lie in clusters with wide gaps between them."""
+    return F.when(F.col(key) % 3 == 0, F.col(key)).otherwise(F.col(key) * 1_000_003 + (F.col(key) % 97) * 10**13)
+
+
+@query
+def audit_action_ids_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ids in the order of numbers that lie far apart."""
+    runs = table(spark, sf_dir, "lineitem").select(_sparse("l_orderkey").alias("batch"), "l_orderkey").distinct()
+    return audit.assign_ids(runs, "batch", base=5000, name="action_id")
+
+
 @query
 def audit_action_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as actions, their items as status changes; the last change counts."""
@@ -520,6 +554,17 @@ def audit_delta_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(audit.delta_stats(_deltas(spark, sf_dir)))
 
 
+@query
+def audit_delta_stats_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where ids lie far apart and one table owns nearly all runs."""
+    runs = _deltas(spark, sf_dir).select(
+        F.lit("W").alias("database_schema"),
+        F.when(F.col("audit_id") % 50 == 0, F.col("table_name")).otherwise("HOT").alias("table_name"),
+        _sparse("audit_id").alias("audit_id"), "delta",
+    )
+    return _rounded(audit.delta_stats(runs, width=1000))
+
+
 @query
 def audit_latest7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of the newest seven deltas of every table."""
@@ -634,9 +679,10 @@ def lr_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lr_metric_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metric table after two runs."""
     path, schema = scratch(spark, "lr_metric"), struct_of("created_date timestamp_ntz, rmse double")
-    metric = _scored(spark, sf_dir)[1]
-    files.write_table(metric, path, schema, "append")
-    files.write_table(metric.withColumn("created_date", scalar.ts_lit(EARLIER)), path, schema, "append")
+    # One value, so the rows are scored once for both runs.
+    value = _scored(spark, sf_dir)[1].first()["rmse"]
+    for created in (AS_OF, EARLIER):
+        files.write_table(files.one_row(spark, schema, (created, value)), path, schema, "append")
     return spark.read.parquet(path).withColumn("rmse", F.round("rmse", 4))
 
 

@@ -39,6 +39,13 @@ _SOURCES = {
         SELECT event_id, ts, user_id, event_type, value,
                '{"k":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' AS props
         FROM events""",
+    "src_json_variant": """
+        SELECT event_id, CASE WHEN event_id % 4 <> 1 THEN event_type END AS event_type,
+               CASE WHEN event_id % 4 = 2 THEN value END AS value,
+               CASE WHEN event_id % 4 = 3 THEN '{"k":' || CAST(json_extract(props, '$.k') AS VARCHAR) || '}' END AS props,
+               CASE WHEN event_id % 4 = 0 THEN user_id END AS user_id,
+               CASE WHEN event_id % 4 < 2 THEN CAST(event_id AS VARCHAR) ELSE 'n' || event_id END AS mixed
+        FROM events""",
     "src_json_lines": "SELECT * FROM part",
     "src_nested_as_text": """
         SELECT event_id,
@@ -241,6 +248,11 @@ def _delta_columns(over: str = "") -> str:
 
 _TABLES = "PARTITION BY database_schema, table_name ORDER BY audit_id"
 
+
+def _sparse(key: str) -> str:
+    return f"CASE WHEN {key} % 3 = 0 THEN {key} ELSE {key} * 1000003 + ({key} % 97) * 10000000000000 END"
+
+
 _AUDIT = {
     "audit_record_count": "SELECT event_type, count(*) AS record_count FROM events GROUP BY event_type",
     "audit_action_ids": """
@@ -248,6 +260,14 @@ _AUDIT = {
                1000 + row_number() OVER (ORDER BY o_orderkey) AS action_id,
                CAST(NULL AS TIMESTAMP) AS execution_end_datetime, CAST(0 AS BIGINT) AS execution_status
         FROM orders""",
+    "audit_action_ids_sparse": f"""
+        SELECT batch, l_orderkey, 5000 + row_number() OVER (ORDER BY batch) AS action_id
+        FROM (SELECT DISTINCT {_sparse("l_orderkey")} AS batch, l_orderkey FROM lineitem)""",
+    "audit_delta_stats_sparse": f"""{_RUNS}
+        SELECT database_schema, table_name, audit_id,
+               {_delta_columns(f"OVER ({_TABLES} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)")}
+        FROM (SELECT 'W' AS database_schema, CASE WHEN audit_id % 50 = 0 THEN table_name ELSE 'HOT' END AS table_name,
+                     {_sparse("audit_id")} AS audit_id, coalesce(delta, 0.0) AS d FROM runs)""",
     "audit_action_history": """
         WITH changes AS (
             SELECT l_orderkey, l_shipdate,

@@ -201,6 +201,75 @@ def read_json_response(
     )
 
 
+def read_variant_response(
+    spark: SparkSession, path: str | Sequence[str], multiline: bool = True, shape: T.StructType | None = None
+) -> DataFrame:
+    """Rows of the ``data`` array of responses of unknown shape, with the union of all names.
+
+    Records are kept as VARIANT, so a name may hold a number here, text there and an object
+    elsewhere. One aggregate over the records merges their schemas; give ``shape`` to do without. A name
+    whose values share a plain type has that type, any other has their text (an object or array its JSON
+    text). What a record lacks is NULL, as is a JSON null. A document without ``data`` fails
+    the query; names that differ only by case are an error.
+    """
+    lines = spark.read.option("wholetext", multiline).text(path)
+    if not multiline:
+        lines = lines.filter(F.trim("value") != "")
+    data = F.variant_get(F.parse_json("value"), "$.data", "array<variant>")
+    records = lines.select(F.explode(_present(data)).alias("r"))
+    if shape is None:
+        shape = variant_shape(records, "r")
+    return records.select(*[_variant_field("r", f).alias(f.name) for f in shape.fields])
+
+
+def variant_shape(records: DataFrame, column: str) -> T.StructType:
+    """Names and types over all objects of a VARIANT column; only the merged schema reaches the driver."""
+    merged = records.agg(F.schema_of_variant_agg(column).alias("s")).first()["s"]
+    if merged in (None, "VOID"):
+        return T.StructType()
+    if not merged.startswith("OBJECT<"):
+        raise ValueError(f"records are no objects but {merged}")
+    # Nested values become text, so their own fields do not matter here.
+    plain = T.StructType([T.StructField(n, _PLAIN_TYPES.get(t, T.StringType())) for n, t in _object_fields(merged)])
+    if len({f.name.lower() for f in plain.fields}) < len(plain.fields):
+        raise ValueError("names of the response differ only by case")
+    return plain
+
+
+_PLAIN_TYPES = {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType()}
+
+
+def _object_fields(merged: str) -> list[tuple[str, str]]:
+    """``OBJECT<a: BIGINT, `b c`: ARRAY<...>>`` -> names and the outermost words of their types."""
+    out, rest = [], merged[len("OBJECT<") : -1]
+    while rest:
+        named = re.match(r"(?:`((?:[^`]|``)*)`|([^:`]+)): ", rest)
+        name, rest = (named.group(1) or "").replace("``", "`") if named.group(2) is None else named.group(2), rest[named.end() :]
+        depth, end, quoted = 0, len(rest), False
+        for at, c in enumerate(rest):
+            quoted ^= c == "`"
+            depth += 0 if quoted else (c in "<(") - (c in ">)")
+            if c == "," and depth == 0 and not quoted:
+                end = at
+                break
+        kind, rest = rest[:end], rest[end + 2 :]
+        out.append((name, "DOUBLE" if kind.startswith("DECIMAL") else kind))
+    return out
+
+
+def _variant_field(column: str, field: T.StructField) -> Column:
+    # A path has no escapes; a name with both kinds of quotes is found in the record's map.
+    quote = next((q for q in "\"'" if q not in field.name), None)
+    if quote:
+        value = F.variant_get(column, f"$[{quote}{field.name}{quote}]", "variant")
+    else:
+        value = F.try_element_at(F.variant_get(column, "$", "map<string,variant>"), F.lit(field.name))
+    if not isinstance(field.dataType, T.StringType):
+        return F.try_variant_get(value, "$", field.dataType.simpleString())
+    nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+    return F.when(nested, F.to_json(value)).otherwise(F.try_variant_get(value, "$", "string"))
+
+
 def _present(data: Column) -> Column:
     return F.when(data.isNotNull(), data).otherwise(
         F.raise_error(F.lit("response has no data array")).cast("void")
