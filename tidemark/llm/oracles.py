@@ -177,7 +177,7 @@ FROM n WINDOW g AS (PARTITION BY t)"""
 
 
 def op10() -> str:
-    lc = line_chunks
+    lc, word = line_chunks, r"[^\x20\x09-\x0D]"
     h = lambda i: f"coalesce(h[{i}], 0)"
     value = "0"
     for back in range(lc.WINDOW - 1, -1, -1):
@@ -186,19 +186,26 @@ def op10() -> str:
     return f"""
 WITH lines AS (SELECT row_number() OVER () AS u, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 hashed AS (SELECT *, list_transform(l, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS h FROM lines),
-ends AS (SELECT *, list_filter(range(1, len(l) + 1), lambda i: {value} % {lc.AVERAGE} = 0 OR i = len(l)) AS e FROM hashed),
-c AS (
-  SELECT u, doc_id, unnest(range(1, len(e) + 1)) AS j, e, l FROM ends),
-chunk AS (
-  SELECT u, doc_id, j, e[j] - CASE WHEN j > 1 THEN e[j - 1] ELSE 0 END AS n,
-    array_to_string(l[CASE WHEN j > 1 THEN e[j - 1] + 1 ELSE 1 END:e[j]], chr(10)) AS body FROM c),
-many AS (SELECT body, min(struct_pack(d := doc_id, j := j)) AS first FROM chunk WHERE n >= 2 AND doc_id IS NOT NULL AND regexp_matches(body, '[^\\x20\\x09-\\x0D]') GROUP BY body HAVING count(*) > 1),
-marked AS (
-  SELECT chunk.*, many.first IS NOT NULL AND doc_id IS NOT NULL AND (doc_id, j) <> (many.first.d, many.first.j) AS gone FROM chunk LEFT JOIN many ON chunk.n >= 2 AND chunk.body = many.body),
+ends AS (SELECT *, list_filter(range(1, len(l) + 1), lambda i: {value} % {lc.AVERAGE} = 0 OR i = len(l)) AS e,
+    list_filter(range(1, len(l) + 1), lambda i: regexp_matches(l[i], '{word}')) AS w FROM hashed),
+spans AS (
+  SELECT u, doc_id, l, unnest(list_distinct(list_concat(
+    list_filter(list_transform(range(1, len(e) + 1), lambda j: {{'a': CASE WHEN j > 1 THEN e[j - 1] + 1 ELSE 1 END, 'b': e[j]}}), lambda s: s.b > s.a),
+    list_transform(range(1, len(w)), lambda j: {{'a': w[j], 'b': w[j + 1]}})))) AS s FROM ends),
+piece AS (
+  SELECT * FROM (SELECT u, doc_id, s.a AS a, s.b AS b, array_to_string(l[s.a:s.b], chr(10)) AS body FROM spans)
+  WHERE doc_id IS NOT NULL AND regexp_matches(body, '{word}')),
+many AS (SELECT body, min({{'d': doc_id, 'a': a, 'b': b}}) AS first FROM piece GROUP BY body HAVING count(*) > 1),
+gone AS (
+  SELECT u, list(DISTINCT i) AS g FROM (
+    SELECT u, unnest(range(CASE WHEN first.d = doc_id AND first.b >= a THEN first.b + 1 ELSE a END, b + 1)) AS i
+    FROM piece JOIN many USING (body) WHERE doc_id <> first.d OR a <> first.a) GROUP BY u),
+rest AS (
+  SELECT doc_id, l, e, list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(coalesce(g, []), i)) AS r FROM ends LEFT JOIN gone USING (u)),
 clean AS (
-  SELECT u, any_value(doc_id) AS doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS removed_chunks,
-    coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed_lines, coalesce(string_agg(body, chr(10) ORDER BY j) FILTER (NOT gone), '') AS t
-  FROM marked GROUP BY u)
+  SELECT doc_id, len(e) AS n_chunks, len(l) - len(r) AS removed_lines,
+    len(e) - len(list_distinct(list_transform(r, lambda i: len(list_filter(e, lambda x: x < i))))) AS removed_chunks,
+    array_to_string(list_transform(r, lambda i: l[i]), chr(10)) AS t FROM rest)
 SELECT doc_id, n_chunks, removed_chunks, removed_lines, len(t)::BIGINT AS clean_chars, sha256(t) AS clean_sha256 FROM clean"""
 
 
