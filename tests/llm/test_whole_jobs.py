@@ -58,7 +58,7 @@ def test_short_passages_go_whole(spark):
 
 
 def test_line_chunks_by_brute_force(spark, sf_dir):
-    """All repeated pairs go; the SQL takes whole chunks only, so never more."""
+    """All repeated pairs go."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     want = brute_line_pairs([(r.doc_id, r.text) for r in docs.collect()])
     got = {r.doc_id: r.text for r in line_chunks.line_dedup(docs, spark).collect()}
@@ -67,7 +67,15 @@ def test_line_chunks_by_brute_force(spark, sf_dir):
     assert lines == {doc: n for doc, (n, _) in want.items()}
     names, rows = oracle_rows(ORACLES["op10_line_chunks"], sf_dir)
     doc, n = names.index("doc_id"), names.index("removed_lines")
-    assert all(r[n] <= lines[r[doc]] for r in rows)
+    assert all(r[n] == lines[r[doc]] for r in rows)
+
+
+def test_bodies_beyond_the_broadcast(spark, sf_dir, monkeypatch):
+    """Lists too large to broadcast: places go to the documents, with the same result."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = sorted((r.doc_id, r.text) for r in line_chunks.line_dedup(docs, spark).collect())
+    monkeypatch.setattr(line_chunks, "broadcast_if_small", lambda df: (df, False))
+    assert sorted((r.doc_id, r.text) for r in line_chunks.line_dedup(docs, spark).collect()) == want
 
 
 def brute_ctw(train, text, depth):

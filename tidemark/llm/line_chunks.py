@@ -95,11 +95,13 @@ def repeated(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text:
     )
     again = F.struct("first.doc_id", "first.start") != F.col("last")
     twice = T.written(seen.filter((F.col("n") > 1) & again).select("digest", "first"), spark, "chunk-repeats")
-    # Byte comparison: how many texts stand behind each repeated digest.
-    wanted, _ = broadcast_if_small(twice.select("digest"))
-    texts = parts.join(wanted, "digest", "left_semi").groupBy("digest", "body").agg(F.count(F.lit(1)).alias("copies"))
-    equal = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1")
-    known, _ = broadcast_if_small(twice.join(equal.select("digest"), "digest", "left_semi"))
+    # Byte comparison: how many texts stand behind each repeated digest. Only the bodies of repeated
+    # digests move, and once; copies meet in the map tasks' partial counts first.
+    wanted, small = broadcast_if_small(twice.select("digest"))
+    bodies = parts.select("digest", "body").join(wanted, "digest", "left_semi") if small else bodies_of(docs, slim, wanted, doc_id, text)
+    texts = bodies.groupBy("digest", "body").agg(F.count(F.lit(1)).alias("copies"))
+    equal = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1").select("digest")
+    known = T.written(twice.join(equal, "digest", "left_semi"), spark, "chunk-equal")
     later = slim.join(known, "digest").filter(place != F.struct("first.doc_id", "first.start"))
     overlaps = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.version") == F.col("version")) & (F.col("first.stop") >= F.col("start"))
     begin = F.when(overlaps, F.col("first.stop") + 1).otherwise(F.col("start"))
@@ -107,10 +109,22 @@ def repeated(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text:
     return lines.groupBy("doc_id", "version").agg(F.collect_set("line").alias("removed"))
 
 
+def bodies_of(docs: DataFrame, slim: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(digest, body)`` of the pieces with these digests: their places are brought to the documents,
+    so other bodies never leave them. A document's places are one list, as long as its lines."""
+    place = F.struct("start", "stop", "digest")
+    places = slim.join(wanted, "digest", "left_semi").groupBy("doc_id", "version").agg(F.collect_list(place).alias("_at"))
+    places = places.toDF("_place_id", "_place_version", "_at")
+    mine = (F.col(doc_id) == F.col("_place_id")) & (F.xxhash64(T.whole(text)) == F.col("_place_version"))
+    rows = docs.join(places, mine).select(F.split(T.whole(text), "\n").alias("_lines"), F.explode("_at").alias("_p"))
+    body = F.array_join(F.slice("_lines", F.col("_p.start") + 1, F.col("_p.stop") - F.col("_p.start") + 1), "\n")
+    return rows.select(F.col("_p.digest").alias("digest"), body.alias("body"))
+
+
 def cleaned(docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``(n_chunks, removed_chunks, removed_lines, clean)`` in a struct ``_clean``;
     a chunk counts as removed when all its lines are."""
-    gone = gone.toDF("_gone_id", "_gone_version", "_gone")
+    gone, _ = broadcast_if_small(gone.toDF("_gone_id", "_gone_version", "_gone"))
     mine = (F.col(doc_id) == F.col("_gone_id")) & (F.xxhash64(T.whole(text)) == F.col("_gone_version"))
     joined = docs.join(gone, mine, "left")
     removed = F.coalesce("_gone", F.array().cast("array<int>"))
