@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm import dual_tree, packing, token_counts, turn_repair
+from tidemark.llm import dual_tree, jaccard, packing, token_counts, turn_repair
 
 DOCS = "doc_id bigint, text string, n bigint, terms string, score double, rank int, n_bytes int"
 TURNS = "conv_id bigint, turn bigint, role string, text string, audit string, digest string, here string"
@@ -268,3 +268,78 @@ def test_proven_strings_and_edges(spark):
     assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit", "n_direct", "n_merged"]
     assert sorted((r.doc_id or 0, r.n_tokens, r.over_limit) for r in out.collect()) == [(0, 1, False), (1, 2, True), (1, 2, True)]
     assert token_counts.count_tokens(docs_of(spark, []), packing.tokenizer_path()).count() == 0
+
+
+# -- near copies in rounds -------------------------------------------------------------------
+
+
+def family(n, seed, edits):
+    """Copies of one text with words changed at random places, and the text itself."""
+    draw = random.Random(seed)
+    base = [f"b{seed}w{i}" for i in range(120)]
+    out = [" ".join(base)]
+    for k in range(n - 1):
+        words = list(base)
+        for i in draw.sample(range(120), edits[k % len(edits)]):
+            words[i] = f"x{seed}k{k}i{i}"
+        out.append(" ".join(words))
+    return out
+
+
+def jaccard_components(rows):
+    """Components by union of all linked pairs, smallest id that is not null; rows are (id, text)."""
+    def grams(text):
+        w = (text or "").lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = [grams(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    where = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            where.setdefault(g, []).append(i)
+    for i, s in enumerate(sets):
+        for j, k in Counter(j for g in s for j in where[g] if j > i).items():
+            if find(i) != find(j) and 100 * k >= 80 * (len(s) + len(sets[j]) - k):
+                root[find(j)] = find(i)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None and sets[i]:
+            least[find(i)] = min(doc, least.get(find(i), doc))
+    return [least.get(find(i)) if sets[i] else doc for i, (doc, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("few", [0, 32])
+def test_families_of_thousands_are_linear(spark, monkeypatch, few):
+    """Near copies by the thousand that share a passage with outsiders; rounds give all links, few pairs."""
+    monkeypatch.setattr(jaccard, "FEW_PAIRS", few)
+    texts = family(2500, 1, (1, 2)) + family(400, 2, (2, 3, 4, 9)) + family(30, 3, (0,))
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts += [f"{passage} " + " ".join(f"o{k}w{i}" for i in range(12 + k % 50)) for k in range(200)]
+    order = random.Random(3).sample(range(len(texts)), len(texts))
+    rows = [(i, texts[j]) for i, j in enumerate(order)]
+    tried = []
+    verify = jaccard._Nodes.verify
+    monkeypatch.setattr(jaccard._Nodes, "verify", lambda self, pairs, cut: tried.append(verify(self, pairs, cut)) or tried[-1])
+    got = {r.doc_id: r.component_id for r in jaccard.near_groups(docs_of(spark, rows), spark).collect()}
+    assert got == {d: c for (d, _), c in zip(rows, jaccard_components(rows))}
+    assert sum(n for n, _ in tried) < 30 * len(rows)
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = family(3, 7, (1,)), family(3, 8, (1,)), family(3, 9, (1,))
+    rows = [(5, a[0]), (5, b[0]), (3, a[1]), (9, b[1]), (None, a[2]), (None, c[0]), (None, c[1]), (4, c[2]), (4, c[2]), (6, None), (6, ""), (None, None), (5, "x y z"), (2, "X Y Z")]
+    docs = docs_of(spark, rows)
+    got = Counter((r.doc_id, r.component_id) for r in jaccard.near_groups(docs, spark).collect())
+    assert got == Counter(zip((d for d, _ in rows), jaccard_components(rows)))
+    kept = Counter((r.doc_id, r.text) for r in jaccard.keep_one(docs, spark).collect())
+    assert kept == Counter([(3, a[1]), (5, b[0]), (4, c[2]), (2, "X Y Z"), (6, None), (6, ""), (None, None)])
+    nameless = docs_of(spark, [(None, c[0]), (None, c[1]), (None, "other words than these here")])
+    assert jaccard.keep_one(nameless, spark).count() == 2
+    assert [r.component_id for r in jaccard.near_groups(nameless, spark).collect()] == [None] * 3

@@ -1,7 +1,8 @@
 """Documents with nearly equal sets of word n-grams, by vertical partitioning.
 
 A document is its set of distinct 5-word shingles (hashed); two link when the Jaccard
-similarity is 0.8 or more. Documents with equal sets are one node from the start.
+similarity is 0.8 or more. All rows with one set are one node from the start, whatever their
+ids; links are between nodes, and only the result goes back to document ids.
 
 Documents that can link at all. A document of n elements may lack at most n - ceil(0.8 n) of
 them in a partner, so one with more elements that occur nowhere else has none. This is tested
@@ -10,31 +11,33 @@ all elements of the documents that are still open, where an element counts only
 component has it. The second count, summed over the fragments, also bounds a partner's size.
 
 Candidates. Two linked sets share an element among their first n - ceil(0.8 n) + 1 in the
-global order of the n-grams, so only these prefixes are matched. First every document is
-paired with the hubs of its n-grams (the smallest document of each), where it shares a good
-part of its prefix with one; links found this way merge families of near copies. What
-remains are n-grams whose documents lie in several components:
-
-* Few pairs across components: all of them are counted. A pair goes on when the n-grams it
-  shares, with all crowded ones of a document granted, can make up for those it must share.
+global order of the n-grams, so only these prefixes are matched.
+
+* Rounds of hubs: the hub of an n-gram is the document whose head others share most. Each document
+  meets one hub of another component, that with which it shares most, so a round is no larger
+  than the documents. Links merge components; rounds go on while a tenth of them link.
+* N-grams that are still in several components and have few documents (FEW): all pairs of them
+  across components are counted. A pair goes on when the n-grams it shares, with all crowded ones
+  of a document granted, can make up for those it must share.
 * Crowded n-grams, as of a passage that many documents share. A linked pair that shares
   nothing else in its prefixes must fill the shorter prefix with them: of the document whose
   prefix ends first at most n - overlap elements are not shared, and the other has few
   elements below that end. The smallest number of elements that any document of a size has
   below each of GRID points of the order rules most documents out at once; only the rest
-  are queries, in blocks of inverted lists, against the documents of their crowded n-grams.
-  Shared n-grams are counted in memory, and the same two bounds hold for the counts.
+  are queries, in blocks of inverted lists, against the documents with crowded n-grams. Here the
+  overlaps are counted in the task, fragment by fragment over the whole sets, so a near miss
+  never leaves it; of all links between two components one row per batch does, as one merges them.
 
 All bounds are exact, so no link is lost and no n-gram or candidate is dropped.
 
 Verification. The global order is cut into FRAGMENTS ranges. Each document's n-grams lie in
 one row per fragment, the overlap of a pair is counted in each fragment apart and summed per
-pair.
+pair. Working tables are removed when the next one is written.
 
 Nulls: a null text is an empty one; an empty set links with nothing. A document of one to
-four words has its whole word sequence as the only n-gram. Rows with one id are one document
-if their texts are equal; a row without an id belongs to the class of its set and is no
-candidate for near links. Other columns stay as they are.
+four words has its whole word sequence as the only n-gram. Rows with one id are told apart by
+their texts. A row without an id takes part as any other; a component's id is its smallest id, null
+if it has none. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.sizes import broadcast_if_small, measured_bytes
+from tidemark.functions.sizes import broadcast_if_small
 from tidemark.llm import bytewords as B
 from tidemark.llm import text as T
 
@@ -60,7 +63,7 @@ HEAD_SHARE = 0.3
 HEAD_END = int(HEAD_SHARE * (1 << 64)) - (1 << 63)
 #: Sizes are rounded to powers of this where only the reach of partners is asked for.
 SIZE_STEP = 1.02
-#: Pairs across components per document of an n-gram, beyond which it is crowded.
+#: Documents of an n-gram, beyond which it is crowded.
 FEW_PAIRS = 32
 #: Points of the order, every 1/128 of its range from the start: prefixes end about 0.2.
 GRID = 64
@@ -110,36 +113,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``ranks`` counts the prefix elements below each point of the grid."""
     grid = np.array([(i << 57) - (1 << 63) for i in range(GRID)], dtype=np.int64)
     for batch in batches:
-        sizes, digests, heads, below, ranks = [], [], [], [], []
+        sizes, nodes, heads, below, ranks = [], [], [], [], []
         for s in shingle_sets(batch.column(1).to_pylist()):
             first = s[: prefix_length(len(s))] if len(s) else s
             sizes.append(len(s))
-            digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+            nodes.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
             below.append(int(np.searchsorted(s, HEAD_END)))
             heads.append(s[: max(len(first), below[-1])])
             ranks.append(np.searchsorted(first, grid))
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(below, pa.int64()),
-                _lists(heads), _lists(ranks),
+                batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                pa.array(below, pa.int64()), _lists(heads), _lists(ranks),
             ],
-            names=["doc_id", "n", "digest", "below", "head", "ranks"],
+            names=["doc_id", "version", "n", "node", "below", "head", "ranks"],
         )
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc, text`` to ``doc, parts``: the n-grams of each fragment of the global order."""
     cuts = np.array([(i << 64) // FRAGMENTS - (1 << 63) for i in range(1, FRAGMENTS)], dtype=np.int64)
     for batch in batches:
-        ids, own, fragments, grams = batch.column(0).to_pylist(), [], [], []
-        for doc_id, s in zip(ids, shingle_sets(batch.column(1).to_pylist())):
-            for f, part in enumerate(np.split(s, np.searchsorted(s, cuts))):
-                if len(part):
-                    own.append(doc_id)
-                    fragments.append(f)
-                    grams.append(part)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(own, pa.int64()), pa.array(fragments, pa.int32()), _lists(grams)], names=["doc", "fragment", "grams"]
-        )
+        parts = [part for s in shingle_sets(batch.column(1).to_pylist()) for part in np.split(s, np.searchsorted(s, cuts))]
+        offsets = pa.array(np.arange(batch.num_rows + 1) * FRAGMENTS, pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, _lists(parts))], names=["doc", "parts"])
 
 
 def _prefix(n: Column) -> Column:
@@ -164,14 +161,19 @@ def _side(rows: DataFrame, side: str) -> DataFrame:
     return rows.select(*[F.col(c).alias(f"{side}_{c}" if c != "t" else "t") for c in rows.columns])
 
 
-def star_pairs(postings: DataFrame) -> DataFrame:
-    """``(a, b, a_n, b_n)``: documents with the hubs that they share a third of their prefix with."""
-    hub = postings.groupBy("t").agg(F.min(F.struct("doc", "n")).alias("h"))
-    hub = hub.select("t", F.col("h.doc").alias("a"), F.col("h.n").alias("a_n"))
-    near = postings.select("t", F.col("doc").alias("b"), F.col("n").alias("b_n")).join(hub, "t")
-    near = near.filter((F.col("a") != F.col("b")) & _sizes_fit(F.col("a_n"), F.col("b_n")))
+def hub_pairs(postings: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """``(a, b, a_n, b_n)``: every document b with the hub a of another component with which it shares
+    most, at least a third of its prefix. ``postings`` has ``(t, doc, n, shared, label)``."""
+    hub = postings.groupBy("t").agg(F.max(F.struct("shared", "doc", "n", "label")).alias("h"))
+    near = postings.select("t", F.col("doc").alias("b"), F.col("n").alias("b_n"), "label").join(hub, "t")
+    near = near.select(F.col("h.doc").alias("a"), "b", F.col("h.n").alias("a_n"), "b_n", (F.col("label") != F.col("h.label")).alias("_apart"))
+    near = near.filter(F.col("_apart") & _sizes_fit(F.col("a_n"), F.col("b_n")))
     shared = near.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("k"))
-    return shared.filter(F.col("k") * 3 >= _prefix(F.col("b_n"))).drop("k")
+    shared = shared.filter(F.col("k") * 3 >= _prefix(F.col("b_n")))
+    if tried is not None:
+        shared = shared.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    best = shared.groupBy("b").agg(F.max(F.struct("k", "a", "a_n", "b_n")).alias("x"))
+    return best.select("x.a", "b", "x.a_n", "x.b_n")
 
 
 def light_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
@@ -193,41 +195,41 @@ def light_pairs(rows: DataFrame, crowding: DataFrame) -> DataFrame:
     return shared.filter(enough[0] | enough[1]).select("a", "b", "a_n", "b_n")
 
 
-def _matches(postings: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts, for every document of a batch, the n-grams it shares with each query."""
-
-    def prefix(n: np.ndarray) -> np.ndarray:
-        return n + -PERCENT * n // 100 + 1
-
-    def spare(n: np.ndarray, other: np.ndarray) -> np.ndarray:
-        return n + -PERCENT * (n + other) // (100 + PERCENT)
+def _links(postings: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``doc, label, n, cap, parts`` to ``a, b``: links of the queries with documents of other components,
+    one of every two components and batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, query, doc, label, n, cap, q = postings.value
+        lists, doc, label, n, cap = postings.value
         for batch in batches:
-            found = [np.zeros((0, 4), dtype=np.int64)]
-            for y, y_label, y_n, y_cap, own, ranks in zip(*[c.to_pylist() for c in batch.columns]):
-                own = np.sort(np.array(own, dtype=np.int64))
-                first, last = np.searchsorted(grams, own), np.searchsorted(grams, own, side="right")
-                x, k = np.unique(np.concatenate([query[i:j] for i, j in zip(first, last)]), return_counts=True)
-                x_n = n[x]
-                fits = (doc[x] != y) & (label[x] != y_label) & (x_n * 100 >= y_n * PERCENT) & (y_n * 100 >= x_n * PERCENT)
-                fits &= (x_n <= y_cap) & (y_n <= cap[x]) & (k >= prefix(x_n) - spare(x_n, y_n))
-                fits &= np.array(ranks, dtype=np.int64)[q[x]] - k <= spare(y_n, x_n)
-                x = x[fits]
-                found.append(np.column_stack([doc[x], np.full(len(x), y), n[x], np.full(len(x), y_n)]))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate(found).T], names=["a", "b", "a_n", "b_n"])
+            merged: dict[tuple[int, int], tuple[int, int]] = {}
+            for y, y_label, y_n, y_cap, parts in zip(*[c.to_pylist() for c in batch.columns]):
+                fits = (label != y_label) & (n * 100 >= y_n * PERCENT) & (y_n * 100 >= n * PERCENT) & (n <= y_cap) & (y_n <= cap)
+                if not fits.any():
+                    continue
+                overlap = np.zeros(len(doc), dtype=np.int64)
+                for (grams, query), part in zip(lists, parts):
+                    own = np.array(part, dtype=np.int64)
+                    first, last = np.searchsorted(grams, own), np.searchsorted(grams, own, side="right")
+                    counts = last - first
+                    at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+                    overlap += np.bincount(query[at], minlength=len(doc))
+                hits = np.flatnonzero(fits & (overlap * (100 + PERCENT) >= (n + y_n) * PERCENT))
+                for x_label, x in zip(label[hits].tolist(), doc[hits].tolist()):
+                    merged.setdefault((min(x_label, y_label), max(x_label, y_label)), (x, y))
+            found = np.array(list(merged.values()), dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], names=["a", "b"])
 
     return run
 
 
-def crowded_pairs(crowding: DataFrame, spark: SparkSession) -> DataFrame:
-    """``(a, b, a_n, b_n)``: pairs across components that may link by crowded n-grams alone.
+def crowded_links(crowding: DataFrame, cut: DataFrame, spark: SparkSession) -> DataFrame:
+    """``(a, b)``: links across components by crowded n-grams, at least one of every two components
+    that have any.
 
-    ``crowding`` has ``(doc, label, n, cap, h, grams, ranks, q)``: the crowded n-grams of a
-    document and their number, elements below the grid points, last grid point before the
-    end of its prefix. Queries meet the documents as inverted lists, in blocks of at most
-    BLOCK_BYTES; a pair is counted in memory and leaves the task only if it may link.
+    ``crowding`` has ``(doc, label, n, cap, h, ranks, q)``: the number of crowded n-grams of a
+    document, elements below the grid points, last grid point before the end of its prefix.
+    Queries meet the documents as inverted lists, in blocks of at most BLOCK_BYTES.
     """
     bucket = F.floor(F.ln(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
     sized = crowding.withColumn("bucket", bucket)
@@ -247,22 +249,27 @@ def crowded_pairs(crowding: DataFrame, spark: SparkSession) -> DataFrame:
         .select("doc")
         .distinct()
     )
-    queries = crowding.join(able, "doc", "left_semi").select("doc", "label", "n", "cap", "q", "grams")
-    queries = T.written(queries, spark, "crowded-queries")
-    documents = crowding.select("doc", "label", "n", "cap", "grams", "ranks")
-    blocks = 1 + (queries.agg(F.sum(F.size("grams") * 16 + 64)).first()[0] or 0) // BLOCK_BYTES
+    rows = crowding.select("doc", "label", "n", "cap").join(cut, "doc")
+    queries = T.written(rows.join(able, "doc", "left_semi"), spark, "crowded-queries")
+    size = F.aggregate("parts", F.lit(64).cast("bigint"), lambda b, part: b + 16 * F.size(part))
+    blocks = 1 + (queries.agg(F.sum(size)).first()[0] or 0) // BLOCK_BYTES
     found = []
     for i in range(blocks):
         part = queries.filter(F.pmod(F.xxhash64("doc"), F.lit(blocks)) == i).toArrow()
-        grams = part["grams"].combine_chunks()
-        values, of = (x.to_numpy(zero_copy_only=False) for x in (grams.flatten(), pc.list_parent_indices(grams)))
-        order = np.argsort(values, kind="stable")
-        lists = (values[order], of[order], *[part[c].to_numpy() for c in ("doc", "label", "n", "cap", "q")])
-        postings = spark.sparkContext.broadcast(lists)
-        pairs = documents.mapInArrow(_matches(postings), "a bigint, b bigint, a_n bigint, b_n bigint")
-        found.append(T.written(pairs, spark, "crowded-pairs"))
-        postings.unpersist()
-    return reduce(DataFrame.unionByName, found)
+        if not part.num_rows:
+            continue
+        lists, parts = [], part["parts"].combine_chunks()
+        for f in range(FRAGMENTS):
+            one = pc.list_element(parts, f)
+            values, of = (x.to_numpy(zero_copy_only=False) for x in (one.flatten(), pc.list_parent_indices(one)))
+            order = np.argsort(values, kind="stable")
+            lists.append((values[order], of[order]))
+        postings = spark.sparkContext.broadcast((lists, *[part[c].to_numpy() for c in ("doc", "label", "n", "cap")]))
+        links = rows.mapInArrow(_links(postings), "a bigint, b bigint")
+        found.append(T.written(links, spark, "crowded-links"))
+        postings.destroy()
+    T.drop(queries)
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "a bigint, b bigint")
 
 
 def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
@@ -271,6 +278,7 @@ def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     Pairs meet the fragments of b where these lie; those of a are broadcast if they measure
     at most BLOCK_BYTES, and else shuffled to them.
     """
+    fragments = fragments.select("doc", F.posexplode("parts").alias("fragment", "grams"))
     left = fragments.join(pairs.select("a").distinct(), F.col("doc") == F.col("a"), "left_semi")
     left = left.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("_a"))
     size = left.agg(F.sum(F.size("_a") * 8 + 64)).first()[0] or 0
@@ -302,7 +310,8 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        edges = T.written(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), spark, "component-edges")
+        older, edges = edges, T.written(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), spark, "component-edges")
+        T.drop(older)
         before, now = now, state(edges)
         if now == before:
             return edges.select(F.col("hi").alias("doc"), F.col("lo").alias("label"))
@@ -314,8 +323,10 @@ def able_by_head(found: DataFrame, places: DataFrame) -> DataFrame:
     ``found`` has ``(t, doc)`` of the elements that several sets have in their heads.
     """
     shared = found.filter(F.col("t") < HEAD_END).groupBy(F.col("doc").alias("_doc")).agg(F.count(F.lit(1)).alias("s"))
-    joined = places.join(shared, F.col("doc") == F.col("_doc"), "left")
-    return joined.filter(F.col("below") - F.coalesce("s", F.lit(0)) < _prefix(F.col("n"))).drop("_doc", "s")
+    joined = places.join(shared, F.col("doc") == F.col("_doc"), "left").withColumn("s", F.coalesce("s", F.lit(0)))
+    # How much of its head others have, of 1,000: all of it in the text that a family descends from.
+    share = F.floor(F.col("s") * 1000 / F.greatest("below", F.lit(1))).cast("bigint")
+    return joined.filter(F.col("below") - F.col("s") < _prefix(F.col("n"))).withColumn("shared", share).drop("_doc", "s")
 
 
 def able_by_set(cut: DataFrame, open_docs: DataFrame, spark: SparkSession) -> DataFrame:
@@ -326,7 +337,7 @@ def able_by_set(cut: DataFrame, open_docs: DataFrame, spark: SparkSession) -> Da
     components have are counted per fragment and summed per document.
     """
     labels, _ = broadcast_if_small(open_docs.select("doc", "label"))
-    rows = cut.join(labels, "doc").select("doc", "label", F.explode("grams").alias("t"))
+    rows = cut.join(labels, "doc").select("doc", "label", F.explode(F.flatten("parts")).alias("t"))
     spread = rows.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("t")
     shared = rows.select("t", "doc").join(spread, "t").groupBy("doc").agg(F.count(F.lit(1)).alias("m"))
     cap = F.floor(F.col("m") * (100 + PERCENT) / F.lit(PERCENT)).cast("bigint") - F.col("n")
@@ -345,84 +356,153 @@ def able_by_set(cut: DataFrame, open_docs: DataFrame, spark: SparkSession) -> Da
 
 def unresolved(labelled: DataFrame) -> DataFrame:
     """``(t, few)`` of n-grams whose documents lie in several components."""
-    per_label = labelled.groupBy("t", "label").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    per_gram = per_label.groupBy("t").agg(
-        F.count(F.lit(1)).alias("k"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("q")
-    )
-    pairs = (F.col("m") * F.col("m") - F.col("q")) / 2
-    return per_gram.filter("k > 1").select("t", (pairs <= FEW_PAIRS * F.col("m")).alias("few"))
-
-
-def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per document."""
+    per_gram = labelled.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
+    return per_gram.filter("lo != hi").select("t", (F.col("m") <= FEW_PAIRS).alias("few"))
+
+
+class _Nodes:
+    """The nodes of one call: where their texts are, their links so far and their components."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, spark: SparkSession):
+        self.docs, self.spark = docs, spark
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("_first")
+        several = sets.filter("n > 0").groupBy("node").agg(first, F.count(F.lit(1)).alias("members")).filter("members > 1")
+        several = T.written(several.select(F.col("node").alias("doc"), "_first"), spark, "shingle-classes")
+        known, _ = broadcast_if_small(several)
+        own = sets.filter("n > 0").withColumnRenamed("node", "doc").join(known, "doc", "left")
+        one = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("version") == F.col("_first.version"))
+        self.own = own.filter(F.col("_first").isNull() | one).drop("_first")
+        # The same id and text several times: any of the rows will do.
+        same = sets.filter("n > 0").groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        self.repeated = not same.isEmpty()
+        if self.repeated:
+            self.own = self.own.dropDuplicates(["doc"])
+        self.links: DataFrame | None = None
+        self.tried: DataFrame | None = None
+        self.labels: DataFrame | None = None
+
+    def fragments(self, nodes: DataFrame) -> DataFrame:
+        """``(doc, parts)`` of these nodes."""
+        wanted = self.own.select("doc", F.col("doc_id").alias("_id"), F.col("version").alias("_version")).join(nodes, "doc", "left_semi")
+        wanted, _ = broadcast_if_small(T.written(wanted, self.spark, "shingle-sources"))
+        mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+        cut = self.docs.join(wanted, mine).select("doc", "text").mapInArrow(_fragments, "doc bigint, parts array<array<bigint>>")
+        return T.written(cut.dropDuplicates(["doc"]) if self.repeated else cut, self.spark, "shingle-fragments")
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the component of ``doc`` as ``label``."""
+        if self.labels is None:
+            return rows.withColumn("label", F.col("doc"))
+        labels, _ = broadcast_if_small(self.labels)
+        return rows.drop("label").join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+
+    def verify(self, pairs: DataFrame, cut: DataFrame) -> tuple[int, int]:
+        """Try pairs (a written table), merge what links; how many were tried and how many linked."""
+        self.tried = pairs.select("a", "b") if self.tried is None else self.tried.unionByName(pairs.select("a", "b"))
+        found = T.written(linked(pairs, cut), self.spark, "links")
+        return pairs.count(), self.merge(found)
+
+    def merge(self, found: DataFrame) -> int:
+        """Merge the components of these links; how many there are."""
+        n = found.count()
+        if n:
+            self.links = found if self.links is None else self.links.unionByName(found)
+            older, self.labels = self.labels, T.written(components(self.links, self.spark), self.spark, "labels")
+            if older is not None:
+                T.drop(older)
+        return n
+
+    def untried(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that were not tried in either order."""
+        if self.tried is not None:
+            known = self.tried.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
+            pairs = pairs.withColumns({"_a": F.least("a", "b"), "_b": F.greatest("a", "b")}).join(known, ["_a", "_b"], "left_anti").drop("_a", "_b")
+        return T.written(pairs, self.spark, "pairs")
+
+
+def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, version, n, node, label, component_id)``, one row per row; ``version`` is the text's hash."""
     B.small_batches(spark)
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    types = "doc_id bigint, n bigint, digest binary, below bigint, head array<bigint>, ranks array<bigint>"
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(T.whole(text)).alias("version"))
+    types = "doc_id bigint, version bigint, n bigint, node bigint, below bigint, head array<bigint>, ranks array<bigint>"
     sets = T.written(docs.mapInArrow(_sets, types), spark, "shingle-sets")
-    classes = sets.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
-    classes = T.written(classes.filter("members > 1 OR rep IS NULL"), spark, "shingle-classes")
-    copies = sets.select("doc_id", "digest").join(classes, "digest").filter("doc_id != rep").select("doc_id").distinct()
-    repeated_ids = not sets.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
-
-    def fragments(ids: DataFrame) -> DataFrame:
-        wanted, _ = broadcast_if_small(ids)
-        cut = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_fragments, "doc bigint, fragment int, grams array<bigint>")
-        return T.written(cut.dropDuplicates(["doc", "fragment"]) if repeated_ids else cut, spark, "shingle-fragments")
-
-    def verified(cut: DataFrame, *several: DataFrame) -> DataFrame:
-        return T.written(reduce(DataFrame.unionByName, [linked(p, cut) for p in several]), spark, "links")
-
-    gone, _ = broadcast_if_small(T.written(copies, spark, "shingle-copies"))
-    own = sets.filter("n > 0 AND doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").withColumnRenamed("doc_id", "doc")
-    own = own.dropDuplicates(["doc"]) if repeated_ids else own
+    nodes = _Nodes(docs, sets, spark)
+    own = nodes.own
     everything = own.select("doc", F.explode("head").alias("t"))
     shared = everything.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("t")
     found = T.written(everything.join(shared, "t"), spark, "shingle-shared")
     last = F.element_at("head", _prefix(F.col("n")).cast("int")).alias("last")
     able = T.written(able_by_head(found, own.select("doc", "n", "below", last)), spark, "able")
-    places, _ = broadcast_if_small(able.select("doc", "n", "last"))
-    postings = T.written(found.join(places, "doc").filter("t <= last").select("t", "doc", "n"), spark, "shingle-postings")
-
-    stars = T.written(star_pairs(postings), spark, "star-pairs")
-    links = verified(fragments(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), stars)
-    labels = components(links, spark)
-    labelled = postings.join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    labelled = T.written(labelled.select("t", "doc", "n", "label"), spark, "labelled")
+    places, _ = broadcast_if_small(able.select("doc", "n", "last", "shared"))
+    ranked = T.written(found.join(places, "doc").filter("t <= last").select("t", "doc", "n", "shared"), spark, "shingle-postings")
+    T.drop(found, able)
+
+    cut = nodes.fragments(ranked.select("doc").distinct())
+    while True:
+        pairs = T.written(hub_pairs(nodes.labelled(ranked), nodes.tried), spark, "hub-pairs")
+        tried, hits = nodes.verify(pairs, cut)
+        if hits * 10 <= tried:
+            break
+
+    labelled = T.written(nodes.labelled(ranked).select("t", "doc", "n", "label"), spark, "labelled")
+    T.drop(ranked)
     open_docs = labelled.join(unresolved(labelled).select("t"), "t", "left_semi").select("doc", "n", "label").distinct()
     open_docs = T.written(open_docs, spark, "open-documents")
-    cut = fragments(open_docs.select(F.col("doc").alias("doc_id")))
     caps, _ = broadcast_if_small(T.written(able_by_set(cut, open_docs, spark), spark, "caps"))
-    labelled = T.written(labelled.join(caps, "doc"), spark, "labelled")
-    open_grams = T.written(unresolved(labelled), spark, "open-grams")
-    packed = T.written(labelled.join(open_grams.filter("NOT few").select("t"), "t", "left_semi"), spark, "crowded")
-    own_grams = (F.count(F.lit(1)).alias("h"), F.collect_list("t").alias("grams"))  # at most a prefix
-    crowding = packed.groupBy("doc", "label", "n", "cap").agg(*own_grams)
+    capped = T.written(labelled.join(caps, "doc"), spark, "labelled")
+    T.drop(labelled, open_docs)
     # The grid point at or before the prefix's last element.
     point = F.shiftright(F.element_at("head", _prefix(F.col("n")).cast("int")), 57).cast("int") + 64
-    grid = sets.filter("n > 0").select(F.col("doc_id").alias("doc"), "ranks", F.least(point, F.lit(GRID - 1)).alias("q"))
-    crowding = crowding.join(grid, "doc")
-    crowding = T.written(crowding.dropDuplicates(["doc"]) if repeated_ids else crowding, spark, "crowding")
-    light = light_pairs(labelled.join(open_grams.filter("few").select("t"), "t", "left_semi"), crowding)
-    # Light pairs as (smaller, larger); crowded ones begin with the query, of which there are few.
-    light = T.written(light.join(stars, ["a", "b"], "left_anti"), spark, "light-pairs")
-    heavy = crowded_pairs(crowding, spark)
-    known = light.unionByName(stars).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    heavy = heavy.withColumns({"_a": F.least("a", "b"), "_b": F.greatest("a", "b")}).join(known, ["_a", "_b"], "left_anti")
-    heavy = T.written(heavy.dropDuplicates(["_a", "_b"]).drop("_a", "_b"), spark, "crowded-pairs")
-    labels = components(links.unionByName(verified(cut, light, heavy)), spark)
-
-    of_class = sets.select("doc_id", "n", "digest").join(classes.select("digest", "rep"), "digest", "left")
-    node = F.coalesce("rep", "doc_id")
-    return (
-        of_class.withColumn("_node", node)
-        .join(labels.toDF("_doc", "_label"), F.col("_node") == F.col("_doc"), "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_label", "_node").alias("component_id"))
-    )
+    grid = own.select("doc", "ranks", F.least(point, F.lit(GRID - 1)).alias("q"))
+
+    def crowded() -> tuple[DataFrame, DataFrame]:
+        """Postings of open n-grams with few documents, and per document its crowded ones, by the
+        components of now."""
+        now = nodes.labelled(capped)
+        grams = T.written(unresolved(now), spark, "open-grams")
+        packed = now.join(grams.filter("NOT few").select("t"), "t", "left_semi")
+        crowding = packed.groupBy("doc", "label", "n", "cap").agg(F.count(F.lit(1)).alias("h")).join(grid, "doc")
+        return now.join(grams.filter("few").select("t"), "t", "left_semi"), T.written(crowding, spark, "crowding")
+
+    few, crowding = crowded()
+    nodes.verify(nodes.untried(light_pairs(few, crowding)), cut)
+    T.drop(crowding)
+    _, crowding = crowded()
+    nodes.merge(crowded_links(crowding, cut, spark))
+    T.drop(crowding)
+    T.drop(cut, capped)
+    labels = nodes.labelled(sets.select("doc_id", "version", "n", F.col("node").alias("doc")))
+    rows = T.written(labels.withColumnRenamed("doc", "node"), spark, "near-rows")
+    least = rows.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("_least"))
+    least, _ = broadcast_if_small(T.written(least, spark, "component-ids"))
+    T.drop(sets)
+    component = F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id"))
+    return rows.join(least, "label", "left").select("doc_id", "version", "n", "node", "label", component.alias("component_id"))
+
+
+def near_groups(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, one row per document."""
+    return near_rows(docs, spark, doc_id, text).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id."""
-    groups = near_groups(docs, spark, doc_id, text)
-    gone = T.written(groups.filter("doc_id != component_id").select("doc_id").distinct(), spark, "near-copies")
-    gone, _ = broadcast_if_small(gone.toDF("_gone"))
-    return docs.join(gone, F.col(doc_id).cast("bigint") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay: of each component one row with the smallest id. Rows
+    without a word stay, as they are in no component."""
+    rows = T.written(near_rows(docs, spark, doc_id, text).filter("n > 0"), spark, "near-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")
+    chosen = rows.groupBy("label").agg(F.min(place).alias("_kept"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    chosen, _ = broadcast_if_small(T.written(chosen.select("label", "_kept"), spark, "near-kept"))
+    gone = rows.join(chosen, "label").filter(place != F.col("_kept")).select(F.col("doc_id").alias("_gone"), F.col("version").alias("_gone_version"))
+    gone, _ = broadcast_if_small(T.written(gone.distinct(), spark, "near-copies"))
+    version = F.xxhash64(T.whole(text))
+    mine = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_gone")) & (version == F.col("_gone_version"))
+    kept = docs.join(gone, mine, "left_anti")
+    # The same id and text several times: one of the rows stays.
+    twice = rows.groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id", "version")
+    if twice.isEmpty():
+        return kept
+    again = twice.toDF("_again", "_again_version")
+    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_again")) & (version == F.col("_again_version"))
+    return kept.join(again, same, "left_anti").unionByName(
+        kept.join(again, same, "left_semi").withColumn("_version", version).dropDuplicates([doc_id, "_version"]).drop("_version")
+    )

@@ -64,4 +64,14 @@ def written(df: DataFrame, spark: SparkSession, label: str) -> DataFrame:
 
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._tidemark_path = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables of :func:`written` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._tidemark_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
