@@ -21,7 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     ids, _ = broadcast_if_small(labels.select("doc_id").distinct())
     marked = docs.join(ids, "doc_id", "left_semi")
-    limits = T.written(risk_rules.thresholds(risk_rules.measured(marked), labels), spark, "quality-limits")
+    rows = T.written(risk_rules.measured(marked), spark, "quality-measures")
+    limits = T.written(risk_rules.thresholds(rows, labels), spark, "quality-limits")
     return risk_rules.keep_good(docs, limits)
 
 
