@@ -15,7 +15,7 @@ global order of the n-grams, so only these prefixes are matched.
 
 * Rounds of hubs: the hub of an n-gram is the document whose head others share most. Each document
   meets one hub of another component, that with which it shares most, so a round is no larger
-  than the documents. Links merge components; rounds go on while a tenth of them link.
+  than the documents. Links merge components; rounds go on while a quarter of them link.
 * N-grams that are still in several components and have few documents (FEW): all pairs of them
   across components are counted. A pair goes on when the n-grams it shares, with all crowded ones
   of a document granted, can make up for those it must share.
@@ -249,7 +249,9 @@ def crowded_links(crowding: DataFrame, cut: DataFrame, spark: SparkSession) -> D
         .select("doc")
         .distinct()
     )
-    rows = crowding.select("doc", "label", "n", "cap").join(cut, "doc")
+    docs, _ = broadcast_if_small(crowding.select("doc", "label", "n", "cap"))
+    rows = cut.join(docs, "doc").select("doc", "label", "n", "cap", "parts")
+    able, _ = broadcast_if_small(T.written(able, spark, "crowded-able"))
     queries = T.written(rows.join(able, "doc", "left_semi"), spark, "crowded-queries")
     size = F.aggregate("parts", F.lit(64).cast("bigint"), lambda b, part: b + 16 * F.size(part))
     blocks = 1 + (queries.agg(F.sum(size)).first()[0] or 0) // BLOCK_BYTES
@@ -275,15 +277,16 @@ def crowded_links(crowding: DataFrame, cut: DataFrame, spark: SparkSession) -> D
 def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     """``(a, b)`` of the pairs that reach the similarity: partial overlaps summed per pair.
 
-    Pairs meet the fragments of b where these lie; those of a are broadcast if they measure
-    at most BLOCK_BYTES, and else shuffled to them.
+    ``pairs`` is a written table. Pairs are broadcast to the fragments of b if they are few; those
+    of a are broadcast if they measure at most BLOCK_BYTES, and else shuffled to them.
     """
-    fragments = fragments.select("doc", F.posexplode("parts").alias("fragment", "grams"))
-    left = fragments.join(pairs.select("a").distinct(), F.col("doc") == F.col("a"), "left_semi")
+    wanted, _ = broadcast_if_small(pairs.select("a").distinct())
+    left = fragments.join(wanted, F.col("doc") == F.col("a"), "left_semi").select("doc", F.posexplode("parts").alias("fragment", "grams"))
     left = left.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("_a"))
     size = left.agg(F.sum(F.size("_a") * 8 + 64)).first()[0] or 0
-    right = fragments.select(F.col("doc").alias("b"), "fragment", F.col("grams").alias("_b"))
-    parts = pairs.join(right, "b").join(F.broadcast(left) if size <= BLOCK_BYTES else left, ["a", "fragment"])
+    pairs, _ = broadcast_if_small(pairs)
+    right = fragments.withColumnRenamed("doc", "b").join(pairs, "b").select("a", "b", "a_n", "b_n", F.posexplode("parts").alias("fragment", "_b"))
+    parts = right.join(F.broadcast(left) if size <= BLOCK_BYTES else left, ["a", "fragment"])
     overlap = F.sum(F.size(F.array_intersect("_a", "_b"))).alias("o")
     summed = parts.groupBy("b", "a", "a_n", "b_n").agg(overlap)
     return summed.filter(F.col("o") * (100 + PERCENT) >= (F.col("a_n") + F.col("b_n")) * PERCENT).select("a", "b")
@@ -292,17 +295,18 @@ def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
 def components(links: DataFrame, spark: SparkSession) -> DataFrame:
     """``(doc, label)``: the smallest document of each component, for documents with links.
 
-    Alternates the large-star and small-star steps until the edges stay; every step is a
-    minimum per document and a join, so a hub of any degree is never gathered.
+    Alternates the large-star and small-star steps until every document hangs on one that
+    hangs on none; every step is a minimum per document and a join, so a hub of any degree is
+    never gathered.
     """
-
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
-
     edges = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi != lo").distinct()
     edges = T.written(edges, spark, "component-edges")
-    now = state(edges)
     while True:
+        # Once as a lower end, and as an upper end as often as there are neighbours below.
+        ends = edges.select(F.col("hi").alias("u"), F.lit(1).alias("up")).unionByName(edges.select(F.col("lo").alias("u"), F.lit(0).alias("up")))
+        per_doc = ends.groupBy("u").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+        if per_doc.filter("ups > 1 OR (ups = 1 AND least = 0)").isEmpty():
+            return edges.select(F.col("hi").alias("doc"), F.col("lo").alias("label"))
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
@@ -312,9 +316,6 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
         small = large.join(low, "hi").filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         older, edges = edges, T.written(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), spark, "component-edges")
         T.drop(older)
-        before, now = now, state(edges)
-        if now == before:
-            return edges.select(F.col("hi").alias("doc"), F.col("lo").alias("label"))
 
 
 def able_by_head(found: DataFrame, places: DataFrame) -> DataFrame:
@@ -377,7 +378,6 @@ class _Nodes:
         self.repeated = not same.isEmpty()
         if self.repeated:
             self.own = self.own.dropDuplicates(["doc"])
-        self.links: DataFrame | None = None
         self.tried: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -405,11 +405,19 @@ class _Nodes:
     def merge(self, found: DataFrame) -> int:
         """Merge the components of these links; how many there are."""
         n = found.count()
-        if n:
-            self.links = found if self.links is None else self.links.unionByName(found)
-            older, self.labels = self.labels, T.written(components(self.links, self.spark), self.spark, "labels")
-            if older is not None:
-                T.drop(older)
+        if n and self.labels is None:
+            self.labels = T.written(components(found, self.spark), self.spark, "labels")
+        elif n:
+            # Links join components, so only these go through the steps again.
+            ends = self.labelled(found.withColumnRenamed("a", "doc")).select(F.col("label").alias("a"), F.col("b").alias("doc"))
+            ends = self.labelled(ends).select("a", F.col("label").alias("b"))
+            roots = components(ends, self.spark).toDF("label", "root")
+            roots, _ = broadcast_if_small(roots)
+            older = self.labels
+            moved = older.join(roots, "label", "left").select("doc", F.coalesce("root", "label").alias("label"))
+            # What was a root, or had no link until now, hangs on the new one.
+            self.labels = T.written(moved.unionByName(roots.toDF("doc", "label")), self.spark, "labels")
+            T.drop(older)
         return n
 
     def untried(self, pairs: DataFrame) -> DataFrame:
@@ -441,7 +449,7 @@ def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text
     while True:
         pairs = T.written(hub_pairs(nodes.labelled(ranked), nodes.tried), spark, "hub-pairs")
         tried, hits = nodes.verify(pairs, cut)
-        if hits * 10 <= tried:
+        if hits * 4 <= tried:
             break
 
     labelled = T.written(nodes.labelled(ranked).select("t", "doc", "n", "label"), spark, "labelled")
@@ -461,8 +469,10 @@ def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text
         now = nodes.labelled(capped)
         grams = T.written(unresolved(now), spark, "open-grams")
         packed = now.join(grams.filter("NOT few").select("t"), "t", "left_semi")
-        crowding = packed.groupBy("doc", "label", "n", "cap").agg(F.count(F.lit(1)).alias("h")).join(grid, "doc")
-        return now.join(grams.filter("few").select("t"), "t", "left_semi"), T.written(crowding, spark, "crowding")
+        counted = T.written(packed.groupBy("doc", "label", "n", "cap").agg(F.count(F.lit(1)).alias("h")), spark, "crowded")
+        counted, _ = broadcast_if_small(counted)
+        crowding = T.written(grid.join(counted, "doc").select("doc", "label", "n", "cap", "h", "ranks", "q"), spark, "crowding")
+        return now.join(grams.filter("few").select("t"), "t", "left_semi"), crowding
 
     few, crowding = crowded()
     nodes.verify(nodes.untried(light_pairs(few, crowding)), cut)
