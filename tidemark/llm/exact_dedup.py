@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.functions.sizes import broadcast_if_small
 from tidemark.llm import text as T
 
 BUCKET_RECORDS = 50_000
@@ -85,12 +86,14 @@ def build_index(docs: DataFrame, spark: SparkSession, capacity: int = BUCKET_REC
     return index, T.written(owned, spark, "dedup-index")
 
 
-def compared(docs: DataFrame, owned: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Records of repeated texts after the byte comparison.
+def compared(docs: DataFrame, owned: DataFrame, spark: SparkSession, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Records of repeated texts after the byte comparison. Where the repeated keys can be broadcast,
+    only texts with such a key move; copies of a text meet in the map tasks' partial groups first.
 
     ``(key, digest, chain, keep_id, group_size)``; ``chain`` numbers the texts of a key.
     """
     chained = owned.groupBy("key").agg(F.sum("group_size").alias("n")).filter("n > 1").select("key")
+    chained, _ = broadcast_if_small(T.written(chained, spark, "dedup-keys"))
     norm = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("_norm")).withColumn("key", F.xxhash64("_norm"))
     suspects = norm.join(chained, "key", "left_semi")
     equal = suspects.groupBy("key", "_norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -119,7 +122,7 @@ def resolve(index: DataFrame, same: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text", capacity: int = BUCKET_RECORDS) -> DataFrame:
     index, owned = build_index(docs, spark, capacity, doc_id=doc_id, text=text)
-    same = T.written(compared(docs, owned, text, doc_id), spark, "dedup-compared")
+    same = T.written(compared(docs, owned, spark, text, doc_id), spark, "dedup-compared")
     found = resolve(index, same)
     # Rows equal in text and id: the id alone cannot tell them apart, so one of them is kept.
     return _one_of_ties(found)
@@ -143,12 +146,13 @@ def _one_of_ties(found: DataFrame) -> DataFrame:
 def dropped_keys(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, digest, keep_id)`` of the texts that occur more than once."""
     _, owned = build_index(docs, spark, doc_id=doc_id, text=text)
-    return compared(docs, owned, text, doc_id).filter("group_size > 1").select("key", "digest", "keep_id")
+    return compared(docs, owned, spark, text, doc_id).filter("group_size > 1").select("key", "digest", "keep_id")
 
 
 def keep_one(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns."""
     groups = T.written(dropped_keys(docs, spark, doc_id, text), spark, "dedup-groups").toDF("_key", "_digest", "_keep")
+    groups, _ = broadcast_if_small(groups)
     norm = normalised(text)
     inner = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_id"), norm.alias("_norm"))
     inner = inner.select("_row", "_id", F.xxhash64("_norm").alias("key"), F.sha2("_norm", 256).alias("digest"))
