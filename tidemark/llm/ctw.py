@@ -39,7 +39,7 @@ from tidemark.llm import text as T
 #: Bytes of context of the registered query; an n-gram of up to seven and the next byte is 64 bits.
 DEPTH = 6
 #: n-grams that one task holds at once, and those that share the last bytes of their context at most.
-CHUNK, GROUP_GRAMS = 1 << 17, 1 << 19
+CHUNK, GROUP_GRAMS = 1 << 16, 1 << 17
 TABLE_BYTES = 256 * 1024 * 1024
 WORDS_KEPT = 1 << 20
 _WORD, _GRAM, _END = 0, 1, 2
