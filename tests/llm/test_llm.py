@@ -1,11 +1,14 @@
 """The training-data operators against SQL, brute force and hand-made edge cases."""
 
 import math
+import os
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
@@ -55,6 +58,24 @@ def test_exact_dedup_edges(spark, edge, nothing):
     assert exact_dedup.exact_dedup(nothing, spark).count() == 0
 
 
+def test_key_collisions_go_through_chains(spark, sf_dir, edge, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(edge.select("doc_id", "text", "lang", "source", "n_chars"))
+    expected = sorted(map(str, exact_dedup.exact_dedup(docs, spark).collect()))
+    left = sorted(r.doc_id or 0 for r in exact_dedup.keep_one(docs, spark).collect())
+    monkeypatch.setattr(exact_dedup, "key_of", lambda norm: F.length(norm) % 7)
+    _, owned = exact_dedup.build_index(docs, spark, capacity=20)
+    chains = exact_dedup.compared(docs, owned, spark).groupBy("key").agg(F.max("chain").alias("n")).collect()
+    assert len(chains) == 7 and min(r.n for r in chains) > 5
+    assert sorted(map(str, exact_dedup.exact_dedup(docs, spark, capacity=20).collect())) == expected
+    assert sorted(r.doc_id or 0 for r in exact_dedup.keep_one(docs, spark).collect()) == left
+
+
+def test_owners_compare_within_their_ranges(spark):
+    texts = spark.range(1000).selectExpr("CAST(id % 9 AS int) AS bucket", "xxhash64(id % 300) AS key", "CAST(id AS string) AS _norm", "id AS keep_id", "1L AS n")
+    plan = exact_dedup.to_owners(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(bucket" in plan and "hashpartitioning" not in plan
+
+
 def test_directory_splits_full_buckets_only(spark):
     texts = spark.range(4000).selectExpr("xxhash64(id) AS key", "id AS digest")
     depth, entries = exact_dedup.directory(texts, capacity=300)
@@ -112,6 +133,20 @@ def test_urls_edges(spark):
     assert urls.judge(pages, urls.rule_table(spark, [])).filter("verdict = 'allow'").count() == 6
 
 
+def test_urls_hostile_hosts_and_clashing_names(spark):
+    deep = "a." * 5000 + "net"
+    pages = spark.createDataFrame([(1, f"x://{deep}/p" + "q" * 100_000, "r", "v", "h")], "page_id long, url string, rule string, verdict string, host string")
+    odd = [("block", "net", "/"), ("allow", "o'x.net", "/"), ("allow", "back\\slash.net", "/"), ("allow", "a.net", "/pq")]
+    rules = urls.rule_table(spark, odd)
+    assert sorted(map(tuple, rules.collect())) == sorted(odd)
+    row = urls.judge(pages, rules).first()
+    assert (row.host, row.rule, row.verdict) == (deep, "a.net/pq", "allow")
+    # As many expressions as rules have shapes, however many labels the host has.
+    places = spark.createDataFrame([(deep, "/pq")], "host string, path string")
+    assert urls.expressions(places, [1, 3], [1, 2]).count() == 4
+    assert urls.judge(pages.limit(0), rules).count() == 0
+
+
 def test_line_chunks_and_licences_edges(spark, edge, nothing):
     passage = "\n".join(f"line {i} of a passage" for i in range(40))
     docs = spark.createDataFrame([(1, "head\n" + passage), (2, "other head\nmore\n" + passage + "\ntail"), (3, None)], "doc_id long, text string")
@@ -124,6 +159,32 @@ def test_line_chunks_and_licences_edges(spark, edge, nothing):
     got = {r.doc_id: (r.licence, r.n_licence_lines) for r in licences.scan(docs, spark).collect()}
     assert got == {1: ("MIT", 0), 2: (None, 1), 3: (None, 0), None: (None, 0)}
     assert licences.scan(nothing, spark).count() == 0
+    clash = docs.selectExpr("doc_id", "text", "'x' AS licence", "'y' AS _lines", "'z' AS digest")
+    assert sorted(map(str, licences.scan(clash, spark).collect())) == sorted(map(str, licences.scan(docs, spark).collect()))
+
+
+def test_licence_notices_long_texts_and_given_tables(spark):
+    body = "\n".join(f"line {i}" for i in range(100_000))
+    docs = spark.createDataFrame(
+        [(1, "# SPDX-License-Identifier: GPL-2.0-or-later\n" + body), (2, "licensed under CC BY-SA 4.0\nLicenced under the MIT Licence"), (3, "My Own\nLicence.")],
+        "doc_id long, text string",
+    )
+    got = {r.doc_id: (r.licence, r.n_licence_lines, r.line_licences) for r in licences.scan(docs, spark).collect()}
+    assert got == {1: (None, 1, "GPL-2.0"), 2: (None, 2, "CC-BY-SA-4.0,MIT"), 3: (None, 0, "")}
+    own = licences.known_digests(spark.createDataFrame([("own", "my own license"), ("none", "\n")], "licence string, text string"))
+    got = {r.doc_id: (r.licence, r.n_licence_lines) for r in licences.scan(docs, spark, known=own).collect()}
+    assert got == {1: (None, 0), 2: (None, 0), 3: ("own", 0)}
+    assert licences.scan(docs, spark, known=own.limit(0)).filter("licence IS NULL").count() == 3
+
+
+@pytest.mark.parametrize("name, file", [("GPL-3.0", "GPL-3"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0")])
+def test_full_texts_are_known(spark, name, file):
+    path = f"/usr/share/common-licenses/{file}"
+    if not os.path.exists(path):
+        pytest.skip("no licence texts on this machine")
+    with open(path) as f:
+        docs = spark.createDataFrame([(1, re.sub(r"\blicense\b", "licence", f.read()).upper())], "doc_id long, text string")
+    assert licences.scan(docs, spark).first().licence == name
 
 
 def test_preference_prefix_and_masks(spark):
@@ -135,6 +196,21 @@ def test_preference_prefix_and_masks(spark):
     assert got[2].chosen == "" and got[3].n_prompt_turns == 0 and got[3].chosen_mask == [] and got[4].prompt == ""
     odd = spark.createDataFrame([(None, None, None, None), (1, 0, "user", "a"), (1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     assert preference.format_pairs(preference.last_reply_pairs(preference.conversations(odd))).count() == 2
+    assert preference.format_pairs(preference.last_reply_pairs(preference.conversations(odd.limit(0)))).count() == 0
+
+
+def test_turns_without_a_conversation_and_clashing_names(spark):
+    schema = "conv_id long, turn long, role string, text string, prompt string, turns string"
+    alone = [(None, i % 3, "user", f"t{i % 50}", "x", "y") for i in range(600)]
+    long = "word " * 200_000
+    turns = spark.createDataFrame(alone + [(7, 1, "assistant", long, "x", "y"), (7, 0, "user", "q", "x", "y")], schema)
+    talks = preference.conversations(turns)
+    assert talks.filter("conv_id IS NULL AND size(turns) = 1").count() == 150 and talks.count() == 151
+    pairs = preference.last_reply_pairs(talks).selectExpr("*", "'p' AS prompt", "'q' AS given_prompt", "'m' AS Chosen_Mask", "'d' AS `a.b`")
+    out = preference.format_pairs(pairs)
+    assert out.columns == ["conv_id", "given_given_prompt", "given_prompt", "given_Chosen_Mask", "a.b", *preference.RESULTS]
+    row = out.filter("conv_id = 7").first()
+    assert row.chosen.endswith(long + preference.END) and row.given_given_prompt == "p" and row.given_prompt == "q"
 
 
 def brute_components(rows):
@@ -271,6 +347,29 @@ def test_packing_round_trip(spark, sf_dir, edge, nothing):
     assert packing.pack(nothing, spark).count() == 0
 
 
+def test_short_texts_waste_little(spark):
+    docs = spark.createDataFrame([(i, "a b" if i % 3 else "c") for i in range(30_000)], "doc_id long, text string")
+    rows = packing.pack(docs, spark).collect()
+    assert check_packed(rows, {r.doc_id: r.text for r in docs.collect()}) > 0.95
+
+
+@pytest.mark.parametrize("window, bins", [(4096, 256), (4096, 4096), (1000, 7), (10, 256), (300, 256)])
+def test_bins_and_strategies(window, bins):
+    lengths = packing.bin_lengths(window, bins)
+    assert lengths[0] == 0 and lengths[-1] == window and (np.diff(lengths) > 0).all()
+    if len(lengths) > 1000:
+        return
+    combos = packing.strategies(lengths)
+    assert len(combos) and (lengths[combos].sum(axis=1) == window).all()
+    histogram = np.random.default_rng(1).integers(0, 50, len(lengths)) * (np.arange(len(lengths)) > 0)
+    layout = packing.plan(histogram, lengths)
+    packed = Counter()
+    for combo, n in layout:
+        assert lengths[list(combo)].sum() <= window
+        packed.update({b: n * combo.count(b) for b in set(combo)})
+    assert [packed[b] for b in range(len(lengths))] == histogram.tolist()
+
+
 def test_pipeline_by_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:3]:

@@ -7,7 +7,9 @@ while a bucket holds more records than it may: a full bucket of local depth d sp
 two of depth d + 1; records of one and the same key cannot be split and chain. The records
 are written to the shared folder by owner, each owner having a range of the directory. Records
 that stand for several rows, or share a key, are then compared byte by byte: their texts are
-grouped by key and text, again merged before they move.
+merged into LANES records each at most, so that a hot text is no hot key, and go to the owners of
+their range of (bucket, key). An owner compares the bytes of its texts and chains different texts
+with one key.
 
 Nulls: a null text is an empty one; a null id sorts below all others. Of rows that are equal
 in text and id one stays. An empty table gives an empty result. Other columns stay as they
@@ -24,16 +26,22 @@ from tidemark.llm import text as T
 BUCKET_RECORDS = 50_000
 #: The directory has 2^16 entries at most, so it may be broadcast; fuller buckets are cut by key.
 MAX_DEPTH = 16
+#: Copies of one text reach their owner as at most this many records.
+LANES = 8
 
 
 def normalised(text: str) -> Column:
     return T.lower_ascii(T.whole(text))
 
 
+def key_of(norm: str) -> Column:
+    return F.xxhash64(norm)
+
+
 def entries(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, digest, doc_id)``, one narrow row per document."""
     norm = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("_norm"))
-    return norm.select(F.xxhash64("_norm").alias("key"), F.sha2("_norm", 256).alias("digest"), "doc_id")
+    return norm.select(key_of("_norm").alias("key"), F.sha2("_norm", 256).alias("digest"), "doc_id")
 
 
 def records(index: DataFrame) -> DataFrame:
@@ -86,21 +94,28 @@ def build_index(docs: DataFrame, spark: SparkSession, capacity: int = BUCKET_REC
     return index, T.written(owned, spark, "dedup-index")
 
 
+def to_owners(texts: DataFrame) -> DataFrame:
+    """Texts of ``(bucket, key, _norm, keep_id, n)`` with the owners of their range, merged by their bytes."""
+    own = texts.repartitionByRange("bucket", "key")
+    return own.groupBy("bucket", "key", "_norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
+
+
 def compared(docs: DataFrame, owned: DataFrame, spark: SparkSession, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Records of repeated texts after the byte comparison. Where the repeated keys can be broadcast,
     only texts with such a key move; copies of a text meet in the map tasks' partial groups first.
 
     ``(key, digest, chain, keep_id, group_size)``; ``chain`` numbers the texts of a key.
     """
-    chained = owned.groupBy("key").agg(F.sum("group_size").alias("n")).filter("n > 1").select("key")
+    chained = owned.groupBy("bucket", "key").agg(F.sum("group_size").alias("n")).filter("n > 1").select("bucket", "key")
     chained, _ = broadcast_if_small(T.written(chained, spark, "dedup-keys"))
-    norm = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("_norm")).withColumn("key", F.xxhash64("_norm"))
-    suspects = norm.join(chained, "key", "left_semi")
-    equal = suspects.groupBy("key", "_norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    norm = docs.select(F.col(doc_id).alias("doc_id"), normalised(text).alias("_norm")).withColumn("key", key_of("_norm"))
+    suspects = norm.join(chained, "key").withColumn("_lane", F.pmod(F.xxhash64("doc_id"), F.lit(LANES)))
+    merged = suspects.groupBy("bucket", "key", "_norm", "_lane").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+    equal = to_owners(T.written(merged.drop("_lane"), spark, "dedup-suspects"))
     # A chain holds different texts with one 64-bit key: hardly ever more than one.
-    chain = Window.partitionBy("key").orderBy("digest", "keep_id")
-    return equal.select("key", F.sha2("_norm", 256).alias("digest"), "keep_id", "group_size").withColumn(
-        "chain", F.row_number().over(chain)
+    chain = Window.partitionBy("bucket", "key").orderBy("digest", "keep_id")
+    return equal.select("bucket", "key", F.sha2("_norm", 256).alias("digest"), "keep_id", "group_size").select(
+        "key", "digest", "keep_id", "group_size", F.row_number().over(chain).alias("chain")
     )
 
 
@@ -155,7 +170,7 @@ def keep_one(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text:
     groups, _ = broadcast_if_small(groups)
     norm = normalised(text)
     inner = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_id"), norm.alias("_norm"))
-    inner = inner.select("_row", "_id", F.xxhash64("_norm").alias("key"), F.sha2("_norm", 256).alias("digest"))
+    inner = inner.select("_row", "_id", key_of("_norm").alias("key"), F.sha2("_norm", 256).alias("digest"))
     joined = inner.join(groups, (F.col("key") == F.col("_key")) & (F.col("digest") == F.col("_digest")), "left")
     stays = joined.filter(F.col("_digest").isNull() | F.col("_id").eqNullSafe(F.col("_keep")))
     ties = (

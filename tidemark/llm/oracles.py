@@ -28,7 +28,8 @@ def op1() -> str:
     return f"""
 WITH rows AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations),
 talks AS (
-  SELECT conv_id, list({{'role': role, 'txt': txt}} ORDER BY turn NULLS FIRST, role, txt) AS turns FROM rows GROUP BY conv_id),
+  SELECT conv_id, list({{'role': role, 'txt': txt}} ORDER BY turn NULLS FIRST, role, txt) AS turns FROM rows
+  GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN {{'turn': turn, 'role': role, 'txt': txt}} END),
 placed AS (
   SELECT *, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') AS replies FROM talks),
 sides AS (
@@ -97,11 +98,13 @@ def op3() -> str:
         f"lambda l: array_to_string(list_transform(string_split(trim(regexp_replace(l, {_q(licences.NOT_A_WORD)}, ' ', 'g')), ' '), "
         f"lambda w: coalesce(MAP {{{pairs}}}[w], w)), ' ')), lambda x: x <> '')"
     )
-    known = ", ".join(f"({_q(name)}, {_q(text)})" for name, text in licences.KNOWN)
+    known = ", ".join(f"({_q(name)}, {_q(text)})" for name, text in [*licences.KNOWN, *licences.notices()])
+    full = ", ".join(f"({_q(name)}, {_q(digest)})" for name, digest in licences.FULL_TEXTS)
     return f"""
 WITH known AS (
-  SELECT min(licence) AS licence, sha256(coalesce(array_to_string({lines}, ' '), '')) AS digest
-  FROM (VALUES {known}) k(licence, t) GROUP BY digest),
+  SELECT min(licence) AS licence, digest FROM (
+    SELECT licence, sha256(coalesce(array_to_string({lines}, ' '), '')) AS digest FROM (VALUES {known}) k(licence, t)
+    UNION ALL SELECT * FROM (VALUES {full}) f(licence, digest)) GROUP BY digest),
 docs AS (SELECT row_number() OVER () AS u, doc_id, {lines} AS lines FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
 hits AS (
   SELECT u, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS names

@@ -1,12 +1,12 @@
 """Pack tokenized documents into sequences of a fixed window by non-negative least squares.
 
 A document's ids are cut at every full window from its start; what is left over, shorter
-than a window, is a piece of its own. Lengths of pieces are rounded up to bins of
-``window / BINS``. Every combination of up to DEPTH bins that fills a window exactly is a
-strategy; how often each is used comes from non-negative least squares against the histogram
-of bins, where too few of a bin cost more than too many of long ones. The counts are
-rounded down, and what they leave is packed greedily, longest first into what still fits.
-Only the histogram (BINS counts) and the plan reach the driver. Each piece then finds its
+than a window, is a piece of its own. Pieces of up to EXACT ids have a bin per length, so short
+texts lose nothing; longer ones are rounded up to the next multiple of ``window / BINS``. Every
+combination of up to three bins that fills a window exactly is a strategy; how often each is used
+comes from non-negative least squares against the histogram of bins, where a bin weighs more the
+longer it is. The counts are rounded down, and what they leave is packed greedily, longest first
+into what still fits. Only the histogram (EXACT + BINS counts at most) and the plan reach the driver. Each piece then finds its
 place by its rank within its bin: the rank within its task was counted as it was made, and
 running sums over tasks complete it.
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tidemark.llm import bytewords as B
 from tidemark.llm import text as T
 
-WINDOW, BINS, DEPTH, END_ID = 4096, 256, 3, 2
+WINDOW, BINS, EXACT, END_ID = 4096, 256, 256, 2
 #: Distinct units whose ids a worker remembers; beyond, it starts anew.
 REMEMBERED = 1 << 21
 #: Byte classes: blanks, ASCII letters, digits, other ASCII signs; 0 joins with anything.
@@ -131,20 +131,28 @@ class UnitIds:
                 yield np.append(flat[a:b], np.uint32(END_ID)).astype("<u4")
 
 
-def _pieces(path: str, window: int, bins: int):
+def bin_lengths(window: int = WINDOW, bins: int = BINS, exact: int = EXACT) -> np.ndarray:
+    """The length of every bin, ascending; bin 0 has length 0 and stays unused."""
+    step = -(-window // bins)
+    exact = min(window, -(-exact // step) * step)
+    return np.concatenate([np.arange(exact + 1), np.arange(exact + step, window, step), [window] * (exact < window)]).astype(np.int64)
+
+
+def _pieces(path: str, window: int, lengths: np.ndarray):
     """``(doc_id, start, length, ids_crc32, doc_tokens, bin, task, nth)``: pieces with their
     rank among those of their task and bin."""
+    bin_of = np.searchsorted(lengths, np.arange(window + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, units = TaskContext.get().partitionId(), _units(path)
-        used = np.zeros(bins + 1, dtype=np.int64)
+        used = np.zeros(len(lengths), dtype=np.int64)
         for batch in batches:
             doc_ids, rows, own = batch.column(0), [], []
             for i, ids in enumerate(units.ids(batch.column(1).to_pylist())):
                 n, raw = len(ids), ids.tobytes()
                 for start in range(0, n, window):
                     length = min(window, n - start)
-                    b = -(-length * bins // window)
+                    b = bin_of[length]
                     crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
                     rows.append((start, length, crc, n, b, used[b]))
                     own.append(i)
@@ -159,23 +167,25 @@ def _pieces(path: str, window: int, bins: int):
     return run
 
 
-def strategies(bins: int = BINS, depth: int = DEPTH) -> np.ndarray:
-    """All sorted combinations of at most ``depth`` (3 at most) bins that sum to ``bins``; rows
-    are filled up with zeros."""
-    found = [(bins, 0, 0)]
-    if depth >= 2:
-        found += [(bins - a, a, 0) for a in range(1, bins // 2 + 1)]
-    if depth >= 3:
-        found += [(bins - a - b, b, a) for a in range(1, bins // 3 + 1) for b in range(a, (bins - a) // 2 + 1)]
-    return np.array(found)
+def strategies(lengths: np.ndarray) -> np.ndarray:
+    """All combinations of one, two or three bins whose lengths sum to the longest; rows are
+    longest first and filled up with zeros."""
+    window = int(lengths[-1])
+    bin_of = np.full(window + 1, -1, dtype=np.int64)
+    bin_of[lengths] = np.arange(len(lengths))
+    third, second = np.triu_indices(len(lengths))  # third <= second; 0 stands for none
+    rest = window - lengths[second] - lengths[third]
+    first = np.where(rest >= lengths[second], bin_of[np.maximum(rest, 0)], -1)
+    fits = first > 0
+    return np.stack([first[fits], second[fits], third[fits]], axis=1)
 
 
-def least_squares(combos: np.ndarray, histogram: np.ndarray, steps: int = 400) -> np.ndarray:
+def least_squares(combos: np.ndarray, histogram: np.ndarray, lengths: np.ndarray, steps: int = 400) -> np.ndarray:
     """x >= 0 that minimises the weighted squares of ``A x - histogram`` by accelerated
     projected gradients. A has a column per strategy; the weight of a bin grows with its
     length, since long pieces are the hard ones to place."""
     bins = len(histogram) - 1
-    weight = np.sqrt(np.arange(bins + 1) / bins)
+    weight = np.sqrt(lengths / lengths[-1])
     target = histogram / max(1, histogram.max())
 
     def forward(x: np.ndarray) -> np.ndarray:
@@ -206,10 +216,10 @@ def least_squares(combos: np.ndarray, histogram: np.ndarray, steps: int = 400) -
     return x * max(1, histogram.max())
 
 
-def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+def plan(histogram: np.ndarray, lengths: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     """``(bins of one sequence, longest first; how many sequences)`` covering the histogram
     exactly. ``histogram[b]`` counts the pieces of bin b; bin 0 is unused."""
-    bins, left = len(histogram) - 1, histogram.astype(np.int64).copy()
+    left = histogram.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
 
     def use(combo: tuple[int, ...], n: int) -> None:
@@ -221,28 +231,27 @@ def plan(histogram: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     def most(combo: tuple[int, ...]) -> int:
         return min(left[b] // combo.count(b) for b in set(combo))
 
-    combos = strategies(bins)
-    repeats = np.floor(least_squares(combos, histogram)).astype(np.int64)
+    combos = strategies(lengths)
+    repeats = np.floor(least_squares(combos, histogram, lengths)).astype(np.int64)
     for i in np.argsort(-repeats, kind="stable"):
         if repeats[i] == 0:
             break
         combo = tuple(int(b) for b in combos[i] if b)
         use(combo, min(repeats[i], most(combo)))
     while left.any():
-        combo, room, free = [], bins, left.copy()
-        while room and free[1 : room + 1].any():
-            b = int(np.flatnonzero(free[: room + 1])[-1])
-            combo.append(b)
-            free[b] -= 1
-            room -= b
+        combo, room = [], int(lengths[-1])
+        for b in np.flatnonzero(left)[::-1].tolist():
+            n = min(int(left[b]), room // int(lengths[b]))
+            combo += [b] * n
+            room -= n * int(lengths[b])
         use(tuple(combo), most(tuple(combo)))
     return out
 
 
-def _places(layout: list[tuple[tuple[int, ...], int]], bins: int) -> list[tuple[np.ndarray, ...]]:
+def _places(layout: list[tuple[tuple[int, ...], int]], n_bins: int) -> list[tuple[np.ndarray, ...]]:
     """Per bin: first rank, first sequence and slot of every run of places, by rank."""
-    runs: list[list[tuple[int, int, int]]] = [[] for _ in range(bins + 1)]
-    used, sequence = [0] * (bins + 1), 0
+    runs: list[list[tuple[int, int, int]]] = [[] for _ in range(n_bins)]
+    used, sequence = [0] * n_bins, 0
     for combo, n in layout:
         for slot, b in enumerate(combo):
             runs[b].append((used[b], sequence, slot))
@@ -275,20 +284,21 @@ def pack(
     """One row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     padded_length)``."""
     B.small_batches(spark)
+    lengths = bin_lengths(window, bins)
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     types = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    made = own.mapInArrow(_pieces(path or tokenizer_path(), window, bins), types + ", bin bigint, nth bigint, task bigint")
+    made = own.mapInArrow(_pieces(path or tokenizer_path(), window, lengths), types + ", bin bigint, nth bigint, task bigint")
     pieces = T.written(made, spark, "pack-pieces")
 
     per_task = T.written(pieces.groupBy("bin", "task").agg(F.count(F.lit(1)).alias("n")), spark, "pack-counts")
-    histogram = np.zeros(bins + 1, dtype=np.int64)
+    histogram = np.zeros(len(lengths), dtype=np.int64)
     for r in per_task.groupBy("bin").agg(F.sum("n").alias("n")).collect():
         histogram[r["bin"]] = r["n"]
     before = Window.partitionBy("bin").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_task.select("bin", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     ranked = pieces.join(starts, ["bin", "task"]).withColumn("rank", F.col("_before") + F.col("nth")).drop("_before", "nth", "task")
-    placed = ranked.mapInArrow(_placed(_places(plan(histogram), bins)), types + ", sequence_id bigint, slot bigint")
-    # A sequence holds at most `bins` pieces.
+    placed = ranked.mapInArrow(_placed(_places(plan(histogram, lengths), len(lengths))), types + ", sequence_id bigint, slot bigint")
+    # A sequence holds at most `window` pieces.
     in_sequence = Window.partitionBy("sequence_id")
     earlier = in_sequence.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     filled = F.sum("length").over(in_sequence)

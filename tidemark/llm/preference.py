@@ -7,9 +7,11 @@ assistant says, with the end mark of its turn. All other characters carry none.
 
 A conversation becomes one row because the training example is one string; repeated rows of
 a turn are merged before they move. Turns stand in the order of turn, role, text, nulls
-first; a null role or text is an empty one; a null id is one conversation. A side that is
-missing or null has no turns; equal sides give two empty completions. Other columns stay as
-they are.
+first; a null role or text is an empty one. A turn without an id is a conversation of its
+own, equal ones are one, so they gather nowhere. A side that is missing or null has no turns;
+equal sides give two empty completions. Texts are rendered whole, however long; an empty table
+gives an empty one. Other columns of pairs stay as they are; one with the name of a result is
+returned as ``given_<name>``.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from tidemark.llm import text as T
 #: Fixed marks of the chat format.
 START, END = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
+RESULTS = ("n_prompt_turns", "prompt", "chosen", "chosen_mask", "rejected", "rejected_mask")
 
 
 def conversations(turns: DataFrame, conv_id: str = "conv_id") -> DataFrame:
@@ -29,9 +32,11 @@ def conversations(turns: DataFrame, conv_id: str = "conv_id") -> DataFrame:
         F.col(conv_id).alias("conv_id"), F.col("turn").alias("turn"), T.whole("role").alias("role"), T.whole("text").alias("text")
     ).distinct()
     in_order = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    return rows.groupBy("conv_id").agg(
+    alone = F.when(F.col("conv_id").isNull(), F.struct("turn", "role", "text")).alias("_alone")
+    talks = rows.groupBy("conv_id", alone).agg(
         F.transform(in_order, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")
     )
+    return talks.drop("_alone")
 
 
 def common_turns(chosen: Column, rejected: Column) -> Column:
@@ -64,13 +69,27 @@ def loss_mask(turns: Column) -> Column:
     return F.aggregate(turns, begin, step, lambda acc: acc["spans"])
 
 
+def _given_names(others: list[str]) -> list[str]:
+    """The names of the other columns, apart from the results' in any case of letters."""
+    taken = {*RESULTS, *(c.lower() for c in others)}
+    names = []
+    for c in others:
+        if c.lower() in RESULTS:
+            while c.lower() in taken:
+                c = f"given_{c}"
+            taken.add(c.lower())
+        names.append(c)
+    return names
+
+
 def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
-    """The other columns of ``pairs`` and ``n_prompt_turns, prompt, chosen, chosen_mask,
-    rejected, rejected_mask``."""
+    """The other columns of ``pairs`` and RESULTS."""
     none = F.array().cast("array<struct<role:string,text:string>>")
     others = [c for c in pairs.columns if c not in (chosen, rejected)]
     sides = pairs.select(
-        F.struct(*others).alias("_row"), F.coalesce(F.col(chosen), none).alias("_c"), F.coalesce(F.col(rejected), none).alias("_r")
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"),
+        F.coalesce(F.col(chosen), none).alias("_c"),
+        F.coalesce(F.col(rejected), none).alias("_r"),
     )
     sides = sides.withColumn("_n", common_turns(F.col("_c"), F.col("_r")))
     rest = lambda side: F.slice(side, F.col("_n") + 1, F.size(side))
@@ -78,7 +97,7 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
         "_row", "_n", F.slice("_c", F.lit(1), F.col("_n")).alias("_p"), rest(F.col("_c")).alias("_c"), rest(F.col("_r")).alias("_r")
     )
     return cut.select(
-        *[F.col("_row").getField(c).alias(c) for c in others],
+        *[F.col("_row").getField(c).alias(name) for c, name in zip(others, _given_names(others))],
         F.col("_n").cast("bigint").alias("n_prompt_turns"),
         rendered(F.col("_p")).alias("prompt"),
         rendered(F.col("_c")).alias("chosen"),

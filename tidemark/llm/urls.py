@@ -1,15 +1,16 @@
 """Block and allow lists over URLs by hashed host-suffix and path-prefix expressions.
 
-Each URL is expanded into every suffix of its host (by labels) joined with the prefixes of
-its path, in the lengths that rule paths have. An expression meets the rules by the first
+Each URL is expanded into the suffixes of its host, in the numbers of labels that rule hosts have,
+joined with the prefixes of its path, in the lengths that rule paths have, so a long host costs no
+more than a short one. An expression meets the rules by the first
 four bytes of its SHA-256 in an equi-join; the full digest confirms the hit. Of all rules
 that fit, the longest decides; of equally long ones that with the longer host, then a block.
 URLs that no rule fits get the default verdict.
 
 Nulls: a null URL, or one without ``://``, has an empty host and path. A rule path is a plain
 prefix of the URL's path, which keeps its case. Pages that share host and path are judged
-once, so a hot URL moves as one row. Without rules every page gets the default. Other columns
-stay as they are.
+once, so a hot URL moves as one row. Without rules every page gets the default, without pages
+there is no row. Other columns stay behind, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,13 +50,14 @@ def hashed_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def expressions(places: DataFrame, lengths: Sequence[int]) -> DataFrame:
+def n_labels(host: str) -> Column:
+    return F.size(F.split(host, r"\."))
+
+
+def expressions(places: DataFrame, lengths: Sequence[int], label_counts: Sequence[int]) -> DataFrame:
     """``(host, path, digest, short)``: the expressions of distinct (host, path)."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."),
-    )
+    counts = F.filter(F.array(*[F.lit(n) for n in label_counts]), lambda n: n <= n_labels("host"))
+    suffixes = F.transform(counts, lambda n: F.array_join(F.slice(F.split("host", r"\."), -n, n), "."))
     known = F.array(*[F.lit(n) for n in lengths])
     prefixes = F.transform(F.filter(known, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
     return (
@@ -70,12 +72,14 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", page_id: s
     """``(page_id, host, path, rule, verdict)``, one row per page."""
     host, path = host_and_path(F.col(url))
     placed = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    # Path lengths of rules are few: an URL's length bounds them.
-    lengths = sorted(r[0] for r in rules.filter("path IS NOT NULL").select(F.length("path")).distinct().collect())
-    if not lengths:
+    # Path lengths and label counts of rules are few: an URL's length bounds them.
+    shapes = rules.filter("host IS NOT NULL AND path IS NOT NULL").agg(
+        F.sort_array(F.collect_set(F.length("path"))).alias("lengths"), F.sort_array(F.collect_set(n_labels("host"))).alias("labels")
+    ).first()
+    if not shapes["lengths"]:
         return placed.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     listed = hashed_rules(rules)
-    spread = expressions(placed.select("host", "path").distinct(), lengths)
+    spread = expressions(placed.select("host", "path").distinct(), shapes["lengths"], shapes["labels"])
     hits = spread.join(listed, F.col("short") == F.col("_rule_short")).filter("digest = _rule_digest")
     best = hits.groupBy(F.col("host").alias("_host"), F.col("path").alias("_path")).agg(
         F.max(F.struct(F.length("rule").alias("n"), "host_length", "verdict", "rule")).alias("_best")
@@ -88,7 +92,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", page_id: s
 
 def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
     """``(verdict, host, path)`` triples as a table."""
-    rows = ", ".join(f"({', '.join(repr(v) for v in rule)})" for rule in rules)
-    if not rows:
+    if not rules:
         return spark.createDataFrame([], RULE_SCHEMA)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(verdict, host, path)")
+    # Named markers: positional ones lose their order in a VALUES list of several rows.
+    values = {f"p{i}": v for i, v in enumerate(v for rule in rules for v in rule)}
+    rows = ", ".join(f"(:p{i}, :p{i + 1}, :p{i + 2})" for i in range(0, len(values), 3))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(verdict, host, path)", args=values)
