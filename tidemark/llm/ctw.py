@@ -258,7 +258,9 @@ def train(counts: DataFrame, spark: SparkSession, depth: int, group_grams: int =
         above.select(F.col("context").alias("top"), F.col("node").cast("bigint").alias("key"), F.lit(-1).cast("bigint").alias("n"), "said", "left")
     )
     runs = rows.repartition("top").sortWithinPartitions("top")
-    return T.written(runs.mapInArrow(_down(depth, cut), "key bigint, log10 double"), spark, "lm-table")
+    table = runs.mapInArrow(_down(depth, cut), "key bigint, log10 double")
+    # Rounded here, so that a score is the same whether the table is broadcast or joined.
+    return T.written(table.select("key", F.col("log10").cast("float")), spark, "lm-table")
 
 
 def _below(level: DataFrame, above: DataFrame, d: int) -> DataFrame:
@@ -273,7 +275,7 @@ class Lookup:
     def __init__(self, table: pa.Table):
         keys = table.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], table.column("log10").to_numpy()[order].astype(np.float32)
+        self.keys, self.values = keys[order], table.column("log10").to_numpy()[order]
 
     def __call__(self, grams: np.ndarray) -> np.ndarray:
         keys, at = np.unique(grams, return_inverse=True)
@@ -413,4 +415,4 @@ def score(
 def _joined_scores(scored: DataFrame, table: DataFrame) -> DataFrame:
     """``(uid, score)`` by joining n-grams with the table: for tables beyond the broadcast."""
     grams = scored.select("uid", F.explode(F.arrays_zip("grams", "counts")).alias("g")).select("uid", F.col("g.grams").alias("key"), F.col("g.counts").alias("n"))
-    return grams.join(table, "key").groupBy("uid").agg(F.sum(F.col("n") * F.col("log10")).alias("score"))
+    return grams.join(table, "key").groupBy("uid").agg(F.sum(F.col("n") * F.col("log10").cast("double")).alias("score"))
