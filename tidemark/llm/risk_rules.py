@@ -236,12 +236,21 @@ def judge(rows: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def keep_good(docs: DataFrame, limits: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns. Texts are not shuffled.
+def rows_with_measures(docs: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
+    """``(_row, _s, _m)``: whole rows of ``docs`` beside their stratum and measures.
 
     The measures come out of a generator, which filters are not moved through; else the
     optimiser would repeat them for every condition.
     """
-    inner = docs.select(F.struct("*").alias("_row"), F.col(stratum).alias("_s"), F.explode(F.array(measures(text))).alias("_m"))
-    passed = _with_verdict(inner.filter(~base_failed(F.col("_m"))), limits, "_s", "_m").filter("_rule IS NULL")
-    return passed.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return docs.select(F.struct("*").alias("_row"), F.col(stratum).alias("_s"), F.explode(F.array(measures(text))).alias("_m"))
+
+
+def keep_passed(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """Those of :func:`rows_with_measures` that pass, with the columns they came with."""
+    passed = _with_verdict(rows.filter(~base_failed(F.col("_m"))), limits, "_s", "_m").filter("_rule IS NULL")
+    return passed.select("_row.*")
+
+
+def keep_good(docs: DataFrame, limits: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns. Texts are not shuffled."""
+    return keep_passed(rows_with_measures(docs, text, stratum), limits)
