@@ -365,3 +365,67 @@ def test_statistics_of_loads_side_by_side(spark, warehouse):
     audit = warehouse.audit().filter("table_name = 'X'").orderBy("audit_id").collect()
     assert [r["delta"] for r in audit] == [4.0, 2.0, 3.0] and [r["delta_avg"] for r in audit] == [4.0, 3.0, 3.0]
     assert sorted(r["audit_id"] for r in warehouse.audit().collect()) == [1, 2, 3, 4, 5, 6]
+
+
+# -- packing of the history -------------------------------------------------------------------
+
+
+def parquet_below(folder):
+    return [f for f in files_below(folder) if f.endswith(".parquet")]
+
+
+def test_packed_history_keeps_every_row(spark, tmp_path):
+    """Six waves with a failure, packed after every second: the same rows as without, in few files."""
+    bad = [*SPECS, M.ColumnSpec("NOT_THERE", "STRING", "x")]
+    trails = {}
+    for after in (2, 1000):
+        ticks = iter(DAY + timedelta(minutes=m) for m in range(1000))
+        warehouse = plan.Warehouse(spark, str(tmp_path / f"wh{after}"), clock=lambda: next(ticks), user="me", compact_after=after)
+        for n in range(6):
+            jobs = [(config(ingestion_type="S3", table_name=t), bad if (t, n) == ("Y", 3) else SPECS, series(spark, DAY, n + 2, n)) for t in "XY"]
+            plan.ingest_many(warehouse, jobs, DAY, parallel=1)
+        actions = sorted(map(tuple, warehouse.actions().collect()))
+        audit = sorted(map(tuple, warehouse.audit().collect()))
+        trails[after] = (actions, audit)
+    assert trails[2] == trails[1000]
+    assert [a[-1] for a in trails[2][0]].count(-1) == 1 and len(trails[2][0]) == 12 and len(trails[2][1]) == 11
+    root = str(tmp_path / "wh2")
+    assert plan.Warehouse(spark, root)._generation() == 3
+    # The last packing came after the last wave: a file of actions, one of audit rows per table, no changes.
+    assert len(parquet_below(f"{root}/history-3/actions")) == 1 and len(parquet_below(f"{root}/history-3/audit")) == 2
+    assert not parquet_below(f"{root}/history-3/changes")
+
+
+def test_open_action_and_failed_packing(spark, warehouse, monkeypatch):
+    """An action that is open while the history is packed ends afterwards; what a failed packing leaves is not read."""
+    files = config(ingestion_type="S3")
+    plan.ingest(warehouse, files, SPECS, series(spark, DAY, 3, 1), DAY)
+    run = warehouse.open_actions([files])[0]
+    real = plan.files.mark
+    monkeypatch.setattr(plan.files, "mark", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.compact_history()
+    assert warehouse._generation() == 0 and warehouse.actions().count() == 2
+    monkeypatch.setattr(plan.files, "mark", real)
+    seen_before = warehouse.audit()
+    assert warehouse.compact_history() == 1
+    assert {r["action_id"]: r["execution_status"] for r in warehouse.actions().collect()} == {1: 1, 2: 0}
+    run.ended, run.status = DAY, -1
+    warehouse.close_actions([run])
+    assert {r["action_id"]: r["execution_status"] for r in warehouse.actions().collect()} == {1: 1, 2: -1}
+    # Ids go on, also for another writer; readers from before keep their files.
+    assert plan.ingest(plan.Warehouse(spark, warehouse.root), files, SPECS, series(spark, DAY, 4, 2), DAY).action_id == 3
+    assert seen_before.count() == 1 and warehouse.audit().count() == 2
+
+
+def test_loads_stand_when_packing_fails(spark, tmp_path, monkeypatch):
+    warehouse = plan.Warehouse(spark, str(tmp_path / "wh"), compact_after=1)
+    monkeypatch.setattr(plan.files, "mark", lambda *_: 1 / 0)
+    with pytest.warns(UserWarning, match="not packed"):
+        result = plan.ingest(warehouse, config(ingestion_type="S3"), SPECS, series(spark, DAY, 3, 1), DAY)
+    assert result.record_cnt_after == 3 and warehouse.audit().count() == 1
+
+
+def test_empty_history_can_be_packed(spark, warehouse):
+    assert warehouse.compact_history() == 1
+    assert warehouse.actions().count() == 0 and warehouse.audit().count() == 0

@@ -733,11 +733,15 @@ _EVENT_SPECS = [
 ]
 
 
-def _ingest_events(spark: SparkSession, sf_dir: str) -> tuple[plan.Warehouse, plan.TableConfig]:
+def _ingest_events(
+    spark: SparkSession, sf_dir: str, compact_after: int = plan.COMPACT_AFTER
+) -> tuple[plan.Warehouse, plan.TableConfig]:
     """A first load from files, then an incremental pull from the watermark on."""
     events = table(spark, sf_dir, "events")
     ticks = iter([datetime(2024, 1, 20, 1, 0, 0), datetime(2024, 1, 20, 1, 2, 30), datetime(2024, 2, 1, 1, 0, 0), datetime(2024, 2, 1, 1, 1, 30)])
-    warehouse = plan.Warehouse(spark, scratch(spark, "ingest"), clock=lambda: next(ticks), user="tester")
+    warehouse = plan.Warehouse(
+        spark, scratch(spark, "ingest"), clock=lambda: next(ticks), user="tester", compact_after=compact_after
+    )
     common = dict(
         connection_name="API", database_schema="WEB", table_name="EVENTS", load_type="INCR",
         primary_key_column="EVENT_ID", incremental_date_column="EVENT_TIME", partitioned_by="event_day", accepted_encoding="gzip",
@@ -756,10 +760,7 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.table(config).read()
 
 
-@query
-def ingest_audit_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Action history and audit rows of the same two runs."""
-    warehouse, _ = _ingest_events(spark, sf_dir)
+def _audit_trail(warehouse: plan.Warehouse) -> DataFrame:
     actions = warehouse.actions().select("action_id", "executed_by", "execution_status")
     return warehouse.audit().join(actions, "action_id").select(
         "action_id", "audit_id", "executed_by", "execution_status", "execution_start_datetime", "execution_end_datetime",
@@ -767,6 +768,18 @@ def ingest_audit_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def ingest_audit_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Action history and audit rows of the same two runs."""
+    return _audit_trail(_ingest_events(spark, sf_dir)[0])
+
+
+@query
+def ingest_compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the history packed after every run."""
+    return _audit_trail(_ingest_events(spark, sf_dir, compact_after=1)[0])
+
+
 @query
 def ingest_named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited files loaded by table name, everything else from metadata tables."""

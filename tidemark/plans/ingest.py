@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field, fields
@@ -27,6 +28,10 @@ CHANGES = struct_of(
 Source = DataFrame | Callable[..., DataFrame]
 #: Tables of a wave that are loaded at the same time.
 PARALLEL = 8
+#: Waves after which the run history is packed into few files.
+COMPACT_AFTER = 200
+#: Audit rows lie in a folder per table.
+AUDIT_FOLDERS = ("database_schema", "table_name")
 
 
 @dataclass(frozen=True)
@@ -111,11 +116,19 @@ class IngestResult:
 class Warehouse:
     """Folders of landing files, published tables and the run history below one root.
 
-    One driver writes the history of a warehouse; ids are given out by it.
+    One driver writes the history of a warehouse; ids are given out by it. Every wave of loads
+    appends small files to the history; after ``compact_after`` waves it is packed anew.
     """
 
-    def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] | None = None, user: str | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        clock: Callable[[], datetime] | None = None,
+        user: str | None = None,
+        compact_after: int = COMPACT_AFTER,
+    ):
+        self.spark, self.root, self.compact_after = spark, root.rstrip("/"), compact_after
         self.clock = clock or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
         self.user = user or os.environ.get("USER", "unknown")
         self._last_ids: dict[str, int] = {}
@@ -134,13 +147,44 @@ class Warehouse:
     def archive(self, config: TableConfig) -> str:
         return config.place(self.root, config.archive_destination, "archive")
 
+    def _generation(self) -> int:
+        """The number of the history's packings so far; only names are listed."""
+        return max(map(int, files.names_in(self.spark, f"{self.root}/history-generations")), default=0)
+
+    def _history_path(self, name: str, generation: int | None = None) -> str:
+        number = self._generation() if generation is None else generation
+        return f"{self.root}/history{f'-{number}' if number else ''}/{name}"
+
     def _history(self, name: str, schema: T.StructType) -> DataFrame:
-        found = files.read_if_present(self.spark, f"{self.root}/history/{name}", schema)
+        found = files.read_if_present(self.spark, self._history_path(name), schema)
         return self.spark.createDataFrame([], schema) if found is None else found
 
     def _append(self, name: str, schema: T.StructType, rows: list[tuple] | DataFrame, partition_by: Sequence[str] = ()) -> None:
         df = rows if isinstance(rows, DataFrame) else files.few_rows(self.spark, schema, rows)
-        files.write_table(df.coalesce(1), f"{self.root}/history/{name}", schema, "append", partition_by)
+        files.write_table(df.coalesce(1), self._history_path(name), schema, "append", partition_by)
+
+    def compact_history(self) -> int:
+        """Pack the history into files of useful size; returns the number of this packing.
+
+        Every row stays: actions take over their last change, so the log of changes begins
+        anew, and audit rows lie together per table. The packed files go to folders of their own,
+        which count once the number is noted; before that, readers see the earlier ones, and
+        what a failed attempt left there is replaced by the next one.
+        """
+        number = self._generation() + 1
+        for name, schema, rows, by in (
+            ("actions", M.ACTION_HISTORY, self.actions(), ()),
+            ("audit", M.AUDIT_DETAILS, self.audit(), AUDIT_FOLDERS),
+        ):
+            packed = rows.hint("rebalance", *by)
+            files.write_table(packed, self._history_path(name, number), schema, "replace", by)
+        files.mark(self.spark, f"{self.root}/history-generations/{number}")
+        return number
+
+    def _due(self) -> bool:
+        """Whether as many waves as allowed have ended since the last packing: one file each."""
+        names = files.names_in(self.spark, self._history_path("changes"))
+        return sum(n.endswith(".parquet") for n in names) >= self.compact_after
 
     def _next_ids(self, history: DataFrame, column: str, n: int) -> list[int]:
         """The next ids; the history is asked once, then this writer counts on."""
@@ -180,6 +224,12 @@ class Warehouse:
         counted = [r for r in runs if r.before is not None]
         if counted:
             self._close_audits(counted)
+        if self._due():
+            try:
+                self.compact_history()
+            except Exception as problem:
+                # The loads and their notes are complete without it; the next wave tries again.
+                warnings.warn(f"the run history was not packed: {problem}", stacklevel=2)
 
     def _close_audits(self, runs: Sequence[Run]) -> None:
         """Append audit rows with the statistics that include them.
@@ -197,7 +247,7 @@ class Warehouse:
             for audit_id, r in zip(ids, runs)
         ]
         own = files.few_rows(self.spark, M.AUDIT_DETAILS, rows)
-        table = ["database_schema", "table_name"]
+        table = list(AUDIT_FOLDERS)
         mine = history.filter(
             F.col(table[0]).isin([r.config.database_schema for r in runs]) & F.col(table[1]).isin([r.config.table_name for r in runs])
         )

@@ -423,18 +423,22 @@ _CHANGED_EVENTS = _merge(
     _events("value", _FIRST), _events("value + 1", "ts >= TIMESTAMP '2024-01-17'"), "event_id", _EVENT_COLUMNS
 )
 
+_AUDIT_TRAIL = f"""
+    WITH c AS (SELECT count(*) FILTER (WHERE {_FIRST}) AS a, count(*) FILTER (WHERE ts < {_AS_OF}) AS b FROM events),
+    d AS (SELECT *, CAST(a AS DOUBLE) AS d1, CAST(b - a AS DOUBLE) AS d2 FROM c)
+    SELECT 1::BIGINT AS action_id, 1::BIGINT AS audit_id, 'tester' AS executed_by, 1::BIGINT AS execution_status,
+           TIMESTAMP '2024-01-20 01:00:00' AS execution_start_datetime, TIMESTAMP '2024-01-20 01:02:30' AS execution_end_datetime,
+           2::BIGINT AS execution_duration, 0::BIGINT AS record_cnt_before, a AS record_cnt_after, d1 AS delta,
+           d1 AS delta_avg, 0.0::DOUBLE AS delta_variance, 0.0::DOUBLE AS delta_std_deviation FROM d
+    UNION ALL
+    SELECT 2, 2, 'tester', 1, TIMESTAMP '2024-02-01 01:00:00', TIMESTAMP '2024-02-01 01:01:30', 2, a, b, d2,
+           (d1 + d2) / 2, (d1 - d2) * (d1 - d2) / 4, (d1 - d2) * (d1 - d2) / 2 FROM d"""
+
 _END_TO_END = {
     "ingest_incremental": _merge(_events("value", _FIRST), _events("value + 1", _PULLED), "event_id", _EVENT_COLUMNS),
-    "ingest_audit_trail": f"""
-        WITH c AS (SELECT count(*) FILTER (WHERE {_FIRST}) AS a, count(*) FILTER (WHERE ts < {_AS_OF}) AS b FROM events),
-        d AS (SELECT *, CAST(a AS DOUBLE) AS d1, CAST(b - a AS DOUBLE) AS d2 FROM c)
-        SELECT 1::BIGINT AS action_id, 1::BIGINT AS audit_id, 'tester' AS executed_by, 1::BIGINT AS execution_status,
-               TIMESTAMP '2024-01-20 01:00:00' AS execution_start_datetime, TIMESTAMP '2024-01-20 01:02:30' AS execution_end_datetime,
-               2::BIGINT AS execution_duration, 0::BIGINT AS record_cnt_before, a AS record_cnt_after, d1 AS delta,
-               d1 AS delta_avg, 0.0::DOUBLE AS delta_variance, 0.0::DOUBLE AS delta_std_deviation FROM d
-        UNION ALL
-        SELECT 2, 2, 'tester', 1, TIMESTAMP '2024-02-01 01:00:00', TIMESTAMP '2024-02-01 01:01:30', 2, a, b, d2,
-               (d1 + d2) / 2, (d1 - d2) * (d1 - d2) / 4, (d1 - d2) * (d1 - d2) / 2 FROM d""",
+    "ingest_audit_trail": _AUDIT_TRAIL,
+    # Packing the history changes no row of it.
+    "ingest_compacted_history": _AUDIT_TRAIL,
     "ingest_named_files": f"SELECT *, {_stamped(_AS_OF)} FROM orders",
     "ingest_multi_table": _least_squares(
         f"""SELECT y, {_calendar("moment")}, o_custkey, is_train FROM (

@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
@@ -381,6 +382,24 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None
         raise
 
 
+def _file_system(spark: SparkSession, at: str) -> tuple[Any, Any]:
+    """The file system of a path, and the path in its terms."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """The names directly below a folder; none where there is no such folder."""
+    fs, path = _file_system(spark, folder)
+    return [found.getPath().getName() for found in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty file at ``path``; one that is there already is an error."""
+    fs, at = _file_system(spark, path)
+    fs.create(at, False).close()
+
+
 def archive_landing(spark: SparkSession, landing: str, archive: str, stamp: str) -> bool:
     """Move the previous landing to ``archive/archived_at=<stamp>``.
 
