@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions.sizes import broadcast_if_small
 from tidemark.llm import exact_dedup, jaccard, mixing, packing, risk_rules
 from tidemark.llm import text as T
 from tidemark.session import prepare
@@ -19,12 +18,10 @@ from tidemark.session import prepare
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    ids, _ = broadcast_if_small(labels.select("doc_id").distinct())
     # Measured once: the labelled rows choose the limits, and all rows are held against them.
     rows = T.written(risk_rules.rows_with_measures(docs), spark, "quality-measures")
     narrow = rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_s").alias("stratum"), F.col("_m").alias("m"))
-    marked = narrow.join(ids, "doc_id", "left_semi")
-    limits = T.written(risk_rules.thresholds(marked, labels), spark, "quality-limits")
+    limits = T.written(risk_rules.thresholds(narrow, labels), spark, "quality-limits")
     return risk_rules.keep_passed(rows, limits)
 
 

@@ -9,10 +9,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import udf
 
 import __spark_entry__ as entry_point
 from compare import oracle_rows
-from tidemark.llm import ctw, line_chunks
+from tidemark.llm import ctw, line_chunks, risk_rules
 from tidemark.llm.oracles import ORACLES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]")
@@ -130,3 +131,22 @@ def test_query_gathers_long_contexts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     bits = lambda df: -sum(r.score for r in df.filter("held_out").collect())
     assert bits(entry_point.queries()["op5_context_tree"](spark, sf_dir)) < bits(ctw.score(docs, spark))
+
+
+def test_labelled_documents_are_counted_once(spark):
+    """The limits read each measured row once, and no rows are made per document and rule."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(lang):
+        seen.add(1)
+        return lang
+
+    rows = [(i, "en" if i % 2 else None, " ".join(f"w{i}x{k}" for k in range(30)) + " #!" * (i % 3 * 4)) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, float(i % 3 == 0)) for i in range(240)], "doc_id long, quality double")
+    lang = udf(count, "string").asNondeterministic()
+    measured = risk_rules.measured(docs).withColumn("stratum", lang("stratum"))
+    got = risk_rules.thresholds(measured, labels, risk=1.0).collect()
+    assert {(r.stratum, r.rule) for r in got} == {(s, rule) for s in ("en", None) for rule in ("symbols", "exclamations")}
+    assert {(r.n_good, r.good_rejected, r.bad_rejected) for r in got} == {(40, 0, 80)}
+    assert seen.value == len(rows)

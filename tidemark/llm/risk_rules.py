@@ -156,30 +156,48 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(log_first) * factor)
 
 
-def thresholds(
-    rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, cutoffs: tuple[int, ...] = CUTOFFS
-) -> DataFrame:
-    """``(stratum, rule, cutoff, n_good, good_rejected, bad_rejected)`` of the rules in force.
+def _level_counts(rows: DataFrame, labels: DataFrame, cutoffs: tuple[int, ...]) -> DataFrame:
+    """``(stratum, level_0, ..., good, bad)``: labelled documents per stratum and levels of all rules.
 
-    ``rows`` comes from :func:`measured`. Only counts per stratum, rule and cutoff leave the
-    map side; every labelled document that passes the base rule takes part.
+    The level is how many cutoffs lie below a rule's value: cutoff i rejects when level > i.
     """
     marks = (
         labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_q"))
         .filter("_id IS NOT NULL AND _q IS NOT NULL")
         .groupBy("_id")
-        .agg((F.min("_q") > 0).alias("good"))
+        .agg((F.min("_q") > 0).alias("_good"))
     )
+    marks, _ = broadcast_if_small(marks)
     held = rows.filter(~base_failed(F.col("m"))).join(marks, F.col("doc_id") == F.col("_id"))
-    # The level is how many cutoffs lie below the value: cutoff i rejects when level > i.
-    below = lambda v: sum((v > c).cast("int") for c in cutoffs)
-    leveled = [F.struct(F.lit(i).alias("rule"), below(v).alias("level")) for i, v in enumerate(rule_values(F.col("m")))]
+    values = [v.alias(f"_v{i}") for i, v in enumerate(rule_values(F.col("m")))]
+    below = lambda v: sum((F.col(v) > c).cast("int") for c in cutoffs)
+    names = [f"level_{i}" for i in range(len(values))]
+    return (
+        held.select("stratum", "_good", *values)
+        .select("stratum", "_good", *[below(f"_v{i}").alias(name) for i, name in enumerate(names)])
+        .groupBy("stratum", *names)
+        .agg(F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad"))
+    )
+
+
+def thresholds(
+    rows: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, cutoffs: tuple[int, ...] = CUTOFFS
+) -> DataFrame:
+    """``(stratum, rule, cutoff, n_good, good_rejected, bad_rejected)`` of the rules in force.
+
+    ``rows`` comes from :func:`measured`. Documents are counted once per stratum and combination
+    of levels, and these counts are written; rules and cutoffs are taken apart from there, so
+    that no row is made per document and rule. Every labelled document that passes the base
+    rule takes part.
+    """
+    counts = T.written(_level_counts(rows, labels, cutoffs), rows.sparkSession, "quality-levels")
+    levels = [F.struct(F.lit(i).alias("rule"), F.col(f"level_{i}").alias("level")) for i in range(len(RULES))]
     per_level = (
-        held.select("stratum", "good", F.inline(F.array(*leveled)))
+        counts.select("stratum", "good", "bad", F.inline(F.array(*levels)))
         .groupBy("stratum", "rule", "level")
-        .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     )
-    totals = per_level.filter("rule = 0").groupBy("stratum").agg(F.sum("good").alias("n_good"))
+    totals = counts.groupBy("stratum").agg(F.sum("good").alias("n_good"))
     tests = max(1, totals.count()) * len(RULES) * len(cutoffs)
     rejected = (
         per_level.filter("level > 0")

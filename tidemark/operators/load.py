@@ -173,9 +173,10 @@ def merge_parts(
         inserted = source.join(hint(matched), keys, "left_anti")
         rest = None
     else:
-        updated = target.filter(has_key).join(update, on, "left")
+        # Hinted, as files that compress well look small enough to broadcast.
+        updated = target.filter(has_key).join(update.hint("merge"), on, "left")
         held = known.filter(has_key).distinct() if matched is None else matched
-        inserted = keyed.join(held, keys, "left_anti").select(*mapped)
+        inserted = keyed.join(held.hint("merge"), keys, "left_anti").select(*mapped)
         if keyless is not None:
             inserted = inserted.unionByName(keyless)
         rest = target.filter(~has_key)
