@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from compare import differences
+from tidemark.functions.sizes import broadcast_if_small, measured_bytes
+from tidemark.llm import text as T
 from tidemark.llm import ctw, exact_dedup, jaccard, licences, line_chunks, mixing, packing, preference, risk_rules, urls
 from tidemark.llm.oracles import ORACLES
 
@@ -253,6 +255,27 @@ def test_jaccard_edges(spark, edge, nothing):
     assert jaccard.near_groups(nothing, spark).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, jaccard.BROADCAST_BYTES])
+def test_components_broadcast_and_shuffled(spark, monkeypatch, limit):
+    """A path, a star and a repeated link; minima are broadcast where they are few."""
+    monkeypatch.setattr(jaccard, "BROADCAST_BYTES", limit)
+    links = [(i, i + 1) for i in range(20)] + [(50 + i, 49) for i in range(1, 9)] + [(51, 49), (7, 7)]
+    found = jaccard.components(spark.createDataFrame(links, "a bigint, b bigint"), spark)
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(1, 21)] + [(50 + i, 49) for i in range(1, 9)]
+
+
+@pytest.mark.parametrize("rows", [0, 7])
+def test_measured_tables_need_no_further_job(spark, rows):
+    """The driver of a long pipeline pays for every job, so sizes are noted as tables are written."""
+    table = T.written(spark.range(rows).withColumn("t", F.lit("é")), spark, "measured", measure=True)
+    spark.sparkContext.setJobGroup("measured", "")
+    small = broadcast_if_small(table)[1], broadcast_if_small(table, limit=rows - 1)[1]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("measured")
+    spark.sparkContext.setJobGroup("", "")
+    assert not jobs and small == (True, False)
+    assert table._tidemark_rows == rows and table._tidemark_bytes == measured_bytes(spark.read.parquet(table._tidemark_path))
+
+
 def brute_ctw(train, text):
     counts = defaultdict(lambda: [0, 0])
     contexts = defaultdict(set)

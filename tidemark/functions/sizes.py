@@ -25,7 +25,11 @@ def row_bytes(df: DataFrame) -> Column:
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Upper bound of the in-memory size, from one aggregate over the rows."""
+    """Upper bound of the in-memory size: noted when the table was written, else from one
+    aggregate over the rows."""
+    noted = getattr(df, "_tidemark_bytes", None)
+    if noted is not None:
+        return noted
     return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("n")).first()["n"]
 
 

@@ -52,7 +52,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.sizes import broadcast_if_small
+from tidemark.functions.sizes import BROADCAST_BYTES, broadcast_if_small
 from tidemark.llm import bytewords as B
 from tidemark.llm import text as T
 
@@ -251,7 +251,7 @@ def crowded_links(crowding: DataFrame, cut: DataFrame, spark: SparkSession) -> D
     )
     docs, _ = broadcast_if_small(crowding.select("doc", "label", "n", "cap"))
     rows = cut.join(docs, "doc").select("doc", "label", "n", "cap", "parts")
-    able, _ = broadcast_if_small(T.written(able, spark, "crowded-able"))
+    able, _ = broadcast_if_small(T.written(able, spark, "crowded-able", measure=True))
     queries = T.written(rows.join(able, "doc", "left_semi"), spark, "crowded-queries")
     size = F.aggregate("parts", F.lit(64).cast("bigint"), lambda b, part: b + 16 * F.size(part))
     blocks = 1 + (queries.agg(F.sum(size)).first()[0] or 0) // BLOCK_BYTES
@@ -280,12 +280,13 @@ def linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     ``pairs`` is a written table. Pairs are broadcast to the fragments of b if they are few; those
     of a are broadcast if they measure at most BLOCK_BYTES, and else shuffled to them.
     """
-    wanted, _ = broadcast_if_small(pairs.select("a").distinct())
+    near, few = broadcast_if_small(pairs)
+    wanted = pairs.select("a").distinct()
+    wanted = F.broadcast(wanted) if few else broadcast_if_small(wanted)[0]
     left = fragments.join(wanted, F.col("doc") == F.col("a"), "left_semi").select("doc", F.posexplode("parts").alias("fragment", "grams"))
     left = left.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("_a"))
     size = left.agg(F.sum(F.size("_a") * 8 + 64)).first()[0] or 0
-    pairs, _ = broadcast_if_small(pairs)
-    right = fragments.withColumnRenamed("doc", "b").join(pairs, "b").select("a", "b", "a_n", "b_n", F.posexplode("parts").alias("fragment", "_b"))
+    right = fragments.withColumnRenamed("doc", "b").join(near, "b").select("a", "b", "a_n", "b_n", F.posexplode("parts").alias("fragment", "_b"))
     parts = right.join(F.broadcast(left) if size <= BLOCK_BYTES else left, ["a", "fragment"])
     overlap = F.sum(F.size(F.array_intersect("_a", "_b"))).alias("o")
     summed = parts.groupBy("b", "a", "a_n", "b_n").agg(overlap)
@@ -297,11 +298,15 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
 
     Alternates the large-star and small-star steps until every document hangs on one that
     hangs on none; every step is a minimum per document and a join, so a hub of any degree is
-    never gathered.
+    never gathered. Minima per document are no more than the edges: where these can be broadcast,
+    so are they.
     """
     edges = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi != lo").distinct()
-    edges = T.written(edges, spark, "component-edges")
+    edges = T.written(edges, spark, "component-edges", measure=True)
     while True:
+        # An edge has two ends, so there are at most twice as many minima.
+        small_enough = 2 * edges._tidemark_bytes <= BROADCAST_BYTES
+        hint = F.broadcast if small_enough else (lambda df: df)
         # Once as a lower end, and as an upper end as often as there are neighbours below.
         ends = edges.select(F.col("hi").alias("u"), F.lit(1).alias("up")).unionByName(edges.select(F.col("lo").alias("u"), F.lit(0).alias("up")))
         per_doc = ends.groupBy("u").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
@@ -311,10 +316,11 @@ def components(links: DataFrame, spark: SparkSession) -> DataFrame:
             edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.join(hint(least), "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = large if small_enough else large.distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(low, "hi").filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        older, edges = edges, T.written(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), spark, "component-edges")
+        small = large.join(hint(low), "hi").filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        older, edges = edges, T.written(small.unionByName(low.withColumnRenamed("m", "lo")).distinct(), spark, "component-edges", measure=True)
         T.drop(older)
 
 
@@ -368,7 +374,7 @@ class _Nodes:
         self.docs, self.spark = docs, spark
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")).alias("_first")
         several = sets.filter("n > 0").groupBy("node").agg(first, F.count(F.lit(1)).alias("members")).filter("members > 1")
-        several = T.written(several.select(F.col("node").alias("doc"), "_first"), spark, "shingle-classes")
+        several = T.written(several.select(F.col("node").alias("doc"), "_first"), spark, "shingle-classes", measure=True)
         known, _ = broadcast_if_small(several)
         own = sets.filter("n > 0").withColumnRenamed("node", "doc").join(known, "doc", "left")
         one = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("version") == F.col("_first.version"))
@@ -384,7 +390,7 @@ class _Nodes:
     def fragments(self, nodes: DataFrame) -> DataFrame:
         """``(doc, parts)`` of these nodes."""
         wanted = self.own.select("doc", F.col("doc_id").alias("_id"), F.col("version").alias("_version")).join(nodes, "doc", "left_semi")
-        wanted, _ = broadcast_if_small(T.written(wanted, self.spark, "shingle-sources"))
+        wanted, _ = broadcast_if_small(T.written(wanted, self.spark, "shingle-sources", measure=True))
         mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
         cut = self.docs.join(wanted, mine).select("doc", "text").mapInArrow(_fragments, "doc bigint, parts array<array<bigint>>")
         return T.written(cut.dropDuplicates(["doc"]) if self.repeated else cut, self.spark, "shingle-fragments")
@@ -399,14 +405,16 @@ class _Nodes:
     def verify(self, pairs: DataFrame, cut: DataFrame) -> tuple[int, int]:
         """Try pairs (a written table), merge what links; how many were tried and how many linked."""
         self.tried = pairs.select("a", "b") if self.tried is None else self.tried.unionByName(pairs.select("a", "b"))
-        found = T.written(linked(pairs, cut), self.spark, "links")
-        return pairs.count(), self.merge(found)
+        found = T.written(linked(pairs, cut), self.spark, "links", measure=True)
+        n = self.merge(found)
+        T.release(self.spark)
+        return pairs._tidemark_rows, n
 
     def merge(self, found: DataFrame) -> int:
         """Merge the components of these links; how many there are."""
-        n = found.count()
+        n = found._tidemark_rows if hasattr(found, "_tidemark_rows") else found.count()
         if n and self.labels is None:
-            self.labels = T.written(components(found, self.spark), self.spark, "labels")
+            self.labels = T.written(components(found, self.spark), self.spark, "labels", measure=True)
         elif n:
             # Links join components, so only these go through the steps again.
             ends = self.labelled(found.withColumnRenamed("a", "doc")).select(F.col("label").alias("a"), F.col("b").alias("doc"))
@@ -416,7 +424,7 @@ class _Nodes:
             older = self.labels
             moved = older.join(roots, "label", "left").select("doc", F.coalesce("root", "label").alias("label"))
             # What was a root, or had no link until now, hangs on the new one.
-            self.labels = T.written(moved.unionByName(roots.toDF("doc", "label")), self.spark, "labels")
+            self.labels = T.written(moved.unionByName(roots.toDF("doc", "label")), self.spark, "labels", measure=True)
             T.drop(older)
         return n
 
@@ -425,7 +433,7 @@ class _Nodes:
         if self.tried is not None:
             known = self.tried.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
             pairs = pairs.withColumns({"_a": F.least("a", "b"), "_b": F.greatest("a", "b")}).join(known, ["_a", "_b"], "left_anti").drop("_a", "_b")
-        return T.written(pairs, self.spark, "pairs")
+        return T.written(pairs, self.spark, "pairs", measure=True)
 
 
 def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -446,8 +454,9 @@ def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text
     T.drop(found, able)
 
     cut = nodes.fragments(ranked.select("doc").distinct())
+    T.release(spark)
     while True:
-        pairs = T.written(hub_pairs(nodes.labelled(ranked), nodes.tried), spark, "hub-pairs")
+        pairs = T.written(hub_pairs(nodes.labelled(ranked), nodes.tried), spark, "hub-pairs", measure=True)
         tried, hits = nodes.verify(pairs, cut)
         if hits * 4 <= tried:
             break
@@ -456,9 +465,10 @@ def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text
     T.drop(ranked)
     open_docs = labelled.join(unresolved(labelled).select("t"), "t", "left_semi").select("doc", "n", "label").distinct()
     open_docs = T.written(open_docs, spark, "open-documents")
-    caps, _ = broadcast_if_small(T.written(able_by_set(cut, open_docs, spark), spark, "caps"))
+    caps, _ = broadcast_if_small(T.written(able_by_set(cut, open_docs, spark), spark, "caps", measure=True))
     capped = T.written(labelled.join(caps, "doc"), spark, "labelled")
     T.drop(labelled, open_docs)
+    T.release(spark)
     # The grid point at or before the prefix's last element.
     point = F.shiftright(F.element_at("head", _prefix(F.col("n")).cast("int")), 57).cast("int") + 64
     grid = own.select("doc", "ranks", F.least(point, F.lit(GRID - 1)).alias("q"))
@@ -469,7 +479,7 @@ def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text
         now = nodes.labelled(capped)
         grams = T.written(unresolved(now), spark, "open-grams")
         packed = now.join(grams.filter("NOT few").select("t"), "t", "left_semi")
-        counted = T.written(packed.groupBy("doc", "label", "n", "cap").agg(F.count(F.lit(1)).alias("h")), spark, "crowded")
+        counted = T.written(packed.groupBy("doc", "label", "n", "cap").agg(F.count(F.lit(1)).alias("h")), spark, "crowded", measure=True)
         counted, _ = broadcast_if_small(counted)
         crowding = T.written(grid.join(counted, "doc").select("doc", "label", "n", "cap", "h", "ranks", "q"), spark, "crowding")
         return now.join(grams.filter("few").select("t"), "t", "left_semi"), crowding
@@ -478,13 +488,15 @@ def near_rows(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text
     nodes.verify(nodes.untried(light_pairs(few, crowding)), cut)
     T.drop(crowding)
     _, crowding = crowded()
+    T.release(spark)
     nodes.merge(crowded_links(crowding, cut, spark))
     T.drop(crowding)
+    T.release(spark)
     T.drop(cut, capped)
     labels = nodes.labelled(sets.select("doc_id", "version", "n", F.col("node").alias("doc")))
     rows = T.written(labels.withColumnRenamed("doc", "node"), spark, "near-rows")
     least = rows.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("_least"))
-    least, _ = broadcast_if_small(T.written(least, spark, "component-ids"))
+    least, _ = broadcast_if_small(T.written(least, spark, "component-ids", measure=True))
     T.drop(sets)
     component = F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id"))
     return rows.join(least, "label", "left").select("doc_id", "version", "n", "node", "label", component.alias("component_id"))
@@ -501,7 +513,7 @@ def keep_one(docs: DataFrame, spark: SparkSession, doc_id: str = "doc_id", text:
     rows = T.written(near_rows(docs, spark, doc_id, text).filter("n > 0"), spark, "near-rows")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "version")
     chosen = rows.groupBy("label").agg(F.min(place).alias("_kept"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    chosen, _ = broadcast_if_small(T.written(chosen.select("label", "_kept"), spark, "near-kept"))
+    chosen, _ = broadcast_if_small(T.written(chosen.select("label", "_kept"), spark, "near-kept", measure=True))
     gone = rows.join(chosen, "label").filter(place != F.col("_kept")).select(F.col("doc_id").alias("_gone"), F.col("version").alias("_gone_version"))
     gone, _ = broadcast_if_small(T.written(gone.distinct(), spark, "near-copies"))
     version = F.xxhash64(T.whole(text))
