@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import load as L
 from tidemark.operators.staging import AUDIT_COLUMNS, stamp
+from tidemark.session import ADVISORY, prepare
 
 OLD, NOW = datetime(2024, 1, 1), datetime(2024, 2, 1)
 SCHEMA = "k bigint, v bigint, w string"
@@ -119,3 +120,15 @@ def test_route_and_plan_agree(spark, exists, load_type, key, override, action):
             L.route(exists, load_type, key, override)
     else:
         assert L.route(exists, load_type, key, override) == action
+
+
+@pytest.mark.parametrize("given, used", [(None, "16m"), ("64MB", "16m"), (str(1 << 30), "16m"), ("8m", "8m")])
+def test_sorted_partitions_are_bounded(spark, given, used):
+    """The sorts of a merge take a task's memory by the size of a partition, whoever has set it."""
+    before = spark.conf.get(ADVISORY)
+    try:
+        spark.conf.unset(ADVISORY) if given is None else spark.conf.set(ADVISORY, given)
+        prepare(spark)
+        assert spark.conf.get(ADVISORY) == used
+    finally:
+        spark.conf.set(ADVISORY, before)
